@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lymphoframe.llm import secrets
+from lymphoframe.llm import lines, secrets
 
 QUERIES = {
+    "op5_line_dedup": lines.op5_line_dedup,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
 
