@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lymphoframe.llm import lines, secrets
+from lymphoframe.llm import fingerprints, lines, secrets
 
 QUERIES = {
     "op5_line_dedup": lines.op5_line_dedup,
+    "op7_fingerprints": fingerprints.op7_fingerprints,
     "op9_secret_scan": secrets.op9_secret_scan,
 }
 
