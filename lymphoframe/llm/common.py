@@ -42,3 +42,11 @@ def partitions(spark: SparkSession) -> int:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once (a lambda argument is bound, not inlined)."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Rows in an Arrow batch: a few thousand average documents fit a Python worker, long ones too.
+BATCH_ROWS = 256
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
