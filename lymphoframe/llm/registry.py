@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lymphoframe.llm import bpe, fingerprints, lines, pages, secrets
+from lymphoframe.llm import bpe, fingerprints, lines, packing, pages, secrets
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op5_line_dedup": lines.op5_line_dedup,
     "op7_fingerprints": fingerprints.op7_fingerprints,
+    "op8_packing": packing.op8_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_html_text": pages.op10_html_text,
 }
