@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lymphoframe.llm import bpe, fingerprints, lines, packing, pages, quality, secrets
+from lymphoframe.llm import bpe, fingerprints, lines, minhash, packing, pages, quality, secrets
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_minhash": minhash.op3_minhash,
     "op4_quality": quality.op4_quality,
     "op5_line_dedup": lines.op5_line_dedup,
     "op7_fingerprints": fingerprints.op7_fingerprints,
