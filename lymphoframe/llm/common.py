@@ -31,7 +31,13 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     depend on the executors that made it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffle files go with the query that made them
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

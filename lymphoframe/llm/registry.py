@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lymphoframe.llm import bpe, fingerprints, lines, minhash, packing, pages, quality, secrets
+from lymphoframe.llm import bpe, fingerprints, lines, minhash, packing, pages, quality, secrets, substrings
 
 QUERIES = {
+    "op1_substring_dedup": substrings.op1_substring_dedup,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_minhash": minhash.op3_minhash,
     "op4_quality": quality.op4_quality,
