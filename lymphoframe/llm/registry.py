@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lymphoframe.llm import bpe, fingerprints, lines, minhash, packing, pages, quality, secrets, substrings
+from lymphoframe.llm import bpe, fingerprints, lines, minhash, packing, pages, quality, secrets, substrings, vectors
 
 QUERIES = {
     "op1_substring_dedup": substrings.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_minhash": minhash.op3_minhash,
     "op4_quality": quality.op4_quality,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op6_embedding_dedup": vectors.op6_embedding_dedup,
     "op7_fingerprints": fingerprints.op7_fingerprints,
     "op8_packing": packing.op8_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
