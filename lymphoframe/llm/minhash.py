@@ -162,7 +162,8 @@ def _confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent:
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), pa.array(signs, pa.binary()), pa.array([made[k].tobytes() for k in right], pa.binary())], names=["node", "root", "number", "sign", "shingles"])
 
     small_batches(spark)
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(members, "rep").select("node", "root", "number", "text")
+    # members grow with the corpus: a merge join at every size, never a broadcast of them
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(members.hint("merge"), "rep").select("node", "root", "number", "text")
     full = texts.mapInArrow(sets, "node long, root long, number int, sign binary, shingles binary")
     dealt = _blocks(full, F.pmod(F.xxhash64("node"), F.col("number")).cast("int"), F.col("number"))
 
