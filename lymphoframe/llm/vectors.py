@@ -10,10 +10,11 @@ already chosen is closer to it by a factor ``ALPHA``). The adjacency lists of a
 shards are united and go back to them. Each member is then a query: a greedy beam search from the
 shard's medoid, then the range expands from everything found in range, and from the query's own
 node, over neighbours still in range, until nothing new comes. Pairs are verified by their cosine
-in double precision before they leave the task.
+in double precision. Two members may meet in several shards; their pair counts in the first shard
+they share, so a task adds up its own links and sends a row per member, not per pair.
 
-The recall is audited: ``AUDIT`` queries (smallest hashes) are compared with all vectors; below
-``RECALL`` the overlap doubles, the search is run again and the links are united.
+The recall is audited: the links of ``AUDIT`` queries (smallest hashes) are counted among all
+vectors; below ``RECALL`` the overlap doubles and the search is run again.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or have another
 length than most of the sample link with nothing and are their own component; repeated rows are
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lymphoframe.llm.common import cut, partitions, small_batches, table
-from lymphoframe.llm.graph import components, whole_groups
+from lymphoframe.llm.graph import components, local_roots, whole_groups
 
 SAMPLE = 16_384
 PER_SHARD = 500
@@ -84,16 +85,17 @@ def centroids(sample: np.ndarray, number: int, rounds: int = 8) -> np.ndarray:
 
 
 def _dealt(classes: DataFrame, middles: np.ndarray, overlap: int) -> DataFrame:
-    """(shard, low, high, id, body): every class in each shard, or pair of blocks, that it belongs to."""
+    """(shard, low, high, own, shards, id, n, body): every class in each shard, or pair of blocks, that it belongs to."""
     width = middles.shape[1] * 4
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = np.argsort(-(_unit(_matrix(batch.column(1))) @ middles.T), axis=1, kind="stable")[:, :overlap]
+            near = np.argsort(-(_unit(_matrix(batch.column(2))) @ middles.T), axis=1, kind="stable")[:, :overlap].astype("<i4")
             take = pa.array(np.repeat(np.arange(len(near)), near.shape[1]))
-            yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), batch.column(0).take(take), batch.column(1).take(take)], names=["shard", "id", "body"])
+            shards = pa.array([x.tobytes() for x in near], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), shards.take(take), *[batch.column(i).take(take) for i in range(3)]], names=["shard", "shards", "id", "n", "body"])
 
-    rows = classes.where(F.length("body") == width).select("id", "body").mapInArrow(work, "shard int, id long, body binary")
+    rows = classes.where(F.length("body") == width).select("id", "n", "body").mapInArrow(work, "shard int, shards binary, id long, n long, body binary")
     # a row per shard, MOST_SHARDS at most
     sizes = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}
     blocks = {s: -(-2 * n // SHARD) for s, n in sizes.items() if n > SHARD}
@@ -102,7 +104,7 @@ def _dealt(classes: DataFrame, middles: np.ndarray, overlap: int) -> DataFrame:
         number = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("shard")), F.lit(1))
     rows = rows.withColumn("number", number).withColumn("own", F.pmod(F.xxhash64("id"), F.col("number")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("number") - 1)))
-    return rows.select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "body")
+    return rows.select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "shards", "id", "n", "body")
 
 
 def pruned(x: np.ndarray) -> list[np.ndarray]:
@@ -201,8 +203,18 @@ def _search(x: np.ndarray, lists: np.ndarray, least: float) -> tuple[np.ndarray,
     return np.concatenate(a), np.concatenate(b)
 
 
-def _pairs(dealt: DataFrame, adjacency: DataFrame, least: float) -> DataFrame:
-    """(a, b), a < b: verified links between classes."""
+def _first_shared(shards: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest shard that both rows of each pair belong to."""
+    out = np.empty(len(a), np.int64)
+    for k in range(0, len(a), 65_536):
+        x, y = shards[a[k : k + 65_536]], shards[b[k : k + 65_536]]
+        out[k : k + 65_536] = np.where((x[:, :, None] == y[:, None, :]).any(2), x, np.iinfo(np.int32).max).min(1)
+    return out
+
+
+def _linked(dealt: DataFrame, adjacency: DataFrame, least: float) -> DataFrame:
+    """(id, others, root): per member and shard with links counted there, the vectors it is linked to
+    and the smallest member it reaches by them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, starts in whole_groups(batches, ["shard", "low", "high"]):
@@ -216,24 +228,34 @@ def _pairs(dealt: DataFrame, adjacency: DataFrame, least: float) -> DataFrame:
                 flat = near.flatten().to_numpy(zero_copy_only=False)
                 sizes = near.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 # neighbours in this shard, as its rows
-                at = np.minimum(np.searchsorted(ids, flat, sorter=order), len(ids) - 1)
-                at = order[at]
+                at = order[np.minimum(np.searchsorted(ids, flat, sorter=order), len(ids) - 1)]
                 here = ids[at] == flat
                 row = np.repeat(np.arange(len(ids)), sizes)[here]
                 at = at[here]
                 place = np.arange(len(row)) - np.searchsorted(row, row)
                 lists = np.full((len(ids), int(place.max()) + 1 if len(place) else 1), -1)
                 lists[row, place] = at
-                x = _unit(_matrix(part.column("body")))
-                q, node = _search(x, lists, least)
-                if len(q):
-                    a, b = np.minimum(ids[q], ids[node]), np.maximum(ids[q], ids[node])
-                    yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+                q, node = _search(_unit(_matrix(part.column("body"))), lists, least)
+                pairs = np.unique(np.minimum(q, node) * len(ids) + np.maximum(q, node))
+                a, b = pairs // len(ids), pairs % len(ids)
+                shards = np.frombuffer(b"".join(part.column("shards").to_pylist()), "<i4").reshape(len(ids), -1)
+                own, low, high = part.column("own").to_numpy(), part.column("low")[0].as_py(), part.column("high")[0].as_py()
+                counts = _first_shared(shards, a, b) == part.column("shard")[0].as_py()
+                if low != high:  # members of one block meet in their block's own shard
+                    counts &= own[a] != own[b]
+                a, b = a[counts], b[counts]
+                if not len(a):
+                    continue
+                n = part.column("n").to_numpy()
+                others = np.bincount(a, n[b], len(ids)) + np.bincount(b, n[a], len(ids))
+                root = local_roots(len(ids), a, b)
+                some = np.flatnonzero(others)
+                yield pa.RecordBatch.from_pydict({"id": ids[some], "others": others[some].astype(np.int64), "root": ids[root[some]]})
 
     spark = dealt.sparkSession
     order = ["shard", "low", "high"]
-    rows = dealt.join(adjacency, "id", "left").select(*order, "id", "body", "near")
-    return rows.repartition(partitions(spark), *order).sortWithinPartitions(*order).mapInArrow(work, "a long, b long").distinct()
+    rows = dealt.join(adjacency, "id", "left").select(*order, "own", "shards", "id", "n", "body", "near")
+    return rows.repartition(partitions(spark), *order).sortWithinPartitions(*order).mapInArrow(work, "id long, others long, root long")
 
 
 def _sorted(dealt: DataFrame) -> DataFrame:
@@ -241,35 +263,36 @@ def _sorted(dealt: DataFrame) -> DataFrame:
     return dealt.repartition(partitions(dealt.sparkSession), *order).sortWithinPartitions(*order)
 
 
-def audit(classes: DataFrame, pairs: DataFrame, least: float, queries: int = AUDIT) -> float:
-    """Share of the true links of a bounded set of queries that ``pairs`` holds (1 without links).
+def audit(classes: DataFrame, found: DataFrame, least: float, queries: int = AUDIT) -> float:
+    """Share of the links of a bounded set of queries that were found (1 without links).
 
-    Links of the queries with the smallest hashes are counted by brute force against all classes."""
+    The links of the queries with the smallest hashes are counted by brute force among all classes;
+    found ones are verified, so they are a part of these."""
     chosen = classes.orderBy(F.xxhash64("id"), "id").limit(queries).select("id", "body").collect()
     if not chosen:
         return 1.0
-    ids, width = np.array([r["id"] for r in chosen]), max(len(r["body"]) for r in chosen)
-    usable = [r["body"] for r in chosen if len(r["body"]) == width]
-    ids = np.array([r["id"] for r in chosen if len(r["body"]) == width])
-    unit = _unit(np.frombuffer(b"".join(usable), "<f4").reshape(len(usable), -1))
+    ids = np.array([r["id"] for r in chosen])
+    unit = _unit(np.frombuffer(b"".join(r["body"] for r in chosen), "<f4").reshape(len(chosen), -1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(ids), np.int64)
         for batch in batches:
-            node = batch.column(0).to_numpy()
-            q, k = np.nonzero(unit @ _unit(_matrix(batch.column(1))).T >= least)
-            other = ids[q] != node[k]
-            yield pa.RecordBatch.from_pydict({"a": np.minimum(ids[q], node[k])[other], "b": np.maximum(ids[q], node[k])[other]})
+            near = unit @ _unit(_matrix(batch.column(2))).T >= least
+            near &= ids[:, None] != batch.column(0).to_numpy()[None, :]
+            total += near @ batch.column(1).to_numpy()
+        yield pa.RecordBatch.from_pydict({"id": ids, "true": total})
 
-    true = classes.where(F.length("body") == width).select("id", "body").mapInArrow(work, "a long, b long").distinct()
-    row = true.join(pairs.withColumn("found", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("found").alias("found")).first()
-    return row["found"] / row["n"] if row["n"] else 1.0
+    true = classes.select("id", "n", "body").mapInArrow(work, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
+    mine = found.groupBy("id").agg(F.sum("others").alias("found"))
+    row = true.join(mine, "id", "left").agg(F.sum("true").alias("true"), F.sum("found").alias("found")).first()
+    return (row["found"] or 0) / row["true"] if row["true"] else 1.0
 
 
 def links(classes: DataFrame, least: float) -> DataFrame:
-    """(a, b), a < b: pairs of class ids with cosine >= ``least``, written."""
+    """(id, others, root) of classes with links (see ``_linked``), written."""
     sample = [r["body"] for r in classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("body").collect()]
     if not sample:
-        return classes.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+        return classes.select("id", F.col("n").alias("others"), F.col("id").alias("root")).limit(0)
     sizes = [len(b) for b in sample]
     width = max(set(sizes), key=lambda w: (sizes.count(w), w))
     sample = [b for b in sample if len(b) == width]
@@ -277,12 +300,11 @@ def links(classes: DataFrame, least: float) -> DataFrame:
     middles = centroids(np.frombuffer(b"".join(sample), "<f4").reshape(len(sample), -1), number)
     usable = classes.where(F.length("body") == width)
     small_batches(classes.sparkSession)
-    found, overlap = None, min(OVERLAP, number)
+    overlap = min(OVERLAP, number)
     while True:
         dealt = cut(_dealt(usable, middles, overlap), "vector-shards")
         adjacency = cut(_build(_sorted(dealt)), "vector-graph")
-        pairs = _pairs(dealt, adjacency, least)
-        found = cut(pairs if found is None else found.unionAll(pairs).distinct(), "vector-links")
+        found = cut(_linked(dealt, adjacency, least), "vector-links")
         if overlap == number or audit(usable, found, least) >= RECALL:
             return found
         overlap = min(2 * overlap, number)
@@ -292,10 +314,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id, kept: a row per vector."""
     classes = classes_of(vectors.select("vec_id", "embedding"))
     found = links(classes, least)
-    roots = components(found, "vector")
-    numbers = classes.select("id", "n")
-    both = found.unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    partners = both.join(numbers.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector")
+    partners = found.groupBy("id").agg(F.sum("others").alias("others"))
     known = cut(classes.join(partners, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
                 .select("embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "id").alias("component_id")), "vector-known")
     out = vectors.select("vec_id", "embedding").join(known, "embedding", "left")
