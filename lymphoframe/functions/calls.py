@@ -15,11 +15,15 @@ def germline_names(germline: DataFrame) -> DataFrame:
     return germline.select("label", F.col("label").alias("allele"), gene.alias("gene"), F.when(F.col("subgroup_designation").isNull(), gene).otherwise(F.concat(head, "subgroup_designation")).alias("subgroup"))
 
 
+#: Labels that the one-row dictionary may hold (a germline set has some hundred); beyond, ``resolve_by_join``.
+MOST_LABELS = 5_000
+
+
 def dictionary(germline: DataFrame) -> DataFrame:
-    """One row, one map: label -> names. A germline set is a reference list (some hundred labels),
-    so the row is small enough to broadcast."""
-    entries = F.collect_list(F.struct("label", F.struct(*LEVELS)))
-    return germline_names(germline).agg(F.map_from_entries(entries).alias("_names"))
+    """One row, one map: label -> names, small enough to broadcast. The plan itself checks the size."""
+    entries = F.map_from_entries(F.collect_list(F.struct("label", F.struct(*LEVELS))))
+    checked = F.when(F.count("*") <= MOST_LABELS, entries).otherwise(F.raise_error(F.lit(f"more than {MOST_LABELS} germline labels: use resolve_by_join")))
+    return germline_names(germline).agg(checked.alias("_names"))
 
 
 def resolve(rearrangements: DataFrame, germline: DataFrame, segments: tuple[str, ...] = SEGMENTS) -> DataFrame:
@@ -34,6 +38,24 @@ def resolve(rearrangements: DataFrame, germline: DataFrame, segments: tuple[str,
     return out.drop("_names", *[f"_{s}" for s in segments])
 
 
+def resolve_by_join(rearrangements: DataFrame, germline: DataFrame, segments: tuple[str, ...] = SEGMENTS) -> DataFrame:
+    """As ``resolve``, for dictionaries of any size: the distinct calls are resolved by a join and
+    joined back on the call. Nothing is broadcast but what Spark itself finds small."""
+    calls = None
+    for s in segments:
+        one = rearrangements.select(F.col(f"{s}_call").alias("_call")).distinct()
+        calls = one if calls is None else calls.unionAll(one)
+    labels = calls.distinct().select("_call", F.posexplode(F.split("_call", ",")).alias("_at", "label"))
+    hits = labels.join(germline_names(germline), "label").groupBy("_call").agg(F.array_sort(F.collect_list(F.struct("_at", *LEVELS))).alias("_hits"))
+    out = rearrangements
+    for s in segments:
+        mine = hits.select(F.col("_call").alias(f"{s}_call"), *[F.array_distinct(F.transform("_hits", _field(level))).alias(f"{s}_{level}") for level in LEVELS])
+        out = out.join(mine, f"{s}_call", "left")
+        for level in LEVELS:
+            out = out.withColumn(f"{s}_{level}", F.coalesce(f"{s}_{level}", F.array().cast("array<string>")))
+    return out.select(*rearrangements.columns, *[f"{s}_{level}" for s in segments for level in LEVELS])
+
+
 def _field(level: str):
     return lambda hit: hit[level]
 

@@ -157,3 +157,23 @@ def wide_counts(rolled: DataFrame, by: tuple[str, ...]) -> DataFrame:
     parts = [*map(str, range(1, POSITIONS + 1)), *REGIONS, "fwr", "cdr"]
     columns = [f"mu_count_{p}_{k}" for p in parts for k in ("r", "s", "r_aa", "s_aa")] + [f"mu_total_count_{p}{k}" for p in parts for k in ("", "_aa")] + ["mu_count_r", "mu_count_s", "mu_count_r_aa", "mu_count_s_aa", "mu_total_count", "mu_total_count_aa"]
     return long.groupBy(*by).pivot("name", columns).agg(F.first("value"))
+
+
+def wide_frequencies(frequency: DataFrame, ratios: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """The wide frequency report: mu_freq_* in all, by region, class and position, mu_ratio_* and mu_rsratio_*."""
+    fields = [(k, x) for x in ("", "_aa") for k in ("", "_r", "_s")]
+    entries = F.array(*[F.struct(F.concat(F.lit("mu_freq"), F.when(F.col("part") == "all", "").otherwise(F.concat(F.lit("_"), "part")), F.lit(k + x)).alias("name"), F.col(f"freq{k}{x}").alias("value")) for k, x in fields])
+    long = frequency.select(*by, F.explode(entries).alias("x")).select(*by, "x.*")
+    entries = F.array(*[F.struct(F.concat(F.lit(f"mu_{head}_"), "region_class", F.lit(tail)).alias("name"), F.col(column).alias("value"))
+                        for x in ("", "_aa") for head, tail, column in (("ratio", x, f"ratio{x}"), ("ratio", f"_r{x}", f"ratio_r{x}"), ("ratio", f"_s{x}", f"ratio_s{x}"), ("rsratio", x, f"rsratio{x}"))])
+    long = long.unionAll(ratios.select(*by, F.explode(entries).alias("x")).select(*by, "x.*"))
+    parts = ["", "_fwr", "_cdr", *[f"_{r}" for r in REGIONS]]
+    names = [f"mu_freq{p}{k}{x}" for p in parts for k, x in fields] + [f"mu_freq_{p}{k}{x}" for p in range(1, POSITIONS + 1) for x in ("", "_aa") for k in ("_r", "_s")]
+    names += [f"mu_{head}_{c}{tail}" for c in ("fwr", "cdr") for x in ("", "_aa") for head, tail in (("ratio", x), ("ratio", f"_r{x}"), ("ratio", f"_s{x}"), ("rsratio", x))]
+    return long.groupBy(*by).pivot("name", names).agg(F.first("value"))
+
+
+def mutation_rows(rows: DataFrame, regions: DataFrame, positions: DataFrame) -> DataFrame:
+    """The rearrangement-level table: the row's columns, translated regions, mutable letters and
+    codons by region, and mutations in all."""
+    return rows.join(region_translations(regions), "sequence_id").join(region_lengths(regions), "sequence_id").join(row_counts(positions), "sequence_id")

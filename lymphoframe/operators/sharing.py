@@ -78,7 +78,7 @@ def diff_detail(by_repertoire: DataFrame, keep_absent_genes: bool = False) -> Da
     pairs = _pairs_of(by_repertoire, "repertoire_id", ["level"] if keep_absent_genes else ["level", "gene_key"])
     b = _sides(by_repertoire, "b", "repertoire_id")
     on = ["level", "repertoire_id_a"] if keep_absent_genes else ["level", "gene_key", "repertoire_id_a"]
-    return a.join(F.broadcast(pairs) if keep_absent_genes else pairs, on).join(b, [*KEY, "repertoire_id_b"], "left_anti").select(*KEY, "repertoire_id_a", "repertoire_id_b", "sequence_count_a", "duplicate_count_a")
+    return a.join(pairs, on).join(b, [*KEY, "repertoire_id_b"], "left_anti").select(*KEY, "repertoire_id_a", "repertoire_id_b", "sequence_count_a", "duplicate_count_a")
 
 
 def share_matrix(by_repertoire: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def diff_groups(by_group: DataFrame) -> DataFrame:
     a = _sides(by_group, "a", "repertoire_group_id", "share_level", "sequence_count", "duplicate_count")
     pairs = _pairs_of(by_group, "repertoire_group_id", ["level"])
     b = _sides(by_group, "b", "repertoire_group_id")
-    return a.join(F.broadcast(pairs), ["level", "repertoire_group_id_a"]).join(b, [*KEY, "repertoire_group_id_b"], "left_anti")
+    return a.join(pairs, ["level", "repertoire_group_id_a"]).join(b, [*KEY, "repertoire_group_id_b"], "left_anti")
 
 
 def group_matrix(by_group: DataFrame) -> DataFrame:
@@ -116,3 +116,10 @@ def group_matrix(by_group: DataFrame) -> DataFrame:
     side = lambda s: most.select("level", F.col("repertoire_group_id").alias(f"repertoire_group_id_{s}"), F.explode(F.sequence(F.lit(1).cast("bigint"), "most")).alias(f"share_level_{s}"))
     grid = side("a").join(side("b"), "level").where("repertoire_group_id_a <> repertoire_group_id_b")
     return grid.join(shared, ["level", "repertoire_group_id_a", "repertoire_group_id_b", "share_level_a", "share_level_b"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def read_shares(earlier: DataFrame, now: DataFrame | None = None) -> DataFrame:
+    """The sharing table of an earlier run, with the rows of this one that it doesn't have yet."""
+    if now is None:
+        return earlier
+    return earlier.unionByName(now.join(earlier.select(*KEY, "repertoire_id"), [*KEY, "repertoire_id"], "left_anti"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from lymphoframe.sources.fixtures import with_views
 
-D = 10
+#: Doubles are compared to ``D`` digits, nudged off the halves that two engines may round apart.
+D, NUDGE = 7, 3e-10
 _BASE = """
 gn AS (SELECT label, label AS allele, concat(locus, sequence_type, gene_designation) AS gene,
   CASE WHEN subgroup_designation IS NULL THEN concat(locus, sequence_type, gene_designation) ELSE concat(locus, sequence_type, subgroup_designation) END AS subgroup FROM germline),
@@ -75,11 +76,11 @@ counts AS (SELECT {keys}, productive, name, 'unique' AS mode, us AS sequence_cou
 
 
 def _final(keys: str, frequency: bool, where: str = "true") -> str:
-    out = f"SELECT {keys}, mode, productive, name, round(sequence_count, {D}) AS sequence_count, round(duplicate_count, {D}) AS duplicate_count"
+    out = f"SELECT {keys}, mode, productive, name, round(sequence_count + {NUDGE}, {D}) AS sequence_count, round(duplicate_count + {NUDGE}, {D}) AS duplicate_count"
     if frequency:
         for m in ("sequence", "duplicate"):
             t = f"sum({m}_count) OVER (PARTITION BY {keys}, mode, productive)"
-            out += f", round(CASE WHEN {t} = 0 THEN 0 ELSE {m}_count / {t} END, {D}) AS {m}_frequency"
+            out += f", round(CASE WHEN {t} = 0 THEN 0 ELSE {m}_count / {t} END + {NUDGE}, {D}) AS {m}_frequency"
     return f"{out} FROM counts WHERE {where}"
 
 
@@ -123,7 +124,7 @@ def _stats(keys: str, values: str, measures: list[str]) -> str:
     """Mean and deviation over members, absent values 0; ``values``: CTE with group, repertoire, keys, measures."""
     ks = keys.split(", ")
     on = " AND ".join(f"v.{k} = g.{k}" for k in ["repertoire_group_id", "repertoire_id", *ks])
-    agg = ", ".join(f"round(avg(coalesce(v.{m}, 0)), {D}) AS {m}_avg, round(coalesce(stddev_samp(coalesce(v.{m}, 0)), 0), {D}) AS {m}_std" for m in measures)
+    agg = ", ".join(f"round(avg(coalesce(v.{m}, 0)) + {NUDGE}, {D}) AS {m}_avg, round(coalesce(stddev_samp(coalesce(v.{m}, 0)), 0) + {NUDGE}, {D}) AS {m}_std" for m in measures)
     gk = ", ".join(f"g.{k}" for k in ["repertoire_group_id", *ks])
     return f"""names AS (SELECT DISTINCT repertoire_group_id, {keys} FROM {values}),
 grid AS (SELECT n.*, m.repertoire_id FROM names n JOIN members m ON n.repertoire_group_id = m.repertoire_group_id)
@@ -163,8 +164,8 @@ ORACLES["length_nt_wo_dup"] = sql(_lengths("nt", weighted=False) + "\nSELECT * F
 ORACLES["length_dense"] = sql(_lengths("aa") + """,
 grid AS (SELECT repertoire_id, productive, unnest(range(0, max(length) + 1)) AS length FROM h GROUP BY repertoire_id, productive)
 SELECT g.repertoire_id, g.productive, g.length, coalesce(h.count, 0) AS count FROM grid g LEFT JOIN h ON g.repertoire_id = h.repertoire_id AND g.productive = h.productive AND g.length = h.length""")
-ORACLES["length_relative"] = sql(_lengths("aa") + f"\nSELECT *, round(count / sum(count) OVER (PARTITION BY repertoire_id, productive), {D}) AS relative FROM h")
-ORACLES["length_table_stats"] = sql(_lengths("aa") + f"\nSELECT repertoire_id, productive, sum(count) AS total, round(sum(length * count) / sum(count), {D}) AS avg FROM h GROUP BY repertoire_id, productive")
+ORACLES["length_relative"] = sql(_lengths("aa") + f"\nSELECT *, round(count / sum(count) OVER (PARTITION BY repertoire_id, productive) + {NUDGE}, {D}) AS relative FROM h")
+ORACLES["length_table_stats"] = sql(_lengths("aa") + f"\nSELECT repertoire_id, productive, sum(count) AS total, round(sum(length * count) / sum(count) + {NUDGE}, {D}) AS avg FROM h GROUP BY repertoire_id, productive")
 ORACLES["group_length"] = sql(_lengths("aa", "repertoire_group_id", "gr") + "\nSELECT * FROM h")
 ORACLES["group_length_stats"] = sql(_lengths("aa", _K, "gr") + ",\n" + _stats("productive, length", "h", ["count"]))
 
@@ -184,7 +185,7 @@ dist AS (SELECT g.*, coalesce(f.c, 0) AS count FROM cells g LEFT JOIN found f ON
 ORACLES["distribution_aa"] = sql(_distribution("aa") + "\nSELECT * FROM dist")
 ORACLES["distribution_nt"] = sql(_distribution("nt") + "\nSELECT * FROM dist")
 _t = "sum(count) OVER (PARTITION BY repertoire_id, productive, length, position)"
-ORACLES["distribution_relative"] = sql(_distribution("nt") + f"\nSELECT *, round(CASE WHEN {_t} = 0 THEN 0 ELSE cast(count AS double) / {_t} END, {D}) AS relative FROM dist")
+ORACLES["distribution_relative"] = sql(_distribution("nt") + f"\nSELECT *, round(CASE WHEN {_t} = 0 THEN 0 ELSE cast(count AS double) / {_t} END + {NUDGE}, {D}) AS relative FROM dist")
 ORACLES["group_distribution_aa"] = sql(_distribution("aa", "repertoire_group_id", "gr") + "\nSELECT * FROM dist")
 ORACLES["group_distribution_stats"] = sql(_distribution("nt", _K, "gr") + ",\n" + _stats("productive, length, position, letter", "dist", ["count"]))
 
@@ -336,7 +337,7 @@ def _f(n: str, t: str) -> str:
 
 
 _freqs = {f"freq{k}{x}": (f"{_f('r' + x, 'total' + x)} + {_f('s' + x, 'total' + x)}" if not k else _f(k[1:] + x, "total" + x)) for x in ("", "_aa") for k in ("_r", "_s", "")}
-_freq_cols = ", ".join(f"round({e}, {D}) AS {c}" for c, e in _freqs.items())
+_freq_cols = ", ".join(f"round({e} + {NUDGE}, {D}) AS {c}" for c, e in _freqs.items())
 for _n, _w in (("global", "scope = 'global'"), ("region", "scope IN ('region', 'class')"), ("pos", "scope = 'position'")):
     ORACLES[f"mutation_freq_{_n}"] = _mutation("repertoire_id", _rows_rep, f"SELECT repertoire_id, scope, part, {_freq_cols} FROM ru WHERE {_w}")
 
@@ -351,7 +352,7 @@ _ratios = {**_ratio(""), **_ratio("_aa")}
 
 def _ratio_rows(by: str, names: list[str], rounds: bool = True) -> str:
     on = " AND ".join(f"c.{k} = g.{k}" for k in by.split(", "))
-    cols = ", ".join(f"round({_ratios[n]}, {D}) AS {n}" if rounds else f"{_ratios[n]} AS {n}" for n in names)
+    cols = ", ".join(f"round({_ratios[n]} + {NUDGE}, {D}) AS {n}" if rounds else f"{_ratios[n]} AS {n}" for n in names)
     return f"SELECT {', '.join('c.' + k for k in by.split(', '))}, c.part AS region_class, {cols} FROM ru c JOIN ru g ON {on} AND g.scope = 'global' WHERE c.scope = 'class'"
 
 
@@ -360,10 +361,10 @@ ORACLES["mutation_rs_ratio"] = _mutation("repertoire_id, clone_id", _rows_clone,
 _long = " UNION ALL ".join(f"SELECT repertoire_id, scope, part, '{c}' AS field, {e} AS value, {'total_aa' if c.endswith('_aa') else 'total'} AS n FROM ru" for c, e in _freqs.items())
 ORACLES["mutation_group_freq_stats"] = sql(_weighted("repertoire_id", _rows_rep).replace("GROUP BY repertoire_id, 1", "GROUP BY repertoire_id") + f""",
 lf AS ({_long})
-SELECT m.repertoire_group_id, scope, part, field, count(CASE WHEN n > 0 THEN 1 END) AS N, round(coalesce(avg(CASE WHEN n > 0 THEN value END), 0), {D}) AS avg, round(coalesce(stddev_samp(CASE WHEN n > 0 THEN value END), 0), {D}) AS std
+SELECT m.repertoire_group_id, scope, part, field, count(CASE WHEN n > 0 THEN 1 END) AS N, round(coalesce(avg(CASE WHEN n > 0 THEN value END), 0) + {NUDGE}, {D}) AS avg, round(coalesce(stddev_samp(CASE WHEN n > 0 THEN value END), 0) + {NUDGE}, {D}) AS std
 FROM lf JOIN members m ON lf.repertoire_id = m.repertoire_id GROUP BY m.repertoire_group_id, scope, part, field""", "mutation_positions")
 _long = " UNION ALL ".join(f"SELECT repertoire_id, region_class, '{c}' AS field, {c} AS value FROM rt" for c in _ratios)
 ORACLES["mutation_group_ratio_stats"] = sql(_weighted("repertoire_id", _rows_rep).replace("GROUP BY repertoire_id, 1", "GROUP BY repertoire_id") + f""",
 rt AS ({_ratio_rows("repertoire_id", list(_ratios), False)}),
 lr AS ({_long})
-SELECT m.repertoire_group_id, region_class, field, count(*) AS N, round(avg(value), {D}) AS avg, round(coalesce(stddev_samp(value), 0), {D}) AS std FROM lr JOIN members m ON lr.repertoire_id = m.repertoire_id GROUP BY m.repertoire_group_id, region_class, field""", "mutation_positions")
+SELECT m.repertoire_group_id, region_class, field, count(*) AS N, round(avg(value) + {NUDGE}, {D}) AS avg, round(coalesce(stddev_samp(value), 0) + {NUDGE}, {D}) AS std FROM lr JOIN members m ON lr.repertoire_id = m.repertoire_id GROUP BY m.repertoire_group_id, region_class, field""", "mutation_positions")

@@ -27,7 +27,8 @@ FILTERS = {
 }
 #: Repertoires that the selection queries ask for.
 SELECTED = ("rep1", "rep3", "rep5")
-DIGITS = 10
+#: Doubles are rounded where sums may differ in their last bits, nudged off exact halves first.
+DIGITS, NUDGE = 7, 3e-10
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,7 +56,7 @@ def _group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(c, DIGITS).alias(c) if t == "double" else c for c, t in df.dtypes])
+    return df.select(*[F.round(F.col(c) + NUDGE, DIGITS).alias(c) if t == "double" else c for c, t in df.dtypes])
 
 
 # -- germline and groups -------------------------------------------------------------------------

@@ -36,3 +36,17 @@ def wide_matrix(matrix: DataFrame, value: str, ids: list[str]) -> DataFrame:
 
 def wide_letters(distribution: DataFrame, letters: str, *by: str) -> DataFrame:
     return distribution.groupBy(*by, "productive", "length", "position").pivot("letter", list(letters)).agg(F.first("count"))
+
+
+def write_reports(results: dict[str, DataFrame], folder: str, stage: str | None = None, form: str = "parquet") -> list[str]:
+    """Every table of a run in a folder of its own: ``{name}[.{stage}]``. ``form`` is parquet (for any
+    size, by repertoire or group where there is one) or tsv (one file a table, for summaries)."""
+    written = []
+    for name, df in results.items():
+        path = f"{folder}/{name}.{stage}" if stage else f"{folder}/{name}"
+        if form == "tsv":
+            write_tsv(df, path, [c for c in ("repertoire_group_id", "repertoire_id") if c in df.columns] or None)
+        else:
+            write_parquet(df, path, *[c for c in ("repertoire_group_id", "repertoire_id") if c in df.columns][:1])
+        written.append(path)
+    return written

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lymphoframe.functions.calls import resolve
+from lymphoframe.functions.calls import resolve, resolve_by_join
 from lymphoframe.functions.codons import codon_table, translate
 from lymphoframe.functions.predicates import predicate
 from lymphoframe.operators import clones, groups, junction, mutations, segments, sharing
@@ -166,3 +166,31 @@ def test_plans_broadcast_dimensions_and_stay_out_of_python(spark, sf):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
     assert "BroadcastNestedLoopJoin" in QUERIES["usage_exists"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_resolution_by_join_is_the_same(spark, germline):
+    data = rows(spark, {"v_call": "A*01,B*01,Z*09,A*02", "j_call": "J1*01"}, {"v_call": "", "d_call": None}, {"v_call": "Z*09"}, {"v_call": "B*01,A*01"})
+    names = ["sequence_id", *[f"{s}_{level}" for s in "vdj" for level in ("allele", "gene", "subgroup")]]
+    assert sorted(resolve(data, germline).select(names).collect()) == sorted(resolve_by_join(data, germline).select(names).collect())
+
+
+def test_a_dictionary_too_large_to_broadcast_is_refused(spark):
+    many = spark.range(5001).selectExpr("concat('L', id) label", "'' locus", "'' sequence_type", "'1' gene_designation", "cast(null as string) subgroup_designation")
+    with pytest.raises(Exception, match="resolve_by_join"):
+        resolve(rows(spark, {"v_call": "L1"}), many).collect()
+
+
+def test_earlier_shares_are_not_added_twice(spark):
+    kind = "level string, gene_key string, cdr3 string, repertoire_id string, sequence_count long, duplicate_count long"
+    a, b = spark.createDataFrame([("aa", "", "X", "r", 1, 1)], kind), spark.createDataFrame([("aa", "", "X", "r", 5, 5), ("aa", "", "Y", "r", 2, 2)], kind)
+    assert sorted((r.cdr3, r.sequence_count) for r in sharing.read_shares(a, b).collect()) == [("X", 1), ("Y", 2)]
+
+
+def test_wide_frequency_report(spark, sf):
+    from lymphoframe.plans.queries import _rolled
+
+    rolled = _rolled("repertoire_id")(spark, sf)
+    wide = mutations.wide_frequencies(mutations.frequencies(rolled, ("repertoire_id",)), mutations.region_ratios(rolled, ("repertoire_id",)), ("repertoire_id",))
+    assert len(wide.columns) == 481
+    row = wide.first()
+    assert abs(row.mu_freq - row.mu_freq_r - row.mu_freq_s) < 1e-12 and abs(row.mu_ratio_fwr + row.mu_ratio_cdr - 1) < 1e-12 and all(row[c] is not None for c in wide.columns)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lymphoframe.plans.queries import views
-from lymphoframe.plans.sinks import per_key_tsv, wide_lengths, wide_matrix, write_parquet, write_tsv
+from lymphoframe.plans.sinks import per_key_tsv, wide_lengths, wide_matrix, write_parquet, write_reports, write_tsv
 from lymphoframe.sources import airr
 from lymphoframe.streaming.usage import usage_stream
 
@@ -43,6 +43,9 @@ def test_reports(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2
     per_key_tsv(df.select("k", "n"), str(tmp_path / "s"), "k")
     assert (tmp_path / "s" / "k=a").is_dir()
+    paths = write_reports({"one": df, "two": df.withColumnRenamed("k", "repertoire_id")}, str(tmp_path / "r"), "stage")
+    assert spark.read.parquet(paths[1]).count() == 2 and (tmp_path / "r" / "two.stage" / "repertoire_id=a").is_dir()
+    write_reports({"one": df}, str(tmp_path / "q"), form="tsv")
     lengths = spark.createDataFrame([("r", False, 0, 0.0), ("r", False, 1, 2.0)], "repertoire_id string, productive boolean, length long, count double")
     assert wide_lengths(lengths, 2).first()["2"] is None and wide_lengths(lengths, 2).first()["1"] == 2.0
     pairs = spark.createDataFrame([("aa", "x", "y", 3)], "level string, repertoire_id_a string, repertoire_id_b string, n long")
