@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from lymphoframe.llm.common import small_batches, table
 
 #: Cached pre-tokens a worker in each of two generations.
-CACHED = 250_000
+CACHED = 400_000
 #: A bitmap word has 2**BITS bits.
 BITS = 8
 MASK = (1 << BITS) - 1
