@@ -56,3 +56,13 @@ BATCH_ROWS = 256
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def smallest_hashes(df: DataFrame, key: str, number: int, total: int, *ties: str) -> DataFrame:
+    """``number`` of ``total`` rows, those with the smallest hashes of ``key``. Rows that can't be among
+    them are left out before the sort, so that tasks together send about twice ``number`` rows to the
+    driver and not ``number`` each (where a key repeats very often the sample may be smaller)."""
+    span = 1 << 30
+    place = F.pmod(F.xxhash64(F.coalesce(key, F.lit(0))), F.lit(span))
+    bound = span if total <= 2 * number else -(-2 * number * span // total)
+    return df.where(place < bound).orderBy(place, key, *ties).limit(number)

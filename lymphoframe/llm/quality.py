@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lymphoframe.llm.common import cut, small_batches, table
+from lymphoframe.llm.common import cut, small_batches, smallest_hashes, table
 
 FIT_ROWS = 8192
 BUCKETS = 1 << 13
@@ -253,8 +253,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[WeakLabels, Scorer]:
     counted = measured.groupBy("pattern").count().collect()
     patterns, counts = np.array([r[0] for r in counted], np.int64), np.array([r[1] for r in counted], np.float64)
     model = expectation_maximisation(patterns, counts)
-    order = [F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.col("doc_id"), F.col("pattern"), F.col("features")]
-    sample = measured.where("words > 0").orderBy(*order).limit(fit_rows).collect()
+    sample = smallest_hashes(measured.where("words > 0"), "doc_id", fit_rows, int(counts.sum()), "pattern", "features").collect()
     rows = [(np.frombuffer(r["features"], "<u2").astype(np.int64), np.frombuffer(r["numbers"], "<f4").astype(np.float64)) for r in sample]
     labels = model.posterior(np.array([r["pattern"] for r in sample], np.int64)) if sample else np.empty(0)
     return model, train(rows, labels, model.prior)
