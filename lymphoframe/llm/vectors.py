@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphoframe.llm.common import cut, partitions, small_batches, table
+from lymphoframe.llm.common import cut, partitions, small_batches, smallest_hashes, table
 from lymphoframe.llm.graph import components, local_roots, whole_groups
 
 SAMPLE = 16_384
@@ -263,12 +263,12 @@ def _sorted(dealt: DataFrame) -> DataFrame:
     return dealt.repartition(partitions(dealt.sparkSession), *order).sortWithinPartitions(*order)
 
 
-def audit(classes: DataFrame, found: DataFrame, least: float, queries: int = AUDIT) -> float:
+def audit(classes: DataFrame, found: DataFrame, least: float, total: int, queries: int = AUDIT) -> float:
     """Share of the links of a bounded set of queries that were found (1 without links).
 
     The links of the queries with the smallest hashes are counted by brute force among all classes;
     found ones are verified, so they are a part of these."""
-    chosen = classes.orderBy(F.xxhash64("id"), "id").limit(queries).select("id", "body").collect()
+    chosen = smallest_hashes(classes.select("id", "body"), "id", queries, total).collect()
     if not chosen:
         return 1.0
     ids = np.array([r["id"] for r in chosen])
@@ -290,13 +290,14 @@ def audit(classes: DataFrame, found: DataFrame, least: float, queries: int = AUD
 
 def links(classes: DataFrame, least: float) -> DataFrame:
     """(id, others, root) of classes with links (see ``_linked``), written."""
-    sample = [r["body"] for r in classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("body").collect()]
+    total = classes.count()
+    sample = [r["body"] for r in smallest_hashes(classes.select("id", "body"), "id", SAMPLE, total).collect()]
     if not sample:
         return classes.select("id", F.col("n").alias("others"), F.col("id").alias("root")).limit(0)
     sizes = [len(b) for b in sample]
     width = max(set(sizes), key=lambda w: (sizes.count(w), w))
     sample = [b for b in sample if len(b) == width]
-    number = max(1, min(MOST_SHARDS, len(sample) // 8, -(-classes.count() // PER_SHARD)))
+    number = max(1, min(MOST_SHARDS, len(sample) // 8, -(-total // PER_SHARD)))
     middles = centroids(np.frombuffer(b"".join(sample), "<f4").reshape(len(sample), -1), number)
     usable = classes.where(F.length("body") == width)
     small_batches(classes.sparkSession)
@@ -305,7 +306,7 @@ def links(classes: DataFrame, least: float) -> DataFrame:
         dealt = cut(_dealt(usable, middles, overlap), "vector-shards")
         adjacency = cut(_build(_sorted(dealt)), "vector-graph")
         found = cut(_linked(dealt, adjacency, least), "vector-links")
-        if overlap == number or audit(usable, found, least) >= RECALL:
+        if overlap == number or audit(usable, found, least, total) >= RECALL:
             return found
         overlap = min(2 * overlap, number)
 
