@@ -1,15 +1,19 @@
-"""Line dedup: content-defined chunks of lines, repeated multi-line chunks removed. SQL functions only.
+"""Line dedup: repeated runs of lines removed. SQL functions only.
 
-A document's lines are hashed; a rolling hash over the last ``window`` line hashes ends a chunk
-where it falls on one residue of ``divisor``, so boundaries depend on nearby lines alone and come
-back into step after an insertion. A chunk of two lines or more whose bytes also occur elsewhere
-(another document, or earlier in the same one) is removed everywhere but at its first place, the
-smallest doc_id and there the first position. Hashes only nominate; equality is decided on the
-chunk text itself.
+Every ``least`` adjacent lines of a document are hashed (two lines: each line with the next one). What
+occurs more than once over all documents is nominated by its hash and decided on its bytes. Lines
+of a run that also lies at an earlier place (a smaller doc_id, or before it in the same document,
+without a common line) are removed. A run of ``least`` lines or more is repeated exactly where all
+its adjacent lines are, so every later copy of every such run goes whole, wherever it begins or
+ends; the first place of each line stays.
+
+``chunks`` cuts a text at content-defined places (a rolling hash over the last ``window`` line
+hashes on one residue of ``divisor``); its chunks of two lines or more are among the runs above.
 
 Defined results: null text has no lines and stays null; an empty text is one empty line; rows
-that share a doc_id are treated as one document's copies (each keeps or loses the same chunks); a
-null doc_id never counts as a place and its row keeps its text; other columns pass through.
+that share doc_id and text are one document (they keep or lose the same lines), those that share
+only the doc_id are documents of their own; a null doc_id never counts as a place and its row
+keeps its text; other columns pass through.
 """
 
 from __future__ import annotations
@@ -46,40 +50,67 @@ def chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column
     return let(F.split(text, "\n", -1), ends)
 
 
-def _places(df: DataFrame, least: int) -> DataFrame:
-    """(doc_id, at, hash, body) of every chunk of at least ``least`` lines."""
-    rows = df.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.posexplode("chunks").alias("at", "c"))
-    return rows.where(F.col("c.n") >= least).select("doc_id", "at", F.xxhash64("c.body").alias("hash"), F.col("c.body").alias("body"))
+def _grams(text: Column, least: int) -> Column:
+    """array<bigint>: the hash of every ``least`` adjacent lines, by the first of them."""
+
+    def of(lines):
+        gram = lambda i: F.xxhash64(_joined(lines, i, least))
+        return F.when(F.size(lines) >= least, F.transform(F.sequence(F.lit(0), F.size(lines) - least), gram))
+
+    return let(F.split(text, "\n", -1), of)
+
+
+def _joined(lines: Column, first: Column, least: int) -> Column:
+    return F.array_join(F.slice(lines, first + 1, least), "\n")
+
+
+def _copy() -> Column:
+    """Tells apart rows that share a doc_id but not the text."""
+    return F.xxhash64("text").alias("copy")
 
 
 def repeated_places(docs: DataFrame, least: int = LEAST_LINES) -> DataFrame:
-    """(doc_id, at) of the chunk places to remove. Every table that meets a hot chunk in a join is
-    written first, so that both sides are plain exchanges and a skewed key is split."""
-    places = _places(docs.select("doc_id", "text", chunks(F.col("text")).alias("chunks")), least)
+    """(doc_id, copy, at) of every ``least`` adjacent lines that also lie at an earlier place, without a
+    common line. Every table that meets hot lines in a join is written first, so that both sides
+    are plain exchanges and a skewed key is split."""
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
+    places = rows.select("doc_id", _copy(), F.posexplode(_grams(F.col("text"), least)).alias("at", "hash"))
     nominated = cut(places.groupBy("hash").count().where("count > 1").select("hash"), "line-hashes")
-    meets = cut(places.join(nominated, "hash", "left_semi"), "line-places")
-    firsts = meets.groupBy("hash", "body", "doc_id").agg(F.min("at").alias("at"), F.count("*").alias("n"))
-    repeated = cut(firsts.groupBy("hash", "body").agg(F.min("doc_id").alias("first_doc"), F.sum("n").alias("n")).where("n > 1").select("hash", "body", "first_doc"), "line-repeats")
-    marked = meets.join(repeated, ["hash", "body"]).select("doc_id", "at", "hash", (F.col("doc_id") == F.col("first_doc")).alias("home"))
-    # in the home document the first position stays; a document holds few chunks, so this group is small
-    others = marked.where("not home").select("doc_id", "at")
-    home = marked.where("home").groupBy("doc_id", "hash").agg(F.array_sort(F.collect_set("at")).alias("ats"))
-    later = home.select("doc_id", F.explode(F.slice("ats", 2, F.greatest(F.size("ats") - 1, F.lit(0)))).alias("at"))
-    return others.unionAll(later)
+    hits = cut(places.join(nominated, "hash", "left_semi"), "line-places")
+    # the bytes of what the hashes nominate: texts are read again only for documents that have some
+    ats = hits.groupBy("doc_id", "copy").agg(F.collect_set("at").alias("ats"))
+    lines = F.split("text", "\n", -1)
+    bodies = lambda ls: F.transform("ats", lambda i: F.struct(i.alias("at"), _joined(ls, i, least).alias("body")))
+    found = rows.withColumn("copy", _copy()).join(ats, ["doc_id", "copy"]).select("doc_id", "copy", F.explode(let(lines, bodies)).alias("p"))
+    meets = cut(found.select("doc_id", "copy", "p.at", F.xxhash64("p.body").alias("hash"), "p.body"), "line-bodies")
+    place = F.struct("doc_id", "copy", "at")
+    firsts = cut(meets.groupBy("hash", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("hash", "body", "first"), "line-repeats")
+    met = meets.join(firsts, ["hash", "body"])
+    elsewhere = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("copy") != F.col("first.copy"))
+    return met.where(elsewhere | (F.col("at") >= F.col("first.at") + least)).select("doc_id", "copy", "at")
+
+
+def _without(lines: Column, gone: Column, least: int) -> Column:
+    """The lines outside the runs of ``least`` lines that begin at ``gone`` (sorted)."""
+
+    def between(k):
+        first = F.when(k == 0, F.lit(0)).otherwise(F.get(gone, k - 1) + least)
+        return F.slice(lines, first + 1, F.greatest(F.coalesce(F.get(gone, k), F.size(lines)) - first, F.lit(0)))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), between))
 
 
 def dedup(docs: DataFrame, least: int = LEAST_LINES) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``, plus ``n_lines`` and ``n_removed``."""
-    gone = repeated_places(docs, least).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("at").alias("_gone"))
-    joined = docs.join(gone, F.col("doc_id") == F.col("_id"), "left")
-    parts = joined.withColumn("_chunks", F.when(F.col("_gone").isNotNull(), chunks(F.col("text"))))
-    kept = F.filter("_chunks", lambda c, i: ~F.array_contains("_gone", i))
-    lost = F.filter("_chunks", lambda c, i: F.array_contains("_gone", i))
-    return (parts
-            .withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("bigint"))
-            .withColumn("n_removed", F.coalesce(F.aggregate(lost, F.lit(0), lambda a, c: a + c["n"]), F.lit(0)).cast("bigint"))
-            .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda c: c["body"]), "\n")))
-            .drop("_id", "_gone", "_chunks"))
+    """``docs`` with the repeated runs taken out of ``text``, plus ``n_lines`` and ``n_removed``."""
+    gone = repeated_places(docs, least).groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).agg(F.sort_array(F.collect_set("at")).alias("_gone"))
+    joined = docs.join(gone, (F.col("doc_id") == F.col("_id")) & (_copy() == F.col("_copy")), "left")
+    lines = F.split("text", "\n", -1)
+    kept = let(lines, lambda ls: _without(ls, F.col("_gone"), least))
+    return (joined.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
+            .withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("bigint"))
+            .withColumn("n_removed", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("_kept")).cast("bigint"))
+            .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")))
+            .drop("_id", "_copy", "_gone", "_kept"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

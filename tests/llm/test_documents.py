@@ -198,6 +198,34 @@ def test_line_dedup_resynchronises_and_odd_rows(spark, odd, none):
     assert lines.dedup(none).count() == 0
 
 
+def without_repeated_runs(texts):
+    """Brute force: for each pair of places, the longest common run from there; later copies of two lines or more go."""
+    cut = {i: t.split("\n") for i, t in texts.items()}
+    places = [(i, k) for i in sorted(cut) for k in range(len(cut[i]))]
+    at, gone = collections.defaultdict(list), collections.defaultdict(set)
+    for i, k in places:
+        for j, m in at[cut[i][k]]:
+            n = 0
+            while k + n < len(cut[i]) and m + n < len(cut[j]) and (j != i or m + n < k) and cut[i][k + n] == cut[j][m + n]:
+                n += 1
+            if n >= 2:
+                gone[i] |= set(range(k, k + n))
+        at[cut[i][k]].append((i, k))
+    return {i: (len(gone[i]), "\n".join(x for k, x in enumerate(cut[i]) if k not in gone[i])) for i in cut}
+
+
+def test_line_dedup_takes_every_repeated_run(spark, sf, texts):
+    want = without_repeated_runs(texts)
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in QUERIES["op5_line_dedup"](spark, sf).collect()} == {i: (n, sha(t)) for i, (n, t) in want.items()}
+    alone = {k: f"own {k}\nP{k}\nQ{k}\nnext {k}" for k in range(40)} | {100 + k: f"P{k}\nQ{k}" for k in range(40)} | {200: "A\nA\nA\nA\nB\nA\nB\nA", 201: "only\nP1", 202: "\n\n\n", 203: "x\n\n\ny"}
+    want = without_repeated_runs(alone)
+    assert all(want[100 + k] == (2, "") for k in range(40)) and want[201] == (0, "only\nP1")
+    frame = spark.createDataFrame(list(alone.items()), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: (r.n_removed, r.text) for r in lines.dedup(frame).collect()} == want
+    shared = spark.createDataFrame([(1, "a\nb\nc\nd"), (2, "p\nq\nr\ns"), (2, "c\nd\nx\ny"), (2, "c\nd\nx\ny")], "doc_id long, text string")
+    assert sorted(r.text for r in lines.dedup(shared).collect()) == ["a\nb\nc\nd", "p\nq\nr\ns", "x\ny", "x\ny"]
+
+
 # 7 ----------------------------------------------------------------------------------------------
 
 
