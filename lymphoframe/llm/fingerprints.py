@@ -7,11 +7,12 @@ checks. Sketches are linear: subtracting one version's cells from the other's le
 that differ, which peeling recovers from the cells that hold a single one. Where peeling stalls
 the two versions are sketched again with twice the cells.
 
-Long texts have more digests than a fingerprint should carry, so the fingerprint sketches the
-digests whose lowest ``level`` bits are zero, with the level chosen by the number of digests; two
-texts are compared at the larger of their levels. The header (number and XOR of all digests)
-changes with any piece, sampled or not. ``likeness`` is 2*common/(both), from the recovered
-difference; ``differing`` recovers the difference of whole digest sets.
+Sketches hold every digest of a text. The fingerprint's cells grow with the number of digests, a
+quarter of it at least. ``likeness`` is 2*common/(both) over whole digest sets, from the recovered
+difference: the first sketches have the cells that the expected difference needs (it is guessed from
+the digests with low zero bits, which decide nothing else), later ones twice as many up to the last
+of ``LARGE``. Where a sketch would be larger than the smaller digest set (a cell has 20 bytes, a
+digest 8), or past the last size, the digest sets themselves are compared; the result is the same.
 
 Defined results: null text counts as empty; a text without pieces has an empty sketch, and two
 such texts have likeness 1; equal texts have equal fingerprints; ties in doc_id follow the text's
@@ -27,8 +28,8 @@ from lymphoframe.llm.common import let, partitions, table
 
 #: Fixed value: where a line is cut: behind these letters, or after CJK full stops.
 CUT = r"(?<=[adgmpstyéß0-9.,;!?|&%$#*])\x20+|\n+|(?<=[。！？])"
-MOST = 20
-CELLS = (48, 96, 192)
+GUESS = 20
+DIGEST_BYTES, CELL_BYTES = 8, 20
 LARGE = (48, 192, 768, 3072, 12288)
 ROUNDS = 12
 _CELL = "struct<cell:int,n:int,key:bigint,check:bigint>"
@@ -41,7 +42,7 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
-def level_of(keys: Column, most: int = MOST) -> Column:
+def level_of(keys: Column, most: int = GUESS) -> Column:
     return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(keys), F.lit(1)) / F.lit(float(most))))).cast("int")
 
 
@@ -53,9 +54,12 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _entries(key: Column, sign: Column, cells: int) -> Column:
-    third = cells // 3
-    place = lambda j: (F.pmod(F.xxhash64(key, F.lit(j)), F.lit(third)) + j * third).cast("int")
+def _third(cells: int | Column) -> Column:
+    return F.lit(cells // 3) if isinstance(cells, int) else F.floor(cells / 3)
+
+
+def _entries(key: Column, sign: Column, third: Column) -> Column:
+    place = lambda j: (F.pmod(F.xxhash64(key, F.lit(j)), third) + j * third).cast("int")
     return F.array(*[F.struct(place(j).alias("cell"), sign.cast("int").alias("n"), key.alias("key"), _check(key).alias("check")) for j in range(3)])
 
 
@@ -77,9 +81,9 @@ def _combine(entries: Column) -> Column:
     return let(F.sort_array(entries), of)
 
 
-def sketch(keys: Column, cells: int) -> Column:
+def sketch(keys: Column, cells: int | Column) -> Column:
     """The non-empty cells of the keys' sketch, by cell."""
-    return _combine(F.flatten(F.transform(keys, lambda k: _entries(k, F.lit(1), cells))))
+    return let(_third(cells), lambda third: _combine(F.flatten(F.transform(keys, lambda k: _entries(k, F.lit(1), third)))))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -87,16 +91,17 @@ def subtract(a: Column, b: Column) -> Column:
     return _combine(F.concat(a, flipped))
 
 
-def peel(cells: Column, size: int) -> Column:
+def peel(cells: Column, size: int | Column) -> Column:
     """array<struct<key,n>> of all digests left in the cells (n: 1 or -1), or null where it stalls."""
     start = F.struct(cells.alias("cells"), F.expr("cast(array() as array<struct<key:bigint,n:int>>)").alias("got"))
 
     def step(acc, _):
         pure = F.filter(acc["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
-        keys = F.array_distinct(F.transform(pure, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("n"))))
+        of = lambda n: F.transform(F.array_distinct(F.transform(F.filter(pure, lambda c: c["n"] == n), lambda c: c["key"])), lambda k: F.struct(k.alias("key"), F.lit(n).alias("n")))
+        keys = F.concat(of(1), of(-1))
 
         def taken(ks):
-            out = F.flatten(F.transform(ks, lambda k: _entries(k["key"], -k["n"], size)))
+            out = F.flatten(F.transform(ks, lambda k: _entries(k["key"], -k["n"], _third(size))))
             return F.when(F.size(ks) == 0, acc).otherwise(F.struct(_combine(F.concat(acc["cells"], out)).alias("cells"), F.concat(acc["got"], ks).alias("got")))
 
         return let(keys, taken)
@@ -112,25 +117,44 @@ def differing(a: Column, b: Column, sizes: tuple[int, ...] = LARGE) -> Column:
     return F.coalesce(*tries, F.concat(only(a, b, 1), only(b, a, -1)))
 
 
-def likeness(a: Column, b: Column, most: int = MOST) -> Column:
-    """0 to 1, by the digests both have at the larger of their levels."""
+def _cells(number: Column) -> Column:
+    """The smallest 48 * 2**k of at least ``number``."""
+    return F.call_function("shiftleft", F.lit(LARGE[0]), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(number, F.lit(1)) / F.lit(float(LARGE[0]))))).cast("int"))
+
+
+def expected(a: Column, b: Column) -> Column:
+    """Guess of the size of the difference."""
+    level = F.greatest(level_of(a), level_of(b))
+    at = lambda lv: let(F.struct(at_level(a, lv).alias("a"), at_level(b, lv).alias("b")), lambda s: F.call_function(
+        "shiftleft", F.size(F.array_except(s["a"], s["b"])) + F.size(F.array_except(s["b"], s["a"])), lv))
+    return let(level, at)
+
+
+def n_differing(a: Column, b: Column) -> Column:
+    """Size of the difference: by sketches with 1.4 cells or more for each expected digest, doubled where
+    peeling stalls, as long as they are smaller than the smaller set; else by the sets."""
+    most = F.least(F.lit(LARGE[-1]), F.floor(F.least(F.size(a), F.size(b)) * DIGEST_BYTES / CELL_BYTES))
+
+    def attempt(first):
+        step = lambda got, k: F.when(got.isNotNull(), got).otherwise(let(F.call_function("shiftleft", first, k), lambda m: F.when(
+            m <= most, F.size(peel(subtract(sketch(a, m), sketch(b, m)), m)))))
+        return F.aggregate(F.sequence(F.lit(0), F.lit((LARGE[-1] // LARGE[0]).bit_length() - 1)), F.lit(None).cast("int"), step)
 
-    def at(level):
-        return let(F.struct(at_level(a, level).alias("a"), at_level(b, level).alias("b")), ratio)
+    by_sketch = F.when(most >= LARGE[0], let(_cells(F.lit(1.4) * expected(a, b)), lambda first: F.when(first <= most, attempt(first))))
+    return F.coalesce(by_sketch, F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
 
-    def ratio(s):
-        both = F.size(s["a"]) + F.size(s["b"])
-        left = F.size(differing(s["a"], s["b"], CELLS))
-        return F.when(both > 0, (both - left) / both).otherwise(F.when(F.sort_array(a) == F.sort_array(b), 1.0).otherwise(0.0))
 
-    return let(F.greatest(level_of(a, most), level_of(b, most)), at)
+def likeness(a: Column, b: Column) -> Column:
+    """0 to 1, by the digests of both texts."""
+    both = F.size(a) + F.size(b)
+    return F.when(both > 0, (both - n_differing(a, b)) / both).otherwise(1.0)
 
 
-def written(keys: Column, most: int = MOST) -> Column:
-    """The fingerprint as text: number and XOR of all digests, level, cells (cell.count.key.check)."""
+def written(keys: Column) -> Column:
+    """The fingerprint as text: number and XOR of all digests, size, cells (cell.count.key.check)."""
     xor = F.aggregate(keys, F.lit(0).cast("bigint"), lambda a, k: a.bitwiseXOR(k))
     cell = lambda c: F.concat_ws(".", c["cell"], c["n"], F.lower(F.hex(c["key"])), F.lower(F.hex(c["check"])))
-    body = let(level_of(keys, most), lambda lv: F.concat_ws(":", lv, F.array_join(F.transform(sketch(at_level(keys, lv), CELLS[0]), cell), ",")))
+    body = let(_cells(F.size(keys) / 4), lambda m: F.concat_ws(":", m, F.array_join(F.transform(sketch(keys, m), cell), ",")))
     return F.concat_ws(":", F.size(keys), F.lower(F.hex(xor)), body)
 
 

@@ -250,6 +250,26 @@ def test_sketches_recover_differences(spark):
     assert frame.select(fingerprints.peel(fingerprints.sketch(F.col("b"), 12), 12).alias("p")).first().p is None
 
 
+def test_likeness_counts_every_digest(spark, sf, texts):
+    def pieces(t):
+        return {p for p in re.split(r"(?<=[adgmpstyéß0-9.,;!?|&%$#*])\x20+|\n+|(?<=[。！？])", t) if p}
+
+    def like(a, b):
+        return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+
+    ids, got = sorted(texts, reverse=True), {r.doc_id: r for r in QUERIES["op7_fingerprints"](spark, sf).collect()}
+    for k, i in enumerate(ids):
+        a, b = texts[i], texts[ids[(k + 1) % len(ids)]]
+        h = len(a) // 2
+        near = [like(pieces(a), pieces(a[: len(a) - h] + b[:h])), like(pieces(a), pieces(b))]
+        assert [got[i].near_edited, got[i].near_next] == pytest.approx(near)
+    keys = [list(range(1, 3001)), list(range(2, 3002)), list(range(400, 3400)), [*range(1, 100)], []]
+    frame = spark.createDataFrame([(a, b) for a in keys for b in keys], "a array<bigint>, b array<bigint>")
+    found = frame.select("a", "b", fingerprints.likeness(F.col("a"), F.col("b")).alias("x"), fingerprints.written(F.col("a")).alias("w")).collect()
+    assert all(r.x == pytest.approx(like(set(r.a), set(r.b))) for r in found)
+    assert all(r.w.split(":")[2] == ("768" if len(r.a) == 3000 else "48") for r in found)
+
+
 def test_fingerprints_odd_rows(odd, none):
     out = fingerprints.fingerprint(odd).collect()
     by = collections.defaultdict(set)
