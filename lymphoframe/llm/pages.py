@@ -6,7 +6,9 @@ path gets the length of its text and its punctuation, each divided by its number
 series are smoothed over neighbouring blocks, fused with a prior from what the path's names say
 (article or main, or menu, advert, form and the like), and thresholded. The smallest container
 that holds the chosen text is the article; its blocks are the result, less those on paths that the
-prior rules out or that are mostly links.
+prior rules out. Blocks that are mostly links never choose the container; inside it they go only where
+they are navigation: two or more in a row on one path, neither headings nor paragraphs, and the path has a
+low score. A linked headline, sentence, single item or list of references stays.
 
 Pages are independent: one pass of Arrow batches, no shuffle; a page's memory is a few times its size.
 
@@ -38,6 +40,8 @@ CONTAINER = frozenset("html body div article main section td center".split())
 #: A start tag of the key's group ends an open element of these names.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Menu items are a few words without punctuation: characters a block times (1 + punctuation marks a block).
+NAVIGATION = 40
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</\1\s*>|\Z))"
@@ -146,17 +150,38 @@ def _smooth(values: list[float]) -> list[float]:
     return [(values[max(i - 1, 0)] + 2 * v + values[min(i + 1, n - 1)]) / 4 for i, v in enumerate(values)]
 
 
+def _mostly_links(b: _Block) -> bool:
+    return b.linked > 0.6 * len(b.text)
+
+
 def _lives(b: _Block) -> bool:
-    if any(e.dead for e in b.chain) or b.linked > 0.6 * len(b.text):
+    if any(e.dead for e in b.chain):
         return False
     # of a header, only the headings inside the article stay
     return not any(e.header for e in b.chain) or b.chain[-1].main and b.chain[-1].name in HEADINGS
 
 
+def _link_groups(found: list[_Block], paths: list[str], scores: list[float]) -> set[int]:
+    """The blocks that are navigation: two or more in a row on one path, mostly links, with a path score
+    (length and punctuation, not smoothed) below ``NAVIGATION``."""
+    out: set[int] = set()
+    start = 0
+    for k in range(1, len(found) + 1):
+        if k < len(found) and paths[k] == paths[start] and _mostly_links(found[k]) == _mostly_links(found[start]):
+            continue
+        group = found[start:k]
+        last = group[0].chain[-1].name if group[0].chain else ""
+        if len(group) > 1 and _mostly_links(group[0]) and last not in HEADINGS and last != "p" and scores[start] < NAVIGATION:
+            out |= set(map(id, group))
+        start = k
+    return out
+
+
 def content(page: str | None) -> list[str]:
     """The main text's blocks in page order."""
     found = blocks(page or "")
-    live = [b for b in found if _lives(b)]
+    allowed = [b for b in found if _lives(b)]
+    live = [b for b in allowed if not _mostly_links(b)] or [b for b in allowed if any(e.main for e in b.chain)]
     if not live:
         return []
     length, points, number = defaultdict(int), defaultdict(int), defaultdict(int)
@@ -172,6 +197,8 @@ def content(page: str | None) -> list[str]:
     fused = [x * (1 + y) * w for x, y, w in zip(by_length, by_points, prior, strict=True)]
     least = min(sum(fused) / len(live), max(fused)) / 2
     chosen = [b for b, x in zip(found, fused, strict=True) if x and x >= least]
+    links = _link_groups(found, paths, [length[p] / number[p] * (1 + points[p] / number[p]) for p in paths])
+    body = [b for b in allowed if id(b) not in links]
     # the smallest container with nearly all of the chosen text
     weight: dict[int, int] = defaultdict(int)
     elements: dict[int, _Element] = {}
@@ -186,7 +213,7 @@ def content(page: str | None) -> list[str]:
         return [b.text for b in live]
     depth = lambda k: max(i for b in chosen for i, e in enumerate(b.chain) if id(e) == k)
     root = max(fit, key=depth)
-    return [b.text for b in live if any(id(e) == root for e in b.chain)]
+    return [b.text for b in body if any(id(e) == root for e in b.chain)]
 
 
 def extract(df: DataFrame, column: str = "html") -> DataFrame:

@@ -73,6 +73,15 @@ def test_page_text():
     assert pages.content("<article><header><h1>Head</h1><p>By someone</p></header><p>Body of it.</p></article><p>else</p>") == ["Head", "Body of it."]
 
 
+def test_linked_text_of_the_article_stays():
+    long = "A sentence of the body, with commas, and of some length, so that the path scores well. " * 3
+    items = "".join(f"<li><a href=r{k}>Reference {k}, by its authors, in the journal of the field, volume {k}.</a></li>" for k in range(3))
+    page = f"<nav><a href=/>Home</a></nav><article><h1><a href=t>Title</a></h1><p>{long}</p><p><a href=s>One linked sentence, whole.</a></p><p>{long}</p><ul><li><a href=o>Single</a></li></ul><ol>{items}</ol></article>"
+    assert pages.content(page) == ["Title", long.strip(), "One linked sentence, whole.", long.strip(), "Single", *[f"Reference {k}, by its authors, in the journal of the field, volume {k}." for k in range(3)]]
+    menu = "".join(f"<li><a href=m{k}>Go {k}</a></li>" for k in range(8))
+    assert pages.content(f"<article><h1>Title</h1><ul>{menu}</ul><p>{long}</p><p>{long}</p></article>") == ["Title", long.strip(), long.strip()]
+
+
 def test_html_query(spark, sf):
     html = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     for r in QUERIES["op10_html_text"](spark, sf).collect():
