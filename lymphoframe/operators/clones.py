@@ -25,11 +25,37 @@ def clones(resolved: DataFrame, level: str, order: str = "sequence_id", dup_mode
     """repertoire_id, junction_aa, v, j, clone_count, duplicate_count, first_ord, clone_id.
 
     duplicate_count is the last row's by ``order`` (``dup_mode="sum"``: their sum); clone ids count up
-    from 1 per repertoire in order of first appearance, a running number made on the aggregated
-    clones."""
+    from 1 per repertoire in order of first appearance (see ``numbered``)."""
     dup = F.max_by(weight(), order) if dup_mode == "last" else F.sum(weight())
     found = _keyed(resolved, level).groupBy(*KEY).agg(F.count("*").alias("clone_count"), dup.alias("duplicate_count"), F.min(order).alias("first_ord"))
-    return found.withColumn("clone_id", F.row_number().over(Window.partitionBy("repertoire_id").orderBy("first_ord")).cast("bigint"))
+    return numbered(found)
+
+
+#: Ranges that the clones of a repertoire are dealt to.
+RANGES = 256
+
+
+def numbered(found: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """Adds ``clone_id``: 1, 2, ... per repertoire by ``first_ord``.
+
+    A repertoire may hold a third of all clones, so none is sorted in one task: quantiles of a sort key
+    cut each repertoire into ranges, rows are numbered inside their range, and the numbers of the
+    earlier ranges are added from a table of one row per repertoire and range. The key is ``first_ord``
+    itself, or of a text the six letters behind what all texts of the repertoire begin with."""
+    keyed = found.withColumn("_key", F.col("first_ord").cast("bigint"))
+    if found.schema["first_ord"].dataType.simpleString() == "string":
+        ends = found.groupBy("repertoire_id").agg(F.min("first_ord").alias("_a"), F.max("first_ord").alias("_b"))
+        common = F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.length("_a"), F.lit(1))), lambda i: F.substr("_a", F.lit(1), i) == F.substr("_b", F.lit(1), i)))
+        six = F.rpad(F.substr("first_ord", F.col("_common") + 1, F.lit(6)), 6, "\0")
+        digits = [F.ascii(F.substr(six, F.lit(k + 1), F.lit(1))).cast("bigint") * (1 << 10 * (5 - k)) for k in range(6)]
+        keyed = found.join(ends.select("repertoire_id", common.alias("_common")), "repertoire_id").withColumn("_key", sum(digits[1:], digits[0])).drop("_common")
+    bounds = keyed.groupBy("repertoire_id").agg(F.percentile_approx("_key", [k / ranges for k in range(1, ranges)], 4 * ranges).alias("_bounds"))
+    dealt = keyed.join(bounds, "repertoire_id").withColumn("_range", F.size(F.filter("_bounds", lambda b: b < F.col("_key")))).drop("_bounds")
+    sizes = dealt.groupBy("repertoire_id", "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("repertoire_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("repertoire_id", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("repertoire_id", "_range").orderBy("first_ord"))
+    return dealt.withColumn("_within", within).join(offsets, ["repertoire_id", "_range"]).withColumn("clone_id", (F.col("_before") + F.col("_within")).cast("bigint")).drop("_key", "_range", "_within", "_before")
 
 
 def assign(resolved: DataFrame, found: DataFrame, level: str) -> DataFrame:

@@ -18,6 +18,11 @@ def length_column(kind: str) -> Column:
     return F.coalesce("junction_aa_length", F.length("junction_aa")).cast("bigint") if kind == "aa" else F.col("junction_length")
 
 
+def with_length(rows: DataFrame) -> DataFrame:
+    """Rows whose missing ``junction_aa_length`` is counted from the letters, for filters on it."""
+    return rows.withColumn("junction_aa_length", length_column("aa"))
+
+
 def lengths(rows: DataFrame, kind: str, by: tuple[str, ...] = ("repertoire_id",), weighted: bool = True) -> DataFrame:
     """by, productive, length, count. Length 0 is never counted."""
     measured = _split_productive(rows.select(*by, "productive", weight().cast("double").alias("w"), length_column(kind).alias("length")).where("length > 0"))
@@ -42,12 +47,6 @@ def length_stats(histogram: DataFrame, keys: list[str]) -> DataFrame:
     return histogram.groupBy(*keys).agg(total.alias("total"), F.when(total == 0, 0.0).otherwise(F.sum(F.col("length") * F.col("count")) / total).alias("avg"))
 
 
-def length_table(histogram: DataFrame, most: int, key: str = "repertoire_id") -> DataFrame:
-    """The wide report: total, avg and a column per length; ``most`` is the group's largest length."""
-    wide = histogram.groupBy(key).pivot("length", list(range(most + 1))).agg(F.first("count"))
-    return length_stats(histogram, [key]).join(wide, key)
-
-
 def distribution(rows: DataFrame, kind: str, by: tuple[str, ...] = ("repertoire_id",), strict_alphabet: bool = False) -> DataFrame:
     """by, productive, length, position, letter, count: long form, every letter of the alphabet at
     every position that occurs, 0 where it doesn't.

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from lymphoframe.functions.calls import at_level, weight
 from lymphoframe.functions.codons import codons, translate
-from lymphoframe.operators.groups import group_condition
 from lymphoframe.schema import POSITIONS, REGIONS
 
 _SUMS = ("r", "s", "r_aa", "s_aa", "total", "total_aa")
@@ -36,6 +35,19 @@ def from_wide(rows: DataFrame, *carried: str) -> DataFrame:
     return rows.select("sequence_id", *carried, F.explode(entries).alias("x")).select("sequence_id", *carried, "x.*")
 
 
+def from_rows(rows: DataFrame, *carried: str) -> DataFrame:
+    """The long form of whole rows (mu_count_{position}_{r,s} and the aligned regions): pos, region,
+    region_class, r, s and mutable (the aligned codon is there and no gap)."""
+    entries = []
+    for region, (first, last) in REGIONS.items():
+        spelled = F.regexp_replace(F.coalesce(region, F.lit("")), "-", ".")
+        for p in range(first, last + 1):
+            count = lambda k, p=p: F.coalesce(F.col(f"mu_count_{p}_{k}").cast("int"), F.lit(0)).alias(k)
+            codon = F.substring(spelled, 3 * (p - first) + 1, 3)
+            entries.append(F.struct(F.lit(p).alias("pos"), F.lit(region).alias("region"), F.lit(region[:3]).alias("region_class"), count("r"), count("s"), ((codon != "...") & (codon != "")).alias("mutable")))
+    return rows.select("sequence_id", *carried, F.explode(F.array(*entries)).alias("x")).select("sequence_id", *carried, "x.*")
+
+
 def _counts() -> list[Column]:
     mutated = lambda c: F.sum(F.when(F.col(c) > 0, 1).otherwise(0))
     return [F.sum("r").alias("r"), F.sum("s").alias("s"), mutated("r").alias("r_aa"), mutated("s").alias("s_aa")]
@@ -50,18 +62,29 @@ def row_region_counts(positions: DataFrame) -> DataFrame:
     return positions.groupBy("sequence_id", "region").agg(*_counts())
 
 
-def weighted(positions: DataFrame, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """by, pos, region, region_class and sums weighted by the rows' duplicate counts.
+def weights(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """sequence_id, by and the weight ``w`` of the rows."""
+    return rows.select("sequence_id", *by, weight().alias("w"))
+
+
+def summed(positions: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """by, pos, region, region_class and weighted sums of positions that carry ``by`` and ``w``.
 
     A position that can mutate adds the weight to its aa total and three times it to its nt total."""
     w = F.col("w")
-    joined = positions.join(rows.select("sequence_id", *by, weight().alias("w")), "sequence_id")
     aa = lambda c: F.sum(F.when(F.col(c) > 0, w).otherwise(0))
     total = F.sum(F.when(F.col("mutable"), w).otherwise(0))
-    return joined.groupBy(*by, "pos", "region", "region_class").agg(
+    return positions.groupBy(*by, "pos", "region", "region_class").agg(
         F.sum(F.col("r") * w).alias("r"), F.sum(F.col("s") * w).alias("s"), aa("r").alias("r_aa"), aa("s").alias("s_aa"), (3 * total).alias("total"), total.alias("total_aa"))
 
 
+def weighted(positions: DataFrame, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``summed`` for a table that is long already. Where the sequences are at hand, join ``weights`` to
+    them and carry the keys into the long form (``from_wide``): that join has a row per sequence, this
+    one a row per position."""
+    return summed(positions.join(weights(rows, by), "sequence_id"), by)
+
+
 def keyed_rows(rows: DataFrame, key: str) -> DataFrame:
     """Rows with ``key``: repertoire_id, clone_id (null: left out), or a segment at a level such as
     v_call, j_gene (ambiguous calls stay one comma-joined key)."""
@@ -73,10 +96,6 @@ def keyed_rows(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("segment", at_level(segment, {"call": "allele"}.get(name, name))).where("segment <> ''")
 
 
-def group_keyed_rows(rows: DataFrame, members: DataFrame, filters: dict[str, dict]) -> DataFrame:
-    return rows.join(members.select("repertoire_group_id", "repertoire_id").distinct(), "repertoire_id").where(group_condition(filters, rows))
-
-
 def rolled_up(by_position: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """by, scope (position, region, class or global), part and the sums."""
     plain = by_position.groupingSets([[*map(F.col, by), F.col("pos")], [*map(F.col, by), F.col("region")], [*map(F.col, by), F.col("region_class")], [*map(F.col, by)]], *by, "pos", "region", "region_class") if by else \
@@ -101,14 +120,14 @@ def _share(n: Column, total: Column) -> Column:
     return F.when(total == 0, 0.0).otherwise(n / total)
 
 
-def frequencies(rolled: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """by, scope, part, freq_r, freq_s, freq (and _aa): mutations by mutable letters; 0 where there are none."""
+def frequencies(rolled: DataFrame, by: tuple[str, ...], *carried: str) -> DataFrame:
+    """by, scope, part, carried columns, freq_r, freq_s, freq (and _aa): mutations by mutable letters; 0 where there are none."""
     out = []
     for suffix in ("", "_aa"):
         total = F.col(f"total{suffix}")
         r, s = _share(F.col(f"r{suffix}"), total), _share(F.col(f"s{suffix}"), total)
         out += [r.alias(f"freq_r{suffix}"), s.alias(f"freq_s{suffix}"), (r + s).alias(f"freq{suffix}")]
-    return rolled.select(*by, "scope", "part", *out)
+    return rolled.select(*by, "scope", "part", *carried, *out)
 
 
 def region_ratios(rolled: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -126,54 +145,96 @@ def region_ratios(rolled: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return joined.select(*by, F.col("part").alias("region_class"), *out)
 
 
-def group_frequencies(rolled: DataFrame, members: DataFrame) -> DataFrame:
-    """repertoire_group_id, scope, part, field, N, avg, std over the members' frequencies.
+def group_frequencies(rolled: DataFrame) -> DataFrame:
+    """repertoire_group_id, scope, part, field, N, avg, std over the members' frequencies. ``rolled``: by
+    group and repertoire, of the rows that pass the group's filter.
 
     A member whose total at that place is 0 is left out and N shrinks; a member without rows is never
     in N; std 0 for N <= 1, avg 0 for N = 0."""
-    freq = frequencies(rolled, ("repertoire_id",)).join(rolled.select("repertoire_id", "scope", "part", "total", "total_aa"), ["repertoire_id", "scope", "part"])
+    by = ("repertoire_group_id", "repertoire_id")
+    freq = frequencies(rolled, by, "total", "total_aa")
     fields = ", ".join(f"'{f}', {f}, {t}" for f, t in (("freq", "total"), ("freq_r", "total"), ("freq_s", "total"), ("freq_aa", "total_aa"), ("freq_r_aa", "total_aa"), ("freq_s_aa", "total_aa")))
-    long = freq.select("repertoire_id", "scope", "part", F.expr(f"stack(6, {fields}) AS (field, value, n)"))
-    joined = long.join(members.select("repertoire_group_id", "repertoire_id").distinct(), "repertoire_id")
+    long = freq.select(*by, "scope", "part", F.expr(f"stack(6, {fields}) AS (field, value, n)"))
     x = F.when(F.col("n") > 0, F.col("value"))
-    return joined.groupBy("repertoire_group_id", "scope", "part", "field").agg(F.count(x).alias("N"), F.coalesce(F.avg(x), F.lit(0.0)).alias("avg"), F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias("std"))
+    return long.groupBy("repertoire_group_id", "scope", "part", "field").agg(F.count(x).alias("N"), F.coalesce(F.avg(x), F.lit(0.0)).alias("avg"), F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias("std"))
+
 
+RATIOS = ("ratio", "ratio_r", "ratio_s", "rsratio", "ratio_aa", "ratio_r_aa", "ratio_s_aa", "rsratio_aa")
 
-def group_ratios(ratios: DataFrame, members: DataFrame) -> DataFrame:
-    """Group mean and deviation of the ratios: all members with rows; NaN and infinity carry over."""
-    names = ("ratio", "ratio_r", "ratio_s", "rsratio", "ratio_aa", "ratio_r_aa", "ratio_s_aa", "rsratio_aa")
-    long = ratios.select("repertoire_id", "region_class", F.expr("stack({}, {}) AS (field, value)".format(len(names), ", ".join(f"'{n}', {n}" for n in names))))
-    joined = long.join(members.select("repertoire_group_id", "repertoire_id").distinct(), "repertoire_id")
-    return joined.groupBy("repertoire_group_id", "region_class", "field").agg(F.count("*").alias("N"), F.avg("value").alias("avg"), F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"))
 
+def group_ratios(ratios: DataFrame) -> DataFrame:
+    """Group mean and deviation of the members' ratios (by group and repertoire): all members with rows;
+    NaN and infinity carry over."""
+    long = ratios.select("repertoire_group_id", "region_class", F.expr("stack({}, {}) AS (field, value)".format(len(RATIOS), ", ".join(f"'{n}', {n}" for n in RATIOS))))
+    return long.groupBy("repertoire_group_id", "region_class", "field").agg(F.count("*").alias("N"), F.avg("value").alias("avg"), F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"))
 
-def wide_counts(rolled: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """The wide count report: mu_count_* and mu_total_count_* by position, region, class and in all."""
+
+def wide_counts(rolled: DataFrame, by: tuple[str, ...], totals: DataFrame | None = None, unique: DataFrame | None = None) -> DataFrame:
+    """The wide count report: mu_count_* and mu_total_count_* by position, region and in all (totals by
+    class too), with the columns of ``sequence_totals`` and ``unique_positions`` where these are given."""
     pieces = []
     for c, head, tail in (("r", "mu_count_", "_r"), ("s", "mu_count_", "_s"), ("r_aa", "mu_count_", "_r_aa"), ("s_aa", "mu_count_", "_s_aa"), ("total", "mu_total_count_", ""), ("total_aa", "mu_total_count_", "_aa")):
         name = F.when(F.col("part") == "all", F.lit((head + tail).replace("__", "_").rstrip("_"))).otherwise(F.concat(F.lit(head), "part", F.lit(tail)))
         pieces.append(F.struct(name.alias("name"), F.col(c).cast("bigint").alias("value")))
     long = rolled.select(*by, F.explode(F.array(*pieces)).alias("x")).select(*by, "x.*")
     parts = [*map(str, range(1, POSITIONS + 1)), *REGIONS, "fwr", "cdr"]
-    columns = [f"mu_count_{p}_{k}" for p in parts for k in ("r", "s", "r_aa", "s_aa")] + [f"mu_total_count_{p}{k}" for p in parts for k in ("", "_aa")] + ["mu_count_r", "mu_count_s", "mu_count_r_aa", "mu_count_s_aa", "mu_total_count", "mu_total_count_aa"]
-    return long.groupBy(*by).pivot("name", columns).agg(F.first("value"))
+    columns = [f"mu_count_{p}_{k}" for p in parts[:-2] for k in ("r", "s", "r_aa", "s_aa")] + [f"mu_total_count_{p}{k}" for p in parts for k in ("", "_aa")] + ["mu_count_r", "mu_count_s", "mu_count_r_aa", "mu_count_s_aa", "mu_total_count", "mu_total_count_aa"]
+    wide = long.groupBy(*by).pivot("name", columns).agg(F.first("value"))
+    for more in (totals, unique):
+        if more is not None:
+            wide = wide.join(more, list(by), "left")
+    return wide
+
+
+def _frequency_name(field: Column | str) -> Column:
+    """mu_{field}, the place between the head and its _r, _s, _aa: mu_freq_{part}_r."""
+    f = F.col(field) if isinstance(field, str) else field
+    return F.concat(F.lit("mu_freq"), F.when(F.col("part") == "all", "").otherwise(F.concat(F.lit("_"), "part")), F.regexp_replace(f, "^freq", ""))
+
+
+def _ratio_name(field: Column | str) -> Column:
+    f = F.col(field) if isinstance(field, str) else field
+    return F.concat(F.lit("mu_"), F.regexp_extract(f, "^(rs)?ratio", 0), F.lit("_"), "region_class", F.regexp_replace(f, "^(rs)?ratio", ""))
+
+
+def frequency_columns() -> list[str]:
+    """The names of the wide frequency report, in order."""
+    fields = [k + x for x in ("", "_aa") for k in ("", "_r", "_s")]
+    parts = ["", "_fwr", "_cdr", *[f"_{r}" for r in REGIONS]]
+    names = [f"mu_freq{p}{k}" for p in parts for k in fields] + [f"mu_freq_{p}{k}{x}" for p in range(1, POSITIONS + 1) for x in ("", "_aa") for k in ("_r", "_s")]
+    return names + [f"mu_{head}_{c}{tail}" for c in ("fwr", "cdr") for x in ("", "_aa") for head, tail in (("ratio", x), ("ratio", f"_r{x}"), ("ratio", f"_s{x}"), ("rsratio", x))]
 
 
 def wide_frequencies(frequency: DataFrame, ratios: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """The wide frequency report: mu_freq_* in all, by region, class and position, mu_ratio_* and mu_rsratio_*."""
-    fields = [(k, x) for x in ("", "_aa") for k in ("", "_r", "_s")]
-    entries = F.array(*[F.struct(F.concat(F.lit("mu_freq"), F.when(F.col("part") == "all", "").otherwise(F.concat(F.lit("_"), "part")), F.lit(k + x)).alias("name"), F.col(f"freq{k}{x}").alias("value")) for k, x in fields])
-    long = frequency.select(*by, F.explode(entries).alias("x")).select(*by, "x.*")
-    entries = F.array(*[F.struct(F.concat(F.lit(f"mu_{head}_"), "region_class", F.lit(tail)).alias("name"), F.col(column).alias("value"))
-                        for x in ("", "_aa") for head, tail, column in (("ratio", x, f"ratio{x}"), ("ratio", f"_r{x}", f"ratio_r{x}"), ("ratio", f"_s{x}", f"ratio_s{x}"), ("rsratio", x, f"rsratio{x}"))])
-    long = long.unionAll(ratios.select(*by, F.explode(entries).alias("x")).select(*by, "x.*"))
-    parts = ["", "_fwr", "_cdr", *[f"_{r}" for r in REGIONS]]
-    names = [f"mu_freq{p}{k}{x}" for p in parts for k, x in fields] + [f"mu_freq_{p}{k}{x}" for p in range(1, POSITIONS + 1) for x in ("", "_aa") for k in ("_r", "_s")]
-    names += [f"mu_{head}_{c}{tail}" for c in ("fwr", "cdr") for x in ("", "_aa") for head, tail in (("ratio", x), ("ratio", f"_r{x}"), ("ratio", f"_s{x}"), ("rsratio", x))]
-    return long.groupBy(*by).pivot("name", names).agg(F.first("value"))
+    entry = lambda name, f: F.struct(name(F.lit(f)).alias("name"), F.col(f).alias("value"))
+    fields = [f"freq{k}{x}" for x in ("", "_aa") for k in ("", "_r", "_s")]
+    long = frequency.select(*by, F.explode(F.array(*[entry(_frequency_name, f) for f in fields])).alias("x")).select(*by, "x.*")
+    long = long.unionAll(ratios.select(*by, F.explode(F.array(*[entry(_ratio_name, f) for f in RATIOS])).alias("x")).select(*by, "x.*"))
+    return long.groupBy(*by).pivot("name", frequency_columns()).agg(F.first("value"))
+
+
+def wide_group_frequencies(rolled: DataFrame) -> DataFrame:
+    """The wide group report, a row per group: N (members with rows), and _avg, _std and _N of every column
+    of the wide frequency report. ``rolled``: by group and repertoire."""
+    values = ("avg", "std", "N")
+    stats = group_frequencies(rolled).withColumn("name", _frequency_name("field")).select("repertoire_group_id", "name", *values)
+    ratios = group_ratios(region_ratios(rolled, ("repertoire_group_id", "repertoire_id"))).withColumn("name", _ratio_name("field")).select("repertoire_group_id", "name", *values)
+    entries = F.array(*[F.struct(F.concat("name", F.lit(f"_{v}")).alias("name"), F.col(v).cast("double").alias("value")) for v in values])
+    long = stats.unionAll(ratios).select("repertoire_group_id", F.explode(entries).alias("x")).select("repertoire_group_id", "x.*")
+    wide = long.groupBy("repertoire_group_id").pivot("name", [f"{c}_{v}" for c in frequency_columns() for v in values]).agg(F.first("value"))
+    return rolled.where("scope = 'global'").groupBy("repertoire_group_id").agg(F.count("*").alias("N")).join(wide, "repertoire_group_id")
 
 
 def mutation_rows(rows: DataFrame, regions: DataFrame, positions: DataFrame) -> DataFrame:
-    """The rearrangement-level table: the row's columns, translated regions, mutable letters and
-    codons by region, and mutations in all."""
-    return rows.join(region_translations(regions), "sequence_id").join(region_lengths(regions), "sequence_id").join(row_counts(positions), "sequence_id")
+    """The rearrangement-level table: the row's columns, translated regions, mutable letters and codons
+    by region, mutations in all and by region (mu_count_{region}_{r,s,r_aa,s_aa}; 0 where none)."""
+    counts = ("r", "s", "r_aa", "s_aa")
+    mutated = lambda c, where: F.sum(F.when(where & (F.col(c) > 0), 1).otherwise(0))
+    every = []
+    for tail, where in (("", F.lit(True)), *((f"_{r}", F.col("region") == r) for r in REGIONS)):
+        for c in counts:
+            n = mutated(c[0], where) if c.endswith("_aa") else F.sum(F.when(where, F.col(c)).otherwise(0))
+            every.append(n.alias(f"mu_count{tail}_{c}"))
+    counted = positions.groupBy("sequence_id").agg(*every)
+    return rows.join(region_translations(regions), "sequence_id").join(region_lengths(regions), "sequence_id").join(counted, "sequence_id")

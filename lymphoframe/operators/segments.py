@@ -1,12 +1,13 @@
 """Gene segment usage and segment combinations.
 
-One fan-out and one aggregate give all levels, fields and the three modes of counting ambiguous
-calls; map-side combining keeps the shuffle to one row per name and task.
+``tally`` first counts the rows of each distinct call (a few thousand per repertoire, whatever the
+rows), so that names are resolved and fanned out on the tally and not row by row. One fan-out and one
+aggregate then give all levels, fields and the three modes of counting ambiguous calls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lymphoframe.functions.calls import is_productive, weight
@@ -17,25 +18,44 @@ COMBOS = {"vj": ("v", "j"), "vd": ("v", "d"), "vdj": ("v", "d", "j"), "dj": ("d"
 _MEASURES = ("sequence_count", "duplicate_count")
 
 
+def tally(rows: DataFrame, by: tuple[str, ...] = ("repertoire_id",), segments: tuple[str, ...] = SEGMENTS, apart: bool = False) -> DataFrame:
+    """by, productive, the segments' calls and how many rows (``rows``) with what weight (``weights``)
+    have them. ``apart``: each segment's call is counted on its own, the other calls are null."""
+    calls = [f"{s}_call" for s in segments]
+    measured = rows.select(*by, is_productive().alias("productive"), *calls, weight().alias("w"))
+    if apart and len(segments) > 1:
+        one = lambda c: F.struct(*[(F.coalesce(x, F.lit("")) if x == c else F.lit(None).cast("string")).alias(x) for x in calls])
+        measured = measured.select(*by, "productive", "w", F.explode(F.array(*[one(c) for c in calls])).alias("x")).select(*by, "productive", "w", "x.*")
+    return measured.groupBy(*by, "productive", *calls).agg(F.count("*").alias("rows"), F.sum("w").alias("weights"))
+
+
+def _measures(resolved: DataFrame) -> list[Column]:
+    """The number and weight of what a row stands for: itself, or the rows of a tally."""
+    if "weights" in resolved.columns:
+        return [F.col("rows").cast("double").alias("rows"), F.col("weights").cast("double").alias("w")]
+    return [F.lit(1.0).alias("rows"), weight().cast("double").alias("w")]
+
+
 def _counted(named: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with ``name`` and ``n`` (names of the row) -> counts by mode, for all and for productive rows."""
-    rows = named.withColumn("w", weight().cast("double")).withColumn("productive", F.explode(F.when(is_productive(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    """Rows with ``name``, ``n`` (names of the row), ``rows`` and ``w`` -> counts by mode, for all and for productive rows."""
+    rows = named.withColumn("productive", F.explode(F.when(is_productive(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     one = F.col("n") == 1
     totals = rows.groupBy(*keys, "productive", "name").agg(
-        F.sum(F.when(one, 1.0).otherwise(0.0)).alias("us"), F.sum(F.when(one, F.col("w")).otherwise(0.0)).alias("ud"),
-        F.count("*").cast("double").alias("es"), F.sum("w").alias("ed"),
-        F.sum(1 / F.col("n")).alias("ps"), F.sum(F.col("w") / F.col("n")).alias("pd"))
+        F.sum(F.when(one, F.col("rows")).otherwise(0.0)).alias("us"), F.sum(F.when(one, F.col("w")).otherwise(0.0)).alias("ud"),
+        F.sum("rows").alias("es"), F.sum("w").alias("ed"),
+        F.sum(F.col("rows") / F.col("n")).alias("ps"), F.sum(F.col("w") / F.col("n")).alias("pd"))
     modes = totals.select(*keys, "productive", "name", F.expr("stack(3, 'unique', us, ud, 'exists', es, ed, 'proportion', ps, pd) AS (mode, sequence_count, duplicate_count)"))
     return modes.where("sequence_count > 0")
 
 
 def usage(resolved: DataFrame, by: tuple[str, ...] = ("repertoire_id",), segments: tuple[str, ...] = SEGMENTS) -> DataFrame:
-    """by, field, level, mode, productive, name, sequence_count, duplicate_count.
+    """by, field, level, mode, productive, name, sequence_count, duplicate_count, over resolved rows or a
+    resolved ``tally``.
 
     ``productive`` false means all rows, true the productive ones."""
     lists = F.array(*[F.struct(F.lit(f"{s}_call").alias("field"), F.lit(level).alias("level"), F.col(f"{s}_{level}").alias("names")) for s in segments for level in LEVELS])
-    rows = resolved.select(*by, "productive", "duplicate_count", F.explode(lists).alias("x"))
-    named = rows.select(*by, "productive", "duplicate_count", "x.field", "x.level", F.size("x.names").alias("n"), F.explode("x.names").alias("name"))
+    rows = resolved.select(*by, "productive", *_measures(resolved), F.explode(lists).alias("x"))
+    named = rows.select(*by, "productive", "rows", "w", "x.field", "x.level", F.size("x.names").alias("n"), F.explode("x.names").alias("name"))
     return _counted(named, [*by, "field", "level"])
 
 
@@ -47,14 +67,14 @@ def combos(resolved: DataFrame, combo: str, by: tuple[str, ...] = ("repertoire_i
     for level in levels:
         names = [F.when(F.size(f"d_{level}") > 0, F.col(f"d_{level}")).otherwise(F.array(F.lit("NONE"))) if s == "d" else F.col(f"{s}_{level}") for s in parts]
         lists.append(F.struct(F.lit(level).alias("level"), *[x.alias(s) for s, x in zip(parts, names, strict=True)]))
-    rows = resolved.select(*by, "productive", "duplicate_count", F.explode(F.array(*lists)).alias("x"))
+    rows = resolved.select(*by, "productive", *_measures(resolved), F.explode(F.array(*lists)).alias("x"))
     n = F.lit(1)
     for s in parts:
         n = n * F.size(f"x.{s}")
     out = rows.select("*", n.alias("n")).where("n > 0")
     for s in parts:
         out = out.withColumn(f"_{s}", F.explode(f"x.{s}"))
-    named = out.select(*by, "productive", "duplicate_count", F.lit(combo).alias("combo"), "x.level", "n", F.concat_ws("|", *[f"_{s}" for s in parts]).alias("name"))
+    named = out.select(*by, "productive", "rows", "w", F.lit(combo).alias("combo"), "x.level", "n", F.concat_ws("|", *[f"_{s}" for s in parts]).alias("name"))
     return _counted(named, [*by, "combo", "level"])
 
 

@@ -109,6 +109,12 @@ def diff_groups(by_group: DataFrame) -> DataFrame:
     return a.join(pairs, ["level", "repertoire_group_id_a"]).join(b, [*KEY, "repertoire_group_id_b"], "left_anti")
 
 
+def by_weight(detail: DataFrame) -> DataFrame:
+    """A detail report in its order: side A's duplicate count, largest first, then the keys."""
+    keys = [c for c in detail.columns if not c.endswith(("_count_a", "_count_b"))]
+    return detail.orderBy(F.desc("duplicate_count_a"), *keys)
+
+
 def group_matrix(by_group: DataFrame) -> DataFrame:
     """Junctions by share level in A and share level in B, with zeros up to each group's largest share level."""
     shared = compare_groups(by_group).groupBy("level", "repertoire_group_id_a", "repertoire_group_id_b", "share_level_a", "share_level_b").agg(F.count("*").alias("n"))

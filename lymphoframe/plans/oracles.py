@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lymphoframe.functions.codons import codon_table
 from lymphoframe.sources.fixtures import with_views
 
 #: Doubles are compared to ``D`` digits, nudged off the halves that two engines may round apart.
@@ -19,9 +20,13 @@ named AS (SELECT *, count(*) OVER (PARTITION BY sequence_id, field, level) AS n
 joined AS (SELECT sequence_id, field, level, string_agg(name, ',' ORDER BY p) AS names FROM named0 GROUP BY sequence_id, field, level),
 flags AS (SELECT sequence_id, bool_or(field = 'v_call' AND level = 'subgroup' AND name = 'IGHV4') AS v4, bool_or(field = 'v_call' AND level = 'subgroup' AND name = 'IGHV3') AS v3, bool_or(field = 'j_call' AND level = 'subgroup' AND name = 'IGHJ6') AS j6 FROM named0 GROUP BY sequence_id),
 members AS (SELECT DISTINCT repertoire_group_id, repertoire_id FROM group_members),
-gr AS (SELECT m.repertoire_group_id, rr.* FROM rr JOIN members m ON rr.repertoire_id = m.repertoire_id LEFT JOIN flags f ON rr.sequence_id = f.sequence_id
+rl AS (SELECT * REPLACE (coalesce(junction_aa_length, cast(length(junction_aa) AS bigint)) AS junction_aa_length) FROM rr),
+"""
+_GROUPED = """ AS (SELECT m.repertoire_group_id, x.* FROM {} x JOIN members m ON x.repertoire_id = m.repertoire_id LEFT JOIN flags f ON x.sequence_id = f.sequence_id
   WHERE CASE m.repertoire_group_id WHEN 'g_len12' THEN coalesce(junction_aa_length = 12, false) WHEN 'g_long' THEN coalesce(junction_aa_length > 15, false)
     WHEN 'g_v4' THEN coalesce(v4, false) WHEN 'g_v4_j6' THEN coalesce(v4, false) AND coalesce(j6, false) WHEN 'g_v3_or_v4' THEN coalesce(v3, false) OR coalesce(v4, false) ELSE true END)"""
+#: ``gr``: group rows; ``gl``: group rows for lengths, a missing length filled in before the filter.
+_BASE += "gr" + _GROUPED.format("rr") + ",\ngl" + _GROUPED.format("rl")
 _VIEWS = ("germline", "rearrangements", "group_members")
 
 
@@ -37,7 +42,7 @@ ORACLES: dict[str, str] = {}
 _pick = ",\n".join(f"coalesce(max(CASE WHEN field = '{s}_call' AND level = '{lv}' THEN names END), '') AS {s}_{lv}" for s in "vj" for lv in ("allele", "gene", "subgroup"))
 ORACLES["germline_resolve"] = sql(f"SELECT rr.sequence_id, {_pick} FROM rr LEFT JOIN joined j ON rr.sequence_id = j.sequence_id GROUP BY rr.sequence_id")
 ORACLES["group_membership"] = sql("SELECT m.repertoire_group_id, m.repertoire_id, count(*) AS n FROM rr JOIN group_members m ON rr.repertoire_id = m.repertoire_id GROUP BY m.repertoire_group_id, m.repertoire_id")
-ORACLES["group_missing_members"] = sql("SELECT repertoire_group_id, repertoire_id FROM group_members WHERE repertoire_id NOT IN (SELECT DISTINCT repertoire_id FROM rr WHERE jk % 3 <> 0 AND repertoire_id <> 'rep2')")
+ORACLES["group_missing_members"] = sql("SELECT repertoire_group_id, repertoire_id FROM nation_members WHERE repertoire_id NOT IN (SELECT DISTINCT repertoire_id FROM rr)", "nation_members")
 ORACLES["filter_repertoire_selection"] = sql("SELECT sequence_id, repertoire_id, productive FROM rr WHERE repertoire_id IN ('rep1', 'rep3', 'rep5')")
 ORACLES["filter_group_rows"] = sql("SELECT repertoire_group_id, repertoire_id, sequence_id FROM gr")
 
@@ -166,8 +171,8 @@ grid AS (SELECT repertoire_id, productive, unnest(range(0, max(length) + 1)) AS
 SELECT g.repertoire_id, g.productive, g.length, coalesce(h.count, 0) AS count FROM grid g LEFT JOIN h ON g.repertoire_id = h.repertoire_id AND g.productive = h.productive AND g.length = h.length""")
 ORACLES["length_relative"] = sql(_lengths("aa") + f"\nSELECT *, round(count / sum(count) OVER (PARTITION BY repertoire_id, productive) + {NUDGE}, {D}) AS relative FROM h")
 ORACLES["length_table_stats"] = sql(_lengths("aa") + f"\nSELECT repertoire_id, productive, sum(count) AS total, round(sum(length * count) / sum(count) + {NUDGE}, {D}) AS avg FROM h GROUP BY repertoire_id, productive")
-ORACLES["group_length"] = sql(_lengths("aa", "repertoire_group_id", "gr") + "\nSELECT * FROM h")
-ORACLES["group_length_stats"] = sql(_lengths("aa", _K, "gr") + ",\n" + _stats("productive, length", "h", ["count"]))
+ORACLES["group_length"] = sql(_lengths("aa", "repertoire_group_id", "gl") + "\nSELECT * FROM h")
+ORACLES["group_length_stats"] = sql(_lengths("aa", _K, "gl") + ",\n" + _stats("productive, length", "h", ["count"]))
 
 
 def _distribution(kind: str, by: str = "repertoire_id", rows: str = "rr") -> str:
@@ -202,8 +207,8 @@ def _shares(*levels: str) -> str:
         parts.append(f"SELECT '{level}' AS level, {key} AS gene_key, {column} AS cdr3, repertoire_id, w FROM rr{joins} WHERE prod AND {column} <> ''")
     return f"""first_gene AS (SELECT sequence_id, field, arg_min(name, p) AS g FROM named0 WHERE level = 'gene' GROUP BY sequence_id, field),
 one AS ({' UNION ALL '.join(parts)}),
-sh AS (SELECT level, gene_key, cdr3, repertoire_id, count(*) AS sequence_count, cast(sum(w) AS bigint) AS duplicate_count FROM one GROUP BY level, gene_key, cdr3, repertoire_id),
-gs AS (SELECT level, gene_key, cdr3, m.repertoire_group_id, count(*) AS share_level, cast(sum(sequence_count) AS bigint) AS sequence_count, cast(sum(duplicate_count) AS bigint) AS duplicate_count FROM sh JOIN members m ON sh.repertoire_id = m.repertoire_id GROUP BY level, gene_key, cdr3, m.repertoire_group_id)"""
+sh AS MATERIALIZED (SELECT level, gene_key, cdr3, repertoire_id, count(*) AS sequence_count, cast(sum(w) AS bigint) AS duplicate_count FROM one GROUP BY level, gene_key, cdr3, repertoire_id),
+gs AS MATERIALIZED (SELECT level, gene_key, cdr3, m.repertoire_group_id, count(*) AS share_level, cast(sum(sequence_count) AS bigint) AS sequence_count, cast(sum(duplicate_count) AS bigint) AS duplicate_count FROM sh JOIN members m ON sh.repertoire_id = m.repertoire_id GROUP BY level, gene_key, cdr3, m.repertoire_group_id)"""
 
 
 for _n, _l in (("aa", "aa"), ("nt", "nucleotide"), ("v_aa", "v,aa"), ("v_nt", "v,nucleotide"), ("vj_aa", "vj,aa"), ("vj_nt", "vj,nucleotide")):
@@ -276,6 +281,19 @@ ORACLES["clone_allele_sum"] = sql(_clones("allele", "sum(w)") + _plain)
 ORACLES["clone_ids"] = sql(_clones("gene") + "\nSELECT * FROM cl")
 ORACLES["clone_assign_rows"] = sql(_clones("allele") + "\nSELECT k.sequence_id, k.repertoire_id, c.clone_id FROM kr k JOIN cl c ON k.repertoire_id = c.repertoire_id AND k.junction_aa = c.junction_aa AND k.v = c.v AND k.j = c.j")
 
+# each clone in its turn (largest weight first, ties by first appearance) joins the first seed it overlaps, or is a seed
+ORACLES["clone_collapse"] = sql("RECURSIVE_" + _clones("allele") + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY repertoire_id, junction_aa ORDER BY duplicate_count DESC, first_ord, v, j) AS k FROM cl),
+fold AS (SELECT repertoire_id, junction_aa, k, [{'i': first_ord, 'v': v, 'j': j, 'n': clone_count, 'd': duplicate_count}] AS seeds FROM ranked WHERE k = 1
+  UNION ALL SELECT f.repertoire_id, f.junction_aa, c.k, CASE WHEN len(list_filter(f.seeds, lambda t: list_has_any(string_split(t.v, ','), string_split(c.v, ',')) AND list_has_any(string_split(t.j, ','), string_split(c.j, ',')))) = 0
+    THEN list_append(f.seeds, {'i': c.first_ord, 'v': c.v, 'j': c.j, 'n': c.clone_count, 'd': c.duplicate_count})
+    ELSE list_transform(f.seeds, lambda t, p: CASE WHEN p = list_position(list_transform(f.seeds, lambda u: list_has_any(string_split(u.v, ','), string_split(c.v, ',')) AND list_has_any(string_split(u.j, ','), string_split(c.j, ','))), true)
+      THEN {'i': t.i, 'v': t.v, 'j': t.j, 'n': t.n + c.clone_count, 'd': t.d + c.duplicate_count} ELSE t END) END
+  FROM fold f JOIN ranked c ON c.repertoire_id = f.repertoire_id AND c.junction_aa = f.junction_aa AND c.k = f.k + 1),
+ended AS (SELECT repertoire_id, junction_aa, unnest(arg_max(seeds, k)) AS m FROM fold GROUP BY repertoire_id, junction_aa)
+SELECT repertoire_id, junction_aa, m.v AS v, m.j AS j, m.n AS clone_count, m.d AS duplicate_count, m.i AS first_ord FROM ended""")
+ORACLES["clone_collapse"] = ORACLES["clone_collapse"].replace("RECURSIVE_", "").replace("WITH ", "WITH RECURSIVE ", 1)
+
 # -- mutations -----------------------------------------------------------------------------------
 
 _REGIONS = ("fwr1", "cdr1", "fwr2", "cdr2", "fwr3")
@@ -289,10 +307,23 @@ def _codons(r: str) -> str:
 _region_cols = ", ".join(f"cast(length(replace(replace({r}, '-', ''), '.', '')) AS int) AS mu_total_count_{r}, {_codons(r)} AS mu_total_count_{r}_aa" for r in _REGIONS)
 _counts = "cast(sum(r) AS bigint) AS r, cast(sum(s) AS bigint) AS s, cast(sum(CASE WHEN r > 0 THEN 1 ELSE 0 END) AS bigint) AS r_aa, cast(sum(CASE WHEN s > 0 THEN 1 ELSE 0 END) AS bigint) AS s_aa"
 ORACLES["mutation_region_lengths"] = with_views(f"SELECT sequence_id, {_region_cols} FROM regions", "regions")
+_table = ", ".join(f"('{c}', '{a}')" for c, a in codon_table().items())
+_letters = " UNION ALL ".join(f"SELECT sequence_id, '{r}' AS region, unnest(range(0, cast(floor(length({r}) / 3) AS int))) AS i, replace({r}, '-', '.') AS s FROM regions" for r in _REGIONS)
+_spelled = ", ".join(f"coalesce(max(CASE WHEN region = '{r}' THEN word END), '') AS {r}_aa" for r in _REGIONS)
+ORACLES["mutation_translate"] = with_views(f"""WITH code AS (SELECT * FROM (VALUES {_table}) t(codon, letter)),
+cells AS (SELECT sequence_id, region, i, upper(substr(s, cast(3 * i + 1 AS int), 3)) AS c FROM ({_letters})),
+words AS (SELECT sequence_id, region, string_agg(CASE WHEN c = '...' THEN '.' ELSE coalesce(letter, 'X') END, '' ORDER BY i) AS word FROM cells LEFT JOIN code ON replace(c, '.', 'N') = codon GROUP BY sequence_id, region)
+SELECT r.sequence_id, {_spelled} FROM regions r LEFT JOIN words w ON r.sequence_id = w.sequence_id GROUP BY r.sequence_id""", "regions")
 ORACLES["mutation_row_counts"] = with_views(f"SELECT sequence_id, {_counts} FROM mutation_positions GROUP BY sequence_id", "mutation_positions")
 ORACLES["mutation_row_region_counts"] = with_views(f"SELECT sequence_id, region, {_counts} FROM mutation_positions GROUP BY sequence_id, region", "mutation_positions")
-ORACLES["mutation_rows"] = with_views(f"""WITH c AS (SELECT sequence_id, {_counts} FROM mutation_positions GROUP BY sequence_id), l AS (SELECT sequence_id, {_region_cols} FROM regions)
-SELECT x.repertoire_id, x.v_call, l.*, c.r, c.s, c.r_aa, c.s_aa FROM rearrangements x JOIN l ON x.sequence_id = l.sequence_id JOIN c ON c.sequence_id = x.sequence_id""", "mutation_positions", "rearrangements")
+_row_counts = ", ".join(f"cast(sum(CASE WHEN {w} THEN {x} ELSE 0 END) AS bigint) AS mu_count{t}_{c}" for t, w in (("", "true"), *((f"_{r}", f"region = '{r}'") for r in _REGIONS))
+                        for c, x in (("r", "r"), ("s", "s"), ("r_aa", "(CASE WHEN r > 0 THEN 1 ELSE 0 END)"), ("s_aa", "(CASE WHEN s > 0 THEN 1 ELSE 0 END)")))
+ORACLES["mutation_rows"] = with_views(f"""WITH code AS (SELECT * FROM (VALUES {_table}) t(codon, letter)),
+cells AS (SELECT sequence_id, region, i, upper(substr(s, cast(3 * i + 1 AS int), 3)) AS c FROM ({_letters})),
+words AS (SELECT sequence_id, region, string_agg(CASE WHEN c = '...' THEN '.' ELSE coalesce(letter, 'X') END, '' ORDER BY i) AS word FROM cells LEFT JOIN code ON replace(c, '.', 'N') = codon GROUP BY sequence_id, region),
+a AS (SELECT r.sequence_id, {_spelled} FROM regions r LEFT JOIN words w ON r.sequence_id = w.sequence_id GROUP BY r.sequence_id),
+c AS (SELECT sequence_id, {_row_counts} FROM mutation_positions GROUP BY sequence_id), l AS (SELECT sequence_id, {_region_cols} FROM regions)
+SELECT x.repertoire_id, x.v_call, l.*, a.* EXCLUDE (sequence_id), c.* EXCLUDE (sequence_id) FROM rearrangements x JOIN l ON x.sequence_id = l.sequence_id JOIN a ON a.sequence_id = x.sequence_id JOIN c ON c.sequence_id = x.sequence_id""", "mutation_positions", "rearrangements")
 
 
 _SUMS = ", ".join(f"cast(sum({c}) AS bigint) AS {c}" for c in ("r", "s", "r_aa", "s_aa", "total", "total_aa"))
@@ -358,13 +389,40 @@ def _ratio_rows(by: str, names: list[str], rounds: bool = True) -> str:
 
 ORACLES["mutation_region_ratio"] = _mutation("repertoire_id", _rows_rep, _ratio_rows("repertoire_id", [n for n in _ratios if not n.startswith("rs")]))
 ORACLES["mutation_rs_ratio"] = _mutation("repertoire_id, clone_id", _rows_clone, _ratio_rows("repertoire_id, clone_id", ["rsratio", "rsratio_aa"]))
-_long = " UNION ALL ".join(f"SELECT repertoire_id, scope, part, '{c}' AS field, {e} AS value, {'total_aa' if c.endswith('_aa') else 'total'} AS n FROM ru" for c, e in _freqs.items())
-ORACLES["mutation_group_freq_stats"] = sql(_weighted("repertoire_id", _rows_rep).replace("GROUP BY repertoire_id, 1", "GROUP BY repertoire_id") + f""",
-lf AS ({_long})
-SELECT m.repertoire_group_id, scope, part, field, count(CASE WHEN n > 0 THEN 1 END) AS N, round(coalesce(avg(CASE WHEN n > 0 THEN value END), 0) + {NUDGE}, {D}) AS avg, round(coalesce(stddev_samp(CASE WHEN n > 0 THEN value END), 0) + {NUDGE}, {D}) AS std
-FROM lf JOIN members m ON lf.repertoire_id = m.repertoire_id GROUP BY m.repertoire_group_id, scope, part, field""", "mutation_positions")
-_long = " UNION ALL ".join(f"SELECT repertoire_id, region_class, '{c}' AS field, {c} AS value FROM rt" for c in _ratios)
-ORACLES["mutation_group_ratio_stats"] = sql(_weighted("repertoire_id", _rows_rep).replace("GROUP BY repertoire_id, 1", "GROUP BY repertoire_id") + f""",
-rt AS ({_ratio_rows("repertoire_id", list(_ratios), False)}),
-lr AS ({_long})
-SELECT m.repertoire_group_id, region_class, field, count(*) AS N, round(avg(value) + {NUDGE}, {D}) AS avg, round(coalesce(stddev_samp(value), 0) + {NUDGE}, {D}) AS std FROM lr JOIN members m ON lr.repertoire_id = m.repertoire_id GROUP BY m.repertoire_group_id, region_class, field""", "mutation_positions")
+_group_ru = _weighted(_K, f"SELECT sequence_id, {_K}, w FROM gr").replace(f"GROUP BY {_K}, 1", f"GROUP BY {_K}")
+_long = " UNION ALL ".join(f"SELECT repertoire_group_id, scope, part, '{c}' AS field, {e} AS value, {'total_aa' if c.endswith('_aa') else 'total'} AS n FROM ru" for c, e in _freqs.items())
+_group_freq = _group_ru + f""",
+lf AS ({_long}),
+gf AS (SELECT repertoire_group_id, scope, part, field, count(CASE WHEN n > 0 THEN 1 END) AS N, coalesce(avg(CASE WHEN n > 0 THEN value END), 0) AS avg, coalesce(stddev_samp(CASE WHEN n > 0 THEN value END), 0) AS std
+  FROM lf GROUP BY repertoire_group_id, scope, part, field)"""
+_long = " UNION ALL ".join(f"SELECT repertoire_group_id, region_class, '{c}' AS field, {c} AS value FROM rt" for c in _ratios)
+_group_ratio = f""",
+rt AS ({_ratio_rows(_K, list(_ratios), False)}),
+lr AS ({_long}),
+gt AS (SELECT repertoire_group_id, region_class, field, count(*) AS N, avg(value) AS avg, coalesce(stddev_samp(value), 0) AS std FROM lr GROUP BY repertoire_group_id, region_class, field)"""
+_avg_std = f"N, round(avg + {NUDGE}, {D}) AS avg, round(std + {NUDGE}, {D}) AS std"
+ORACLES["mutation_group_freq_stats"] = sql(f"{_group_freq}\nSELECT repertoire_group_id, scope, part, field, {_avg_std} FROM gf", "mutation_positions")
+ORACLES["mutation_group_ratio_stats"] = sql(f"{_group_ru}{_group_ratio}\nSELECT repertoire_group_id, region_class, field, {_avg_std} FROM gt", "mutation_positions")
+
+
+def _wide_group() -> str:
+    """A column per frequency or ratio and statistic, by the names that the report gives them."""
+    heads, cells = ("avg", "std", "N"), []
+    places = [("all", "")] + [(p, f"_{p}") for p in ("fwr", "cdr", *_REGIONS)]
+    wanted = [(p, f) for p in places for f in _freqs] + [((str(p), f"_{p}"), f) for p in range(1, 105) for f in _freqs if f.startswith(("freq_r", "freq_s"))]
+    for (part, middle), f in wanted:
+        cells += [f"max(CASE WHEN part = '{part}' AND field = '{f}' THEN {_cell(h)} END) AS mu_freq{middle}{f[4:]}_{h}" for h in heads]
+    for c in ("fwr", "cdr"):
+        for f in _ratios:
+            head = "rsratio" if f.startswith("rs") else "ratio"
+            cells += [f"max(CASE WHEN part = '{c}' AND field = '{f}' THEN {_cell(h)} END) AS mu_{head}_{c}{f[len(head):]}_{h}" for h in heads]
+    return f"""{_group_freq}{_group_ratio},
+every AS (SELECT repertoire_group_id, part, field, N, avg, std FROM gf UNION ALL SELECT repertoire_group_id, region_class, field, N, avg, std FROM gt)
+SELECT repertoire_group_id, (SELECT count(*) FROM ru WHERE scope = 'global' AND ru.repertoire_group_id = every.repertoire_group_id) AS N, {", ".join(cells)} FROM every GROUP BY repertoire_group_id"""
+
+
+def _cell(statistic: str) -> str:
+    return "cast(N AS double)" if statistic == "N" else f"round({statistic} + {NUDGE}, {D})"
+
+
+ORACLES["mutation_group_wide"] = sql(_wide_group(), "mutation_positions")

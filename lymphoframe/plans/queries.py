@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphoframe.functions.calls import resolve, weight
+from lymphoframe.functions.calls import resolve
 from lymphoframe.functions.predicates import predicate
 from lymphoframe.operators import clones as clone_ops
 from lymphoframe.operators import groups as group_ops
@@ -15,7 +15,7 @@ from lymphoframe.operators import junction as junction_ops
 from lymphoframe.operators import mutations as mutation_ops
 from lymphoframe.operators import segments as segment_ops
 from lymphoframe.operators import sharing as share_ops
-from lymphoframe.sources.fixtures import views
+from lymphoframe.sources.fixtures import positions_of, views
 
 #: Filters of the fixture groups (groups without one take all rows).
 FILTERS = {
@@ -47,6 +47,12 @@ def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve(rows, germline)
 
 
+def _tallied(spark: SparkSession, sf_dir: str, segments: tuple[str, ...], apart: bool) -> DataFrame:
+    """Rows by their distinct calls, resolved: calls are counted first and named afterwards."""
+    rows, germline = views(spark, sf_dir, "rearrangements", "germline")
+    return resolve(segment_ops.tally(rows, segments=segments, apart=apart), germline, segments)
+
+
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views(spark, sf_dir, "group_members")[0]
 
@@ -55,6 +61,11 @@ def _group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_ops.group_rows(_resolved(spark, sf_dir), _members(spark, sf_dir), FILTERS)
 
 
+def _measured_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group rows for lengths: a missing length is filled in before the groups' filters see the row."""
+    return group_ops.group_rows(junction_ops.with_length(_resolved(spark, sf_dir)), _members(spark, sf_dir), FILTERS)
+
+
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[F.round(F.col(c) + NUDGE, DIGITS).alias(c) if t == "double" else c for c, t in df.dtypes])
 
@@ -76,8 +87,8 @@ def group_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("group_missing_members")
 def group_missing_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, members = views(spark, sf_dir, "rearrangements", "group_members")
-    return group_ops.missing_members(members, rows.where("jk % 3 <> 0 and repertoire_id <> 'rep2'").select("repertoire_id").distinct())
+    rows, members = views(spark, sf_dir, "rearrangements", "nation_members")
+    return group_ops.missing_members(members, rows.select("repertoire_id").distinct())
 
 
 # -- filters -------------------------------------------------------------------------------------
@@ -132,7 +143,7 @@ def clone_input_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _usage(mode: str | None = None, segments=("v", "d", "j", "c"), frequency: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = segment_ops.usage(_resolved(spark, sf_dir), segments=segments)
+        out = segment_ops.usage(_tallied(spark, sf_dir, tuple(segments), True), segments=segments)
         if mode:
             out = out.where(F.col("mode") == mode)
         return rounded(segment_ops.with_frequency(out, ["repertoire_id", "field"]) if frequency else out)
@@ -150,7 +161,7 @@ QUERIES["usage_frequency"] = _usage(None, frequency=True)
 
 def _combo(combo: str, frequency: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = segment_ops.combos(_resolved(spark, sf_dir), combo)
+        out = segment_ops.combos(_tallied(spark, sf_dir, segment_ops.COMBOS[combo], False), combo)
         return rounded(segment_ops.with_frequency(out, ["repertoire_id", "combo"]) if frequency else out)
 
     return run
@@ -216,12 +227,12 @@ def length_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("group_length")
 def group_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return junction_ops.lengths(_group_rows(spark, sf_dir), "aa", ("repertoire_group_id",))
+    return junction_ops.lengths(_measured_group_rows(spark, sf_dir), "aa", ("repertoire_group_id",))
 
 
 @query("group_length_stats")
 def group_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_member = junction_ops.lengths(_group_rows(spark, sf_dir), "aa", ("repertoire_group_id", "repertoire_id"))
+    by_member = junction_ops.lengths(_measured_group_rows(spark, sf_dir), "aa", ("repertoire_group_id", "repertoire_id"))
     return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["productive", "length"], ["count"]))
 
 
@@ -336,13 +347,25 @@ QUERIES["mutation_row_region_counts"] = lambda spark, sf_dir: mutation_ops.row_r
 @query("mutation_rows")
 def mutation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, regions = views(spark, sf_dir, "rearrangements", "regions")
-    counts = mutation_ops.row_counts(_positions(spark, sf_dir))
-    return rows.select("sequence_id", "repertoire_id", "v_call").join(mutation_ops.region_lengths(regions), "sequence_id").join(counts, "sequence_id")
+    return mutation_ops.mutation_rows(rows.select("sequence_id", "repertoire_id", "v_call"), regions, _positions(spark, sf_dir))
+
+
+def _summed(spark: SparkSession, sf_dir: str, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Keys and weight join the sequences, a row each; only then do these fan out into positions."""
+    sequences = views(spark, sf_dir, "mutation_sequences", "position_dim")[0]
+    keyed = sequences.join(mutation_ops.weights(rows, by), "sequence_id")
+    return mutation_ops.summed(positions_of(spark, keyed, *by, "w"), by)
 
 
 def _weighted(key: str) -> tuple[Query, tuple[str, ...]]:
     by = ("repertoire_id",) if key == "repertoire_id" else ("repertoire_id", "clone_id") if key == "clone_id" else ("repertoire_id", "segment")
-    return (lambda spark, sf_dir: mutation_ops.weighted(_positions(spark, sf_dir), mutation_ops.keyed_rows(_resolved(spark, sf_dir), key), by)), by
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows, germline = views(spark, sf_dir, "rearrangements", "germline")
+        named = resolve(rows, germline, (key[0],)) if by[-1] == "segment" else rows
+        return _summed(spark, sf_dir, mutation_ops.keyed_rows(named, key), by)
+
+    return run, by
 
 
 def _rolled(key: str) -> Query:
@@ -353,7 +376,7 @@ def _rolled(key: str) -> Query:
 _BY_POSITION, _REP = _weighted("repertoire_id")
 QUERIES["mutation_pos_counts"] = _BY_POSITION
 QUERIES["mutation_rep_counts"] = _rolled("repertoire_id")
-QUERIES["mutation_totals"] = lambda spark, sf_dir: mutation_ops.rolled_up(mutation_ops.weighted(_positions(spark, sf_dir), _resolved(spark, sf_dir), ()), ()).select("scope", "part", "total", "total_aa")
+QUERIES["mutation_totals"] = lambda spark, sf_dir: mutation_ops.rolled_up(_summed(spark, sf_dir, views(spark, sf_dir, "rearrangements")[0], ()), ()).select("scope", "part", "total", "total_aa")
 QUERIES["mutation_region_counts"] = lambda spark, sf_dir: _rolled("repertoire_id")(spark, sf_dir).where("scope = 'region'")
 QUERIES["mutation_clone_counts"] = lambda spark, sf_dir: _rolled("clone_id")(spark, sf_dir).where("scope <> 'position'")
 for _segment in ("v", "j"):
@@ -361,10 +384,15 @@ for _segment in ("v", "j"):
         QUERIES[f"mutation_{_segment}_{_name}_counts"] = (lambda run: lambda spark, sf_dir: run(spark, sf_dir).where("scope <> 'position'"))(_rolled(f"{_segment}_{_name}"))
 
 
-@query("mutation_group_rep_counts")
-def mutation_group_rep_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by = ("repertoire_group_id", "repertoire_id")
-    return mutation_ops.rolled_up(mutation_ops.weighted(_positions(spark, sf_dir), _group_rows(spark, sf_dir), by), by).where("scope <> 'position'")
+_MEMBER = ("repertoire_group_id", "repertoire_id")
+
+
+def _group_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The members' roll-ups over the rows that pass their group's filter."""
+    return mutation_ops.rolled_up(_summed(spark, sf_dir, _group_rows(spark, sf_dir), _MEMBER), _MEMBER)
+
+
+QUERIES["mutation_group_rep_counts"] = lambda spark, sf_dir: _group_rolled(spark, sf_dir).where("scope <> 'position'")
 
 
 @query("mutation_sequence_totals")
@@ -385,5 +413,6 @@ QUERIES["mutation_freq_region"] = lambda spark, sf_dir: rounded(mutation_ops.fre
 QUERIES["mutation_freq_pos"] = _frequencies("position")
 QUERIES["mutation_region_ratio"] = lambda spark, sf_dir: rounded(mutation_ops.region_ratios(_rolled("repertoire_id")(spark, sf_dir), _REP).drop("rsratio", "rsratio_aa"))
 QUERIES["mutation_rs_ratio"] = lambda spark, sf_dir: rounded(mutation_ops.region_ratios(_rolled("clone_id")(spark, sf_dir), ("repertoire_id", "clone_id")).select("repertoire_id", "clone_id", "region_class", "rsratio", "rsratio_aa"))
-QUERIES["mutation_group_freq_stats"] = lambda spark, sf_dir: rounded(mutation_ops.group_frequencies(_rolled("repertoire_id")(spark, sf_dir), _members(spark, sf_dir)))
-QUERIES["mutation_group_ratio_stats"] = lambda spark, sf_dir: rounded(mutation_ops.group_ratios(mutation_ops.region_ratios(_rolled("repertoire_id")(spark, sf_dir), _REP), _members(spark, sf_dir)))
+QUERIES["mutation_group_freq_stats"] = lambda spark, sf_dir: rounded(mutation_ops.group_frequencies(_group_rolled(spark, sf_dir)))
+QUERIES["mutation_group_ratio_stats"] = lambda spark, sf_dir: rounded(mutation_ops.group_ratios(mutation_ops.region_ratios(_group_rolled(spark, sf_dir), _MEMBER)))
+QUERIES["mutation_group_wide"] = lambda spark, sf_dir: rounded(mutation_ops.wide_group_frequencies(_group_rolled(spark, sf_dir)))

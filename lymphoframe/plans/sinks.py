@@ -24,9 +24,13 @@ def per_key_tsv(df: DataFrame, path: str, key: str) -> None:
     df.repartition(key).write.mode("overwrite").partitionBy(key).csv(path, sep="\t", header=True)
 
 
-def wide_lengths(dense: DataFrame, most: int, by: str = "repertoire_id") -> DataFrame:
-    """A row per repertoire, a column per length; cells past its own largest length stay empty."""
-    return dense.groupBy(by, "productive").pivot("length", list(range(most + 1))).agg(F.first("count"))
+def wide_lengths(dense: DataFrame, most: int, by: str = "repertoire_id", value: str = "count") -> DataFrame:
+    """A row per repertoire: total, avg and a column per length; ``value`` is count or relative. Cells
+    past its own largest length stay empty; avg is 0 where the total is."""
+    total = F.sum(value)
+    avg = F.when(total == 0, 0.0).otherwise(F.sum(F.col("length") * F.col(value)) / total)
+    sums = dense.groupBy(by, "productive").agg(total.alias("total"), avg.alias("avg"))
+    return sums.join(dense.groupBy(by, "productive").pivot("length", list(range(most + 1))).agg(F.first(value)), [by, "productive"])
 
 
 def wide_matrix(matrix: DataFrame, value: str, ids: list[str]) -> DataFrame:
@@ -38,15 +42,38 @@ def wide_letters(distribution: DataFrame, letters: str, *by: str) -> DataFrame:
     return distribution.groupBy(*by, "productive", "length", "position").pivot("letter", list(letters)).agg(F.first("count"))
 
 
+#: Columns that say what a row is about, in the order of the reports.
+KEYS = ("repertoire_group_id", "repertoire_id", "repertoire_group_id_a", "repertoire_group_id_b", "repertoire_id_a", "repertoire_id_b", "level", "field", "combo", "scope", "part", "region_class", "mode", "productive",
+        "gene_key", "cdr3", "share_level", "share_level_a", "share_level_b", "name", "length", "position", "letter", "clone_id", "segment")
+#: Reports that come in an order of their own.
+ORDERED = ("group_detail", "group_diff")
+
+
 def write_reports(results: dict[str, DataFrame], folder: str, stage: str | None = None, form: str = "parquet") -> list[str]:
     """Every table of a run in a folder of its own: ``{name}[.{stage}]``. ``form`` is parquet (for any
-    size, by repertoire or group where there is one) or tsv (one file a table, for summaries)."""
+    size, by repertoire or group where there is one; filtered rows by both) or tsv (one file a table,
+    for summaries, in the order of their keys)."""
     written = []
     for name, df in results.items():
         path = f"{folder}/{name}.{stage}" if stage else f"{folder}/{name}"
         if form == "tsv":
-            write_tsv(df, path, [c for c in ("repertoire_group_id", "repertoire_id") if c in df.columns] or None)
+            write_tsv(df, path, None if name in ORDERED else [c for c in KEYS if c in df.columns] or None)
         else:
-            write_parquet(df, path, *[c for c in ("repertoire_group_id", "repertoire_id") if c in df.columns][:1])
+            ids = [c for c in ("repertoire_group_id", "repertoire_id") if c in df.columns]
+            write_parquet(df, path, *(ids if name == "filtered" else ids[:1]))
         written.append(path)
     return written
+
+
+def write_length_reports(results: dict[str, DataFrame], folder: str, most: int) -> list[str]:
+    """The wide length tables of each group: counts and frequencies, a row per repertoire."""
+    written = []
+    for name, df in results.items():
+        if name.startswith("length_") and name.endswith("_group_repertoires"):
+            for value in ("count", "relative"):
+                path = f"{folder}/{name}_{value}"
+                keyed = df.withColumn("_key", F.struct("repertoire_group_id", "repertoire_id"))
+                wide = wide_lengths(keyed, most, "_key", value).select("_key.*", "productive", "total", "avg", *map(str, range(most + 1)))
+                write_tsv(wide, path, ["repertoire_group_id", "repertoire_id", "productive"])
+                written.append(path)
+    return written

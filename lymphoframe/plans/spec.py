@@ -1,8 +1,8 @@
 """Calculation specs: named calculations over one set of inputs give named result tables.
 
 A calculation is a plain function of (context, calculation) to a dict of lazy DataFrames; ``run``
-looks them up by type. Results share the resolved rearrangements, which are kept while more than one
-calculation reads them.
+looks them up by type. The resolved rows are made once per context; where more than one calculation
+reads them they are kept until ``Context.release``.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lymphoframe.functions.calls import resolve
+from lymphoframe.functions.calls import resolve, weight
 from lymphoframe.operators import clones, groups, junction, mutations, segments, sharing
+from lymphoframe.schema import REGIONS
 
 
 @dataclass
@@ -27,7 +28,10 @@ class Calculation:
 
 @dataclass
 class Context:
-    """Inputs. ``positions``: the long mutation table, where mutations are asked for."""
+    """Inputs. ``positions``: the long mutation table; without it mutations are read from the rows' own
+    columns. ``repertoires``: the metadata, against which ``selected`` and ``members`` are checked.
+    ``selected``: repertoires to compute for (all where it is None); junction calculations keep to the
+    whole metadata."""
 
     rearrangements: DataFrame
     germline: DataFrame | None = None
@@ -35,11 +39,42 @@ class Context:
     filters: dict[str, dict] = field(default_factory=dict)
     positions: DataFrame | None = None
     order: str = "sequence_id"
-
-    def resolved(self) -> DataFrame:
+    repertoires: DataFrame | None = None
+    selected: list[str] | None = None
+    _resolved: DataFrame | None = None
+
+    def check(self) -> None:
+        """Unknown ids are an error before anything is computed; only such ids reach the driver."""
+        if self.repertoires is None:
+            return
+        if self.selected:
+            wanted = self.repertoires.sparkSession.createDataFrame([(x,) for x in self.selected], "repertoire_id string")
+            unknown = [r[0] for r in wanted.join(self.repertoires, "repertoire_id", "left_anti").take(5)]
+            if unknown:
+                raise ValueError(f"repertoires that the metadata lacks: {', '.join(unknown)}")
+        if self.members is not None:
+            missing = groups.missing_members(self.members, self.repertoires).take(5)
+            if missing:
+                raise ValueError("group members that the metadata lacks: " + ", ".join(f"{r.repertoire_id} ({r.repertoire_group_id})" for r in missing))
+
+    def chosen(self, rows: DataFrame) -> DataFrame:
+        """The rows of the selected repertoires."""
+        return rows.where(F.col("repertoire_id").isin(self.selected)) if self.selected else rows
+
+    def all_resolved(self) -> DataFrame:
         if self.germline is None:
             raise ValueError("this calculation needs a germline set")
-        return resolve(self.rearrangements, self.germline)
+        if self._resolved is None:
+            self._resolved = resolve(self.rearrangements, self.germline)
+        return self._resolved
+
+    def resolved(self) -> DataFrame:
+        return self.chosen(self.all_resolved())
+
+    def release(self) -> None:
+        """Drops what ``run`` keeps."""
+        if self._resolved is not None:
+            self._resolved.unpersist()
 
     def grouped(self, rows: DataFrame) -> DataFrame:
         if self.members is None:
@@ -64,7 +99,9 @@ def gene_segment(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
 def cdr3(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
     out: dict[str, DataFrame] = {}
     rows = ctx.rearrangements
-    grouped = lambda: ctx.grouped(ctx.resolved() if ctx.germline is not None else rows)
+    named = lambda: ctx.all_resolved() if ctx.germline is not None else rows
+    # a computed length is there for the groups' filters, also of the letters
+    grouped = lambda: ctx.grouped(junction.with_length(named()) if "length" in calc.operations else named())
     for kind in ("aa", "nt"):
         if "length" in calc.operations:
             for tail, weighted in (("", True), ("_wo_duplicates", False)):
@@ -73,12 +110,14 @@ def cdr3(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
                 if ctx.members is not None:
                     pooled = junction.lengths(grouped(), kind, ("repertoire_group_id",), weighted)
                     out[f"length_{kind}{tail}_groups"] = junction.relative(junction.dense(pooled, ["repertoire_group_id", "productive"]), ["repertoire_group_id", "productive"])
+                    both = ["repertoire_group_id", "repertoire_id", "productive"]
+                    out[f"length_{kind}{tail}_group_repertoires"] = junction.relative(junction.dense(junction.lengths(grouped(), kind, tuple(both[:2]), weighted), both), both)
         if "distribution" in calc.operations:
             out[f"distribution_{kind}"] = junction.distribution(rows, kind)
             if ctx.members is not None:
                 out[f"distribution_{kind}_groups"] = junction.distribution(grouped(), kind, ("repertoire_group_id",))
     if {"shared", "compare"} & set(calc.operations):
-        shared = sharing.shares(ctx.resolved(), tuple(calc.levels))
+        shared = sharing.shares(ctx.all_resolved(), tuple(calc.levels))
         by_group = sharing.group_shares(shared, ctx.members) if ctx.members is not None else None
         if "shared" in calc.operations:
             out["share_repertoires"] = shared
@@ -88,12 +127,12 @@ def cdr3(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
         if "compare" in calc.operations:
             out["share_matrix"], out["share_detail"], out["share_diff"] = sharing.share_matrix(shared), sharing.shared_detail(shared), sharing.diff_detail(shared)
             if by_group is not None:
-                out["group_matrix"], out["group_detail"], out["group_diff"] = sharing.group_matrix(by_group), sharing.compare_groups(by_group), sharing.diff_groups(by_group)
+                out["group_matrix"], out["group_detail"], out["group_diff"] = sharing.group_matrix(by_group), sharing.by_weight(sharing.compare_groups(by_group)), sharing.by_weight(sharing.diff_groups(by_group))
     return out
 
 
 def filters(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
-    return {"filtered": ctx.grouped(ctx.resolved() if ctx.germline is not None else ctx.rearrangements).select("repertoire_group_id", *ctx.rearrangements.columns)}
+    return {"filtered": ctx.grouped(ctx.resolved() if ctx.germline is not None else ctx.chosen(ctx.rearrangements)).select("repertoire_group_id", *ctx.rearrangements.columns)}
 
 
 def clonal_assignment(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
@@ -104,25 +143,39 @@ def clonal_assignment(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
     return out
 
 
+def _summed(ctx: Context, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Sums by position; the rows' own columns fan out after keys and weight are with them."""
+    if ctx.positions is not None:
+        return mutations.weighted(ctx.positions, rows, by)
+    return mutations.summed(mutations.from_rows(rows.withColumn("w", weight()), *by, "w"), by)
+
+
 def mutation(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
-    if ctx.positions is None:
-        raise ValueError("mutations need the long position table")
     rows, out = ctx.resolved(), {}
     for level in calc.levels or ["repertoire"]:
+        if level == "rearrangement":
+            own = ctx.chosen(ctx.rearrangements)
+            positions = ctx.positions if ctx.positions is not None else mutations.from_rows(own)
+            out["mutation_rows"] = mutations.mutation_rows(own.drop(*[c for c in own.columns if c.startswith("mu_")]), own.select("sequence_id", *REGIONS), positions)
+            continue
         if level == "repertoire_group":
-            by = ("repertoire_group_id", "repertoire_id")
-            rolled = mutations.rolled_up(mutations.weighted(ctx.positions, ctx.grouped(rows), by), by)
+            by, keyed = ("repertoire_group_id", "repertoire_id"), ctx.grouped(rows)
         else:
             key = {"repertoire": "repertoire_id", "clone": "clone_id"}.get(level, level)
             by = {"repertoire_id": ("repertoire_id",), "clone_id": ("repertoire_id", "clone_id")}.get(key, ("repertoire_id", "segment"))
-            rolled = mutations.rolled_up(mutations.weighted(ctx.positions, mutations.keyed_rows(rows, key), by), by)
+            keyed = mutations.keyed_rows(rows, key)
+        by_position = _summed(ctx, keyed, by)
+        rolled = mutations.rolled_up(by_position, by)
         if "count" in calc.operations:
             out[f"mutation_counts_{level}"] = rolled
+            out[f"mutation_count_report_{level}"] = mutations.wide_counts(rolled, by, mutations.sequence_totals(keyed, by), mutations.unique_positions(by_position, by))
         if "frequency" in calc.operations:
-            out[f"mutation_frequencies_{level}"], out[f"mutation_ratios_{level}"] = mutations.frequencies(rolled, by), mutations.region_ratios(rolled, by)
-            if level == "repertoire" and ctx.members is not None:
-                out["mutation_group_frequencies"] = mutations.group_frequencies(rolled, ctx.members)
-                out["mutation_group_ratios"] = mutations.group_ratios(mutations.region_ratios(rolled, by), ctx.members)
+            frequency, ratios = mutations.frequencies(rolled, by), mutations.region_ratios(rolled, by)
+            out[f"mutation_frequencies_{level}"], out[f"mutation_ratios_{level}"] = frequency, ratios
+            out[f"mutation_frequency_report_{level}"] = mutations.wide_frequencies(frequency, ratios, by)
+            if level == "repertoire_group":
+                out["mutation_group_frequencies"], out["mutation_group_ratios"] = mutations.group_frequencies(rolled), mutations.group_ratios(ratios)
+                out["mutation_group_report"] = mutations.wide_group_frequencies(rolled)
     return out
 
 
@@ -132,13 +185,14 @@ CALCULATIONS: dict[str, Callable[[Context, Calculation], dict[str, DataFrame]]]
 
 
 def run(ctx: Context, calculations: list[Calculation | dict]) -> dict[str, DataFrame]:
-    """Result tables by name. An unknown type is an error before anything is computed."""
+    """Result tables by name. An unknown type, repertoire or member is an error before anything is computed."""
     calcs = [Calculation(**c) if isinstance(c, dict) else c for c in calculations]
     for c in calcs:
         if c.type not in CALCULATIONS:
             raise ValueError(f"no such calculation: {c.type}")
-    if len(calcs) > 1:
-        ctx.rearrangements.persist(StorageLevel.MEMORY_AND_DISK)
+    ctx.check()
+    if len(calcs) > 1 and ctx.germline is not None:
+        ctx.all_resolved().persist(StorageLevel.MEMORY_AND_DISK)
     out: dict[str, DataFrame] = {}
     for c in calcs:
         out.update(CALCULATIONS[c.type](ctx, c))

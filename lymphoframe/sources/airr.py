@@ -23,12 +23,16 @@ def read_rearrangements(spark: SparkSession, paths: str | list[str]) -> DataFram
     """Tab-separated rows (``.gz`` too): known columns typed, others as text, plus ``source_file`` and
     ``ord``, the input order. A missing file fails when the plan is made.
 
-    Files may differ in their columns: they are read by header and united by name, a missing column is
-    null. Empty text stays empty; an empty number or boolean is null."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
+    Files may differ in their columns: those with one header are read at once, and the few headers
+    united by name, a missing column is null. Empty text stays empty; an empty number or boolean is
+    null."""
+    form = {"sep": "\t", "header": True, "inferSchema": False, "nullValue": None, "emptyValue": "", "quote": ""}
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        headers.setdefault(tuple(spark.read.csv(path, **form).columns), []).append(path)
     out = None
-    for path in paths:
-        rows = spark.read.csv(path, sep="\t", header=True, inferSchema=False, nullValue=None, emptyValue="", quote="")
+    for columns, alike in headers.items():
+        rows = spark.read.csv(alike, schema=T.StructType([T.StructField(c, T.StringType()) for c in columns]), **form)
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     typed = []
     for name in out.columns:

@@ -102,27 +102,39 @@ SELECT n AS pos,
   CASE WHEN n <= 26 THEN n WHEN n <= 38 THEN n - 26 WHEN n <= 55 THEN n - 38 WHEN n <= 65 THEN n - 55 ELSE n - 65 END AS pos_in_region
 FROM numbers WHERE n BETWEEN 1 AND 104
 """,
-    "mutation_positions": """
-WITH h AS (
-  SELECT g.sequence_id, g.fwr1, g.cdr1, g.fwr2, g.cdr2, g.fwr3,
-    concat(md5(concat('r', g.sequence_id)), md5(concat('s', g.sequence_id)), md5(concat('t', g.sequence_id)), md5(concat('u', g.sequence_id))) AS x
-  FROM regions g),
-p AS (
-  SELECT h.sequence_id, d.pos, d.region, d.region_class, substr(h.x, d.pos, 1) AS c,
+    "mutation_sequences": """
+SELECT g.sequence_id, g.fwr1, g.cdr1, g.fwr2, g.cdr2, g.fwr3,
+  concat(md5(concat('r', g.sequence_id)), md5(concat('s', g.sequence_id)), md5(concat('t', g.sequence_id)), md5(concat('u', g.sequence_id))) AS x
+FROM regions g
+""",
+    "nation_members": """
+SELECT concat('g_region', cast(n_regionkey AS string)) AS repertoire_group_id, concat('rep', cast(n_nationkey AS string)) AS repertoire_id FROM nation
+""",
+}
+
+
+def _positions(sequences: str, *carried: str) -> str:
+    """The long form of a table of mutation sequences: a row per sequence and position."""
+    keys = "".join(f", {c}" for c in carried)
+    return f"""
+WITH p AS (
+  SELECT h.sequence_id, d.pos, d.region, d.region_class, substr(h.x, d.pos, 1) AS c{"".join(f", h.{c}" for c in carried)},
     replace(substr(CASE d.region WHEN 'fwr1' THEN h.fwr1 WHEN 'cdr1' THEN h.cdr1 WHEN 'fwr2' THEN h.fwr2 WHEN 'cdr2' THEN h.cdr2 ELSE h.fwr3 END, 3 * (d.pos_in_region - 1) + 1, 3), '-', '.') AS codon
-  FROM h CROSS JOIN position_dim d)
-SELECT sequence_id, pos, region, region_class,
+  FROM {sequences} h CROSS JOIN position_dim d)
+SELECT sequence_id, pos, region, region_class{keys},
   CASE WHEN codon = '...' OR codon = '' THEN 0 WHEN c IN ('0', '1') THEN 1 WHEN c = '2' THEN 2 ELSE 0 END AS r,
   CASE WHEN codon = '...' OR codon = '' THEN 0 WHEN c IN ('3', '1') THEN 1 ELSE 0 END AS s,
   codon <> '...' AND codon <> '' AS mutable
 FROM p
-""",
-}
+"""
+
+
+VIEWS["mutation_positions"] = _positions("mutation_sequences")
 
 #: What each view reads among the others.
 NEEDS = {
     "numbers": (), "germline": ("numbers",), "rearrangements": (), "group_members": ("numbers",), "regions": ("rearrangements",),
-    "position_dim": ("numbers",), "mutation_positions": ("regions", "position_dim"),
+    "position_dim": ("numbers",), "mutation_sequences": ("regions",), "nation_members": (), "mutation_positions": ("mutation_sequences", "position_dim"),
 }
 
 
@@ -146,6 +158,11 @@ def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.table(name) for name in names]
 
 
+def positions_of(spark: SparkSession, sequences: DataFrame, *carried: str) -> DataFrame:
+    """``mutation_positions`` of these rows of ``mutation_sequences``, with the columns they carry."""
+    return spark.sql(_positions("{sequences}", *carried), sequences=sequences)
+
+
 def with_views(sql: str, *names: str) -> str:
     """``sql`` (its own CTEs after a leading WITH) behind the views it needs, for DuckDB."""
     ctes = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in closure(names))

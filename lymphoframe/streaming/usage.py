@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lymphoframe.functions.calls import resolve
 from lymphoframe.operators.segments import usage
 
+KEYS = ["repertoire_id", "field", "level", "mode", "productive", "name"]
 
-def usage_stream(rows: DataFrame, germline: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """``rows`` is a streaming frame of rearrangements. The counts so far are the memory table ``name``;
-    state holds one row per repertoire, field, level and name, which the germline set bounds."""
-    counted = usage(resolve(rows, germline))
-    return counted.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint).start()
+
+def usage_stream(rows: DataFrame, germline: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """``rows`` is a streaming frame of rearrangements. Each batch writes the counts that it changed to
+    ``path``/batch=N (a repeated batch writes the same folder again); state holds one row per
+    repertoire, field, level and name, which the germline set bounds."""
+
+    def put(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return usage(resolve(rows, germline)).writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).start()
+
+
+def usage_now(spark: SparkSession, path: str) -> DataFrame:
+    """The counts so far: of each key the row of its last batch."""
+    counts = F.struct("sequence_count", "duplicate_count")
+    return spark.read.parquet(path).groupBy(*KEYS).agg(F.max_by(counts, "batch").alias("c")).select(*KEYS, "c.*")

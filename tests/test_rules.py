@@ -119,7 +119,7 @@ def test_ratios_and_group_statistics(spark):
     got = {r.region_class: r.rsratio for r in mutations.region_ratios(rolled, ("repertoire_id",)).collect()}
     assert got["fwr"] == math.inf and math.isnan(got["cdr"])
     members = spark.createDataFrame([("g", x) for x in ("a", "b", "c")], "repertoire_group_id string, repertoire_id string")
-    stats = {r.field: r for r in mutations.group_frequencies(rolled, members).where("scope = 'global'").collect()}
+    stats = {r.field: r for r in mutations.group_frequencies(rolled.withColumn("repertoire_group_id", F.lit("g"))).where("scope = 'global'").collect()}
     assert stats["freq"].N == 1 and abs(stats["freq"].avg - 0.1) < 1e-12 and stats["freq"]["std"] == 0
     values = spark.createDataFrame([("g", "a", "x", 1.0), ("g", "b", "x", 2.0)], "repertoire_group_id string, repertoire_id string, name string, v double")
     r = groups.group_mean_std(values, members, ["name"], ["v"]).first()
@@ -161,6 +161,86 @@ def test_spec_runs_and_rejects(spark, germline):
         run(Context(data), [{"type": "gene_segment", "operations": ["usage"]}])
 
 
+def _mutated(spark, *values):
+    """Rows with their mutation columns: position 5 of the first has two replacements, and so on."""
+    data = rows(spark, *[{k: v for k, v in x.items() if k != "at"} for x in values])
+    for p in range(1, 105):
+        for k in "rs":
+            hit = F.lit(0)
+            for n, x in enumerate(values):
+                hit = F.when(F.col("sequence_id") == f"s{n}", x["at"].get((p, k), 0)).otherwise(hit)
+            data = data.withColumn(f"mu_count_{p}_{k}", hit)
+    for r, n in (("fwr1", 26), ("cdr1", 12), ("fwr2", 17), ("cdr2", 10), ("fwr3", 39)):
+        data = data.withColumn(r, F.lit("ACG" * (n - 1) + "..."))
+    return data
+
+
+def test_group_mutation_statistics_see_the_filter(spark, germline):
+    data = _mutated(spark, {"repertoire_id": "a", "v_call": "A*01", "at": {(5, "r"): 2}}, {"repertoire_id": "a", "v_call": "B*01", "at": {}}, {"repertoire_id": "b", "v_call": "A*01", "at": {(30, "s"): 1}})
+    members = spark.createDataFrame([(g, r) for g in ("all", "only_a") for r in ("a", "b")], "repertoire_group_id string, repertoire_id string")
+    filters = {"only_a": {"op": "=", "content": {"field": "v_gene", "value": "A"}}}
+    calc = Calculation("mutations", ["count", "frequency"], ["rearrangement", "repertoire", "v_gene", "repertoire_group"])
+    out = run(Context(data, germline, members, filters), [calc])
+    stats = {(r.repertoire_group_id, r.field): r for r in out["mutation_group_frequencies"].where("scope = 'global'").collect()}
+    n = 99 * 3  # mutable letters of a row
+    assert abs(stats["all", "freq_r"].avg - (2 / (2 * n) + 0) / 2) < 1e-12 and abs(stats["only_a", "freq_r"].avg - (2 / n + 0) / 2) < 1e-12
+    wide = {r.repertoire_group_id: r for r in out["mutation_group_report"].collect()}
+    assert len(out["mutation_group_report"].columns) == 2 + 3 * 480 and wide["only_a"].N == 2 and abs(wide["only_a"].mu_freq_r_avg - 1 / n) < 1e-12 and wide["all"].mu_freq_5_r_N == 2
+    report = {r.repertoire_id: r for r in out["mutation_count_report_repertoire"].collect()}
+    assert (report["a"].mu_seq_count, report["a"].mu_unique_r, report["b"].mu_unique_s, report["a"].mu_count_fwr1_r, report["a"].mu_total_count) == (2, 1, 1, 2, 2 * n)
+    assert len(report["a"]) == 1 + 668
+    row = {r.sequence_id: r for r in out["mutation_rows"].collect()}["s0"]
+    assert (row.mu_count_r, row.mu_count_r_aa, row.mu_count_fwr1_r, row.mu_count_cdr1_s_aa, row.fwr1_aa[-1], row.mu_total_count_fwr1) == (2, 1, 2, 0, ".", 75)
+
+
+def test_missing_lengths_are_filled_before_the_group_filter(spark, germline):
+    data = rows(spark, {"junction_aa": "CASSF"}, {"junction_aa": "CAS", "junction_aa_length": 3})
+    members = spark.createDataFrame([("g", "r")], "repertoire_group_id string, repertoire_id string")
+    filters = {"g": {"op": "=", "content": {"field": "junction_aa_length", "value": 5}}}
+    out = run(Context(data, germline, members, filters), [{"type": "CDR3", "operations": ["length"]}])
+    assert [(r.length, r["count"]) for r in out["length_aa_groups"].where("count > 0 and not productive").collect()] == [(5, 1.0)]
+    assert out["length_aa_group_repertoires"].where("not productive").count() == 6
+
+
+def test_unknown_repertoires_and_members_are_errors(spark, germline):
+    data = rows(spark, {"repertoire_id": "a", "v_call": "A*01"}, {"repertoire_id": "b", "v_call": "A*01"})
+    known = spark.createDataFrame([("a",), ("b",)], "repertoire_id string")
+    members = spark.createDataFrame([("g", "a"), ("g", "z")], "repertoire_group_id string, repertoire_id string")
+    usage = [{"type": "gene_segment", "operations": ["usage"]}]
+    assert {r.repertoire_id for r in run(Context(data, germline, repertoires=known, selected=["a"]), usage)["usage"].collect()} == {"a"}
+    with pytest.raises(ValueError, match="lacks: q"):
+        run(Context(data, germline, repertoires=known, selected=["a", "q"]), usage)
+    with pytest.raises(ValueError, match=r"z \(g\)"):
+        run(Context(data, germline, members, repertoires=known), usage)
+
+
+def test_comparison_details_come_by_weight(spark, germline):
+    data = resolve(rows(spark, *[{"repertoire_id": r, "junction_aa": j, "duplicate_count": n} for r, j, n in (("a", "X", 1), ("b", "X", 2), ("a", "Y", 9), ("b", "Y", 1))]), germline)
+    groups_of = spark.createDataFrame([("g", "a"), ("h", "b")], "repertoire_group_id string, repertoire_id string")
+    detail = sharing.by_weight(sharing.compare_groups(sharing.group_shares(sharing.shares(data, ("aa",)), groups_of)))
+    assert [(r.cdr3, r.duplicate_count_a) for r in detail.collect()] == [("Y", 9), ("X", 2), ("X", 1), ("Y", 1)]
+
+
+def test_tally_counts_what_rows_count(spark, germline):
+    data = rows(spark, *[{"v_call": v, "d_call": d, "j_call": "J1*01", "duplicate_count": n, "productive": p} for v, d, n, p in (("A*01,B*01", None, 3, True), ("A*01", "", None, None), ("A*01,B*01", "", 4, False), (None, "Z", 2, True), ("", None, 1, True))])
+    key = lambda df: sorted((*(str(r[c]) for c in sorted(df.columns)),) for r in df.collect())
+    by_row = resolve(data, germline)
+    assert key(segments.usage(by_row)) == key(segments.usage(resolve(segments.tally(data, apart=True), germline)))
+    for combo, parts in segments.COMBOS.items():
+        assert key(segments.combos(by_row, combo)) == key(segments.combos(resolve(segments.tally(data, segments=parts), germline, parts), combo))
+
+
+@pytest.mark.parametrize("ranges", [2, 3, 64])
+def test_clone_numbers_do_not_depend_on_the_ranges(spark, ranges):
+    data = [("r" if k % 3 else "q", f"run-7.{k * 7919 % 1000:04d}") for k in range(300)] + [("one", "x"), ("é", "ab"), ("é", "ab\u00e9"), ("é", "abz")]
+    got = clones.numbered(spark.createDataFrame(data, "repertoire_id string, first_ord string"), ranges).collect()
+    for rep in {r for r, _ in data}:
+        mine = sorted((r.clone_id, r.first_ord) for r in got if r.repertoire_id == rep)
+        assert [x for _, x in mine] == sorted(x for r, x in data if r == rep) and [n for n, _ in mine] == list(range(1, len(mine) + 1))
+    numbers = spark.createDataFrame([("r", k * 31 % 97) for k in range(97)], "repertoire_id string, first_ord long")
+    assert all(r.clone_id == r.first_ord + 1 for r in clones.numbered(numbers, ranges).collect())
+
+
 def test_plans_broadcast_dimensions_and_stay_out_of_python(spark, sf):
     for name in ("usage_exists", "group_usage_stats", "share_matrix_shared", "clone_collapse", "mutation_group_freq_stats"):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()

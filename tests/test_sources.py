@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lymphoframe.plans.queries import views
-from lymphoframe.plans.sinks import per_key_tsv, wide_lengths, wide_matrix, write_parquet, write_reports, write_tsv
+from lymphoframe.plans.sinks import per_key_tsv, wide_lengths, wide_matrix, write_length_reports, write_parquet, write_reports, write_tsv
 from lymphoframe.sources import airr
-from lymphoframe.streaming.usage import usage_stream
+from lymphoframe.streaming.usage import usage_now, usage_stream
 
 
 def test_rearrangement_files(spark, tmp_path):
@@ -47,7 +47,11 @@ def test_reports(spark, tmp_path):
     assert spark.read.parquet(paths[1]).count() == 2 and (tmp_path / "r" / "two.stage" / "repertoire_id=a").is_dir()
     write_reports({"one": df}, str(tmp_path / "q"), form="tsv")
     lengths = spark.createDataFrame([("r", False, 0, 0.0), ("r", False, 1, 2.0)], "repertoire_id string, productive boolean, length long, count double")
-    assert wide_lengths(lengths, 2).first()["2"] is None and wide_lengths(lengths, 2).first()["1"] == 2.0
+    wide = wide_lengths(lengths, 2).first()
+    assert wide["2"] is None and wide["1"] == 2.0 and (wide["total"], wide["avg"]) == (2.0, 1.0)
+    grouped = lengths.select(F.lit("g").alias("repertoire_group_id"), "*", (F.col("count") / 2).alias("relative"))
+    paths = write_length_reports({"length_aa_group_repertoires": grouped}, str(tmp_path / "w"), 2)
+    assert [next(tmp_path.joinpath("w", x.rsplit("/", 1)[1]).glob("part-*")).read_text().splitlines()[1] for x in paths] == ["g\tr\tfalse\t2.0\t1.0\t0.0\t2.0\t", "g\tr\tfalse\t1.0\t1.0\t0.0\t1.0\t"]
     pairs = spark.createDataFrame([("aa", "x", "y", 3)], "level string, repertoire_id_a string, repertoire_id_b string, n long")
     assert wide_matrix(pairs, "n", ["x", "y"]).first()["y"] == 3
 
@@ -56,7 +60,7 @@ def test_usage_stream_equals_batch(spark, sf, tmp_path):
     rows, germline = views(spark, sf, "rearrangements", "germline")
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = usage_stream(stream, germline, "usage_now", str(tmp_path / "cp"))
+    query = usage_stream(stream, germline, str(tmp_path / "now"), str(tmp_path / "cp"))
     query.processAllAvailable()
     query.stop()
     from lymphoframe.functions.calls import resolve
@@ -64,4 +68,4 @@ def test_usage_stream_equals_batch(spark, sf, tmp_path):
 
     keys = ["repertoire_id", "field", "level", "mode", "productive", "name"]
     key = lambda df: {tuple(r[k] for k in keys): round(r.sequence_count, 6) for r in df.select(*keys, F.col("sequence_count")).collect()}
-    assert key(spark.table("usage_now")) == key(usage(resolve(rows, germline)))
+    assert key(usage_now(spark, str(tmp_path / "now"))) == key(usage(resolve(rows, germline)))
