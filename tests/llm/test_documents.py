@@ -332,6 +332,33 @@ def test_packing_puts_like_with_like(spark):
     assert sum(a == b for a, b in zip(order, order[1:], strict=False)) >= 4
 
 
+def test_packing_retrieves_by_bm25(spark, texts):
+    """An index of real documents ranks as brute-force BM25 over the same ids does."""
+    import numpy as np
+
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    docs = [(i, 0, 0, np.array([*library.encode_ordinary(t)[:1000], 0], np.uint32)) for i, t in sorted(texts.items())]
+    seen = collections.Counter(x for d in docs for x in set(d[3].tolist()))
+    mean = sum(len(d[3]) for d in docs) / len(docs)
+    idf = np.zeros(60_000)
+    for x, n in seen.items():
+        idf[x] = np.log1p((len(docs) - n + 0.5) / (n + 0.5))
+    shard = packing._Shard(docs, idf, mean)
+    found = 0
+    for q in range(0, len(docs), 7):
+        query, scores = set(docs[q][3].tolist()), []
+        for d in docs:
+            tf = collections.Counter(d[3].tolist())
+            scores.append(sum(idf[x] * tf[x] * 2.2 / (tf[x] + 1.2 * (0.25 + 0.75 * len(d[3]) / mean)) for x in query if x in tf))
+        best = sorted((k for k in range(len(docs)) if k != q), key=lambda k: (-scores[k], k))
+        found += best[0] in [k for k in shard.ranked(shard.own(q))[:5].tolist() if k != q]
+        packing.POSTINGS, before = 10**9, packing.POSTINGS
+        whole = [k for k in shard.ranked(shard.own(q)).tolist() if k != q]
+        packing.POSTINGS = before
+        assert [round(scores[k], 6) for k in whole[:10]] == [round(scores[k], 6) for k in best[:10]]
+    assert found >= 0.9 * len(range(0, len(docs), 7))
+
+
 # 9 ----------------------------------------------------------------------------------------------
 
 PATTERNS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 16), ("hex", re.compile("[0-9a-f]+"), 0, 32)]
