@@ -1,19 +1,28 @@
 """HTML extraction by tag-path ratios.
 
-A page is read as a stream of tags; text between block-level tags forms blocks. Each block lies on
-a root-to-leaf tag path (steps carry class and id; inline markup does not count). Over a page, every
-path gets the length of its text and its punctuation, each divided by its number of blocks; both
-series are smoothed over neighbouring blocks, fused with a prior from what the path's names say
-(article or main, or menu, advert, form and the like), and thresholded. The smallest container
-that holds the chosen text is the article; its blocks are the result, less those on paths that the
-prior rules out. Blocks that are mostly links never choose the container; inside it they go only where
-they are navigation: two or more in a row on one path, neither headings nor paragraphs, and the path has a
-low score. A linked headline, sentence, single item or list of references stays.
-
-Pages are independent: one pass of Arrow batches, no shuffle; a page's memory is a few times its size.
-
-Defined results: null html counts as empty; a page without content has an empty text; unclosed and
-stray tags are tolerated as browsers do; repeated rows give equal results; other columns pass through.
+A page is read as a stream of tags; text between block-level tags forms blocks. Each block lies on a
+root-to-leaf tag path (steps carry class and id; inline markup does not count). Over a page, every path
+gets the length of its text and its punctuation, each divided by its number of blocks. Both ratios are
+smoothed over neighbouring blocks and fused: length * (1 + punctuation) * what the markup says (0 for
+navigation, footers, asides, hidden parts; little for forms and for names that speak against the
+text alone; a little more for article, main and names that speak for it; names that say both say
+nothing). Blocks whose fused ratio reaches ``THRESHOLD`` of its mean over the page's letters are
+content; blocks that are mostly links never are.
+
+Content is then followed down the tree. Where it lies in one container, that container is looked
+into; where it lies in paragraphs of a container, that container is an article and its text stays
+whole, short paragraphs, headings, lists and tables included; where it lies in several containers,
+each is looked into on its own, so that all articles of a page stay and what stands between them
+goes. Where article and main elements hold most of the content, only theirs counts. Inside an article go: what the markup rules out, names that speak against the text where the
+ratio does not outweigh them, and navigation (two or more mostly linked blocks in a row on one path
+that are neither headings nor paragraphs and have a low ratio). Of a header, the headings stay.
+
+Pages are independent: one pass of Arrow batches, no shuffle. Reading is linear in the page: no tag,
+quote or comment left open is searched for twice.
+
+Defined results: null html counts as empty; a page without content has an empty text; stray and
+unclosed tags are tolerated as browsers do, a tag without its end is text; repeated rows give equal
+results; other columns pass through, an older ``text`` is replaced.
 """
 
 from __future__ import annotations
@@ -33,62 +42,92 @@ from lymphoframe.llm.common import small_batches, table
 #: Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video")
-NEVER = frozenset("head nav footer aside form button select textarea option dialog menu fieldset".split())
+RAW = {name: re.compile(rf"</{name}\b[^>]*+>?", re.I) for name in ("script", "style", "noscript", "iframe", "title", "textarea")}
+NEVER = frozenset("head nav footer aside button select option dialog menu svg math template object canvas audio video".split())
+IN_HEAD = frozenset("title meta link style script base noscript template".split())
+CONTAINER = frozenset("html body div article main section center form fieldset table tbody thead tfoot tr td".split())
 MAIN = frozenset(("article", "main"))
-CONTAINER = frozenset("html body div article main section td center".split())
-#: A start tag of the key's group ends an open element of these names.
-ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Menu items are a few words without punctuation: characters a block times (1 + punctuation marks a block).
-NAVIGATION = 40
-
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</\1\s*>|\Z))"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
-#: Words of class and id names; camelCase and joined names are split before.
-NOT_TEXT = re.compile(
+#: A start tag of the key's group ends an open element of these names (any other block: an open p).
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), **{h: ("p", *HEADINGS) for h in HEADINGS}}
+#: An end that is implied looks through these open elements.
+THROUGH = frozenset(("p", "td", "th", *HEADINGS))
+
+TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)|[!?])")
+REST = re.compile(r"(?>=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+>")
+ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
+#: Words of class and id names that speak against the text, and for it; camelCase and joined names are split before.
+AGAINST = re.compile(
     r"\b(ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|nav\w*|menus?|breadcrumbs?|sidebars?|side|aside|widgets?|foot\w*|"
     r"masthead|topbar|toolbar|comments?|commentlist|disqus|repl(?:y|ies)|respond|discussion|share|sharing|social|related|recommend\w*|newsletter|subscri\w*|signup|login|search|form|pagination|pager|copyright|legal|tags|byline|meta)\b", re.I)
+FOR = re.compile(r"\b(article|post|entry|story|content|body|main|text)\b", re.I)
 HEADER = re.compile(r"\b(header|head)\b", re.I)
-TEXTUAL = re.compile(r"\b(article|post|entry|story|content|body|main|text)\b", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])|[_\-]+")
 SPACE = re.compile(r"\s+")
 
+#: Share of the page's mean fused ratio from which a block is content.
+THRESHOLD = 0.5
+#: Factors of the fused ratio.
+LITTLE, MORE, MOST = 0.05, 1.25, 2.0
+#: Menu items are a few words without punctuation: characters a block times (1 + punctuation marks a block).
+NAVIGATION = 40
+LINKED = 0.6
+#: Content in paragraphs of a container from this share on makes it an article; a container that lacks less than this holds all.
+SHARE = 0.05
 
-class _Element:
-    __slots__ = ("name", "step", "dead", "main", "inline", "header")
 
-    def __init__(self, name: str, attributes: str, parent: _Element | None):
-        found = {k.lower(): a or b or c or "" for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip(" /") else {}
-        names = CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}")
+class _Element:
+    __slots__ = ("name", "parent", "path", "inline", "prior", "header", "main", "items", "mass")
+
+    def __init__(self, name: str, attributes: str, parent: _Element | None, paths: dict):
+        found: dict[str, str] = {}
+        if attributes.strip(" /"):
+            for k, v in ATTRIBUTE.findall(attributes):
+                found.setdefault(k.lower(), v[1:-1] if v[:1] in "\"'" else v)
+        self.name, self.parent, self.inline = name, parent, name in INLINE
+        self.items: list[_Element | _Block] = []
+        self.mass = 0
+        above = parent is not None
         role = found.get("role", "").lower()
-        inside = parent is not None and parent.main
-        main = name in MAIN or role in ("main", "article") or "articleBody" in found.get("itemprop", "")
-        page = name in ("html", "body") or main
-        self.name, self.step, self.inline = name, f"{name}.{names.strip()}" if names.strip() else name, name in INLINE
-        self.dead = bool(parent and parent.dead) or name in NEVER or role in ROLES or "hidden" in found and found["hidden"].lower() != "false" or found.get("aria-hidden", "").lower() == "true" \
-            or "display:none" in found.get("style", "").replace(" ", "").lower() or (not page and bool(NOT_TEXT.search(names)))
-        self.header = bool(parent and parent.header) or name == "header" or (not page and name not in HEADINGS and bool(HEADER.search(names)) and not TEXTUAL.search(names))
-        self.main = inside or main
+        own_main = name in MAIN or role in ("main", "article") or "articleBody" in found.get("itemprop", "")
+        page = name in ("html", "body") or own_main
+        names = CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").strip() if "class" in found or "id" in found else ""
+        against, speaks = bool(names and AGAINST.search(names)), bool(names and FOR.search(names))
+        hidden = "hidden" in found and found["hidden"].lower() != "false" or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+        factor = 1.0
+        if name in NEVER or role in ROLES or hidden:
+            factor = 0.0
+        elif name in ("form", "fieldset") or against and not speaks and not page:
+            factor = LITTLE
+        elif own_main or speaks and not against:
+            factor = MORE
+        self.prior = min(MOST, (parent.prior if above else 1.0) * factor)
+        self.header = bool(above and parent.header) or name == "header" or not page and not speaks and name not in HEADINGS and bool(names and HEADER.search(names))
+        self.main = bool(above and parent.main) or own_main
+        if self.inline:
+            self.path = parent.path if above else 0
+        else:
+            self.path = paths.setdefault((parent.path if above else 0, f"{name}.{names}"), len(paths) + 1)
 
 
 class _Block:
-    __slots__ = ("chain", "parts", "linked", "text")
+    __slots__ = ("element", "parts", "linked", "text", "fused", "ratio", "content", "mass")
 
-    def __init__(self, chain: tuple[_Element, ...]):
-        self.chain, self.parts, self.linked, self.text = chain, [], 0, ""
+    def __init__(self, element: _Element):
+        self.element, self.parts, self.linked, self.text, self.content = element, [], 0, "", False
 
 
-def blocks(page: str) -> list[_Block]:
-    """The page's blocks in order, each with the block-level elements around it."""
-    stack: list[_Element] = []
+def read(page: str) -> tuple[_Element, list[_Block]]:
+    """The root of the page's tree and its blocks in order, each in the block-level element around it."""
+    paths: dict = {}
+    root = _Element("", "", None, paths)
+    stack, below = [root], [0]  # below: of each open element, where the nearest block-level one at or before it stands
+    opened: dict[str, int] = defaultdict(int)
     out: list[_Block] = []
     open_block: _Block | None = None
-    links = 0
+    links = at = 0
 
     def text(raw: str) -> None:
         nonlocal open_block
@@ -97,51 +136,91 @@ def blocks(page: str) -> list[_Block]:
         if open_block is None:
             if not raw.strip():
                 return
-            open_block = _Block(tuple(e for e in stack if not e.inline))
+            element = stack[below[-1]]
+            open_block = _Block(element)
+            element.items.append(open_block)
             out.append(open_block)
         open_block.parts.append(raw)
         if links:
             open_block.linked += len(raw.strip())
 
-    at = 0
-    for m in TOKEN.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        name = m[3]
+    def close(k: int) -> None:
+        """Ends the open elements from place k on."""
+        nonlocal open_block, links
+        for e in stack[k:]:
+            opened[e.name] -= 1
+            links -= e.name == "a"
+            if not e.inline:
+                open_block = None
+        del stack[k:], below[k:]
+
+    search = TAG.search
+    while (m := search(page, at)) is not None:
+        comment, end, name = m.groups()
+        if comment:
+            stop = page.find("-->", m.end())
+            text(page[at : m.start()])
+            at = len(page) if stop < 0 else stop + 3
+            continue
         if name is None:
+            stop = page.find(">", m.end())
+            if stop < 0:
+                break
+            text(page[at : m.start()])
+            at = stop + 1
             continue
+        rest = REST.match(page, m.end())
+        if rest is None:  # no tag ends from here on
+            break
+        text(page[at : m.start()])
+        at = rest.end()
         name = name.lower()
-        if m[2]:  # end tag: closes the nearest open element of its name
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    if any(not e.inline for e in stack[k:]):
-                        open_block = None
-                    del stack[k:]
-                    break
-            links = sum(e.name == "a" for e in stack) if name == "a" or links else 0
+        if end:
+            if opened[name] > 0:
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                close(k)
             continue
         if name == "br":
             text(" ")
             continue
         inline = name in INLINE
+        if opened["head"] > 0 and name not in IN_HEAD and name != "head":
+            close(next(k for k, e in enumerate(stack) if e.name == "head"))
         if not inline:
             open_block = None
-            ends = ENDS.get(name, ()) or ("p",)
-            for k in range(len(stack) - 1, -1, -1):
+            ends, k = ENDS.get(name, ("p",)), below[-1]
+            while k > 0:
                 if stack[k].name in ends:
-                    del stack[k:]
+                    close(k)
                     break
-                if not stack[k].inline and stack[k].name not in ("p", "td", "th", *HEADINGS):
+                if stack[k].name not in THROUGH:
                     break
-            links = sum(e.name == "a" for e in stack) if links else 0
+                k = below[k - 1]
         if name in VOID:
             continue
-        stack.append(_Element(name, m[4] or "", stack[-1] if stack else None))
+        attributes = page[m.end() : at - 1]
+        if name in RAW:
+            if not attributes.endswith("/"):
+                closing = RAW[name].search(page, at)
+                at = len(page) if closing is None else closing.end()
+            continue
+        element = _Element(name, attributes, stack[-1 if inline else below[-1]], paths)
+        if not inline:
+            stack[below[-1]].items.append(element)
+        elif element.prior == 0:  # hidden inline markup: its text is a block of its own
+            element.inline, element.parent = False, stack[below[-1]]
+            element.parent.items.append(element)
+            open_block = None
+        stack.append(element)
+        below.append(below[-1] if element.inline else len(stack) - 1)
+        opened[name] += 1
         links += name == "a"
     text(page[at:])
     for b in out:
         b.text = SPACE.sub(" ", html.unescape("".join(b.parts))).strip()
-    return [b for b in out if b.text]
+    return root, [b for b in out if b.text]
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -151,69 +230,134 @@ def _smooth(values: list[float]) -> list[float]:
 
 
 def _mostly_links(b: _Block) -> bool:
-    return b.linked > 0.6 * len(b.text)
+    return b.linked > LINKED * len(b.text)
 
 
-def _lives(b: _Block) -> bool:
-    if any(e.dead for e in b.chain):
-        return False
-    # of a header, only the headings inside the article stay
-    return not any(e.header for e in b.chain) or b.chain[-1].main and b.chain[-1].name in HEADINGS
+def mark(found: list[_Block], threshold: float) -> None:
+    """Ratios of the blocks' paths, smoothed and fused, and which blocks are content."""
+    length, points, number = defaultdict(int), defaultdict(int), defaultdict(int)
+    for b in found:
+        p = b.element.path
+        length[p] += len(b.text)
+        points[p] += len(PUNCTUATION.findall(b.text))
+        number[p] += 1
+    ratios = {p: (length[p] / n, points[p] / n) for p, n in number.items()}
+    by_length = _smooth([ratios[b.element.path][0] for b in found])
+    by_points = _smooth([ratios[b.element.path][1] for b in found])
+    for b, x, y in zip(found, by_length, by_points, strict=True):
+        long, marks = ratios[b.element.path]
+        b.ratio = long * (1 + marks)
+        b.fused = 0.0 if _mostly_links(b) or b.element.header else x * (1 + y) * b.element.prior
+    # the mean over the page's letters, of blocks that nothing speaks against if there are any
+    alive = [b for b in found if b.fused and b.element.prior >= 1] or [b for b in found if b.fused]
+    least = sum(b.fused * len(b.text) for b in alive) / max(sum(len(b.text) for b in alive), 1) * threshold
+    for b in found:
+        b.content = b.fused > 0 and b.fused >= least
+
+
+def _weigh(root: _Element) -> None:
+    """How much content lies in each element (parents before children, so sums run backwards)."""
+    order, todo = [], [root]
+    while todo:
+        e = todo.pop()
+        order.append(e)
+        todo += [x for x in e.items if isinstance(x, _Element)]
+    for e in reversed(order):
+        e.mass = sum(x.mass if isinstance(x, _Element) else len(x.text) * x.content for x in e.items)
+
+
+def articles(root: _Element) -> list[_Element]:
+    """The elements whose text is kept whole. Going down into one container may leave ``SHARE`` of the
+    content behind in all, however many containers there are."""
+    out, todo = [], [(root, root.mass)]
+    while todo:
+        e, mass = todo.pop()
+        holders = [x for x in e.items if isinstance(x, _Element) and x.name in CONTAINER and x.mass]
+        largest = max(holders, key=lambda x: x.mass, default=None)
+        most = (1 - SHARE) * mass
+        if not e.mass:
+            continue
+        if largest is not None and largest.mass >= most:
+            todo.append((largest, mass))
+        elif e.main or sum(x.mass for x in holders) < most:
+            out.append(e)
+        else:
+            todo += [(x, x.mass) for x in holders]
+            # lists, quotes and headings between the holders are theirs
+            places = [k for k, x in enumerate(e.items) if x in holders]
+            out += [x for x in e.items[places[0] : places[-1]] if isinstance(x, _Element) and x.name not in CONTAINER]
+    return out
 
 
-def _link_groups(found: list[_Block], paths: list[str], scores: list[float]) -> set[int]:
-    """The blocks that are navigation: two or more in a row on one path, mostly links, with a path score
-    (length and punctuation, not smoothed) below ``NAVIGATION``."""
+def _navigation(found: list[_Block]) -> set[int]:
+    """Two or more mostly linked blocks in a row on one path, neither headings nor paragraphs, with a low ratio."""
     out: set[int] = set()
     start = 0
     for k in range(1, len(found) + 1):
-        if k < len(found) and paths[k] == paths[start] and _mostly_links(found[k]) == _mostly_links(found[start]):
+        if k < len(found) and found[k].element.path == found[start].element.path and _mostly_links(found[k]) == _mostly_links(found[start]):
             continue
-        group = found[start:k]
-        last = group[0].chain[-1].name if group[0].chain else ""
-        if len(group) > 1 and _mostly_links(group[0]) and last not in HEADINGS and last != "p" and scores[start] < NAVIGATION:
-            out |= set(map(id, group))
+        b = found[start]
+        if k - start > 1 and _mostly_links(b) and b.element.name not in HEADINGS and b.element.name != "p" and b.ratio < NAVIGATION:
+            out |= set(map(id, found[start:k]))
         start = k
     return out
 
 
-def content(page: str | None) -> list[str]:
+def content(page: str | None, threshold: float = THRESHOLD) -> list[str]:
     """The main text's blocks in page order."""
-    found = blocks(page or "")
-    allowed = [b for b in found if _lives(b)]
-    live = [b for b in allowed if not _mostly_links(b)] or [b for b in allowed if any(e.main for e in b.chain)]
-    if not live:
+    root, found = read(page or "")
+    if not found:
         return []
-    length, points, number = defaultdict(int), defaultdict(int), defaultdict(int)
-    paths = ["/".join(e.step for e in b.chain) for b in found]
-    for path, b in zip(paths, found, strict=True):
-        length[path] += len(b.text)
-        points[path] += len(PUNCTUATION.findall(b.text))
-        number[path] += 1
-    by_length = _smooth([length[p] / number[p] for p in paths])
-    by_points = _smooth([points[p] / number[p] for p in paths])
-    alive = set(map(id, live))
-    prior = [0.0 if id(b) not in alive else 4.0 if b.chain and b.chain[-1].main else 2.0 if any(TEXTUAL.search(e.step) for e in b.chain) else 1.0 for b in found]
-    fused = [x * (1 + y) * w for x, y, w in zip(by_length, by_points, prior, strict=True)]
-    least = min(sum(fused) / len(live), max(fused)) / 2
-    chosen = [b for b, x in zip(found, fused, strict=True) if x and x >= least]
-    links = _link_groups(found, paths, [length[p] / number[p] * (1 + points[p] / number[p]) for p in paths])
-    body = [b for b in allowed if id(b) not in links]
-    # the smallest container with nearly all of the chosen text
-    weight: dict[int, int] = defaultdict(int)
-    elements: dict[int, _Element] = {}
-    for b in chosen:
-        for e in b.chain:
-            weight[id(e)] += len(b.text)
-            elements[id(e)] = e
-    whole = sum(len(b.text) for b in chosen)
-    mains = [k for k, e in elements.items() if e.name in MAIN and 2 * weight[k] > whole]
-    fit = mains or [k for k, e in elements.items() if e.name in CONTAINER and weight[k] >= 0.95 * whole]
-    if not fit:
-        return [b.text for b in live]
-    depth = lambda k: max(i for b in chosen for i, e in enumerate(b.chain) if id(e) == k)
-    root = max(fit, key=depth)
-    return [b.text for b in body if any(id(e) == root for e in b.chain)]
+    mark(found, threshold)
+    if not any(b.content for b in found):  # links alone: those of an article
+        for b in found:
+            b.content = b.element.prior > 0 and b.element.main and not b.element.header
+    inside, whole = (sum(len(b.text) for b in found if b.content and (b.element.main or every)) for every in (False, True))
+    if 2 * inside > whole:  # the page says where its articles are
+        for b in found:
+            b.content = b.content and b.element.main
+    _weigh(root)
+    chosen = articles(root)
+    if not chosen:
+        return []
+    home = {id(e): e for e in chosen}
+    around: dict[int, _Element | None] = {}  # of each element, the article it lies in
+
+    def article_of(e: _Element) -> _Element | None:
+        seen = []
+        while e is not None and id(e) not in around:
+            if id(e) in home:
+                around[id(e)] = e
+                break
+            seen.append(e)
+            e = e.parent
+        of = around[id(e)] if e is not None else None
+        for x in seen:
+            around[id(x)] = of
+        return of
+
+    parents = set()  # elements around an article: a title there is its title
+    for e in chosen:
+        e = e.parent
+        while e is not None and id(e) not in parents:
+            parents.add(id(e))
+            e = e.parent
+    links, out, begun = _navigation(found), [], False
+    for b in found:
+        e = b.element
+        of = article_of(e)
+        if e.prior == 0 or id(b) in links:
+            continue
+        if of is None:
+            title = not begun and e.name == "h1" and e.prior >= 1 and not e.header and e.parent is not None and id(e.parent) in parents
+        elif e.header:
+            title = e.name in HEADINGS and (e.main or of.name not in ("", "html", "body"))
+        else:
+            title = b.content or e.prior > LITTLE * MOST * of.prior
+            begun = begun or title
+        if title:
+            out.append(b.text)
+    return out
 
 
 def extract(df: DataFrame, column: str = "html") -> DataFrame:

@@ -1,6 +1,7 @@
 """Embedding near-dedup, HTML extraction and the pipeline against brute force."""
 
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -82,6 +83,35 @@ def test_linked_text_of_the_article_stays():
     assert pages.content(f"<article><h1>Title</h1><ul>{menu}</ul><p>{long}</p><p>{long}</p></article>") == ["Title", long.strip(), long.strip()]
 
 
+def test_pages_without_article_or_main():
+    """Tag-path ratios alone: names say nothing, the threshold decides."""
+    long = "A sentence of the body, with commas, and of some length, so that the path scores well."
+    page = f"<div class=x1><div>Buy now</div><div><a href=1>Home</a><a href=2>News</a></div><div class=x2><h1>Title</h1><p>{long}</p><p>Short.</p><ul><li>item one</ul><p>{long}</p></div><div class=x3><p>{{}}</p></div><div class=x4>Call us</div></div>"
+    first = ["Title", long, "Short.", "item one", long]
+    assert pages.content(page.format("tiny")) == first != pages.content(page.format("tiny"), threshold=0)
+    assert pages.content(page.format(long)) == [*first, long]  # two articles
+    assert pages.content(page.format(long).replace("x2", "content-share-legal")) == [*first, long]  # names that say both
+    assert pages.content(page.format(long).replace("x3", "comments")) == first
+    assert pages.content(f"<form><label>Name</label><div><h1>Title</h1><p>{long}</p><p>{long}</p></div></form>") == ["Title", long, long]
+    assert pages.content(f"<article><p>{long}</p></article><div>Next one</div><article><p>{long}</p><p>End.</p></article>") == [long, long, "End."]
+    assert pages.content("<p title=it's>first</p><p>second isn't here</p><p>third</p>") == ["first", "second isn't here", "third"]
+    assert pages.content("<head><title>T</title><p>no end of head") == ["no end of head"] and pages.content("x <b y") == ["x <b y"]
+
+
+@pytest.mark.parametrize("piece", ['<a b="', "<p class='", "<a <b ", "<!--", "<script>", "<b></p>", "<b><div></div>", "<h1><p></p>", "<svg>", "<div>x"])
+def test_reading_is_linear(piece):
+    sizes = []
+    for n in (20_000, 200_000):
+        began = time.process_time()
+        pages.content(piece * (n // len(piece)) + piece[:3] * 3)
+        sizes.append(time.process_time() - began)
+    assert sizes[1] < max(2.0, 40 * sizes[0])
+
+
+def test_deep_nesting_keeps_its_text():
+    assert len(pages.content("<div>x" * 3000)) >= 2800
+
+
 def test_html_query(spark, sf):
     html = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     for r in QUERIES["op10_html_text"](spark, sf).collect():
