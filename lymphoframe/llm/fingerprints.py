@@ -1,18 +1,23 @@
 """Document fingerprints: invertible Bloom lookup sketches of hashed paragraph cells. SQL functions only.
 
-A text is cut into short paragraph pieces (at line breaks, and inside a line after words that end
-in one of a few letters, so that cuts depend on nearby text alone). Each piece's digest is added
+A text is cut into paragraph pieces (at line breaks, behind sentences, and inside a sentence behind
+words that end in one of a few letters, so that cuts depend on nearby text alone). Each piece's digest is added
 to three cells of a sketch; a cell holds a count, the XOR of its digests and the XOR of their
 checks. Sketches are linear: subtracting one version's cells from the other's leaves the digests
 that differ, which peeling recovers from the cells that hold a single one. Where peeling stalls
 the two versions are sketched again with twice the cells.
 
-Sketches hold every digest of a text. The fingerprint's cells grow with the number of digests, a
-quarter of it at least. ``likeness`` is 2*common/(both) over whole digest sets, from the recovered
-difference: the first sketches have the cells that the expected difference needs (it is guessed from
-the digests with low zero bits, which decide nothing else), later ones twice as many up to the last
-of ``LARGE``. Where a sketch would be larger than the smaller digest set (a cell has 20 bytes, a
-digest 8), or past the last size, the digest sets themselves are compared; the result is the same.
+Sketches hold every digest of a text. A fingerprint is the sketch in writing; its cells grow with the
+number of digests, a quarter of it at least. ``likeness`` is 2*common/(both) over whole digest sets,
+from the digests that peeling recovers from the difference of two sketches. These have the cells
+that the expected difference needs (it is guessed from the digests with low zero bits, which decide
+nothing else). The few pairs where peeling stalls are sketched again with ``LARGER`` times the cells,
+up to ``RETRIES`` times; past that (by chance once in a million millions) the sets are compared.
+
+Cells are rows: sketches, subtraction and each round of peeling are hash aggregates over the cells of a
+document, in the task that holds the document. A round peels one third of the cells, where a digest
+has one cell, so that none is taken twice. Retries, and ``differing`` (which names the digests),
+do the same on arrays.
 
 Defined results: null text counts as empty; a text without pieces has an empty sketch, and two
 such texts have likeness 1; equal texts have equal fingerprints; ties in doc_id follow the text's
@@ -26,10 +31,13 @@ from pyspark.sql import functions as F
 
 from lymphoframe.llm.common import let, partitions, table
 
-#: Fixed value: where a line is cut: behind these letters, or after CJK full stops.
-CUT = r"(?<=[adgmpstyéß0-9.,;!?|&%$#*])\x20+|\n+|(?<=[。！？])"
+#: Fixed value: where a text is cut: at line breaks and CJK full stops, and at a space behind one of these.
+CUT = r"[\n。！？]+|\x20(?<=[.!?;:|%gpß]\x20)"
 GUESS = 20
-DIGEST_BYTES, CELL_BYTES = 8, 20
+#: Cells of a third for each expected digest, and the least number of them.
+ROOM, LEAST = 1.0, 16
+ROUNDS_OF_ROWS = 10
+LARGER, RETRIES = 4, 4
 LARGE = (48, 192, 768, 3072, 12288)
 ROUNDS = 12
 _CELL = "struct<cell:int,n:int,key:bigint,check:bigint>"
@@ -130,45 +138,109 @@ def expected(a: Column, b: Column) -> Column:
     return let(level, at)
 
 
+def _first_third(a: Column, b: Column) -> Column:
+    """Cells of a third: the smallest LEAST * 2**k with ``ROOM`` for each expected digest."""
+    need = F.greatest(F.ceil(F.log2(F.greatest(expected(a, b), F.lit(1)) * (ROOM / LEAST))), F.lit(0)).cast("int")
+    return F.call_function("shiftleft", F.lit(LEAST).cast("bigint"), need)
+
+
 def n_differing(a: Column, b: Column) -> Column:
-    """Size of the difference: by sketches with 1.4 cells or more for each expected digest, doubled where
-    peeling stalls, as long as they are smaller than the smaller set; else by the sets."""
-    most = F.least(F.lit(LARGE[-1]), F.floor(F.least(F.size(a), F.size(b)) * DIGEST_BYTES / CELL_BYTES))
+    """Size of the difference where the first sketches stalled: larger ones, then the sets."""
+
+    def again(first: Column) -> Column:
+        once = lambda m: F.size(peel(subtract(sketch(a, m), sketch(b, m)), m))
+        step = lambda got, k: F.when(got.isNotNull(), got).otherwise(let(F.call_function("shiftleft", first, (LARGER.bit_length() - 1) * k), once))
+        # the size of null is null, so a stalled try leaves the way open for the next
+        return F.aggregate(F.sequence(F.lit(1), F.lit(RETRIES)), F.lit(None).cast("int"), step)
+
+    return F.coalesce(let(3 * _first_third(a, b), again), F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
+
+
+def _summed(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells of equal keys added up; cells that come to nothing are left out."""
+    return cells.groupBy(*keys).agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check")).where("n <> 0 or key <> 0 or check <> 0")
+
+
+def _place(j: Column) -> Column:
+    return F.pmod(F.xxhash64("key", j), F.col("third")) + j * F.col("third")
 
-    def attempt(first):
-        step = lambda got, k: F.when(got.isNotNull(), got).otherwise(let(F.call_function("shiftleft", first, k), lambda m: F.when(
-            m <= most, F.size(peel(subtract(sketch(a, m), sketch(b, m)), m)))))
-        return F.aggregate(F.sequence(F.lit(0), F.lit((LARGE[-1] // LARGE[0]).bit_length() - 1)), F.lit(None).cast("int"), step)
 
-    by_sketch = F.when(most >= LARGE[0], let(_cells(F.lit(1.4) * expected(a, b)), lambda first: F.when(first <= most, attempt(first))))
-    return F.coalesce(by_sketch, F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
+def compared(keyed: DataFrame, by: list[str], prints: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
+    """``by``, print_0, ... (the fingerprints of the columns' digests) and got_0, left_0, ...: digests
+    recovered from the difference of each pair, and cells that peeling could not empty. No row for a
+    document without any cell. ``keyed`` is partitioned by some of ``by``, which keeps all of it there."""
 
+    def side(p: int, third: Column, keys: str, n: int) -> Column:
+        return F.transform(keys, lambda k: F.struct(F.lit(p).alias("pair"), third.alias("third"), F.lit(n).cast("bigint").alias("n"), k.alias("key")))
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1, by the digests of both texts."""
-    both = F.size(a) + F.size(b)
-    return F.when(both > 0, (both - n_differing(a, b)) / both).otherwise(1.0)
+    def both(p: int, a: str, b: str) -> Column:
+        return let(_first_third(F.col(a), F.col(b)), lambda t: F.concat(side(p, t, a, 1), side(p, t, b, -1)))
 
+    def sketched(p: int, keys: str) -> Column:
+        return let(F.floor(_cells(F.size(keys) / 4) / 3).cast("bigint"), lambda t: side(p, t, keys, 1))
 
-def written(keys: Column) -> Column:
+    m, numbers = len(pairs), [F.lit(j).cast("bigint") for j in range(3)]
+    entries = F.flatten(F.array(*[both(p, a, b) for p, (a, b) in enumerate(pairs)], *[sketched(m + p, c) for p, c in enumerate(prints)]))
+    signed = keyed.select(*by, F.explode(entries).alias("x")).select(*by, "x.*", F.explode(F.array(*numbers)).alias("j"))
+    keys, cell = [*by, "pair", "third", "cell"], lambda at, n, key, check: F.struct(at.alias("cell"), n.cast("bigint").alias("n"), key.alias("key"), check.alias("check"))
+    cells = _summed(signed.select(*by, "pair", "third", _place(F.col("j")).alias("cell"), "n", "key", _check(F.col("key")).alias("check")), keys)
+    zero = F.lit(0).cast("bigint")
+    for k in range(ROUNDS_OF_ROWS):
+        j = k % 3
+        here = (F.col("pair") < m) & (F.col("cell") >= j * F.col("third")) & (F.col("cell") < (j + 1) * F.col("third"))
+        pure = here & (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
+        out = [cell(_place(i), -F.col("n"), F.col("key"), F.col("check")) for i in (numbers[x] for x in range(3) if x != j)]
+        taken = F.when(pure, F.array(cell(F.lit(-1).cast("bigint"), F.lit(1), zero, zero), *out)).otherwise(F.array(cell(F.col("cell"), F.col("n"), F.col("key"), F.col("check"))))
+        cells = _summed(cells.select(*by, "pair", "third", F.explode(taken).alias("x")).select(*by, "pair", "third", "x.*"), keys)
+    done = F.col("cell") == -1
+    stats = []
+    for p in range(m):
+        mine = F.col("pair") == p
+        stats += [F.sum(F.when(mine & done, F.col("n")).otherwise(0)).alias(f"got_{p}"), F.sum(F.when(mine & ~done, 1).otherwise(0)).alias(f"left_{p}")]
+    text = F.concat_ws(".", "cell", "n", F.lower(F.hex("key")), F.lower(F.hex("check")))
+    lists = [F.array_sort(F.collect_list(F.when(F.col("pair") == m + p, F.struct("cell", text.alias("text"))))).alias(f"_cells{p}") for p in range(len(prints))]
+    found = cells.groupBy(*by).agg(*stats, *lists)
+    return found.select(*by, *[c for c in found.columns if c.startswith(("got_", "left_"))], *[F.array_join(F.col(f"_cells{p}.text"), ",").alias(f"print_{p}") for p in range(len(prints))])
+
+
+def written(keys: Column, cells: Column) -> Column:
     """The fingerprint as text: number and XOR of all digests, size, cells (cell.count.key.check)."""
     xor = F.aggregate(keys, F.lit(0).cast("bigint"), lambda a, k: a.bitwiseXOR(k))
-    cell = lambda c: F.concat_ws(".", c["cell"], c["n"], F.lower(F.hex(c["key"])), F.lower(F.hex(c["check"])))
-    body = let(_cells(F.size(keys) / 4), lambda m: F.concat_ws(":", m, F.array_join(F.transform(sketch(keys, m), cell), ",")))
-    return F.concat_ws(":", F.size(keys), F.lower(F.hex(xor)), body)
+    return F.concat_ws(":", F.size(keys), F.lower(F.hex(xor)), _cells(F.size(keys) / 4), F.coalesce(cells, F.lit("")))
+
+
+def with_likeness(keyed: DataFrame, by: list[str], prints: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
+    """Adds print_0, ... and near_0, ...: fingerprints, and likeness (0 to 1) by all digests of both sides."""
+    found = keyed.join(compared(keyed, by, prints, pairs), by, "left")
+
+    def near(p: int, a: str, b: str) -> Column:
+        both = F.size(a) + F.size(b)
+        n = F.when(F.coalesce(f"left_{p}", F.lit(0)) == 0, F.coalesce(f"got_{p}", F.lit(0))).otherwise(n_differing(F.col(a), F.col(b)))
+        return F.when(both > 0, (both - n) / both).otherwise(1.0)
+
+    out = found.select(*keyed.columns, *[written(F.col(c), F.col(f"print_{p}")).alias(f"print_{p}") for p, c in enumerate(prints)], *[near(p, a, b).alias(f"near_{p}") for p, (a, b) in enumerate(pairs)])
+    return out
 
 
 def fingerprint(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.withColumn("_keys", digests(F.coalesce(text, F.lit("")))).withColumn("fingerprint", written(F.col("_keys"))).drop("_keys")
+    """Adds ``fingerprint``. The sketches are made of the distinct texts."""
+    keyed = df.select(F.coalesce(text, F.lit("")).alias("_text")).distinct().select(F.sha2("_text", 256).alias("_sha"), digests(F.col("_text")).alias("_keys"))
+    made = with_likeness(keyed.repartition("_sha"), ["_sha"], ["_keys"], []).select("_sha", F.col("print_0").alias("fingerprint"))
+    return df.drop("fingerprint").withColumn("_sha", F.sha2(F.coalesce(text, F.lit("")), 256)).join(made, "_sha").drop("_sha")
+
+
+#: Ranges for each shuffle partition: a task holds the cells of one range's documents.
+RANGES = 8
 
 
-def with_next(docs: DataFrame, *carried: str) -> DataFrame:
+def with_next(docs: DataFrame, order: list[str], *carried: str) -> DataFrame:
     """Adds ``next_<c>`` for each carried column: its value in the next row by descending doc_id
-    (after the last: the first). Rows are dealt to ranges of doc_id whose bounds are quantiles (as
-    many as a few times the shuffle partitions); the first row of each range is also dealt to the
-    range before it, so no range needs another and no task sees more than its range."""
-    n = 4 * partitions(docs.sparkSession)
-    order = [F.col("doc_id").desc_nulls_last(), *[F.col(c).asc() for c in carried]]
+    (after the last: the first; ties by ``order``). Rows are dealt to ranges of doc_id whose bounds are
+    quantiles (as many as a few times the shuffle partitions); the first row of each range is also
+    dealt to the range before it, so no range needs another and no task sees more than its range. The
+    result is partitioned by ``_range``, where ``_row`` numbers the rows."""
+    n = RANGES * partitions(docs.sparkSession)
+    by = [F.col("doc_id").desc_nulls_last(), *[F.col(c).asc() for c in order]]
     found = docs.where("doc_id is not null").approxQuantile("doc_id", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
     bounds = sorted({int(x) for x in found}, reverse=True)
     dealt = docs.withColumn("_range", F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(_range(F.col("doc_id"), bounds))).withColumn("_halo", F.lit(0))
@@ -176,11 +248,11 @@ def with_next(docs: DataFrame, *carried: str) -> DataFrame:
     heads = dealt.groupBy("_range").agg(F.max("doc_id").alias("_head"))
     around = heads.select(F.coalesce(F.lag("_range").over(every), F.max("_range").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_to"), "_head")
     halo = docs.join(F.broadcast(around), F.col("doc_id").eqNullSafe(F.col("_head"))).withColumn("_range", F.col("_to")).withColumn("_halo", F.lit(1)).select(*dealt.columns)
-    near = Window.partitionBy("_range").orderBy("_halo", *order)
-    out = dealt.unionByName(halo)
+    near = Window.partitionBy("_range").orderBy("_halo", *by)
+    out = dealt.unionByName(halo).repartition(n, "_range").withColumn("_row", F.row_number().over(near))
     for c in carried:
         out = out.withColumn(f"next_{c}", F.lead(c).over(near))
-    return out.where("_halo = 0").drop("_range", "_halo")
+    return out.where("_halo = 0").drop("_halo")
 
 
 def _range(value: Column, bounds: list[int]) -> Column:
@@ -200,9 +272,9 @@ def _range(value: Column, bounds: list[int]) -> Column:
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(docs, "text").withColumn("n_chars", F.length("text").cast("bigint"))
+    rows = with_next(docs.withColumn("keys", digests(F.col("text"))), ["text"], "text", "keys").withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substr("next_text", F.lit(1), half)))
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *[digests(F.col(c)).alias(f"{c}_keys") for c in ("text", "edited", "next_text")])
-    return rows.select("doc_id", "n_chars", "edited_sha256", written(F.col("text_keys")).alias("fingerprint"), written(F.col("edited_keys")).alias("edited_fingerprint"),
-                       likeness(F.col("text_keys"), F.col("edited_keys")).alias("near_edited"), likeness(F.col("text_keys"), F.col("next_text_keys")).alias("near_next"))
+    rows = rows.select("_range", "_row", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
+    out = with_likeness(rows, ["_range", "_row"], ["keys", "edited_keys"], [("keys", "edited_keys"), ("keys", "next_keys")])
+    return out.select("doc_id", "n_chars", "edited_sha256", F.col("print_0").alias("fingerprint"), F.col("print_1").alias("edited_fingerprint"), F.col("near_0").alias("near_edited"), F.col("near_1").alias("near_next"))

@@ -250,9 +250,9 @@ def test_sketches_recover_differences(spark):
     assert frame.select(fingerprints.peel(fingerprints.sketch(F.col("b"), 12), 12).alias("p")).first().p is None
 
 
-def test_likeness_counts_every_digest(spark, sf, texts):
+def test_likeness_counts_every_digest(spark, sf, texts, monkeypatch):
     def pieces(t):
-        return {p for p in re.split(r"(?<=[adgmpstyéß0-9.,;!?|&%$#*])\x20+|\n+|(?<=[。！？])", t) if p}
+        return {p for p in re.split(fingerprints.CUT, t) if p}
 
     def like(a, b):
         return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
@@ -263,11 +263,16 @@ def test_likeness_counts_every_digest(spark, sf, texts):
         h = len(a) // 2
         near = [like(pieces(a), pieces(a[: len(a) - h] + b[:h])), like(pieces(a), pieces(b))]
         assert [got[i].near_edited, got[i].near_next] == pytest.approx(near)
-    keys = [list(range(1, 3001)), list(range(2, 3002)), list(range(400, 3400)), [*range(1, 100)], []]
-    frame = spark.createDataFrame([(a, b) for a in keys for b in keys], "a array<bigint>, b array<bigint>")
-    found = frame.select("a", "b", fingerprints.likeness(F.col("a"), F.col("b")).alias("x"), fingerprints.written(F.col("a")).alias("w")).collect()
-    assert all(r.x == pytest.approx(like(set(r.a), set(r.b))) for r in found)
-    assert all(r.w.split(":")[2] == ("768" if len(r.a) == 3000 else "48") for r in found)
+    keys = [list(range(1, 4001)), list(range(2, 4002)), [*range(1, 4000), 9999], list(range(400, 4400)), [*range(1, 100)], []]
+    frame = spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate((a, b) for a in keys for b in keys)], "n int, a array<bigint>, b array<bigint>").repartition("n")
+    for rounds, retries in ((10, 4), (1, 4), (1, 0)):  # sketches as rows; larger ones where they stall; the sets past the last
+        monkeypatch.setattr(fingerprints, "ROUNDS_OF_ROWS", rounds)
+        monkeypatch.setattr(fingerprints, "RETRIES", retries)
+        wide = fingerprints.with_likeness(frame, ["n"], ["a"], [("a", "b")])
+        assert all(r.near_0 == pytest.approx(like(set(r.a), set(r.b))) for r in wide.collect())
+    one = {(len(r.a), r.near_0) for r in wide.collect() if set(r.a) ^ set(r.b) == {4000, 9999}}
+    assert one == {(4000, 1 - 1 / 4000)}
+    assert all(r.print_0.split(":")[2] == ("1536" if len(r.a) == 4000 else "48") for r in wide.collect())
 
 
 def test_fingerprints_odd_rows(odd, none):
@@ -276,8 +281,8 @@ def test_fingerprints_odd_rows(odd, none):
     for r in out:
         by[r.text or ""].add(r.fingerprint)
     assert all(len(v) == 1 for v in by.values())
-    chained = fingerprints.with_next(odd.select("doc_id", "text"), "text").collect()
-    assert len(chained) == len(ODD) and fingerprints.with_next(none.select("doc_id", "text"), "text").count() == 0
+    chained = fingerprints.with_next(odd.select("doc_id", "text"), ["text"], "text").collect()
+    assert len(chained) == len(ODD) and fingerprints.with_next(none.select("doc_id", "text"), ["text"], "text").count() == 0
     assert {r.doc_id: r.next_text for r in chained}[11] == ODD[11][1]
 
 
