@@ -268,7 +268,7 @@ def test_likeness_counts_every_digest(spark, sf, texts, monkeypatch):
     for rounds, retries in ((10, 4), (1, 4), (1, 0)):  # sketches as rows; larger ones where they stall; the sets past the last
         monkeypatch.setattr(fingerprints, "ROUNDS_OF_ROWS", rounds)
         monkeypatch.setattr(fingerprints, "RETRIES", retries)
-        wide = fingerprints.with_likeness(frame, ["n"], ["a"], [("a", "b")])
+        wide = fingerprints.with_likeness(frame, ["_row"], ["a"], [("a", "b")])
         assert all(r.near_0 == pytest.approx(like(set(r.a), set(r.b))) for r in wide.collect())
     one = {(len(r.a), r.near_0) for r in wide.collect() if set(r.a) ^ set(r.b) == {4000, 9999}}
     assert one == {(4000, 1 - 1 / 4000)}
