@@ -264,7 +264,7 @@ def test_likeness_counts_every_digest(spark, sf, texts, monkeypatch):
         near = [like(pieces(a), pieces(a[: len(a) - h] + b[:h])), like(pieces(a), pieces(b))]
         assert [got[i].near_edited, got[i].near_next] == pytest.approx(near)
     keys = [list(range(1, 4001)), list(range(2, 4002)), [*range(1, 4000), 9999], list(range(400, 4400)), [*range(1, 100)], []]
-    frame = spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate((a, b) for a in keys for b in keys)], "n int, a array<bigint>, b array<bigint>").repartition("n")
+    frame = spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate((a, b) for a in keys for b in keys)], "_row int, a array<bigint>, b array<bigint>").repartition("_row")
     for rounds, retries in ((10, 4), (1, 4), (1, 0)):  # sketches as rows; larger ones where they stall; the sets past the last
         monkeypatch.setattr(fingerprints, "ROUNDS_OF_ROWS", rounds)
         monkeypatch.setattr(fingerprints, "RETRIES", retries)
