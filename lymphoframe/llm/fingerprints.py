@@ -9,15 +9,14 @@ the two versions are sketched again with twice the cells.
 
 Sketches hold every digest of a text. A fingerprint is the sketch in writing; its cells grow with the
 number of digests, a quarter of it at least. ``likeness`` is 2*common/(both) over whole digest sets,
-from the digests that peeling recovers from the difference of two sketches. These have the cells
-that the expected difference needs (it is guessed from the digests with low zero bits, which decide
-nothing else). The few pairs where peeling stalls are sketched again with ``LARGER`` times the cells,
-up to ``RETRIES`` times; past that (by chance once in a million millions) the sets are compared.
+from the digests that peeling recovers from the difference of two sketches. The few pairs where
+peeling stalls (two digests that share all three cells) are sketched again with ``LARGER`` times the
+cells, up to ``RETRIES`` times; past that the sets are compared.
 
-Cells are rows: sketches, subtraction and each round of peeling are hash aggregates over the cells of a
-document, in the task that holds the document. A round peels one third of the cells, where a digest
-has one cell, so that none is taken twice. Retries, and ``differing`` (which names the digests),
-do the same on arrays.
+Cells are rows, so that empty ones cost nothing: sketches, subtraction and each round of peeling are
+hash aggregates over the cells of a document, in the task that holds the document. A round peels one
+third of the cells, where a digest has one cell, so that none is taken twice. Retries, and
+``differing`` (which names the digests), do the same on arrays.
 
 Defined results: null text counts as empty; a text without pieces has an empty sketch, and two
 such texts have likeness 1; equal texts have equal fingerprints; ties in doc_id follow the text's
@@ -29,14 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lymphoframe.llm.common import let, partitions, table
+from lymphoframe.llm.common import cut, let, partitions, table
 
 #: Fixed value: where a text is cut: at line breaks and CJK full stops, and at a space behind one of these.
 CUT = r"[\n。！？]+|\x20(?<=[.!?;:|%gpß]\x20)"
-GUESS = 20
-#: Cells of a third for each expected digest, and the least number of them.
-ROOM, LEAST = 1.0, 16
-ROUNDS_OF_ROWS = 10
+#: Cells of a third for each digest of a pair, and the least number of them.
+ROOM, LEAST = 16, 4096
+ROUNDS_OF_ROWS = 5
 LARGER, RETRIES = 4, 4
 LARGE = (48, 192, 768, 3072, 12288)
 ROUNDS = 12
@@ -50,14 +48,6 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
-def level_of(keys: Column, most: int = GUESS) -> Column:
-    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.size(keys), F.lit(1)) / F.lit(float(most))))).cast("int")
-
-
-def at_level(keys: Column, level: Column) -> Column:
-    return let(F.call_function("shiftleft", F.lit(1).cast("bigint"), level) - 1, lambda mask: F.filter(keys, lambda k: k.bitwiseAND(mask) == 0))
-
-
 def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(7)).bitwiseAND(F.lit(0xFFFFFFFF))
 
@@ -130,17 +120,9 @@ def _cells(number: Column) -> Column:
     return F.call_function("shiftleft", F.lit(LARGE[0]), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(number, F.lit(1)) / F.lit(float(LARGE[0]))))).cast("int"))
 
 
-def expected(a: Column, b: Column) -> Column:
-    """Guess of the size of the difference."""
-    level = F.greatest(level_of(a), level_of(b))
-    at = lambda lv: let(F.struct(at_level(a, lv).alias("a"), at_level(b, lv).alias("b")), lambda s: F.call_function(
-        "shiftleft", F.size(F.array_except(s["a"], s["b"])) + F.size(F.array_except(s["b"], s["a"])), lv))
-    return let(level, at)
-
-
 def _first_third(a: Column, b: Column) -> Column:
-    """Cells of a third: the smallest LEAST * 2**k with ``ROOM`` for each expected digest."""
-    need = F.greatest(F.ceil(F.log2(F.greatest(expected(a, b), F.lit(1)) * (ROOM / LEAST))), F.lit(0)).cast("int")
+    """Cells of a third: the smallest LEAST * 2**k with ``ROOM`` for each digest."""
+    need = F.greatest(F.ceil(F.log2(F.greatest(F.size(a) + F.size(b), F.lit(1)) * (ROOM / LEAST))), F.lit(0)).cast("int")
     return F.call_function("shiftleft", F.lit(LEAST).cast("bigint"), need)
 
 
@@ -165,67 +147,67 @@ def _place(j: Column) -> Column:
     return F.pmod(F.xxhash64("key", j), F.col("third")) + j * F.col("third")
 
 
-def compared(keyed: DataFrame, by: list[str], prints: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
-    """``by``, print_0, ... (the fingerprints of the columns' digests) and got_0, left_0, ...: digests
-    recovered from the difference of each pair, and cells that peeling could not empty. No row for a
-    document without any cell. ``keyed`` is partitioned by some of ``by``, which keeps all of it there."""
+def compared(keyed: DataFrame, by: list[str], prints: list[str], pairs: list[tuple[str, str]], carried: list[str]) -> DataFrame:
+    """``by``, the ``carried`` columns (bigint), print_0, ... (the fingerprints of the columns' digests) and
+    near_0, left_0, ...: likeness by the digests recovered from the difference of each pair, and cells
+    that peeling could not empty. ``keyed`` is partitioned by some of ``by``, which keeps all of it in
+    its task; what is carried travels as cells of its own, so no join is needed."""
+    m, numbers = len(pairs), [F.lit(j).cast("bigint") for j in range(3)]
+    xor = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, k: a.bitwiseXOR(k))
+    values = {c: F.col(c) for c in carried} | {f"_size_{c}": F.size(c).cast("bigint") for c in {*prints, *(x for p in pairs for x in p)}} | {f"_xor_{c}": xor(c) for c in prints}
+
+    def entry(pair: int, third: Column, n: Column, key: Column) -> Column:
+        return F.struct(F.lit(pair).alias("pair"), third.cast("bigint").alias("third"), n.cast("bigint").alias("n"), key.alias("key"))
 
     def side(p: int, third: Column, keys: str, n: int) -> Column:
-        return F.transform(keys, lambda k: F.struct(F.lit(p).alias("pair"), third.alias("third"), F.lit(n).cast("bigint").alias("n"), k.alias("key")))
+        return F.transform(keys, lambda k: entry(p, third, F.lit(n), k))
 
     def both(p: int, a: str, b: str) -> Column:
         return let(_first_third(F.col(a), F.col(b)), lambda t: F.concat(side(p, t, a, 1), side(p, t, b, -1)))
 
     def sketched(p: int, keys: str) -> Column:
-        return let(F.floor(_cells(F.size(keys) / 4) / 3).cast("bigint"), lambda t: side(p, t, keys, 1))
+        return let(F.floor(_cells(F.size(keys) / 4) / 3), lambda t: side(p, t, keys, 1))
 
-    m, numbers = len(pairs), [F.lit(j).cast("bigint") for j in range(3)]
-    entries = F.flatten(F.array(*[both(p, a, b) for p, (a, b) in enumerate(pairs)], *[sketched(m + p, c) for p, c in enumerate(prints)]))
-    signed = keyed.select(*by, F.explode(entries).alias("x")).select(*by, "x.*", F.explode(F.array(*numbers)).alias("j"))
+    head = F.array(*[entry(-1, F.lit(k), F.when(v.isNull(), 2).otherwise(1), F.coalesce(v, F.lit(0).cast("bigint"))) for k, v in enumerate(values.values())])
+    entries = F.flatten(F.array(head, *[both(p, a, b) for p, (a, b) in enumerate(pairs)], *[sketched(m + p, c) for p, c in enumerate(prints)]))
+    own = F.col("pair") < 0
+    signed = keyed.select(*by, F.explode(entries).alias("x")).select(*by, "x.*").withColumn("j", F.explode(F.when(own, F.array(numbers[0])).otherwise(F.array(*numbers))))
     keys, cell = [*by, "pair", "third", "cell"], lambda at, n, key, check: F.struct(at.alias("cell"), n.cast("bigint").alias("n"), key.alias("key"), check.alias("check"))
-    cells = _summed(signed.select(*by, "pair", "third", _place(F.col("j")).alias("cell"), "n", "key", _check(F.col("key")).alias("check")), keys)
+    cells = _summed(signed.select(*by, "pair", "third", F.when(own, F.col("third")).otherwise(_place(F.col("j"))).alias("cell"), "n", "key", _check(F.col("key")).alias("check")), keys)
     zero = F.lit(0).cast("bigint")
     for k in range(ROUNDS_OF_ROWS):
         j = k % 3
-        here = (F.col("pair") < m) & (F.col("cell") >= j * F.col("third")) & (F.col("cell") < (j + 1) * F.col("third"))
+        here = (F.col("pair") >= 0) & (F.col("pair") < m) & (F.col("cell") >= j * F.col("third")) & (F.col("cell") < (j + 1) * F.col("third"))
         pure = here & (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
         out = [cell(_place(i), -F.col("n"), F.col("key"), F.col("check")) for i in (numbers[x] for x in range(3) if x != j)]
         taken = F.when(pure, F.array(cell(F.lit(-1).cast("bigint"), F.lit(1), zero, zero), *out)).otherwise(F.array(cell(F.col("cell"), F.col("n"), F.col("key"), F.col("check"))))
         cells = _summed(cells.select(*by, "pair", "third", F.explode(taken).alias("x")).select(*by, "pair", "third", "x.*"), keys)
-    done = F.col("cell") == -1
-    stats = []
+    done, stats = F.col("cell") == -1, []
     for p in range(m):
         mine = F.col("pair") == p
-        stats += [F.sum(F.when(mine & done, F.col("n")).otherwise(0)).alias(f"got_{p}"), F.sum(F.when(mine & ~done, 1).otherwise(0)).alias(f"left_{p}")]
+        stats += [F.sum(F.when(mine & done, F.col("n")).otherwise(0)).alias(f"_got_{p}"), F.sum(F.when(mine & ~done, 1).otherwise(0)).alias(f"left_{p}")]
+    stats += [F.max(F.when(own & (F.col("cell") == k) & (F.col("n") == 1), F.col("key"))).alias(c) for k, c in enumerate(values)]
     text = F.concat_ws(".", "cell", "n", F.lower(F.hex("key")), F.lower(F.hex("check")))
-    lists = [F.array_sort(F.collect_list(F.when(F.col("pair") == m + p, F.struct("cell", text.alias("text"))))).alias(f"_cells{p}") for p in range(len(prints))]
-    found = cells.groupBy(*by).agg(*stats, *lists)
-    return found.select(*by, *[c for c in found.columns if c.startswith(("got_", "left_"))], *[F.array_join(F.col(f"_cells{p}.text"), ",").alias(f"print_{p}") for p in range(len(prints))])
+    stats += [F.array_sort(F.collect_list(F.when(F.col("pair") == m + p, F.struct("cell", text.alias("text"))))).alias(f"_cells_{p}") for p in range(len(prints))]
+    found = cells.groupBy(*by).agg(*stats)
+    near = []
+    for p, (a, b) in enumerate(pairs):
+        size = F.col(f"_size_{a}") + F.col(f"_size_{b}")
+        near += [F.when(size > 0, (size - F.col(f"_got_{p}")) / size).otherwise(1.0).alias(f"near_{p}"), f"left_{p}"]
+    written = [F.concat_ws(":", f"_size_{c}", F.lower(F.hex(f"_xor_{c}")), _cells(F.col(f"_size_{c}") / 4), F.array_join(F.col(f"_cells_{p}.text"), ",")).alias(f"print_{p}") for p, c in enumerate(prints)]
+    return found.select(*by, *carried, *written, *near)
 
 
-def written(keys: Column, cells: Column) -> Column:
-    """The fingerprint as text: number and XOR of all digests, size, cells (cell.count.key.check)."""
-    xor = F.aggregate(keys, F.lit(0).cast("bigint"), lambda a, k: a.bitwiseXOR(k))
-    return F.concat_ws(":", F.size(keys), F.lower(F.hex(xor)), _cells(F.size(keys) / 4), F.coalesce(cells, F.lit("")))
-
-
-def with_likeness(keyed: DataFrame, by: list[str], prints: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
-    """Adds print_0, ... and near_0, ...: fingerprints, and likeness (0 to 1) by all digests of both sides."""
-    found = keyed.join(compared(keyed, by, prints, pairs), by, "left")
-
-    def near(p: int, a: str, b: str) -> Column:
-        both = F.size(a) + F.size(b)
-        n = F.when(F.coalesce(f"left_{p}", F.lit(0)) == 0, F.coalesce(f"got_{p}", F.lit(0))).otherwise(n_differing(F.col(a), F.col(b)))
-        return F.when(both > 0, (both - n) / both).otherwise(1.0)
-
-    out = found.select(*keyed.columns, *[written(F.col(c), F.col(f"print_{p}")).alias(f"print_{p}") for p, c in enumerate(prints)], *[near(p, a, b).alias(f"near_{p}") for p, (a, b) in enumerate(pairs)])
-    return out
+def likeness(a: Column, b: Column) -> Column:
+    """0 to 1 by all digests of both sides, on arrays: for the few pairs that stalled."""
+    both = F.size(a) + F.size(b)
+    return F.when(both > 0, (both - n_differing(a, b)) / both).otherwise(1.0)
 
 
 def fingerprint(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``fingerprint``. The sketches are made of the distinct texts."""
     keyed = df.select(F.coalesce(text, F.lit("")).alias("_text")).distinct().select(F.sha2("_text", 256).alias("_sha"), digests(F.col("_text")).alias("_keys"))
-    made = with_likeness(keyed.repartition("_sha"), ["_sha"], ["_keys"], []).select("_sha", F.col("print_0").alias("fingerprint"))
+    made = compared(keyed.repartition("_sha"), ["_sha"], ["_keys"], [], []).select("_sha", F.col("print_0").alias("fingerprint"))
     return df.drop("fingerprint").withColumn("_sha", F.sha2(F.coalesce(text, F.lit("")), 256)).join(made, "_sha").drop("_sha")
 
 
@@ -270,11 +252,25 @@ def _range(value: Column, bounds: list[int]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, step, lambda a: a["lo"])
 
 
-def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def _rows(docs: DataFrame) -> DataFrame:
+    """Documents with their edited text's hash, and the digests of both and of the next document's text."""
     rows = with_next(docs.withColumn("keys", digests(F.col("text"))), ["text"], "text", "keys").withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substr("next_text", F.lit(1), half)))
-    rows = rows.select("_range", "_row", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
-    out = with_likeness(rows, ["_range", "_row"], ["keys", "edited_keys"], [("keys", "edited_keys"), ("keys", "next_keys")])
-    return out.select("doc_id", "n_chars", "edited_sha256", F.col("print_0").alias("fingerprint"), F.col("print_1").alias("edited_fingerprint"), F.col("near_0").alias("near_edited"), F.col("near_1").alias("near_next"))
+    return rows.select("_range", "_row", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rows(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    by, shas = ["_range", "_row"], [f"_sha{k}" for k in range(4)]
+    keyed = rows.select("*", *[F.conv(F.substring("edited_sha256", 16 * k + 1, 16), 16, -10).cast("bigint").alias(c) for k, c in enumerate(shas)])
+    found = compared(keyed, by, ["keys", "edited_keys"], [("keys", "edited_keys"), ("keys", "next_keys")], ["doc_id", "n_chars", *shas])
+    sha = F.concat(*[F.lpad(F.lower(F.hex(c)), 16, "0") for c in shas])
+    found = cut(found.select(*by, "doc_id", "n_chars", sha.alias("edited_sha256"), F.col("print_0").alias("fingerprint"), F.col("print_1").alias("edited_fingerprint"),
+                             F.col("near_0").alias("near_edited"), F.col("near_1").alias("near_next"), (F.col("left_0") + F.col("left_1") > 0).alias("stalled")), "fingerprints")
+    if not found.where("stalled").limit(1).count():
+        return found.drop(*by, "stalled")
+    again = rows.join(found.where("stalled").select(*by), by, "left_semi")
+    near = again.select(*by, likeness(F.col("keys"), F.col("edited_keys")).alias("_edited"), likeness(F.col("keys"), F.col("next_keys")).alias("_next"))
+    mended = found.where("stalled").join(near, by).withColumn("near_edited", F.col("_edited")).withColumn("near_next", F.col("_next"))
+    return found.where("not stalled").unionByName(mended.select(found.columns)).drop(*by, "stalled")
