@@ -3,13 +3,13 @@
 Texts are split by the tokenizer's pattern; each distinct pre-token is merged once a worker and
 kept in a bounded cache. Merging works on a linked list of byte spans. A queue over merge ranks
 picks the next merge: every rank has a bucket of list positions (leftmost first), and a bitmap of
-64-bit words, with a bitmap over its words and so on, marks the ranks whose buckets hold entries.
-Find-first-set on each level leads to the lowest rank. A merge changes its neighbours' pairs; their
+256-bit words, with a bitmap over its words, marks the ranks whose buckets hold entries.
+Find-first-set on both levels leads to the lowest rank. A merge changes its neighbours' pairs; their
 old entries stay in the buckets and are skipped when they come up. A pre-token of n bytes takes
 O(n log n) steps, so one run of letters as long as a book is no problem.
 
 Defined results: null text counts as empty and has no ids; ids of repeated rows are equal; other
-columns pass through; an id outside the vocabulary makes ``decode`` fail.
+columns pass through, older ``ids`` and ``decoded`` are replaced; an id outside the vocabulary makes ``decode`` fail.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 
 from lymphoframe.llm.common import small_batches, table
 
-#: Cached pre-tokens a worker in each of two generations.
-CACHED = 400_000
+#: Cached pre-tokens a worker in each of two generations, and the longest that is cached.
+CACHED, LONGEST = 400_000, 64
 #: A bitmap word has 2**BITS bits.
 BITS = 8
 MASK = (1 << BITS) - 1
@@ -49,6 +49,8 @@ class Encoder(dict):
         self.words = [0] * ((max(ranks.values()) >> BITS) + 1)
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
+        if len(piece) > LONGEST:
+            return tuple(self.merge(piece.encode("utf-8", "surrogatepass")))
         if len(self) >= CACHED:
             self.old = dict(self)
             self.clear()
@@ -136,6 +138,7 @@ def _pieces(path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Adds ``ids``: array<int>. ``path``: a rank file that every executor can read."""
+    df = df.drop("ids")
     schema = T.StructType([*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +156,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Adds ``decoded``: the ids' bytes (binary, since ids may cut a character)."""
+    df = df.drop("decoded")
     schema = T.StructType([*df.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

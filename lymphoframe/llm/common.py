@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+#: Folders written by ``cut`` inside ``scratch``.
+_made: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """The tables that ``cut`` writes inside (but those it is told to keep) are deleted at the end, when
+    what was made of them has been written."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def cut(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later stages neither recompute it nor
     depend on the executors that made it."""
     spark = df.sparkSession
@@ -38,6 +56,8 @@ def cut(df: DataFrame, label: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(cleanup, before)
+    if _made and not keep:
+        _made[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,14 +1,16 @@
-"""Line dedup: repeated runs of lines removed. SQL functions only.
-
-Every ``least`` adjacent lines of a document are hashed (two lines: each line with the next one). What
-occurs more than once over all documents is nominated by its hash and decided on its bytes. Lines
-of a run that also lies at an earlier place (a smaller doc_id, or before it in the same document,
-without a common line) are removed. A run of ``least`` lines or more is repeated exactly where all
-its adjacent lines are, so every later copy of every such run goes whole, wherever it begins or
-ends; the first place of each line stays.
-
-``chunks`` cuts a text at content-defined places (a rolling hash over the last ``window`` line
-hashes on one residue of ``divisor``); its chunks of two lines or more are among the runs above.
+"""Line dedup: repeated content-defined chunks of lines removed. SQL functions only.
+
+A rolling hash over every ``least`` adjacent lines (two: each line with the next one) is counted over all
+documents. A chunk is a longest run of lines whose rolling hashes occur more than once: it begins and
+ends where its own lines stop being shared, so the boundaries follow the content and not its place in
+a text, and lines put in front of a passage shift nothing. What the hashes nominate is decided on its
+bytes. Of a chunk go the lines that also lie, in a run of ``least`` lines or more, at an earlier place
+(a smaller doc_id, or before it in the same document, without a common line): every later copy of
+every such run goes whole, wherever it begins or ends; the first place of each line stays.
+
+``chunks`` cuts a text by the rolling hash alone (over the last ``window`` lines, on one residue of
+``divisor``), for texts that are compared without the rest of the corpus; chunks of two lines or more
+that repeat are among the runs above.
 
 Defined results: null text has no lines and stays null; an empty text is one empty line; rows
 that share doc_id and text are one document (they keep or lose the same lines), those that share

@@ -5,7 +5,9 @@ work below is on classes. A class has a signature of ``SYMBOLS`` min-hashes of 1
 ``CHUNKS * WIDTH`` of them are split into chunks; by the pigeonhole principle two signatures that
 differ in fewer than ``2 * CHUNKS`` of these symbols have a chunk with at most one differing symbol,
 so the index has a key for each chunk with each symbol left out in turn, and two such classes meet
-under at least one key. (At a similarity of 0.85 a pair misses that distance about once in 10**7.)
+under at least one key. A pair right at the similarity exceeds that distance by chance: 2 in 10**8 at
+0.85, 1 in 10**6 at 0.80 (binomial tail of 16 or more of 32); the whole signature's wider limit,
+seven deviations, adds less than 1 in 10**8 to either.
 
 1. Classes that meet are compared on whole signatures; what is close enough hangs together in rough
    groups. A key shared by more than ``HOT`` classes is split into blocks, and pairs of blocks meet.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lymphoframe.llm.common import cut, partitions, small_batches, table
@@ -38,8 +40,8 @@ from lymphoframe.llm.shingles import mix, shingle_sets
 SHINGLE = 5
 CHUNKS, WIDTH = 8, 4
 SYMBOLS = 96
-#: Signatures of sets at the similarity asked for differ in (1 - similarity) * SYMBOLS symbols on average; five standard deviations more are let through.
-DEVIATIONS = 5.0
+#: Signatures of sets at the similarity asked for differ in (1 - similarity) * SYMBOLS symbols on average; seven standard deviations more are let through.
+DEVIATIONS = 7.0
 HOT = 2048
 BLOCK = 1024
 SET_BLOCK = 64
@@ -50,12 +52,13 @@ _ADD = mix(np.arange(1001, SYMBOLS + 1001, dtype=np.uint64) * np.uint64(0x9E3779
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """``SYMBOLS`` 16-bit min-hashes (the top bits of multiply-add hashes) of a non-empty set."""
+    """``SYMBOLS`` 16-bit min-hashes of a non-empty set: the minima of multiply-add hashes, mixed before
+    they are cut to 16 bits (a large set's minima all begin with zeros)."""
     least = None
     for k in range(0, len(shingles), 2048):
         part = (shingles[k : k + 2048, None] * _MULTIPLY + _ADD).min(0)
         least = part if least is None else np.minimum(least, part)
-    return (least >> np.uint64(48)).astype("<u2")
+    return (mix(least) >> np.uint64(48)).astype("<u2")
 
 
 def most_differing(similarity: float) -> int:
@@ -82,18 +85,18 @@ def _keys(signs: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (the set's hash), sign (binary); one row per document."""
+    """doc_id, copy (the text's hash), n_shingles, node (the set's hash), sign (binary); one row per document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             with np.errstate(over="ignore"):
-                sets = shingle_sets(batch.column(1).to_pylist(), SHINGLE)
+                sets = shingle_sets(batch.column(2).to_pylist(), SHINGLE)
                 nodes = [_set_hash(s) if len(s) else None for s in sets]
                 signs = [signature(s).tobytes() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "node", "sign"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()), pa.array(signs, pa.binary())], names=["doc_id", "copy", "n_shingles", "node", "sign"])
 
     small_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n_shingles long, node long, sign binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(work, "doc_id long, copy long, n_shingles long, node long, sign binary")
 
 
 def _index(classes: DataFrame) -> DataFrame:
@@ -118,7 +121,9 @@ def _blocks(rows: DataFrame, block: Column, number: Column) -> DataFrame:
 def _rough(classes: DataFrame, similarity: float) -> DataFrame:
     """(a, b): spanning pairs of classes that meet in the index and have close signatures."""
     most = most_differing(similarity)
-    met = cut(_index(classes).withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1"), "minhash-index")
+    index = _index(classes)
+    counts = cut(index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "minhash-keys")
+    met = cut(index.join(counts.hint("merge"), "key"), "minhash-index")
     number = F.when(F.col("n") <= HOT, 1).otherwise(F.ceil(F.col("n") / BLOCK)).cast("int")
     dealt = _blocks(met.join(classes.select("node", "sign"), "node"), F.pmod(F.xxhash64("node"), number).cast("int"), number)
 
@@ -163,7 +168,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, percent:
 
     small_batches(spark)
     # members grow with the corpus: a merge join at every size, never a broadcast of them
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(members.hint("merge"), "rep").select("node", "root", "number", "text")
+    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(members.hint("merge"), F.col("_id").eqNullSafe(F.col("rep"))).select("node", "root", "number", "text")
     full = texts.mapInArrow(sets, "node long, root long, number int, sign binary, shingles binary")
     dealt = _blocks(full, F.pmod(F.xxhash64("node"), F.col("number")).cast("int"), F.col("number"))
 
@@ -214,10 +219,9 @@ def _links(group: pa.Table, most: int, percent: int) -> tuple[list[int], list[in
     return a, b
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the smallest doc_id of its component), a row per document.
-
-    Documents are linked where 100 * intersection >= ``percent`` * union of their shingle sets."""
+def _linked(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, copy, n_shingles, node, root (the component's smallest node; null without words) and
+    component_id, a row per document."""
     rows = cut(signed(docs), "minhash-signed")
     whole = rows.where("node is not null")
     classes = cut(whole.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sign").alias("sign")), "minhash-classes")
@@ -225,11 +229,35 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     roots = cut(components(_confirmed(docs, classes, groups, percent), "minhash-links"), "minhash-roots")
     named = classes.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = cut(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "minhash-least")
-    ids = cut(named.join(least, "root", "left").select("node", "component_id"), "minhash-ids")
-    by_doc = rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    ids = cut(named.join(least, "root", "left").select("node", "root", "component_id"), "minhash-ids")
+    return rows.select("doc_id", "copy", "n_shingles", "node").join(ids, "node", "left").select("doc_id", "copy", "n_shingles", "node", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (the smallest doc_id of its component), a row per document.
+
+    Documents are linked where 100 * intersection >= ``percent`` * union of their shingle sets."""
+    by_doc = _linked(docs, percent).select("doc_id", "n_shingles", "component_id")
     return by_doc.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: the smallest doc_id (null last), of its texts the one with
+    the smallest hash, of its repeated rows any. Rows are told apart by doc_id and text, so what shares
+    only the doc_id is judged on its own; rows without words all stay."""
+    rows = cut(_linked(docs, percent).where("root is not null").select("doc_id", "copy", "root"), "minhash-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy"))
+    winners = cut(rows.groupBy("root").agg(first.alias("w")).select("root", "w.doc_id", "w.copy"), "minhash-winners")
+    wins = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))
+    met = rows.join(winners.select("root", F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).hint("merge"), "root")
+    gone = cut(met.where(~wins).select("doc_id", "copy").distinct().select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")), "minhash-gone")
+    again = cut(met.where(wins).groupBy("doc_id", "copy").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")), "minhash-again")
+    left = docs.withColumn("copy", F.xxhash64("text")) if "copy" not in docs.columns else docs.withColumn("_own", F.col("copy")).withColumn("copy", F.xxhash64("text"))
+    left = left.join(gone.hint("merge"), wins, "left_anti")
+    out = left.join(again, wins, "left_anti").unionByName(left.join(again, wins, "left_semi").dropDuplicates(["doc_id", "copy"]))
+    return out.drop("copy") if "_own" not in out.columns else out.drop("copy").withColumnRenamed("_own", "copy").select(docs.columns)
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")

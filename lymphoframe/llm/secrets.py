@@ -41,9 +41,10 @@ CLASSES = (
     EntropyClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.7),
 )
 
-#: Candidates that are no secrets: plain words (also joined by - _ /), numbers, repeated characters, UUIDs.
+#: Candidates that are no secrets: parts between - _ / + that are plain words (lower case, one capital at
+#: most, or all capitals) or plain numbers of up to eight digits, as in paths and slugs; repeated characters; UUIDs.
 ALLOW = (
-    r"^[A-Za-z]+([-_/+][A-Za-z]+)*[-_/+]?$",
+    r"^[-_/+]*([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,8})([-_/+]+([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,8}))*[-_/+]*$",
     r"^[0-9+/_-]+$",
     r"^(.)\1+$",
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
@@ -53,6 +54,10 @@ _SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string>"
 _NONE = f"cast(array() as array<{_SPAN}>)"
 
 
+#: Matches are laid end to end in blocks, so that a list of many is not copied for each of them.
+BLOCK = 64
+
+
 def _located(text: Column, pattern: str, group: int) -> Column:
     """array<struct<start,end,part>> of the leftmost non-overlapping matches: the pieces between
     matches and the matches themselves, laid end to end, give the offsets."""
@@ -61,15 +66,24 @@ def _located(text: Column, pattern: str, group: int) -> Column:
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"),
     )
-    empty = F.expr("named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,end:bigint,part:string>>))")
+    row = "array<struct<start:bigint,end:bigint,part:string>>"
+    empty = lambda at, kind: F.struct(at.alias("at"), F.expr(f"cast(array() as {kind})").alias("out"))
 
-    def step(acc, x):
+    def one(acc, x):
         start = acc["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        row = F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), x["part"].alias("part"))
-        return F.struct(end.cast("bigint").alias("at"), F.when(x["hit"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], row)).alias("out"))
+        found = F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), x["part"].alias("part"))
+        return F.struct(end.cast("bigint").alias("at"), F.when(x["hit"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], found)).alias("out"))
+
+    def blocks(all_rows):
+        def block(acc, k):
+            inside = F.aggregate(F.slice(all_rows, k * BLOCK + 1, BLOCK), empty(acc["at"], row), one)
+            return let(inside, lambda b: F.struct(b["at"].alias("at"), F.array_append(acc["out"], b["out"]).alias("out")))
+
+        last = F.floor((F.greatest(F.size(all_rows), F.lit(1)) - 1) / BLOCK).cast("int")
+        return F.aggregate(F.sequence(F.lit(0), last), empty(F.lit(0).cast("bigint"), f"array<{row}>"), block, lambda acc: F.flatten(acc["out"]))
 
-    return F.aggregate(rows, empty, step, lambda acc: acc["out"])
+    return let(rows, blocks)
 
 
 def _as_spans(hits: Column, rank: int, kind: str) -> Column:

@@ -257,7 +257,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by one space) for every row."""
     docs = docs.select("doc_id", "text").withColumn("t", F.shiftright(F.xxhash64(F.coalesce("text", F.lit(""))), 32).cast("int"))
-    marks = repeated_windows(docs).groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).agg(F.collect_list(F.struct("s0", "bits")).alias("marks"))
+    marks = repeated_windows(docs).groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).agg(F.collect_set(F.struct("s0", "bits")).alias("marks"))  # rows that repeat give their marks once
     same = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("t") == F.col("_t"))
     joined = docs.join(marks, same, "left").select("doc_id", "text", F.col("marks.s0").alias("s0"), F.col("marks.bits").alias("bits"))
 

@@ -13,8 +13,9 @@ node, over neighbours still in range, until nothing new comes. Pairs are verifie
 in double precision. Two members may meet in several shards; their pair counts in the first shard
 they share, so a task adds up its own links and sends a row per member, not per pair.
 
-The recall is audited: the links of ``AUDIT`` queries (smallest hashes) are counted among all
-vectors; below ``RECALL`` the overlap doubles and the search is run again.
+The recall is audited at every size: the links of ``AUDIT`` queries (smallest hashes) are counted among
+all vectors; below ``RECALL`` the overlap doubles and the search is run again. The last audit's figure
+comes with the result (``audited_recall``; 1 where the queries have no links).
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or have another
 length than most of the sample link with nothing and are their own component; repeated rows are
@@ -289,11 +290,11 @@ def audit(classes: DataFrame, found: DataFrame, least: float, total: int, querie
 
 
 def links(classes: DataFrame, least: float) -> DataFrame:
-    """(id, others, root) of classes with links (see ``_linked``), written."""
+    """(id, others, root) of classes with links (see ``_linked``), written, and the audited recall."""
     total = classes.count()
     sample = [r["body"] for r in smallest_hashes(classes.select("id", "body"), "id", SAMPLE, total).collect()]
     if not sample:
-        return classes.select("id", F.col("n").alias("others"), F.col("id").alias("root")).limit(0)
+        return classes.select("id", F.col("n").alias("others"), F.col("id").alias("root"), F.lit(1.0).alias("recall")).limit(0)
     sizes = [len(b) for b in sample]
     width = max(set(sizes), key=lambda w: (sizes.count(w), w))
     sample = [b for b in sample if len(b) == width]
@@ -306,13 +307,14 @@ def links(classes: DataFrame, least: float) -> DataFrame:
         dealt = cut(_dealt(usable, middles, overlap), "vector-shards")
         adjacency = cut(_build(_sorted(dealt)), "vector-graph")
         found = cut(_linked(dealt, adjacency, least), "vector-links")
-        if overlap == number or audit(usable, found, least, total) >= RECALL:
-            return found
+        recall = audit(usable, found, least, total)
+        if recall >= RECALL or overlap == number:
+            return found.withColumn("recall", F.lit(recall))
         overlap = min(2 * overlap, number)
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
-    """vec_id, n_links, component_id, kept: a row per vector."""
+    """vec_id, n_links, component_id, kept, audited_recall: a row per vector."""
     classes = classes_of(vectors.select("vec_id", "embedding"))
     found = links(classes, least)
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector")
@@ -321,7 +323,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
                 .select("embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "id").alias("component_id")), "vector-known")
     out = vectors.select("vec_id", "embedding").join(known, "embedding", "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    first = found.select("recall").first()  # the same in every row
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+                      F.lit(float(first["recall"]) if first else 1.0).alias("audited_recall"))
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

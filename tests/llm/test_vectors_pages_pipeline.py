@@ -50,6 +50,19 @@ def test_embedding_dedup(spark, monkeypatch, block):
     assert sum(g[0] for g in got.values()) >= 0.97 * sum(w[0] for w in want.values())
     assert all(g[0] <= w[0] for g, w in zip((got[i] for i in want), want.values(), strict=True))
     assert sum(got[i] != want[i] for i in want) <= 4
+    recall = {r.audited_recall for r in vectors.near_duplicates(frame).collect()}
+    assert len(recall) == 1 and min(recall) >= vectors.RECALL
+
+
+def test_embedding_dedup_of_the_table_with_near_copies(spark):
+    """The table's own vectors hold few links, so near copies of every tenth are put in."""
+    base = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()][:600]
+    rng = np.random.default_rng(9)
+    rows = base + [(100_000 + 10 * i + k, [float(np.float32(x)) for x in np.array(v) * 3 + rng.normal(size=len(v)) * np.linalg.norm(v) * 0.03]) for i, v in base[::10] for k in range(3)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    want = brute(rows)
+    assert sum(w[0] for w in want.values()) >= 360
+    assert sum(g[0] for g in got.values()) >= 0.98 * sum(w[0] for w in want.values()) and all(got[i][0] <= want[i][0] for i in want)
 
 
 def test_embedding_dedup_small_and_empty(spark, sf):
@@ -150,3 +163,23 @@ def test_pipeline_stages(spark, sf):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert sum(r.length for r in pieces) == sum(len(library.encode(r.text, add_special_tokens=False).ids) + 1 for r in clean.values())
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Nulls, repeated rows, ties and shared doc_ids in every stage; an empty table; a scratch that is empty afterwards."""
+    body = "Some words of a clean text, one after the other, with stops. And another sentence of it, as good as the first one."
+    rows = [(1, body), (1, body), (5, body), (5, body.replace("clean", "plain and other") + " It goes on with more of its own words here."), (None, body), (None, None), (3, None), (4, ""), (7, body + "\nLine two of it.\n" + body), (8, "token = abcdefgh12345678")]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, kept string, copy int, _id int, ids int"
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", 1, 2, 3) for i, t in rows], kind)
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert out and {r.doc_id for r in out} <= {1, 3, 4, 5, 7, 8, None} and {1, 5} <= {r.doc_id for r in out}
+    docs = frame.select(corpus_pipeline.COLUMNS)
+    one = corpus_pipeline.minhash_stage(spark, docs, "").collect()
+    assert sum(r.text == body for r in one) == 1 and [r.doc_id for r in one if r.text == body] == [1] and sum(r.doc_id == 5 for r in one) == 1
+    empty = docs.where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0
+    (tmp_path / "none").mkdir()
+    empty.write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
