@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lymphoframe.llm import lines, minhash, packing, quality, secrets
-from lymphoframe.llm.common import cut, table
+from lymphoframe.llm.common import cut, scratch, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -20,19 +20,21 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weak-label classifier rejects go."""
+    """Documents that the weak-label classifier rejects go. Texts without words are kept with the class
+    prior; repeated rows share their fate."""
     return _documents(quality.score(docs.select(COLUMNS), quality.fit(docs)).where("kept"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go from the texts."""
+    """Later copies of repeated runs of two lines or more go from the texts; no document goes. Null texts
+    and null doc_ids stay as they are."""
     return _documents(lines.dedup(docs.select(COLUMNS)))
 
 
 def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (similarity 0.8, five-word shingles) the smallest doc_id stays."""
-    gone = minhash.near_duplicates(docs, percent=80).where("not kept").select("doc_id").distinct()
-    return _documents(docs.join(cut(gone, "pipeline-gone"), "doc_id", "left_anti"))
+    """Of each group of near duplicates (similarity 0.8, five-word shingles) one row stays, of the smallest
+    doc_id. Rows are told apart by doc_id and text; rows without words all stay."""
+    return _documents(minhash.keep_one(docs.select(COLUMNS), percent=80))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of sequences of at most 1024 tokens."""
+    """Token pieces of sequences of at most 1024 tokens; a null text is one 0, an empty table has none."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -62,5 +64,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with scratch(spark):
+            docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", keep=True)
     return docs
