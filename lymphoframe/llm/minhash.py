@@ -5,9 +5,9 @@ work below is on classes. A class has a signature of ``SYMBOLS`` min-hashes of 1
 ``CHUNKS * WIDTH`` of them are split into chunks; by the pigeonhole principle two signatures that
 differ in fewer than ``2 * CHUNKS`` of these symbols have a chunk with at most one differing symbol,
 so the index has a key for each chunk with each symbol left out in turn, and two such classes meet
-under at least one key. A pair right at the similarity exceeds that distance by chance: 2 in 10**8 at
-0.85, 1 in 10**6 at 0.80 (binomial tail of 16 or more of 32); the whole signature's wider limit,
-seven deviations, adds less than 1 in 10**8 to either.
+under at least one key. Farther ones meet too unless each chunk has two differing symbols or more: of
+pairs right at the similarity 2 in 10**8 miss at 0.85, 1 in 10**6 at 0.80. The limit on whole
+signatures, seven deviations, adds 1 in 10**9.
 
 1. Classes that meet are compared on whole signatures; what is close enough hangs together in rough
    groups. A key shared by more than ``HOT`` classes is split into blocks, and pairs of blocks meet.
