@@ -1,25 +1,32 @@
 """Embedding near-dedup over a robust-pruned flat graph.
 
-Equal vectors form one class; the work is on classes. Centroids are fitted on a bounded sample
-(``SAMPLE`` classes with the smallest hashes of their id); every class is dealt to the shards of its
-``overlap`` nearest centroids. A shard above ``SHARD`` members is split into blocks, and every pair of
-blocks is a shard of its own, so no task's share is unbounded and no member is left out.
+Equal vectors form one class; the work is on classes, those of each length by themselves. Centroids
+are fitted on a bounded sample (``SAMPLE`` classes with the smallest hashes of their id); every class is
+dealt to the shards of its ``overlap`` nearest centroids. Where the sample can't give as many centroids
+as the classes need shards, a shard is a pair of near centroids, so the number of shards grows with
+the square of the sample and their size doesn't. A shard above ``SHARD`` members is split into blocks,
+and every pair of blocks is a shard of its own, so no task's share is unbounded and no member is left
+out.
 
 Each shard builds a graph: a node's nearest neighbours, robust-pruned (a neighbour is dropped when one
 already chosen is closer to it by a factor ``ALPHA``). The adjacency lists of a node from all its
-shards are united and go back to them. Each member is then a query: a greedy beam search from the
-shard's medoid, then the range expands from everything found in range, and from the query's own
-node, over neighbours still in range, until nothing new comes. Pairs are verified by their cosine
-in double precision. Two members may meet in several shards; their pair counts in the first shard
-they share, so a task adds up its own links and sends a row per member, not per pair.
+shards are united and go back to them, and with them come, as guests, the neighbours from other shards
+that could be linked with something in range of the node: edges lead out of the shard into the united
+graph. Each member is then a query: a greedy beam search from the shard's medoid, then the range
+expands from everything found in range, and from the query's own node, over neighbours still in
+range, guests and their edges too, until nothing new comes. Pairs are verified by their cosine in
+double precision. Two members may meet in several shards; their pair counts in the first shard
+they share. A member and a guest that share none count for the member in its nearest shard (and the
+other way round in the guest's). So a task adds up its own links and sends a row per node, not per
+pair.
 
 The recall is audited at every size: the links of ``AUDIT`` queries (smallest hashes) are counted among
 all vectors; below ``RECALL`` the overlap doubles and the search is run again. The last audit's figure
 comes with the result (``audited_recall``; 1 where the queries have no links).
 
-Defined results: vectors that are null, zero, hold null or non-finite components, or have another
-length than most of the sample link with nothing and are their own component; repeated rows are
-linked vectors; ties don't matter; other columns are not read.
+Defined results: vectors that are null, zero, hold null or non-finite components link with nothing
+and are their own component; vectors of different lengths are never linked; repeated rows are linked
+vectors; ties don't matter; other columns are not read.
 """
 
 from __future__ import annotations
@@ -85,27 +92,36 @@ def centroids(sample: np.ndarray, number: int, rounds: int = 8) -> np.ndarray:
     return found
 
 
-def _dealt(classes: DataFrame, middles: np.ndarray, overlap: int) -> DataFrame:
-    """(shard, low, high, own, shards, id, n, body): every class in each shard, or pair of blocks, that it belongs to."""
-    width = middles.shape[1] * 4
+def _nearest(sims: np.ndarray, overlap: int, paired: bool) -> np.ndarray:
+    """The shards of each row: its nearest centroids, or pairs of them (nearest first by their places)."""
+    if not paired:
+        return np.argsort(-sims, axis=1, kind="stable")[:, :overlap].astype("<i4")
+    number = sims.shape[1]
+    most = next(m for m in range(2, number + 1) if m * (m - 1) // 2 >= overlap or m == number)
+    near = np.argsort(-sims, axis=1, kind="stable")[:, :most]
+    pairs = sorted(((i, j) for j in range(most) for i in range(j)), key=lambda p: (sum(p), p))[:overlap]
+    one, two = near[:, [i for i, _ in pairs]], near[:, [j for _, j in pairs]]
+    return (np.minimum(one, two) * number + np.maximum(one, two)).astype("<i4")
+
+
+def _dealt(classes: DataFrame, middles: np.ndarray, overlap: int, paired: bool) -> DataFrame:
+    """(shard, low, high, own, home, shards, id, n, body): every class in each shard, or pair of blocks, that it
+    belongs to; ``home`` marks the nearest shard."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = np.argsort(-(_unit(_matrix(batch.column(2))) @ middles.T), axis=1, kind="stable")[:, :overlap].astype("<i4")
+            near = _nearest(_unit(_matrix(batch.column(2))) @ middles.T, overlap, paired)
             take = pa.array(np.repeat(np.arange(len(near)), near.shape[1]))
             shards = pa.array([x.tobytes() for x in near], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), shards.take(take), *[batch.column(i).take(take) for i in range(3)]], names=["shard", "shards", "id", "n", "body"])
-
-    rows = classes.where(F.length("body") == width).select("id", "n", "body").mapInArrow(work, "shard int, shards binary, id long, n long, body binary")
-    # a row per shard, MOST_SHARDS at most
-    sizes = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}
-    blocks = {s: -(-2 * n // SHARD) for s, n in sizes.items() if n > SHARD}
-    number = F.lit(1)
-    if blocks:
-        number = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("shard")), F.lit(1))
-    rows = rows.withColumn("number", number).withColumn("own", F.pmod(F.xxhash64("id"), F.col("number")).cast("int"))
+            home = np.tile(np.arange(near.shape[1]) == 0, len(near))
+            yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), pa.array(home), shards.take(take), *[batch.column(i).take(take) for i in range(3)]], names=["shard", "home", "shards", "id", "n", "body"])
+
+    rows = cut(classes.select("id", "n", "body").mapInArrow(work, "shard int, home boolean, shards binary, id long, n long, body binary"), "vector-dealt")
+    sizes = cut(rows.groupBy("shard").count().where(F.col("count") > SHARD).select("shard", F.ceil(2 * F.col("count") / SHARD).cast("int").alias("number")), "vector-sizes")
+    rows = rows.join(sizes, "shard", "left").withColumn("number", F.coalesce("number", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("number")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("number") - 1)))
-    return rows.select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "shards", "id", "n", "body")
+    return rows.select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "home", "shards", "id", "n", "body")
 
 
 def pruned(x: np.ndarray) -> list[np.ndarray]:
@@ -132,24 +148,36 @@ def pruned(x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _build(dealt: DataFrame) -> DataFrame:
-    """(id, near): each node's neighbours, united over its shards."""
+def _build(dealt: DataFrame, least: float) -> DataFrame:
+    """(id, near, close): each node's edges; ``close``: the neighbour could be linked with a query that has
+    the node in range."""
+    reach = float(np.cos(min(np.pi, np.arccos(least) + np.arccos(max(least - SLACK, -1.0)))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, starts in whole_groups(batches, ["shard", "low", "high"]):
             ids = group.column("id").to_numpy()
             for first, last in zip(starts[:-1], starts[1:], strict=True):
                 if last - first > 1:
-                    mine = ids[first:last]
-                    lists = pruned(_unit(_matrix(group.column("body").slice(first, last - first))))
-                    yield pa.RecordBatch.from_pydict({"id": np.repeat(mine, [len(p) for p in lists]), "near": mine[np.concatenate(lists)]})
+                    mine, x = ids[first:last], _unit(_matrix(group.column("body").slice(first, last - first)))
+                    lists = pruned(x)
+                    row, near = np.repeat(np.arange(len(x)), [len(p) for p in lists]), np.concatenate(lists)
+                    close = np.einsum("ij,ij->i", x[row], x[near]) >= reach - 1e-9
+                    yield pa.RecordBatch.from_pydict({"id": mine[row], "near": mine[near], "close": close})
+
+    return dealt.mapInArrow(work, "id long, near long, close boolean").distinct()
+
 
-    return dealt.mapInArrow(work, "id long, near long").groupBy("id").agg(F.collect_set("near").alias("near"))
+def _guests(dealt: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows as those of ``dealt`` (``own`` -1): close neighbours of a shard's members from other shards."""
+    own = dealt.where("low = high")
+    asked = own.select("shard", "low", "high", "id").join(edges.where("close").select("id", "near"), "id").select("shard", "low", "high", F.col("near").alias("id")).distinct()
+    away = asked.join(own.select("shard", "id"), ["shard", "id"], "left_anti")
+    return away.join(own.where("home").select("id", "shards", "n", "body"), "id").select("shard", "low", "high", F.lit(-1).alias("own"), F.lit(False).alias("home"), "shards", "id", "n", "body")
 
 
-def _search(x: np.ndarray, lists: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """All (query, node) in range found by beam search from the medoid and range expansion. ``lists``:
-    padded with -1. The range expands over edges in both directions (a hub's list is cut at
+def _search(x: np.ndarray, lists: np.ndarray, least: float, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All (query, node) in range found by beam search from the medoid and range expansion; queries are the
+    ``members`` (rows), nodes may be guests. ``lists``: padded with -1. The range expands over edges in both directions (a hub's list is cut at
     ``DEGREE``, but every node that points to it is reached from it)."""
     n = len(x)
     row, place = np.nonzero(lists >= 0)
@@ -157,11 +185,11 @@ def _search(x: np.ndarray, lists: np.ndarray, least: float) -> tuple[np.ndarray,
     order = np.argsort(ends[0], kind="stable")
     target, first = ends[1][order], np.searchsorted(ends[0][order], np.arange(n + 1))
     beam = min(BEAM, n)
-    medoid = int((x @ x.mean(0)).argmax())
+    medoid = int(members[(x[members] @ x[members].mean(0)).argmax()])
     short = x.astype(np.float32)
     found, sims_found = np.full((n, beam), -1), np.full((n, beam), -3.0, np.float32)
-    for begin in range(0, n, 256):  # queries walk together, a few hundred at a time
-        rows = np.arange(begin, min(begin + 256, n))
+    for begin in range(0, len(members), 256):  # queries walk together, a few hundred at a time
+        rows = members[begin : begin + 256]
         nodes = np.full((len(rows), beam), -1)
         sims = np.full((len(rows), beam), -3.0, np.float32)
         nodes[:, 0], sims[:, 0] = medoid, short[rows] @ short[medoid]
@@ -184,7 +212,7 @@ def _search(x: np.ndarray, lists: np.ndarray, least: float) -> tuple[np.ndarray,
             nodes[live] = np.where(sims[live] < -2.5, -1, nodes[live])
         found[rows], sims_found[rows] = nodes, sims
     a, b = [], []
-    for q in range(n):
+    for q in members.tolist():
         seen = np.zeros(n, bool)
         seen[q] = True
         wave = np.unique(np.append(found[q][(found[q] >= 0) & (sims_found[q] >= least - SLACK)], q))
@@ -204,25 +232,29 @@ def _search(x: np.ndarray, lists: np.ndarray, least: float) -> tuple[np.ndarray,
     return np.concatenate(a), np.concatenate(b)
 
 
+_NONE = np.iinfo(np.int32).max
+
+
 def _first_shared(shards: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest shard that both rows of each pair belong to."""
+    """The smallest shard that both rows of each pair belong to (``_NONE`` without one)."""
     out = np.empty(len(a), np.int64)
     for k in range(0, len(a), 65_536):
         x, y = shards[a[k : k + 65_536]], shards[b[k : k + 65_536]]
-        out[k : k + 65_536] = np.where((x[:, :, None] == y[:, None, :]).any(2), x, np.iinfo(np.int32).max).min(1)
+        out[k : k + 65_536] = np.where((x[:, :, None] == y[:, None, :]).any(2), x, _NONE).min(1)
     return out
 
 
-def _linked(dealt: DataFrame, adjacency: DataFrame, least: float) -> DataFrame:
-    """(id, others, root): per member and shard with links counted there, the vectors it is linked to
-    and the smallest member it reaches by them."""
+def _linked(dealt: DataFrame, edges: DataFrame, least: float) -> DataFrame:
+    """(id, others, root): per node and shard with links counted there, the vectors it is linked to
+    and a node that it reaches by them (one for all that hang together)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, starts in whole_groups(batches, ["shard", "low", "high"]):
             for first, last in zip(starts[:-1], starts[1:], strict=True):
                 part = group.slice(first, last - first)
-                ids = part.column("id").to_numpy()
-                if len(ids) < 2:
+                ids, own = part.column("id").to_numpy(), part.column("own").to_numpy()
+                members = np.flatnonzero(own >= 0)
+                if len(ids) < 2 or not len(members):
                     continue
                 order = np.argsort(ids)
                 near = part.column("near").combine_chunks()
@@ -236,26 +268,33 @@ def _linked(dealt: DataFrame, adjacency: DataFrame, least: float) -> DataFrame:
                 place = np.arange(len(row)) - np.searchsorted(row, row)
                 lists = np.full((len(ids), int(place.max()) + 1 if len(place) else 1), -1)
                 lists[row, place] = at
-                q, node = _search(_unit(_matrix(part.column("body"))), lists, least)
+                q, node = _search(_unit(_matrix(part.column("body"))), lists, least, members)
+                shards = np.frombuffer(b"".join(part.column("shards").to_pylist()), "<i4").reshape(len(ids), -1)
+                low, high, n = part.column("low")[0].as_py(), part.column("high")[0].as_py(), part.column("n").to_numpy()
+                # a guest that shares no shard with the query, in the query's nearest shard
+                out = (own[node] < 0) & part.column("home").to_numpy(zero_copy_only=False)[q]
+                c, d = q[out], node[out]
+                apart = _first_shared(shards, c, d) == _NONE
+                c, d = c[apart], d[apart]
+                q, node = q[own[node] >= 0], node[own[node] >= 0]
                 pairs = np.unique(np.minimum(q, node) * len(ids) + np.maximum(q, node))
                 a, b = pairs // len(ids), pairs % len(ids)
-                shards = np.frombuffer(b"".join(part.column("shards").to_pylist()), "<i4").reshape(len(ids), -1)
-                own, low, high = part.column("own").to_numpy(), part.column("low")[0].as_py(), part.column("high")[0].as_py()
                 counts = _first_shared(shards, a, b) == part.column("shard")[0].as_py()
                 if low != high:  # members of one block meet in their block's own shard
                     counts &= own[a] != own[b]
                 a, b = a[counts], b[counts]
-                if not len(a):
+                if not len(a) and not len(c):
                     continue
-                n = part.column("n").to_numpy()
-                others = np.bincount(a, n[b], len(ids)) + np.bincount(b, n[a], len(ids))
-                root = local_roots(len(ids), a, b)
-                some = np.flatnonzero(others)
+                others = np.bincount(a, n[b], len(ids)) + np.bincount(b, n[a], len(ids)) + np.bincount(c, n[d], len(ids))
+                root = local_roots(len(ids), np.append(a, c), np.append(b, d))
+                some = np.unique(np.concatenate([a, b, c, d]))
                 yield pa.RecordBatch.from_pydict({"id": ids[some], "others": others[some].astype(np.int64), "root": ids[root[some]]})
 
     spark = dealt.sparkSession
     order = ["shard", "low", "high"]
-    rows = dealt.join(adjacency, "id", "left").select(*order, "own", "shards", "id", "n", "body", "near")
+    adjacency = cut(edges.groupBy("id").agg(F.collect_set("near").alias("near")), "vector-lists")
+    nodes = dealt.unionByName(cut(_guests(dealt, edges), "vector-guests"))
+    rows = nodes.join(adjacency, "id", "left").select(*order, "own", "home", "shards", "id", "n", "body", "near")
     return rows.repartition(partitions(spark), *order).sortWithinPartitions(*order).mapInArrow(work, "id long, others long, root long")
 
 
@@ -290,42 +329,42 @@ def audit(classes: DataFrame, found: DataFrame, least: float, total: int, querie
 
 
 def links(classes: DataFrame, least: float) -> DataFrame:
-    """(id, others, root) of classes with links (see ``_linked``), written, and the audited recall."""
+    """(id, others, root, recall) of the classes with links (see ``_linked``), written; ``classes`` have one length."""
     total = classes.count()
     sample = [r["body"] for r in smallest_hashes(classes.select("id", "body"), "id", SAMPLE, total).collect()]
-    if not sample:
-        return classes.select("id", F.col("n").alias("others"), F.col("id").alias("root"), F.lit(1.0).alias("recall")).limit(0)
-    sizes = [len(b) for b in sample]
-    width = max(set(sizes), key=lambda w: (sizes.count(w), w))
-    sample = [b for b in sample if len(b) == width]
-    number = max(1, min(MOST_SHARDS, len(sample) // 8, -(-total // PER_SHARD)))
+    wanted, most = -(-total // PER_SHARD), max(1, min(MOST_SHARDS, len(sample) // 8))
+    number, paired = min(wanted, most), wanted > most > 1
     middles = centroids(np.frombuffer(b"".join(sample), "<f4").reshape(len(sample), -1), number)
-    usable = classes.where(F.length("body") == width)
     small_batches(classes.sparkSession)
-    overlap = min(OVERLAP, number)
+    every = number * (number - 1) // 2 if paired else number
+    overlap = min(OVERLAP, every)
     while True:
-        dealt = cut(_dealt(usable, middles, overlap), "vector-shards")
-        adjacency = cut(_build(_sorted(dealt)), "vector-graph")
-        found = cut(_linked(dealt, adjacency, least), "vector-links")
-        recall = audit(usable, found, least, total)
-        if recall >= RECALL or overlap == number:
+        dealt = cut(_dealt(classes, middles, overlap, paired), "vector-shards")
+        edges = cut(_build(_sorted(dealt), least), "vector-graph")
+        found = cut(_linked(dealt, edges, least), "vector-links")
+        recall = audit(classes, found, least, total)
+        if recall >= RECALL or overlap == every:
             return found.withColumn("recall", F.lit(recall))
-        overlap = min(2 * overlap, number)
+        overlap = min(2 * overlap, every)
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id, kept, audited_recall: a row per vector."""
     classes = classes_of(vectors.select("vec_id", "embedding"))
-    found = links(classes, least)
+    # a graph for each length of which there are two classes or more
+    widths = [r["w"] for r in classes.groupBy(F.length("body").alias("w")).count().where("count > 1").orderBy("w").collect()]
+    found = classes.select("id", F.col("n").alias("others"), F.col("id").alias("root"), F.lit(1.0).alias("recall")).limit(0)
+    for width in widths:
+        found = found.unionByName(links(classes.where(F.length("body") == width), least))
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector")
     partners = found.groupBy("id").agg(F.sum("others").alias("others"))
     known = cut(classes.join(partners, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
                 .select("embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "id").alias("component_id")), "vector-known")
     out = vectors.select("vec_id", "embedding").join(known, "embedding", "left")
     component = F.coalesce("component_id", "vec_id")
-    first = found.select("recall").first()  # the same in every row
+    recall = found.agg(F.min("recall")).first()[0]
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
-                      F.lit(float(first["recall"]) if first else 1.0).alias("audited_recall"))
+                      F.lit(1.0 if recall is None else recall).alias("audited_recall"))
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

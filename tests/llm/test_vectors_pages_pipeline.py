@@ -42,7 +42,7 @@ def test_embedding_dedup(spark, monkeypatch, block):
     base = rng.normal(size=(120, 16))
     near = np.repeat(base[:6], 12, axis=0) + rng.normal(size=(72, 16)) * 0.12
     rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(np.concatenate([base, near, np.repeat(base[7:8], 9, axis=0)]))]
-    rows += [(900, None), (901, []), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [None] + [1.0] * 15), (905, [float("inf")] + [1.0] * 15), (906, [1.0, 2.0])]
+    rows += [(900, None), (901, []), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [None] + [1.0] * 15), (905, [float("inf")] + [1.0] * 15), (906, [1.0, 2.0]), (907, [1.5, 3.0]), (908, [2.0, -1.0]), (909, [1.0, 2.25])]  # a shorter length links among itself
     frame = spark.createDataFrame([(i, v, "x", 5) for i, v in rows], "vec_id long, embedding array<float>, label string, n_links int")
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(frame).collect()}
     want = brute(rows)
@@ -65,6 +65,38 @@ def test_embedding_dedup_of_the_table_with_near_copies(spark):
     assert sum(g[0] for g in got.values()) >= 0.98 * sum(w[0] for w in want.values()) and all(got[i][0] <= want[i][0] for i in want)
 
 
+def test_embedding_search_leaves_the_shard_by_united_edges(spark, monkeypatch):
+    """Few shards to a vector: pairs that share none are found over guests' edges, and only verified ones count."""
+    monkeypatch.setattr(vectors, "PER_SHARD", 9)
+    monkeypatch.setattr(vectors, "OVERLAP", 2)
+    monkeypatch.setattr(vectors, "RECALL", 0.0)
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(rng.normal(size=(500, 3)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = brute(rows)
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(frame).collect()}
+    monkeypatch.setattr(vectors, "_guests", lambda dealt, edges: dealt.limit(0))
+    alone = {r.vec_id: r.n_links for r in vectors.near_duplicates(frame).collect()}
+    true = sum(w[0] for w in want.values())
+    assert all(alone[i] <= got[i] <= want[i][0] for i in want)
+    assert sum(alone.values()) < sum(got.values()) and sum(got.values()) >= 0.98 * true
+
+
+def test_embedding_dedup_by_pairs_of_centroids(spark, monkeypatch):
+    """More shards wanted than the sample gives centroids."""
+    monkeypatch.setattr(vectors, "SAMPLE", 64)
+    monkeypatch.setattr(vectors, "PER_SHARD", 20)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(150, 12))
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(np.concatenate([base, np.repeat(base[:50], 3, axis=0) + rng.normal(size=(150, 12)) * 0.1]))]
+    got = {r.vec_id: (r.n_links, r.audited_recall) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    want = brute(rows)
+    assert sum(g for g, _ in got.values()) >= 0.97 * sum(w[0] for w in want.values()) and all(got[i][0] <= want[i][0] for i in want)
+    assert min(r for _, r in got.values()) >= vectors.RECALL
+    near = vectors._nearest(rng.normal(size=(40, 9)), 4, True)
+    assert all(len(set(x)) == 4 for x in near.tolist()) and near.max() < 81
+
+
 def test_embedding_dedup_small_and_empty(spark, sf):
     frame = spark.createDataFrame([(5, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(frame).collect()} == {5: (1, 3, False), 3: (1, 3, True), 4: (0, 4, True)}
