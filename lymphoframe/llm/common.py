@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Fixed value: words are maximal runs of anything but these white-space characters.
@@ -40,8 +40,17 @@ def scratch(spark: SparkSession):
         yield
     finally:
         for path in _made.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop(written: DataFrame) -> None:
+    """Deletes a table that ``cut`` wrote and that nothing reads any more."""
+    _delete(written.sparkSession, written._folder)
 
 
 def cut(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
@@ -58,7 +67,9 @@ def cut(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
         spark.conf.set(cleanup, before)
     if _made and not keep:
         _made[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
 
 
 def partitions(spark: SparkSession) -> int:
@@ -86,3 +97,28 @@ def smallest_hashes(df: DataFrame, key: str, number: int, total: int, *ties: str
     place = F.pmod(F.xxhash64(F.coalesce(key, F.lit(0))), F.lit(span))
     bound = span if total <= 2 * number else -(-2 * number * span // total)
     return df.where(place < bound).orderBy(place, key, *ties).limit(number)
+
+
+#: Groups of tasks that ``smallest`` takes its first choice from.
+CHOICES = 64
+
+
+def smallest(df: DataFrame, number: int, *keys: str) -> DataFrame:
+    """The ``number`` first rows by ``keys``: the first of each group of tasks (found before the shuffle),
+    and of those the first. What meets in one task is bounded, whatever the number of tasks."""
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(*order))
+    chosen = df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(CHOICES))).withColumn("_rank", rank).where(F.col("_rank") <= number)
+    return chosen.drop("_group", "_rank").orderBy(*order).limit(number)
+
+
+def sound(column: str, scale: int, most: int) -> Column:
+    """True for an array that has components, none of them null or not finite, none beyond ``most`` after
+    multiplication by ``scale``."""
+    fits = lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double") * scale) <= most)
+    return F.coalesce((F.size(column) > 0) & F.forall(column, fits), F.lit(False))
+
+
+def floors(column: str, scale: int) -> Column:
+    """array<int>: floor(scale * x) of each component, as double."""
+    return F.transform(column, lambda x: F.floor(x.cast("double") * scale).cast("int"))
