@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lymphoframe.llm import bpe, codes, fingerprints, lines, minhash, packing, pages, quality, secrets, sharding, substrings, vectors
+from lymphoframe.llm import bpe, codes, fingerprints, lines, minhash, negatives, packing, pages, quality, secrets, sharding, substrings, vectors
 
 QUERIES = {
     "op1_substring_dedup": substrings.op1_substring_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_html_text": pages.op10_html_text,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
     "op12_vector_codes": codes.op12_vector_codes,
     "op13_sharding": sharding.op13_sharding,
 }
