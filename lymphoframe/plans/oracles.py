@@ -222,17 +222,16 @@ SELECT m.repertoire_group_id, cdr3, string_agg(concat(sh.repertoire_id, ':', cas
 FROM sh JOIN members m ON sh.repertoire_id = m.repertoire_id GROUP BY m.repertoire_group_id, cdr3""")
 
 
-def _matrix(level: str) -> str:
-    return _shares(level) + """,
-ids AS (SELECT level, repertoire_id, count(*) AS n FROM sh GROUP BY level, repertoire_id),
-both_ AS (SELECT a.level, a.repertoire_id AS ra, b.repertoire_id AS rb, count(*) AS n_shared FROM sh a JOIN sh b ON a.level = b.level AND a.gene_key = b.gene_key AND a.cdr3 = b.cdr3 GROUP BY a.level, a.repertoire_id, b.repertoire_id),
-mx AS (SELECT a.level, a.repertoire_id AS repertoire_id_a, b.repertoire_id AS repertoire_id_b, coalesce(x.n_shared, 0) AS n_shared, a.n - coalesce(x.n_shared, 0) AS n_diff
-  FROM ids a JOIN ids b ON a.level = b.level LEFT JOIN both_ x ON x.level = a.level AND x.ra = a.repertoire_id AND x.rb = b.repertoire_id)"""
+def _matrix(level: str, column: str) -> str:
+    return sql(_shares(level) + f""",
+ids AS (SELECT DISTINCT repertoire_id AS r FROM nation_members),
+sets AS (SELECT repertoire_id, list(gene_key || '/' || cdr3) AS js FROM sh GROUP BY repertoire_id),
+both_ AS (SELECT a.repertoire_id AS ra, b.repertoire_id AS rb, len(list_intersect(a.js, b.js)) AS n_shared, len(a.js) - len(list_intersect(a.js, b.js)) AS n_diff FROM sets a CROSS JOIN sets b)
+SELECT '{level}' AS level, a.r AS repertoire_id_a, b.r AS repertoire_id_b, coalesce(x.{column}, {"0" if column == "n_shared" else "(SELECT len(js) FROM sets WHERE sets.repertoire_id = a.r), 0"}) AS {column}
+FROM ids a CROSS JOIN ids b LEFT JOIN both_ x ON x.ra = a.r AND x.rb = b.r""", "nation_members")
 
 
-ORACLES["share_matrix_shared"] = sql(_matrix("aa") + "\nSELECT level, repertoire_id_a, repertoire_id_b, n_shared FROM mx")
-ORACLES["share_matrix_shared_v"] = sql(_matrix("v,aa") + "\nSELECT level, repertoire_id_a, repertoire_id_b, n_shared FROM mx")
-ORACLES["share_matrix_diff"] = sql(_matrix("aa") + "\nSELECT level, repertoire_id_a, repertoire_id_b, n_diff FROM mx")
+ORACLES["share_matrix_shared"], ORACLES["share_matrix_shared_v"], ORACLES["share_matrix_diff"] = _matrix("aa", "n_shared"), _matrix("v,aa", "n_shared"), _matrix("aa", "n_diff")
 _on = "a.level = b.level AND a.gene_key = b.gene_key AND a.cdr3 = b.cdr3"
 _rep = "a.level, a.gene_key, a.cdr3, a.repertoire_id AS repertoire_id_a"
 ORACLES["share_detail_shared"] = sql(_shares("vj,aa") + f"\nSELECT {_rep}, a.sequence_count AS sequence_count_a, a.duplicate_count AS duplicate_count_a, b.repertoire_id AS repertoire_id_b, b.sequence_count AS sequence_count_b, b.duplicate_count AS duplicate_count_b FROM sh a JOIN sh b ON {_on} AND a.repertoire_id <> b.repertoire_id")
@@ -240,6 +239,9 @@ ORACLES["share_detail_diff"] = sql(_shares("v,aa") + f""",
 ids AS (SELECT DISTINCT level, gene_key, repertoire_id FROM sh)
 SELECT {_rep}, i.repertoire_id AS repertoire_id_b, a.sequence_count AS sequence_count_a, a.duplicate_count AS duplicate_count_a FROM sh a JOIN ids i ON a.level = i.level AND a.gene_key = i.gene_key AND a.repertoire_id <> i.repertoire_id
 WHERE NOT EXISTS (SELECT 1 FROM sh b WHERE {_on} AND b.repertoire_id = i.repertoire_id)""")
+ORACLES["share_detail_diff_pairs"] = sql(_shares("aa") + f"""
+SELECT {_rep}, p.b AS repertoire_id_b, a.sequence_count AS sequence_count_a, a.duplicate_count AS duplicate_count_a
+FROM sh a JOIN (VALUES ('rep0', 'rep1'), ('rep1', 'rep0'), ('rep2', 'rep5'), ('rep3', 'rep20'), ('rep20', 'rep3')) p(a, b) ON a.repertoire_id = p.a WHERE (a.cdr3, p.b) NOT IN (SELECT cdr3, repertoire_id FROM sh)""")
 _ga = "a.level, a.gene_key, a.cdr3, a.repertoire_group_id AS repertoire_group_id_a, a.share_level AS share_level_a, a.sequence_count AS sequence_count_a, a.duplicate_count AS duplicate_count_a"
 
 
@@ -255,6 +257,15 @@ WHERE NOT EXISTS (SELECT 1 FROM gs b WHERE {_on} AND b.repertoire_group_id = i.r
 
 
 ORACLES["group_share_compare"], ORACLES["group_share_compare_gene"] = _compare("aa"), _compare("v,aa")
+ORACLES["group_share_compare_totals"] = sql(_shares("aa", "v,aa", "vj,nucleotide") + f"""
+SELECT a.level, a.repertoire_group_id AS repertoire_group_id_a, b.repertoire_group_id AS repertoire_group_id_b, count(*) AS n, cast(sum(a.sequence_count) AS bigint) AS sequence_count_a, cast(sum(b.sequence_count) AS bigint) AS sequence_count_b,
+  cast(sum(a.duplicate_count) AS bigint) AS duplicate_count_a, cast(sum(b.duplicate_count) AS bigint) AS duplicate_count_b
+FROM gs a JOIN gs b ON {_on} AND a.repertoire_group_id <> b.repertoire_group_id GROUP BY a.level, a.repertoire_group_id, b.repertoire_group_id""")
+ORACLES["group_share_diff_absent"] = sql(_shares("aa") + """,
+nm AS (SELECT DISTINCT repertoire_group_id, repertoire_id FROM nation_members),
+ng AS (SELECT cdr3, nm.repertoire_group_id AS g, count(*) AS share_level, cast(sum(duplicate_count) AS bigint) AS d FROM sh JOIN nm ON nm.repertoire_id = sh.repertoire_id GROUP BY cdr3, nm.repertoire_group_id)
+SELECT 'aa' AS level, a.g AS repertoire_group_id_a, b.g AS repertoire_group_id_b, a.share_level AS share_level_a, count(*) AS n, cast(sum(a.d) AS bigint) AS duplicate_count_a
+FROM ng a JOIN (SELECT DISTINCT repertoire_group_id AS g FROM nm) b ON a.g <> b.g WHERE NOT EXISTS (SELECT 1 FROM ng c WHERE c.g = b.g AND c.cdr3 = a.cdr3) GROUP BY a.g, b.g, a.share_level""", "nation_members")
 ORACLES["group_share_diff"], ORACLES["group_share_diff_gene"] = _differ("aa"), _differ("v,aa")
 ORACLES["group_share_matrix"] = sql(_shares("aa") + f""",
 most AS (SELECT level, repertoire_group_id AS g, unnest(range(1, max(share_level) + 1)) AS sl FROM gs GROUP BY level, repertoire_group_id),

@@ -289,16 +289,38 @@ def share_group_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detail.select("repertoire_group_id", "cdr3", text.alias("repertoires"))
 
 
-QUERIES["share_matrix_shared"] = lambda spark, sf_dir: share_ops.share_matrix(_shares("aa")(spark, sf_dir)).drop("n_diff")
-QUERIES["share_matrix_shared_v"] = lambda spark, sf_dir: share_ops.share_matrix(_shares("v,aa")(spark, sf_dir)).drop("n_diff")
-QUERIES["share_matrix_diff"] = lambda spark, sf_dir: share_ops.share_matrix(_shares("aa")(spark, sf_dir)).drop("n_shared")
+def _matrix(level: str, dropped: str) -> Query:
+    """All repertoires of the metadata (here those of ``nation_members``) are compared, also such without junctions."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return share_ops.share_matrix(_shares(level)(spark, sf_dir), views(spark, sf_dir, "nation_members")[0], (level,)).drop(dropped)
+
+    return run
+
+
+#: Pairs of repertoires that a difference is asked for; the last one has no junctions.
+PAIRS = [("rep0", "rep1"), ("rep1", "rep0"), ("rep2", "rep5"), ("rep3", "rep20"), ("rep20", "rep3")]
+
+QUERIES["share_matrix_shared"] = _matrix("aa", "n_diff")
+QUERIES["share_matrix_shared_v"] = _matrix("v,aa", "n_diff")
+QUERIES["share_matrix_diff"] = _matrix("aa", "n_shared")
 QUERIES["share_detail_shared"] = lambda spark, sf_dir: share_ops.shared_detail(_shares("vj,aa")(spark, sf_dir))
 QUERIES["share_detail_diff"] = lambda spark, sf_dir: share_ops.diff_detail(_shares("v,aa")(spark, sf_dir))
+QUERIES["share_detail_diff_pairs"] = lambda spark, sf_dir: share_ops.diff_detail(_shares("aa")(spark, sf_dir), units=views(spark, sf_dir, "nation_members")[0], pairs=PAIRS)
 QUERIES["group_share_compare"] = lambda spark, sf_dir: share_ops.compare_groups(_group_shares("aa")(spark, sf_dir))
 QUERIES["group_share_diff"] = lambda spark, sf_dir: share_ops.diff_groups(_group_shares("aa")(spark, sf_dir))
 QUERIES["group_share_compare_gene"] = lambda spark, sf_dir: share_ops.compare_groups(_group_shares("v,aa")(spark, sf_dir))
+QUERIES["group_share_compare_totals"] = lambda spark, sf_dir: share_ops.compared_totals(_group_shares("aa", "v,aa", "vj,nucleotide")(spark, sf_dir))
 QUERIES["group_share_diff_gene"] = lambda spark, sf_dir: share_ops.diff_groups(_group_shares("v,aa")(spark, sf_dir))
-QUERIES["group_share_matrix"] = lambda spark, sf_dir: share_ops.group_matrix(_group_shares("aa")(spark, sf_dir))
+QUERIES["group_share_matrix"] = lambda spark, sf_dir: share_ops.group_matrix(_shares("aa")(spark, sf_dir), _members(spark, sf_dir))
+
+
+@query("group_share_diff_absent")
+def group_share_diff_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of which some have no member with rows: the whole of the others differs from them."""
+    members = views(spark, sf_dir, "nation_members")[0]
+    by_group = share_ops.group_shares(_shares("aa")(spark, sf_dir), members)
+    return share_ops.diff_groups(by_group, members).groupBy("level", "repertoire_group_id_a", "repertoire_group_id_b", "share_level_a").agg(F.count("*").alias("n"), F.sum("duplicate_count_a").alias("duplicate_count_a"))
 
 
 def _junctions(spark: SparkSession, sf_dir: str, repertoire: str) -> DataFrame:
@@ -316,9 +338,13 @@ def _clones(level: str, dup_mode: str = "last") -> Query:
     return lambda spark, sf_dir: clone_ops.clones(_resolved(spark, sf_dir), level, dup_mode=dup_mode)
 
 
-QUERIES["clone_allele"] = lambda spark, sf_dir: _clones("allele")(spark, sf_dir).drop("clone_id", "first_ord")
-QUERIES["clone_gene"] = lambda spark, sf_dir: _clones("gene")(spark, sf_dir).drop("clone_id", "first_ord")
-QUERIES["clone_allele_sum"] = lambda spark, sf_dir: _clones("allele", "sum")(spark, sf_dir).drop("clone_id", "first_ord")
+def _summed_clones(level: str, dup_mode: str = "last") -> Query:
+    return lambda spark, sf_dir: clone_ops.summed_clones(_resolved(spark, sf_dir), level, dup_mode=dup_mode)
+
+
+QUERIES["clone_allele"] = lambda spark, sf_dir: _summed_clones("allele")(spark, sf_dir).drop("first_ord")
+QUERIES["clone_gene"] = lambda spark, sf_dir: _summed_clones("gene")(spark, sf_dir).drop("first_ord")
+QUERIES["clone_allele_sum"] = lambda spark, sf_dir: _summed_clones("allele", "sum")(spark, sf_dir).drop("first_ord")
 QUERIES["clone_ids"] = _clones("gene")
 
 
@@ -328,7 +354,7 @@ def clone_assign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clone_ops.assign(rows, clone_ops.clones(rows, "allele"), "allele").select("sequence_id", "repertoire_id", "clone_id")
 
 
-QUERIES["clone_collapse"] = lambda spark, sf_dir: clone_ops.merge(_clones("allele")(spark, sf_dir))
+QUERIES["clone_collapse"] = lambda spark, sf_dir: clone_ops.merge(_summed_clones("allele")(spark, sf_dir))
 
 
 # -- mutations -----------------------------------------------------------------------------------

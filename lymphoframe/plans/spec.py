@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lymphoframe.functions.calls import resolve, weight
 from lymphoframe.operators import clones, groups, junction, mutations, segments, sharing
 from lymphoframe.schema import REGIONS
+from lymphoframe.tables import written
 
 
 @dataclass
@@ -117,7 +118,7 @@ def cdr3(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
             if ctx.members is not None:
                 out[f"distribution_{kind}_groups"] = junction.distribution(grouped(), kind, ("repertoire_group_id",))
     if {"shared", "compare"} & set(calc.operations):
-        shared = sharing.shares(ctx.all_resolved(), tuple(calc.levels))
+        shared = written(sharing.shares(ctx.all_resolved(), tuple(calc.levels)), "shares")
         by_group = sharing.group_shares(shared, ctx.members) if ctx.members is not None else None
         if "shared" in calc.operations:
             out["share_repertoires"] = shared
@@ -125,9 +126,9 @@ def cdr3(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
             if by_group is not None:
                 out["share_group_detail"], out["share_summary"] = sharing.group_detail(shared, ctx.members), sharing.share_summary(by_group)
         if "compare" in calc.operations:
-            out["share_matrix"], out["share_detail"], out["share_diff"] = sharing.share_matrix(shared), sharing.shared_detail(shared), sharing.diff_detail(shared)
+            out["share_matrix"], out["share_detail"], out["share_diff"] = sharing.share_matrix(shared, ctx.repertoires, tuple(calc.levels)), sharing.shared_detail(shared), sharing.diff_detail(shared, units=ctx.repertoires)
             if by_group is not None:
-                out["group_matrix"], out["group_detail"], out["group_diff"] = sharing.group_matrix(by_group), sharing.by_weight(sharing.compare_groups(by_group)), sharing.by_weight(sharing.diff_groups(by_group))
+                out["group_matrix"], out["group_detail"], out["group_diff"] = sharing.group_matrix(shared, ctx.members), sharing.by_weight(sharing.compare_groups(by_group)), sharing.by_weight(sharing.diff_groups(by_group, ctx.members))
     return out
 
 
@@ -138,7 +139,7 @@ def filters(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
 def clonal_assignment(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
     rows, out = ctx.resolved(), {}
     for level in calc.levels or ["allele", "gene"]:
-        found = clones.clones(rows, level, ctx.order)
+        found = clones.clones(rows, level, ctx.order)  # written: what follows doesn't read the rows again
         out[f"clones_{level}"], out[f"clone_rows_{level}"], out[f"clones_{level}_merged"] = found, clones.assign(rows, found, level), clones.merge(found)
     return out
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lymphoframe.tables import spread
+
 VIEWS: dict[str, str] = {
     "numbers": """
 SELECT cast(a.n_nationkey * 25 + b.n_nationkey AS int) AS n FROM nation a CROSS JOIN nation b
@@ -151,8 +153,8 @@ def closure(names: tuple[str, ...]) -> list[str]:
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Registers the views over the tables of ``sf_dir`` and returns those asked for."""
-    for table in ("nation", "lineitem"):
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+    spark.read.parquet(f"{sf_dir}/nation.parquet").createOrReplaceTempView("nation")
+    spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).createOrReplaceTempView("lineitem")
     for name in closure(names):
         spark.sql(VIEWS[name]).createOrReplaceTempView(name)
     return [spark.table(name) for name in names]

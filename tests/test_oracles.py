@@ -13,7 +13,8 @@ TABLES = ("nation", "lineitem")
 CHECKED = ("germline_resolve", "group_missing_members", "filter_group_rows", "filter_ne", "filter_nested", "filter_contains_list", "clone_input_filter", "usage_frequency", "combo_vdj", "group_usage_stats",
            "length_dense", "length_table_stats", "distribution_nt", "group_distribution_stats", "share_rep_vj_aa", "share_group_detail", "share_matrix_shared_v", "share_matrix_diff", "share_detail_diff",
            "group_share_diff_gene", "group_share_matrix", "share_set_except", "clone_ids", "clone_assign_rows", "mutation_rows", "mutation_rep_counts", "mutation_j_subgroup_counts", "mutation_rs_ratio", "mutation_group_freq_stats", "mutation_group_ratio_stats",
-           "group_length", "group_length_stats", "group_share_compare", "group_share_compare_gene", "clone_collapse", "mutation_translate", "mutation_group_wide")
+           "group_length", "group_length_stats", "group_share_compare", "group_share_compare_gene", "clone_collapse", "mutation_translate", "mutation_group_wide",
+           "share_matrix_shared", "share_detail_shared", "share_detail_diff_pairs", "group_share_compare_totals", "group_share_diff_absent", "group_share_diff", "clone_gene", "clone_allele_sum")
 
 
 def _plain(value):
