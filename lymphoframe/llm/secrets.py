@@ -41,15 +41,25 @@ CLASSES = (
     EntropyClass("entropy_base64", r"[A-Za-z0-9+/_-]{20,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", 20, 3.7),
 )
 
-#: Candidates that are no secrets: parts between - _ / + that are plain words (lower case, one capital at
-#: most, or all capitals) or plain numbers of up to eight digits, as in paths and slugs; repeated characters; UUIDs.
+#: Candidates that are no secrets: such whose parts between - _ / + are all plain words (lower case, one
+#: capital at most, or all capitals) or plain numbers of up to eight digits, as in paths and slugs;
+#: digits and signs alone; repeated characters; UUIDs.
+PART, BETWEEN = r"^([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,8})$", r"[-_/+]+"
 ALLOW = (
-    r"^[-_/+]*([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,8})([-_/+]+([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,8}))*[-_/+]*$",
     r"^[0-9+/_-]+$",
     r"^(.)\1+$",
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
 )
 
+
+def allowed(candidate: Column) -> Column:
+    """True for a candidate on the allow list. Parts are matched one by one: a pattern that repeats a group
+    over a whole candidate recurses once for each part, and a long one ends the JVM's stack."""
+    parts = F.filter(F.split(candidate, BETWEEN, -1), lambda x: x != "")
+    plain = let(parts, lambda ps: (F.size(ps) > 0) & F.forall(ps, lambda x: x.rlike(PART)))
+    return F.coalesce(*[F.when(candidate.rlike(p), True) for p in ALLOW], plain)
+
+
 _SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string>"
 _NONE = f"cast(array() as array<{_SPAN}>)"
 
@@ -133,7 +143,6 @@ def _windows(cls: EntropyClass, text: Column) -> Column:
 
 
 def _class_spans(text: Column, cls: EntropyClass, rank: int) -> Column:
-    allowed = lambda part: F.coalesce(*[F.when(part.rlike(p), True) for p in ALLOW], F.lit(False))
     cands = F.filter(_located(text, cls.pattern, 0), lambda x: ~allowed(x["part"]))
     inside = lambda x: F.transform(_windows(cls, x["part"]), lambda v: F.struct(
         (x["start"] + v["s"] - 1).alias("start"), (x["start"] + v["e"]).cast("bigint").alias("end"), F.lit(rank).alias("rank"), F.lit(cls.kind).alias("kind")))

@@ -408,6 +408,22 @@ def test_entropy_spans_and_redaction(spark, odd, none):
     assert [len(r.all_spans) for r in found] == [0, 0, 1, 1]
 
 
+def test_very_long_candidates(spark, tmp_path):
+    """A megabyte of joined words, allowed or not, goes through the scan, and through the pipeline's stage."""
+    import corpus_pipeline
+
+    words, mixed, same = "abcd-" * 200_000, "abcd-" * 200_000 + "x1y2z3", "z" * 1_000_000
+    docs = spark.createDataFrame([(1, words), (2, mixed), (3, same), (4, "k " + "/usr/local/share" * 30_000), (5, "-" * 500_000)], "doc_id long, text string")
+    got = {r.doc_id: (len(r.base_spans), len(r.all_spans)) for r in secrets.scan(docs).collect()}
+    assert got == {1: (0, 0), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (0, 0)}
+    kept = corpus_pipeline.secret_stage(spark, docs.selectExpr("doc_id", "text", "'en' lang", "'s' source", "0L n_chars"), "")
+    assert {r.doc_id: r.text for r in kept.collect()}[2] == mixed
+    slug = "read-More-about-2024-THE-news"
+    cases = {slug: True, "": False, "---": True, "a" * 40: True, "Ab1-cd": False, "aB": False, "123456789": True, "abc-123456789": False, "4f9c-": False, "123e4567-e89b-12d3-a456-426614174000": True}
+    frame = spark.createDataFrame(list(cases.items()), "c string, want boolean")
+    assert [r.c for r in frame.where(secrets.allowed(F.col("c")) != F.col("want")).collect()] == []
+
+
 def test_entropy_spans_by_brute_force(spark):
     """Windows over the threshold, merged, of a plain count per window; thousands of matches in one text."""
     import math
