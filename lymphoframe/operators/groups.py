@@ -32,6 +32,22 @@ def group_rows(rows: DataFrame, members: DataFrame, filters: dict[str, dict]) ->
     return joined.where(group_condition(filters, rows))
 
 
+def with_passed(rows: DataFrame, filters: dict[str, dict]) -> DataFrame:
+    """Rows with ``passed``: the groups with a filter whose filter the row passes. A row stays one row: aggregates
+    take ``passed`` as a key beside the repertoire, and ``regrouped`` makes groups of their results."""
+    hits = [F.when(predicate(spec, rows), F.lit(group)) for group, spec in sorted(filters.items())]
+    return rows.withColumn("passed", F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>"))
+
+
+def regrouped(results: DataFrame, members: DataFrame, filters: dict[str, dict]) -> DataFrame:
+    """Results by (repertoire_id, passed, ...) with ``repertoire_group_id``: a copy for each group of the repertoire that
+    has no filter or whose filter the rows behind the result passed. What is additive is then summed by
+    group; the rows themselves are never read again, nor copied."""
+    joined = results.join(members.select("repertoire_group_id", "repertoire_id").distinct(), "repertoire_id")
+    free = ~F.col("repertoire_group_id").isin(*filters) if filters else F.lit(True)
+    return joined.where(free | F.array_contains("passed", F.col("repertoire_group_id"))).drop("passed")
+
+
 def group_mean_std(values: DataFrame, members: DataFrame, keys: list[str], measures: list[str], pooled: DataFrame | None = None) -> DataFrame:
     """Mean and sample deviation of per-repertoire ``values`` over all members of a group; an absent
     value counts 0, and one member has deviation 0. ``pooled`` names the keys of each group (by

@@ -1,7 +1,12 @@
-"""Mutation counts and frequencies over the long form (a row per sequence and position).
-
-Long inside, wide only at the sink: one aggregate by (key, position), rolled up to regions, region
-classes and the whole by grouping sets; ``wide_counts`` pivots with an explicit list.
+"""Mutation counts and frequencies by position, region, region class and in all.
+
+A sequence is one row with packed vectors: arrays ``r`` and ``s`` (mutations by position) and ``mutable`` (the
+position has an aligned codon that is no gap). Sums by key add the vectors element by element: a row
+leaves a sequence for every ``CHUNK`` positions, and each adds to the sums of all of them at once, so
+the aggregate has few rows with many sums and the long form (a row per position) appears only after
+it, once per key. Regions, classes and the whole are rolled up from there by grouping sets;
+``wide_counts`` pivots with an explicit list. Tables that come in the long form are summed as they are
+(``weighted``).
 """
 
 from __future__ import annotations
@@ -13,39 +18,62 @@ from lymphoframe.functions.calls import at_level, weight
 from lymphoframe.functions.codons import codons, translate
 from lymphoframe.schema import POSITIONS, REGIONS
 
-_SUMS = ("r", "s", "r_aa", "s_aa", "total", "total_aa")
+SUMS = ("r", "s", "r_aa", "s_aa", "total", "total_aa")
+#: Positions whose sums are added by one row; divides the number of positions.
+CHUNK = 8
 
 
 def region_lengths(regions: DataFrame) -> DataFrame:
     """Per sequence and region: letters that are no gap, and codons that are not all gaps."""
+    return regions.select("sequence_id", *_region_lengths())
+
+
+def _region_lengths() -> list[Column]:
     out = []
     for r in REGIONS:
         out.append(F.length(F.regexp_replace(r, "[.-]", "")).alias(f"mu_total_count_{r}"))
         out.append(F.size(F.filter(codons(F.col(r)), lambda c: c != "...")).alias(f"mu_total_count_{r}_aa"))
-    return regions.select("sequence_id", *out)
+    return out
 
 
 def region_translations(regions: DataFrame) -> DataFrame:
     return regions.select("sequence_id", *[translate(F.col(r)).alias(f"{r}_aa") for r in REGIONS])
 
 
+def _place(pos: str) -> tuple[str, str]:
+    """SQL of the region and the class of a position."""
+    cases = " ".join(f"WHEN {pos} <= {last} THEN '{region}'" for region, (_, last) in REGIONS.items())
+    region = f"CASE {cases} END"
+    return region, f"substr({region}, 1, 3)"
+
+
 def from_wide(rows: DataFrame, *carried: str) -> DataFrame:
     """The long form of rows with mu_count_{position}_{r,s} columns: position, r, s."""
-    entries = F.array(*[F.struct(F.lit(p).alias("pos"), F.coalesce(F.col(f"mu_count_{p}_r").cast("int"), F.lit(0)).alias("r"), F.coalesce(F.col(f"mu_count_{p}_s").cast("int"), F.lit(0)).alias("s")) for p in range(1, POSITIONS + 1)])
-    return rows.select("sequence_id", *carried, F.explode(entries).alias("x")).select("sequence_id", *carried, "x.*")
+    count = lambda k: F.array(*[F.coalesce(F.col(f"mu_count_{p}_{k}").cast("int"), F.lit(0)) for p in range(1, POSITIONS + 1)]).alias(k)
+    return rows.select("sequence_id", *carried, F.posexplode(F.arrays_zip(count("r"), count("s"))).alias("i", "x")).select("sequence_id", *carried, (F.col("i") + 1).alias("pos"), "x.r", "x.s")
 
 
-def from_rows(rows: DataFrame, *carried: str) -> DataFrame:
-    """The long form of whole rows (mu_count_{position}_{r,s} and the aligned regions): pos, region,
-    region_class, r, s and mutable (the aligned codon is there and no gap)."""
-    entries = []
+def mutable_positions() -> Column:
+    """array<boolean>: by position, whether the aligned regions have a codon there that is no gap."""
+    out = []
     for region, (first, last) in REGIONS.items():
-        spelled = F.regexp_replace(F.coalesce(region, F.lit("")), "-", ".")
-        for p in range(first, last + 1):
-            count = lambda k, p=p: F.coalesce(F.col(f"mu_count_{p}_{k}").cast("int"), F.lit(0)).alias(k)
-            codon = F.substring(spelled, 3 * (p - first) + 1, 3)
-            entries.append(F.struct(F.lit(p).alias("pos"), F.lit(region).alias("region"), F.lit(region[:3]).alias("region_class"), count("r"), count("s"), ((codon != "...") & (codon != "")).alias("mutable")))
-    return rows.select("sequence_id", *carried, F.explode(F.array(*entries)).alias("x")).select("sequence_id", *carried, "x.*")
+        n = last - first + 1
+        codons_ = f"regexp_extract_all(translate(coalesce({region}, ''), '-', '.'), '(?s).{{1,3}}', 0)"
+        out.append(f"slice(concat(transform({codons_}, c -> c <> '...'), array_repeat(false, {n})), 1, {n})")
+    return F.expr(f"concat({', '.join(out)})")
+
+
+def from_rows(rows: DataFrame, *carried: str) -> DataFrame:
+    """sequence_id, carried, r, s, mutable: packed vectors of rows with mu_count_{position}_{r,s} and aligned regions."""
+    count = lambda k: F.array(*[F.coalesce(F.col(f"mu_count_{p}_{k}").cast("int"), F.lit(0)) for p in range(1, POSITIONS + 1)]).alias(k)
+    return rows.select("sequence_id", *carried, count("r"), count("s"), mutable_positions().alias("mutable"))
+
+
+def spelled_out(vectors: DataFrame, *carried: str) -> DataFrame:
+    """The long form of packed vectors: pos, region, region_class, r, s, mutable."""
+    rows = vectors.select("sequence_id", *carried, F.posexplode(F.arrays_zip("r", "s", "mutable")).alias("i", "x"))
+    region, kind = _place("i + 1")
+    return rows.select("sequence_id", *carried, F.expr("i + 1").alias("pos"), F.expr(region).alias("region"), F.expr(kind).alias("region_class"), "x.r", "x.s", "x.mutable")
 
 
 def _counts() -> list[Column]:
@@ -78,10 +106,25 @@ def summed(positions: DataFrame, by: tuple[str, ...]) -> DataFrame:
         F.sum(F.col("r") * w).alias("r"), F.sum(F.col("s") * w).alias("s"), aa("r").alias("r_aa"), aa("s").alias("s_aa"), (3 * total).alias("total"), total.alias("total_aa"))
 
 
+def summed_vectors(vectors: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """As ``summed``, from packed vectors that carry ``by`` and ``w``."""
+    part = lambda c: f"slice({c}, k * {CHUNK} + 1, {CHUNK}) AS {c}"
+    chunks = F.expr(f"transform(sequence(0, {POSITIONS // CHUNK - 1}), k -> struct(k, {part('r')}, {part('s')}, {part('mutable')}))")
+    rows = vectors.select(*by, "w", F.explode(chunks).alias("x")).select(*by, "w", "x.*")
+    sums = []
+    for i in range(CHUNK):
+        when = lambda c: f"sum(CASE WHEN {c} THEN w ELSE 0 END)"
+        sums += [F.expr(f"{e} AS {n}{i}") for n, e in (("r", f"sum(get(r, {i}) * w)"), ("s", f"sum(get(s, {i}) * w)"), ("ra", when(f"get(r, {i}) > 0")), ("sa", when(f"get(s, {i}) > 0")), ("t", when(f"get(mutable, {i})")))]
+    added = rows.groupBy(*by, "k").agg(*sums)
+    entries = ", ".join(f"struct(k * {CHUNK} + {i + 1} AS pos, r{i} AS r, s{i} AS s, ra{i} AS r_aa, sa{i} AS s_aa, 3 * t{i} AS total, t{i} AS total_aa)" for i in range(CHUNK))
+    region, kind = _place("pos")
+    return added.select(*by, F.expr(f"inline(array({entries}))")).select(*by, "pos", F.expr(region).alias("region"), F.expr(kind).alias("region_class"), *SUMS)
+
+
 def weighted(positions: DataFrame, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """``summed`` for a table that is long already. Where the sequences are at hand, join ``weights`` to
-    them and carry the keys into the long form (``from_wide``): that join has a row per sequence, this
-    one a row per position."""
+    them and sum packed vectors (``summed_vectors``): that join has a row per sequence, this one a row
+    per position."""
     return summed(positions.join(weights(rows, by), "sequence_id"), by)
 
 
@@ -100,10 +143,10 @@ def rolled_up(by_position: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """by, scope (position, region, class or global), part and the sums."""
     plain = by_position.groupingSets([[*map(F.col, by), F.col("pos")], [*map(F.col, by), F.col("region")], [*map(F.col, by), F.col("region_class")], [*map(F.col, by)]], *by, "pos", "region", "region_class") if by else \
         by_position.groupingSets([[F.col("pos")], [F.col("region")], [F.col("region_class")], []], "pos", "region", "region_class")
-    summed = plain.agg(*[F.sum(c).alias(c) for c in _SUMS], F.grouping("pos").alias("g_pos"), F.grouping("region").alias("g_region"), F.grouping("region_class").alias("g_class"))
+    summed = plain.agg(*[F.sum(c).alias(c) for c in SUMS], F.grouping("pos").alias("g_pos"), F.grouping("region").alias("g_region"), F.grouping("region_class").alias("g_class"))
     scope = F.when(F.col("g_pos") == 0, "position").when(F.col("g_region") == 0, "region").when(F.col("g_class") == 0, "class").otherwise("global")
     part = F.when(F.col("g_pos") == 0, F.col("pos").cast("string")).when(F.col("g_region") == 0, F.col("region")).when(F.col("g_class") == 0, F.col("region_class")).otherwise("all")
-    return summed.select(*by, scope.alias("scope"), part.alias("part"), *_SUMS)
+    return summed.select(*by, scope.alias("scope"), part.alias("part"), *SUMS)
 
 
 def sequence_totals(rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -226,6 +269,38 @@ def wide_group_frequencies(rolled: DataFrame) -> DataFrame:
     return rolled.where("scope = 'global'").groupBy("repertoire_group_id").agg(F.count("*").alias("N")).join(wide, "repertoire_group_id")
 
 
+def vector_counts(where: slice | None = None) -> list[Column]:
+    """r, s, r_aa, s_aa of a packed row: mutations and mutated positions, of all positions or of a slice."""
+    part = lambda c: F.col(c) if where is None else F.slice(c, where.start + 1, where.stop - where.start)
+    total = lambda c: F.aggregate(part(c), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    seen = lambda c: F.size(F.filter(part(c), lambda x: x > 0)).cast("bigint")
+    return [total("r").alias("r"), total("s").alias("s"), seen("r").alias("r_aa"), seen("s").alias("s_aa")]
+
+
+def region_slices() -> dict[str, slice]:
+    return {r: slice(first - 1, last) for r, (first, last) in REGIONS.items()}
+
+
+def row_vector_counts(vectors: DataFrame) -> DataFrame:
+    """As ``row_counts``, row by row from packed vectors: nothing is shuffled."""
+    return vectors.select("sequence_id", *vector_counts())
+
+
+def row_region_vector_counts(vectors: DataFrame) -> DataFrame:
+    """As ``row_region_counts``, row by row from packed vectors."""
+    entries = F.array(*[F.struct(F.lit(r).alias("region"), *vector_counts(s)) for r, s in region_slices().items()])
+    return vectors.select("sequence_id", F.explode(entries).alias("x")).select("sequence_id", "x.*")
+
+
+def mutation_vector_rows(vectors: DataFrame, *columns: str) -> DataFrame:
+    """As ``mutation_rows``, row by row from packed vectors that carry the aligned regions and ``columns``."""
+    every = []
+    for tail, where in (("", None), *((f"_{r}", s) for r, s in region_slices().items())):
+        every += [c.alias(f"mu_count{tail}_{name}") for c, name in zip(vector_counts(where), ("r", "s", "r_aa", "s_aa"), strict=True)]
+    letters = [translate(F.col(r)).alias(f"{r}_aa") for r in REGIONS]
+    return vectors.select("sequence_id", *columns, *letters, *_region_lengths(), *every)
+
+
 def mutation_rows(rows: DataFrame, regions: DataFrame, positions: DataFrame) -> DataFrame:
     """The rearrangement-level table: the row's columns, translated regions, mutable letters and codons
     by region, mutations in all and by region (mu_count_{region}_{r,s,r_aa,s_aa}; 0 where none)."""

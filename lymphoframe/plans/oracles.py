@@ -334,7 +334,7 @@ cells AS (SELECT sequence_id, region, i, upper(substr(s, cast(3 * i + 1 AS int),
 words AS (SELECT sequence_id, region, string_agg(CASE WHEN c = '...' THEN '.' ELSE coalesce(letter, 'X') END, '' ORDER BY i) AS word FROM cells LEFT JOIN code ON replace(c, '.', 'N') = codon GROUP BY sequence_id, region),
 a AS (SELECT r.sequence_id, {_spelled} FROM regions r LEFT JOIN words w ON r.sequence_id = w.sequence_id GROUP BY r.sequence_id),
 c AS (SELECT sequence_id, {_row_counts} FROM mutation_positions GROUP BY sequence_id), l AS (SELECT sequence_id, {_region_cols} FROM regions)
-SELECT x.repertoire_id, x.v_call, l.*, a.* EXCLUDE (sequence_id), c.* EXCLUDE (sequence_id) FROM rearrangements x JOIN l ON x.sequence_id = l.sequence_id JOIN a ON a.sequence_id = x.sequence_id JOIN c ON c.sequence_id = x.sequence_id""", "mutation_positions", "rearrangements")
+SELECT x.repertoire_id, x.v_call, l.*, a.* EXCLUDE (sequence_id), c.* EXCLUDE (sequence_id) FROM rearrangements x JOIN l ON x.sequence_id = l.sequence_id JOIN a ON a.sequence_id = x.sequence_id JOIN c ON c.sequence_id = x.sequence_id""", "mutation_positions", "rearrangements", "regions")
 
 
 _SUMS = ", ".join(f"cast(sum({c}) AS bigint) AS {c}" for c in ("r", "s", "r_aa", "s_aa", "total", "total_aa"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lymphoframe.functions.calls import resolve
+from lymphoframe.functions.calls import resolve, weight
 from lymphoframe.functions.predicates import predicate
 from lymphoframe.operators import clones as clone_ops
 from lymphoframe.operators import groups as group_ops
@@ -15,7 +15,8 @@ from lymphoframe.operators import junction as junction_ops
 from lymphoframe.operators import mutations as mutation_ops
 from lymphoframe.operators import segments as segment_ops
 from lymphoframe.operators import sharing as share_ops
-from lymphoframe.sources.fixtures import positions_of, views
+from lymphoframe.sources.fixtures import mutation_vectors, views
+from lymphoframe.tables import written
 
 #: Filters of the fixture groups (groups without one take all rows).
 FILTERS = {
@@ -57,13 +58,29 @@ def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views(spark, sf_dir, "group_members")[0]
 
 
-def _group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_ops.group_rows(_resolved(spark, sf_dir), _members(spark, sf_dir), FILTERS)
+def _passed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the filtered groups that they pass: of the calls, only those that filters ask for are named."""
+    rows, germline = views(spark, sf_dir, "rearrangements", "germline")
+    return group_ops.with_passed(resolve(rows, germline, ("v", "j")), FILTERS)
+
+
+def _measured_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``_passed_rows``, for lengths: a missing length is filled in before the groups' filters see the row."""
+    rows, germline = views(spark, sf_dir, "rearrangements", "germline")
+    return group_ops.with_passed(junction_ops.with_length(resolve(rows, germline, ("v", "j"))), FILTERS)
+
+
+_PASSED = ("repertoire_id", "passed")
+
 
+def _regrouped(results: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_ops.regrouped(results, _members(spark, sf_dir), FILTERS)
 
-def _measured_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Group rows for lengths: a missing length is filled in before the groups' filters see the row."""
-    return group_ops.group_rows(junction_ops.with_length(_resolved(spark, sf_dir)), _members(spark, sf_dir), FILTERS)
+
+def _group_tally(spark: SparkSession, sf_dir: str, segments: tuple[str, ...], apart: bool) -> DataFrame:
+    """The tally of each group's members: rows are counted by call once, groups are made of the counts."""
+    tally = _regrouped(segment_ops.tally(_passed_rows(spark, sf_dir), _PASSED, segments, apart), spark, sf_dir)
+    return resolve(tally, views(spark, sf_dir, "germline")[0], segments)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -102,7 +119,7 @@ def filter_repertoire_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("filter_group_rows")
 def filter_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _group_rows(spark, sf_dir).select("repertoire_group_id", "repertoire_id", "sequence_id")
+    return _regrouped(_passed_rows(spark, sf_dir).select("repertoire_id", "passed", "sequence_id"), spark, sf_dir).select("repertoire_group_id", "repertoire_id", "sequence_id")
 
 
 def _filtered(spec: dict) -> Query:
@@ -174,12 +191,12 @@ QUERIES["combo_frequency"] = _combo("vj", True)
 
 @query("group_usage_pooled")
 def group_usage_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(segment_ops.usage(_group_rows(spark, sf_dir), ("repertoire_group_id",), ("v", "j")))
+    return rounded(segment_ops.usage(_group_tally(spark, sf_dir, ("v", "j"), True), ("repertoire_group_id",), ("v", "j")))
 
 
 @query("group_repertoire_usage")
 def group_repertoire_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(segment_ops.usage(_group_rows(spark, sf_dir), ("repertoire_group_id", "repertoire_id"), ("v",)))
+    return rounded(segment_ops.usage(_group_tally(spark, sf_dir, ("v",), True), ("repertoire_group_id", "repertoire_id"), ("v",)))
 
 
 _STATS = ["sequence_count", "sequence_frequency", "duplicate_count", "duplicate_frequency"]
@@ -187,13 +204,13 @@ _STATS = ["sequence_count", "sequence_frequency", "duplicate_count", "duplicate_
 
 @query("group_usage_stats")
 def group_usage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_member = segment_ops.with_frequency(segment_ops.usage(_group_rows(spark, sf_dir), ("repertoire_group_id", "repertoire_id"), ("v",)), ["repertoire_group_id", "repertoire_id", "field"])
+    by_member = segment_ops.with_frequency(segment_ops.usage(_group_tally(spark, sf_dir, ("v",), True), ("repertoire_group_id", "repertoire_id"), ("v",)), ["repertoire_group_id", "repertoire_id", "field"])
     return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["field", "level", "mode", "productive", "name"], _STATS))
 
 
 @query("group_combo_stats")
 def group_combo_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_member = segment_ops.with_frequency(segment_ops.combos(_group_rows(spark, sf_dir), "vj", ("repertoire_group_id", "repertoire_id"), ("subgroup",)), ["repertoire_group_id", "repertoire_id", "combo"])
+    by_member = segment_ops.with_frequency(segment_ops.combos(_group_tally(spark, sf_dir, ("v", "j"), False), "vj", ("repertoire_group_id", "repertoire_id"), ("subgroup",)), ["repertoire_group_id", "repertoire_id", "combo"])
     return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["combo", "level", "mode", "productive", "name"], _STATS))
 
 
@@ -225,14 +242,17 @@ def length_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(junction_ops.length_stats(junction_ops.lengths(views(spark, sf_dir, "rearrangements")[0], "aa"), ["repertoire_id", "productive"]))
 
 
-@query("group_length")
-def group_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return junction_ops.lengths(_measured_group_rows(spark, sf_dir), "aa", ("repertoire_group_id",))
+def _group_lengths(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
+    found = _regrouped(junction_ops.lengths(_measured_rows(spark, sf_dir), "aa", _PASSED), spark, sf_dir)
+    return found.groupBy(*by, "productive", "length").agg(F.sum("count").alias("count"))
+
+
+QUERIES["group_length"] = lambda spark, sf_dir: _group_lengths(spark, sf_dir, "repertoire_group_id")
 
 
 @query("group_length_stats")
 def group_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_member = junction_ops.lengths(_measured_group_rows(spark, sf_dir), "aa", ("repertoire_group_id", "repertoire_id"))
+    by_member = _group_lengths(spark, sf_dir, "repertoire_group_id", "repertoire_id")
     return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["productive", "length"], ["count"]))
 
 
@@ -250,14 +270,17 @@ def distribution_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(junction_ops.relative_distribution(counts, ["repertoire_id", "productive"]))
 
 
-@query("group_distribution_aa")
-def group_distribution_aa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return junction_ops.distribution(_group_rows(spark, sf_dir), "aa", ("repertoire_group_id",))
+def _group_letters(spark: SparkSession, sf_dir: str, kind: str, *by: str) -> DataFrame:
+    found = _regrouped(junction_ops.distribution(_passed_rows(spark, sf_dir), kind, _PASSED), spark, sf_dir)
+    return found.groupBy(*by, "productive", "length", "position", "letter").agg(F.sum("count").alias("count"))
+
+
+QUERIES["group_distribution_aa"] = lambda spark, sf_dir: _group_letters(spark, sf_dir, "aa", "repertoire_group_id")
 
 
 @query("group_distribution_stats")
 def group_distribution_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_member = junction_ops.distribution(_group_rows(spark, sf_dir), "nt", ("repertoire_group_id", "repertoire_id")).withColumn("count", F.col("count").cast("double"))
+    by_member = _group_letters(spark, sf_dir, "nt", "repertoire_group_id", "repertoire_id").withColumn("count", F.col("count").cast("double"))
     return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["productive", "length", "position", "letter"], ["count"]))
 
 
@@ -360,27 +383,22 @@ QUERIES["clone_collapse"] = lambda spark, sf_dir: clone_ops.merge(_summed_clones
 # -- mutations -----------------------------------------------------------------------------------
 
 
-def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views(spark, sf_dir, "mutation_positions")[0]
+def _vectors(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
+    return mutation_vectors(spark, views(spark, sf_dir, "rearrangements")[0], *carried)
 
 
 QUERIES["mutation_region_lengths"] = lambda spark, sf_dir: mutation_ops.region_lengths(views(spark, sf_dir, "regions")[0])
 QUERIES["mutation_translate"] = lambda spark, sf_dir: mutation_ops.region_translations(views(spark, sf_dir, "regions")[0])
-QUERIES["mutation_row_counts"] = lambda spark, sf_dir: mutation_ops.row_counts(_positions(spark, sf_dir))
-QUERIES["mutation_row_region_counts"] = lambda spark, sf_dir: mutation_ops.row_region_counts(_positions(spark, sf_dir))
+QUERIES["mutation_row_counts"] = lambda spark, sf_dir: mutation_ops.row_vector_counts(_vectors(spark, sf_dir))
+QUERIES["mutation_row_region_counts"] = lambda spark, sf_dir: mutation_ops.row_region_vector_counts(_vectors(spark, sf_dir))
 
 
-@query("mutation_rows")
-def mutation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, regions = views(spark, sf_dir, "rearrangements", "regions")
-    return mutation_ops.mutation_rows(rows.select("sequence_id", "repertoire_id", "v_call"), regions, _positions(spark, sf_dir))
+QUERIES["mutation_rows"] = lambda spark, sf_dir: mutation_ops.mutation_vector_rows(_vectors(spark, sf_dir, "repertoire_id", "v_call"), "repertoire_id", "v_call")
 
 
-def _summed(spark: SparkSession, sf_dir: str, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Keys and weight join the sequences, a row each; only then do these fan out into positions."""
-    sequences = views(spark, sf_dir, "mutation_sequences", "position_dim")[0]
-    keyed = sequences.join(mutation_ops.weights(rows, by), "sequence_id")
-    return mutation_ops.summed(positions_of(spark, keyed, *by, "w"), by)
+def _summed(spark: SparkSession, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Each row's packed vectors are summed under its keys, with its weight."""
+    return mutation_ops.summed_vectors(mutation_vectors(spark, rows.withColumn("w", weight()), *by, "w"), by)
 
 
 def _weighted(key: str) -> tuple[Query, tuple[str, ...]]:
@@ -389,7 +407,7 @@ def _weighted(key: str) -> tuple[Query, tuple[str, ...]]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, germline = views(spark, sf_dir, "rearrangements", "germline")
         named = resolve(rows, germline, (key[0],)) if by[-1] == "segment" else rows
-        return _summed(spark, sf_dir, mutation_ops.keyed_rows(named, key), by)
+        return _summed(spark, mutation_ops.keyed_rows(named, key), by)
 
     return run, by
 
@@ -402,7 +420,7 @@ def _rolled(key: str) -> Query:
 _BY_POSITION, _REP = _weighted("repertoire_id")
 QUERIES["mutation_pos_counts"] = _BY_POSITION
 QUERIES["mutation_rep_counts"] = _rolled("repertoire_id")
-QUERIES["mutation_totals"] = lambda spark, sf_dir: mutation_ops.rolled_up(_summed(spark, sf_dir, views(spark, sf_dir, "rearrangements")[0], ()), ()).select("scope", "part", "total", "total_aa")
+QUERIES["mutation_totals"] = lambda spark, sf_dir: mutation_ops.rolled_up(_summed(spark, views(spark, sf_dir, "rearrangements")[0], ()), ()).select("scope", "part", "total", "total_aa")
 QUERIES["mutation_region_counts"] = lambda spark, sf_dir: _rolled("repertoire_id")(spark, sf_dir).where("scope = 'region'")
 QUERIES["mutation_clone_counts"] = lambda spark, sf_dir: _rolled("clone_id")(spark, sf_dir).where("scope <> 'position'")
 for _segment in ("v", "j"):
@@ -414,8 +432,10 @@ _MEMBER = ("repertoire_group_id", "repertoire_id")
 
 
 def _group_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The members' roll-ups over the rows that pass their group's filter."""
-    return mutation_ops.rolled_up(_summed(spark, sf_dir, _group_rows(spark, sf_dir), _MEMBER), _MEMBER)
+    """The members' roll-ups over the rows that pass their group's filter, written: rows are summed once by
+    repertoire and passed groups, and groups are made of these sums."""
+    sums = _regrouped(_summed(spark, _passed_rows(spark, sf_dir), _PASSED), spark, sf_dir)
+    return written(mutation_ops.rolled_up(sums, _MEMBER), "mutation-members")
 
 
 QUERIES["mutation_group_rep_counts"] = lambda spark, sf_dir: _group_rolled(spark, sf_dir).where("scope <> 'position'")

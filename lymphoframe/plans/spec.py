@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lymphoframe.functions.calls import resolve, weight
 from lymphoframe.operators import clones, groups, junction, mutations, segments, sharing
-from lymphoframe.schema import REGIONS
+from lymphoframe.schema import REGIONS, SEGMENTS
 from lymphoframe.tables import written
 
 
@@ -77,46 +77,69 @@ class Context:
         if self._resolved is not None:
             self._resolved.unpersist()
 
-    def grouped(self, rows: DataFrame) -> DataFrame:
+    def passed(self, rows: DataFrame) -> DataFrame:
+        """Rows with the filtered groups that they pass; without groups, with none."""
+        return groups.with_passed(rows, self.filters if self.members is not None else {})
+
+    def regrouped(self, results: DataFrame) -> DataFrame:
+        """Group results of what was computed by repertoire and passed groups."""
         if self.members is None:
             raise ValueError("this calculation needs repertoire groups")
-        return groups.group_rows(rows, self.members, self.filters)
+        return groups.regrouped(results, self.members, self.filters)
+
+    def grouped(self, rows: DataFrame) -> DataFrame:
+        """One row per group of a row, for reports of rows."""
+        return self.regrouped(self.passed(rows))
+
+
+#: Keys of the aggregates that repertoire and group results are both made of.
+PASSED = ("repertoire_id", "passed")
 
 
 def gene_segment(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
-    rows, out = ctx.resolved(), {}
+    """Rows are counted by call once, by repertoire and passed groups; everything else is made of these tallies."""
+    rows, out = ctx.passed(ctx.resolved()), {}
     both = ("repertoire_group_id", "repertoire_id")
-    wanted = [("usage", "field", lambda r, by: segments.usage(r, by))] if "usage" in calc.operations else []
-    wanted += [(f"{c}_combo", "combo", lambda r, by, c=c: segments.combos(r, c, by)) for c in segments.COMBOS if "combo" in calc.operations]
-    for name, kind, count in wanted:
-        out[name] = segments.with_frequency(count(rows, ("repertoire_id",)), ["repertoire_id", kind])
+    wanted = [("usage", "field", SEGMENTS, True, lambda r, by: segments.usage(r, by))] if "usage" in calc.operations else []
+    wanted += [(f"{c}_combo", "combo", parts, False, lambda r, by, c=c: segments.combos(r, c, by)) for c, parts in segments.COMBOS.items() if "combo" in calc.operations]
+    for name, kind, parts, apart, count in wanted:
+        tally = written(segments.tally(rows, PASSED, parts, apart), f"tally-{name}")
+        out[name] = segments.with_frequency(count(resolve(tally, ctx.germline, parts), ("repertoire_id",)), ["repertoire_id", kind])
         if ctx.members is not None:
-            members = segments.with_frequency(count(ctx.grouped(rows), both), [*both, kind])
+            members = segments.with_frequency(count(resolve(ctx.regrouped(tally), ctx.germline, parts), both), [*both, kind])
             out[f"{name}_group_repertoires"] = members
             out[f"{name}_groups"] = groups.group_mean_std(members, ctx.members, [kind, "level", "mode", "productive", "name"], ["sequence_count", "sequence_frequency", "duplicate_count", "duplicate_frequency"])
     return out
 
 
+def _lengths(ctx: Context, histogram: DataFrame, name: str) -> dict[str, DataFrame]:
+    """Dense tables with shares, by repertoire, by group and by a group's members, of a histogram by repertoire and passed groups."""
+    def table(counts: DataFrame, *by: str) -> DataFrame:
+        keys = [*by, "productive"]
+        return junction.relative(junction.dense(counts.groupBy(*keys, "length").agg(F.sum("count").alias("count")), keys), keys)
+
+    out = {name: table(histogram, "repertoire_id")}
+    if ctx.members is not None:
+        grouped = ctx.regrouped(histogram)
+        out[f"{name}_groups"], out[f"{name}_group_repertoires"] = table(grouped, "repertoire_group_id"), table(grouped, "repertoire_group_id", "repertoire_id")
+    return out
+
+
 def cdr3(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
     out: dict[str, DataFrame] = {}
-    rows = ctx.rearrangements
-    named = lambda: ctx.all_resolved() if ctx.germline is not None else rows
+    rows = ctx.all_resolved() if ctx.germline is not None else ctx.rearrangements
     # a computed length is there for the groups' filters, also of the letters
-    grouped = lambda: ctx.grouped(junction.with_length(named()) if "length" in calc.operations else named())
+    rows = ctx.passed(junction.with_length(rows) if "length" in calc.operations else rows)
     for kind in ("aa", "nt"):
         if "length" in calc.operations:
             for tail, weighted in (("", True), ("_wo_duplicates", False)):
-                histogram = junction.lengths(rows, kind, weighted=weighted)
-                out[f"length_{kind}{tail}"] = junction.relative(junction.dense(histogram, ["repertoire_id", "productive"]), ["repertoire_id", "productive"])
-                if ctx.members is not None:
-                    pooled = junction.lengths(grouped(), kind, ("repertoire_group_id",), weighted)
-                    out[f"length_{kind}{tail}_groups"] = junction.relative(junction.dense(pooled, ["repertoire_group_id", "productive"]), ["repertoire_group_id", "productive"])
-                    both = ["repertoire_group_id", "repertoire_id", "productive"]
-                    out[f"length_{kind}{tail}_group_repertoires"] = junction.relative(junction.dense(junction.lengths(grouped(), kind, tuple(both[:2]), weighted), both), both)
+                out |= _lengths(ctx, written(junction.lengths(rows, kind, PASSED, weighted), f"lengths-{kind}{tail}"), f"length_{kind}{tail}")
         if "distribution" in calc.operations:
-            out[f"distribution_{kind}"] = junction.distribution(rows, kind)
+            letters = written(junction.distribution(rows, kind, PASSED), f"letters-{kind}")
+            total = lambda counts, by: counts.groupBy(by, "productive", "length", "position", "letter").agg(F.sum("count").alias("count"))
+            out[f"distribution_{kind}"] = total(letters, "repertoire_id")
             if ctx.members is not None:
-                out[f"distribution_{kind}_groups"] = junction.distribution(grouped(), kind, ("repertoire_group_id",))
+                out[f"distribution_{kind}_groups"] = total(ctx.regrouped(letters), "repertoire_group_id")
     if {"shared", "compare"} & set(calc.operations):
         shared = written(sharing.shares(ctx.all_resolved(), tuple(calc.levels)), "shares")
         by_group = sharing.group_shares(shared, ctx.members) if ctx.members is not None else None
@@ -145,10 +168,10 @@ def clonal_assignment(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
 
 
 def _summed(ctx: Context, rows: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Sums by position; the rows' own columns fan out after keys and weight are with them."""
+    """Sums by position; the rows' own columns are packed with keys and weight beside them."""
     if ctx.positions is not None:
         return mutations.weighted(ctx.positions, rows, by)
-    return mutations.summed(mutations.from_rows(rows.withColumn("w", weight()), *by, "w"), by)
+    return mutations.summed_vectors(mutations.from_rows(rows.withColumn("w", weight()), *by, "w"), by)
 
 
 def mutation(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
@@ -156,20 +179,28 @@ def mutation(ctx: Context, calc: Calculation) -> dict[str, DataFrame]:
     for level in calc.levels or ["repertoire"]:
         if level == "rearrangement":
             own = ctx.chosen(ctx.rearrangements)
-            positions = ctx.positions if ctx.positions is not None else mutations.from_rows(own)
-            out["mutation_rows"] = mutations.mutation_rows(own.drop(*[c for c in own.columns if c.startswith("mu_")]), own.select("sequence_id", *REGIONS), positions)
+            columns = [c for c in own.columns if not c.startswith("mu_")]
+            if ctx.positions is not None:
+                out["mutation_rows"] = mutations.mutation_rows(own.select(*columns), own.select("sequence_id", *REGIONS), ctx.positions)
+            else:
+                columns.remove("sequence_id")
+                out["mutation_rows"] = mutations.mutation_vector_rows(mutations.from_rows(own, *columns), *columns)
             continue
         if level == "repertoire_group":
-            by, keyed = ("repertoire_group_id", "repertoire_id"), ctx.grouped(rows)
+            by, keyed = ("repertoire_group_id", "repertoire_id"), ctx.passed(rows)
+            sums = ctx.regrouped(_summed(ctx, keyed, PASSED))
+            by_position = sums.groupBy(*by, "pos", "region", "region_class").agg(*[F.sum(c).alias(c) for c in mutations.SUMS])
+            totals = ctx.regrouped(mutations.sequence_totals(keyed, PASSED)).groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("mu_seq_count", "mu_duplicate_count")])
         else:
             key = {"repertoire": "repertoire_id", "clone": "clone_id"}.get(level, level)
             by = {"repertoire_id": ("repertoire_id",), "clone_id": ("repertoire_id", "clone_id")}.get(key, ("repertoire_id", "segment"))
             keyed = mutations.keyed_rows(rows, key)
-        by_position = _summed(ctx, keyed, by)
-        rolled = mutations.rolled_up(by_position, by)
+            by_position, totals = _summed(ctx, keyed, by), mutations.sequence_totals(keyed, by)
+        by_position = written(by_position, f"mutations-{level}")
+        rolled = written(mutations.rolled_up(by_position, by), f"mutations-{level}-rolled")
         if "count" in calc.operations:
             out[f"mutation_counts_{level}"] = rolled
-            out[f"mutation_count_report_{level}"] = mutations.wide_counts(rolled, by, mutations.sequence_totals(keyed, by), mutations.unique_positions(by_position, by))
+            out[f"mutation_count_report_{level}"] = mutations.wide_counts(rolled, by, totals, mutations.unique_positions(by_position, by))
         if "frequency" in calc.operations:
             frequency, ratios = mutations.frequencies(rolled, by), mutations.region_ratios(rolled, by)
             out[f"mutation_frequencies_{level}"], out[f"mutation_ratios_{level}"] = frequency, ratios

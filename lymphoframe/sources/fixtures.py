@@ -7,7 +7,10 @@ view, oracles put it in front as a common table expression.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lymphoframe.operators.mutations import mutable_positions
+from lymphoframe.schema import POSITIONS
 from lymphoframe.tables import spread
 
 VIEWS: dict[str, str] = {
@@ -83,19 +86,6 @@ UNION ALL SELECT 'g_long', concat('rep', cast(n AS string)) FROM numbers WHERE n
 UNION ALL SELECT 'g_v4', concat('rep', cast(n AS string)) FROM numbers WHERE n < 4
 UNION ALL SELECT 'g_v4_j6', concat('rep', cast(n AS string)) FROM numbers WHERE n < 4
 UNION ALL SELECT 'g_v3_or_v4', concat('rep', cast(n AS string)) FROM numbers WHERE n < 4
-""",
-    "regions": """
-WITH h AS (
-  SELECT sequence_id, jk, ln,
-    translate(concat(md5(concat('a', sequence_id)), md5(concat('b', sequence_id)), md5(concat('c', sequence_id)), md5(concat('d', sequence_id))), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s
-  FROM rearrangements WHERE ln IN (1, 2))
-SELECT sequence_id,
-  rpad(substr(s, 1, cast(72 + 3 * (jk % 3) AS int)), 78, '.') AS fwr1,
-  rpad(substr(s, 11, cast(24 + 3 * (jk % 5) AS int)), 36, '.') AS cdr1,
-  substr(s, 21, 51) AS fwr2,
-  rpad(substr(s, 31, cast(21 + 3 * (jk % 4) AS int)), 30, '-') AS cdr2,
-  rpad(concat(substr(s, 5, 30), CASE WHEN jk % 2 = 0 THEN '.' ELSE 'A' END, substr(s, 36, cast(80 + 3 * (jk % 2) AS int))), 117, '.') AS fwr3
-FROM h
 """,
     "position_dim": """
 SELECT n AS pos,
@@ -103,11 +93,6 @@ SELECT n AS pos,
   CASE WHEN n <= 26 THEN 'fwr' WHEN n <= 38 THEN 'cdr' WHEN n <= 55 THEN 'fwr' WHEN n <= 65 THEN 'cdr' ELSE 'fwr' END AS region_class,
   CASE WHEN n <= 26 THEN n WHEN n <= 38 THEN n - 26 WHEN n <= 55 THEN n - 38 WHEN n <= 65 THEN n - 55 ELSE n - 65 END AS pos_in_region
 FROM numbers WHERE n BETWEEN 1 AND 104
-""",
-    "mutation_sequences": """
-SELECT g.sequence_id, g.fwr1, g.cdr1, g.fwr2, g.cdr2, g.fwr3,
-  concat(md5(concat('r', g.sequence_id)), md5(concat('s', g.sequence_id)), md5(concat('t', g.sequence_id)), md5(concat('u', g.sequence_id))) AS x
-FROM regions g
 """,
     "nation_members": """
 SELECT concat('g_region', cast(n_regionkey AS string)) AS repertoire_group_id, concat('rep', cast(n_nationkey AS string)) AS repertoire_id FROM nation
@@ -131,12 +116,33 @@ FROM p
 """
 
 
+def _mutated(rows: str, *carried: str) -> str:
+    """The aligned regions of rearrangement rows, and ``x``, of whose letters their mutations are made."""
+    keys = "".join(f", {c}" for c in carried)
+    return f"""
+WITH h AS (
+  SELECT sequence_id, jk{keys},
+    translate(concat(md5(concat('a', sequence_id)), md5(concat('b', sequence_id)), md5(concat('c', sequence_id)), md5(concat('d', sequence_id))), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s
+  FROM {rows})
+SELECT sequence_id{keys},
+  rpad(substr(s, 1, cast(72 + 3 * (jk % 3) AS int)), 78, '.') AS fwr1,
+  rpad(substr(s, 11, cast(24 + 3 * (jk % 5) AS int)), 36, '.') AS cdr1,
+  substr(s, 21, 51) AS fwr2,
+  rpad(substr(s, 31, cast(21 + 3 * (jk % 4) AS int)), 30, '-') AS cdr2,
+  rpad(concat(substr(s, 5, 30), CASE WHEN jk % 2 = 0 THEN '.' ELSE 'A' END, substr(s, 36, cast(80 + 3 * (jk % 2) AS int))), 117, '.') AS fwr3,
+  concat(md5(concat('r', sequence_id)), md5(concat('s', sequence_id)), md5(concat('t', sequence_id)), md5(concat('u', sequence_id))) AS x
+FROM h
+"""
+
+
+VIEWS["mutation_sequences"] = _mutated("rearrangements")
+VIEWS["regions"] = "SELECT sequence_id, fwr1, cdr1, fwr2, cdr2, fwr3 FROM mutation_sequences"
 VIEWS["mutation_positions"] = _positions("mutation_sequences")
 
 #: What each view reads among the others.
 NEEDS = {
-    "numbers": (), "germline": ("numbers",), "rearrangements": (), "group_members": ("numbers",), "regions": ("rearrangements",),
-    "position_dim": ("numbers",), "mutation_sequences": ("regions",), "nation_members": (), "mutation_positions": ("mutation_sequences", "position_dim"),
+    "numbers": (), "germline": ("numbers",), "rearrangements": (), "group_members": ("numbers",), "mutation_sequences": ("rearrangements",),
+    "regions": ("mutation_sequences",), "position_dim": ("numbers",), "nation_members": (), "mutation_positions": ("mutation_sequences", "position_dim"),
 }
 
 
@@ -160,9 +166,13 @@ def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.table(name) for name in names]
 
 
-def positions_of(spark: SparkSession, sequences: DataFrame, *carried: str) -> DataFrame:
-    """``mutation_positions`` of these rows of ``mutation_sequences``, with the columns they carry."""
-    return spark.sql(_positions("{sequences}", *carried), sequences=sequences)
+def mutation_vectors(spark: SparkSession, rows: DataFrame, *carried: str) -> DataFrame:
+    """Rows of ``mutation_sequences`` for these rearrangement rows, with the columns they carry and packed vectors
+    that say what ``mutation_positions`` says: r, s, mutable."""
+    made = spark.sql(_mutated("{rows}", *carried), rows=rows).withColumn("mutable", mutable_positions())
+    digits = lambda to: f"cast(split(translate(substr(x, 1, {POSITIONS}), '0123456789abcdef', '{to}'), '') AS array<int>)"
+    count = lambda to: F.expr(f"zip_with({digits(to)}, mutable, (n, m) -> IF(m, n, 0))")
+    return made.withColumn("r", count("1120000000000000")).withColumn("s", count("0101000000000000")).drop("x")
 
 
 def with_views(sql: str, *names: str) -> str:
