@@ -13,8 +13,9 @@ Content is then followed down the tree. Where it lies in one container, that con
 into; where it lies in paragraphs of a container, that container is an article and its text stays
 whole, short paragraphs, headings, lists and tables included; where it lies in several containers,
 each is looked into on its own, so that all articles of a page stay and what stands between them
-goes. Where article and main elements hold most of the content, only theirs counts. Inside an article go: what the markup rules out, names that speak against the text where the
-ratio does not outweigh them, and navigation (two or more mostly linked blocks in a row on one path
+goes. Where article and main elements hold most of the content, only theirs counts. Inside an article go: what the
+markup rules out, names that speak against the text where the ratio does not outweigh them (a paragraph or heading whose own name may
+as well say what it is about is content like any other by its ratio), and navigation (two or more mostly linked blocks in a row on one path
 that are neither headings nor paragraphs and have a low ratio). Of a header, the headings stay.
 
 Pages are independent: one pass of Arrow batches, no shuffle. Reading is linear in the page: no tag,
@@ -43,6 +44,10 @@ from lymphoframe.llm.common import small_batches, table
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 RAW = {name: re.compile(rf"</{name}\b[^>]*+>?", re.I) for name in ("script", "style", "noscript", "iframe", "title", "textarea")}
+#: Elements without text of the article that stand in a line of text.
+IN_LINE = frozenset("button select".split())
+#: Elements that hold sentences: a name that speaks against one of these alone only puts it in doubt.
+SENTENCES = frozenset("p blockquote pre figcaption dd dt td h1 h2 h3 h4 h5 h6".split())
 NEVER = frozenset("head nav footer aside button select option dialog menu svg math template object canvas audio video".split())
 IN_HEAD = frozenset("title meta link style script base noscript template".split())
 CONTAINER = frozenset("html body div article main section center form fieldset table tbody thead tfoot tr td".split())
@@ -60,6 +65,8 @@ ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++
 AGAINST = re.compile(
     r"\b(ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|nav\w*|menus?|breadcrumbs?|sidebars?|side|aside|widgets?|foot\w*|"
     r"masthead|topbar|toolbar|comments?|commentlist|disqus|repl(?:y|ies)|respond|discussion|share|sharing|social|related|recommend\w*|newsletter|subscri\w*|signup|login|search|form|pagination|pager|copyright|legal|tags|byline|meta)\b", re.I)
+#: Of these, words that also name what a paragraph is about: the paragraph's ratio decides.
+DOUBT = re.compile(r"\b(notices?|alerts?|side|repl(?:y|ies)|respond|discussion|share|sharing|social|related|recommend\w*|search|form|legal|tags|meta|banner)\b", re.I)
 FOR = re.compile(r"\b(article|post|entry|story|content|body|main|text)\b", re.I)
 HEADER = re.compile(r"\b(header|head)\b", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
@@ -79,14 +86,14 @@ SHARE = 0.05
 
 
 class _Element:
-    __slots__ = ("name", "parent", "path", "inline", "prior", "header", "main", "items", "mass")
+    __slots__ = ("name", "parent", "path", "inline", "prior", "header", "main", "items", "mass", "doubt", "resume")
 
     def __init__(self, name: str, attributes: str, parent: _Element | None, paths: dict):
         found: dict[str, str] = {}
         if attributes.strip(" /"):
             for k, v in ATTRIBUTE.findall(attributes):
                 found.setdefault(k.lower(), v[1:-1] if v[:1] in "\"'" else v)
-        self.name, self.parent, self.inline = name, parent, name in INLINE
+        self.name, self.parent, self.inline, self.resume = name, parent, name in INLINE or name in IN_LINE, None
         self.items: list[_Element | _Block] = []
         self.mass = 0
         above = parent is not None
@@ -96,10 +103,12 @@ class _Element:
         names = CAMEL.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").strip() if "class" in found or "id" in found else ""
         against, speaks = bool(names and AGAINST.search(names)), bool(names and FOR.search(names))
         hidden = "hidden" in found and found["hidden"].lower() != "false" or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+        doubtful = bool(against and name in SENTENCES and not AGAINST.search(DOUBT.sub(" ", names)))
+        self.doubt = bool(above and parent.doubt) or doubtful
         factor = 1.0
         if name in NEVER or role in ROLES or hidden:
             factor = 0.0
-        elif name in ("form", "fieldset") or against and not speaks and not page:
+        elif name in ("form", "fieldset") or against and not doubtful and not speaks and not page:
             factor = LITTLE
         elif own_main or speaks and not against:
             factor = MORE
@@ -151,7 +160,7 @@ def read(page: str) -> tuple[_Element, list[_Block]]:
             opened[e.name] -= 1
             links -= e.name == "a"
             if not e.inline:
-                open_block = None
+                open_block = e.resume
         del stack[k:], below[k:]
 
     search = TAG.search
@@ -209,8 +218,8 @@ def read(page: str) -> tuple[_Element, list[_Block]]:
         element = _Element(name, attributes, stack[-1 if inline else below[-1]], paths)
         if not inline:
             stack[below[-1]].items.append(element)
-        elif element.prior == 0:  # hidden inline markup: its text is a block of its own
-            element.inline, element.parent = False, stack[below[-1]]
+        elif element.prior == 0:  # hidden inline markup: its text is a block of its own, the line goes on behind it
+            element.inline, element.parent, element.resume = False, stack[below[-1]], open_block
             element.parent.items.append(element)
             open_block = None
         stack.append(element)
@@ -353,7 +362,7 @@ def content(page: str | None, threshold: float = THRESHOLD) -> list[str]:
         elif e.header:
             title = e.name in HEADINGS and (e.main or of.name not in ("", "html", "body"))
         else:
-            title = b.content or e.prior > LITTLE * MOST * of.prior
+            title = b.content or not e.doubt and e.prior > LITTLE * MOST * of.prior
             begun = begun or title
         if title:
             out.append(b.text)
