@@ -11,15 +11,23 @@ from lymphoframe.tables import dropped, partitions, written
 KEY = ["repertoire_id", "junction_aa", "v", "j"]
 
 
-def clone_input(rows: DataFrame) -> DataFrame:
+def takes_part() -> Column:
     """Productive rows of a T cell receptor locus with a junction."""
-    return rows.where(F.col("locus").contains("TR") & is_productive() & (F.coalesce("junction_aa", F.lit("")) != ""))
+    return F.coalesce(F.col("locus").contains("TR") & is_productive() & (F.coalesce("junction_aa", F.lit("")) != ""), F.lit(False))
 
 
-def _keyed(resolved: DataFrame, level: str) -> DataFrame:
-    """``v``, ``j``: the raw calls at allele level, comma-joined names at gene level."""
+def clone_input(rows: DataFrame) -> DataFrame:
+    return rows.where(takes_part())
+
+
+def clone_key(level: str) -> dict[str, Column]:
+    """junction_aa, v, j: the raw calls at allele level, comma-joined names at gene level."""
     v, j = (F.coalesce("v_call", F.lit("")), F.coalesce("j_call", F.lit(""))) if level == "allele" else (at_level("v", "gene"), at_level("j", "gene"))
-    return clone_input(resolved).withColumn("v", v).withColumn("j", j)
+    return {"junction_aa": F.col("junction_aa"), "v": v, "j": j}
+
+
+def _keyed(resolved: DataFrame, level: str) -> DataFrame:
+    return clone_input(resolved).withColumns({k: c for k, c in clone_key(level).items() if k != "junction_aa"})
 
 
 def summed_clones(resolved: DataFrame, level: str, order: str = "sequence_id", dup_mode: str = "last") -> DataFrame:

@@ -29,6 +29,12 @@ def lengths(rows: DataFrame, kind: str, by: tuple[str, ...] = ("repertoire_id",)
     return measured.groupBy(*by, "productive", "length").agg((F.sum("w") if weighted else F.count("*").cast("double")).alias("count"))
 
 
+def lengths_of(tally: DataFrame, kind: str, by: tuple[str, ...] = ("repertoire_id",), weighted: bool = True) -> DataFrame:
+    """As ``lengths``, of a tally with length_aa, length_nt, rows and weights."""
+    measured = tally.select(*by, "productive", F.col("weights" if weighted else "rows").cast("double").alias("w"), F.col(f"length_{kind}").cast("bigint").alias("length")).where("length > 0")
+    return _split_productive(measured).groupBy(*by, "productive", "length").agg(F.sum("w").alias("count"))
+
+
 def dense(histogram: DataFrame, keys: list[str]) -> DataFrame:
     """All lengths from 0 to each key's largest, 0 where nothing was counted."""
     grid = histogram.groupBy(*keys).agg(F.max("length").alias("most")).select(*keys, F.explode(F.sequence(F.lit(0).cast("bigint"), "most")).alias("length"))
@@ -52,13 +58,15 @@ def distribution(rows: DataFrame, kind: str, by: tuple[str, ...] = ("repertoire_
     every position that occurs, 0 where it doesn't.
 
     A junction with a letter outside the amino acid list is left out whole; nucleotide junctions are
-    tested against the same list (``strict_alphabet``: against ACGT) and only ACGT are reported."""
+    tested against the same list (``strict_alphabet``: against ACGT) and only ACGT are reported. ``rows``
+    may be a tally: a column ``rows`` says for how many each of its rows stands."""
     column, letters = ("junction_aa", AMINO_ACIDS) if kind == "aa" else ("junction", NUCLEOTIDES)
     allowed = NUCLEOTIDES if strict_alphabet and kind == "nt" else AMINO_ACIDS
-    sound = _split_productive(rows.select(*by, "productive", F.col(column).alias("s")).where(F.col("s").rlike(f"^[{allowed}]+$")))
-    spelled = sound.select(*by, "productive", F.length("s").alias("length"), F.posexplode(F.split("s", "")).alias("position", "letter"))
+    stands = F.col("rows") if "rows" in rows.columns else F.lit(1).cast("bigint")
+    sound = _split_productive(rows.select(*by, "productive", stands.alias("rows"), F.col(column).alias("s")).where(F.col("s").rlike(f"^[{allowed}]+$")))
+    spelled = sound.select(*by, "productive", "rows", F.length("s").alias("length"), F.posexplode(F.split("s", "")).alias("position", "letter"))
     keys = [*by, "productive", "length", "position"]
-    counted = spelled.groupBy(*keys).agg(*[F.count(F.when(F.col("letter") == x, 1)).alias(x) for x in letters])
+    counted = spelled.groupBy(*keys).agg(*[F.sum(F.when(F.col("letter") == x, F.col("rows")).otherwise(0)).alias(x) for x in letters])
     return counted.select(*keys, F.expr("stack({}, {}) AS (letter, count)".format(len(letters), ", ".join(f"'{x}', {x}" for x in letters))))
 
 

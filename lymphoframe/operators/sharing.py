@@ -29,18 +29,19 @@ MOST_UNITS = 4_096
 WORD = 62
 
 
+def share_key(level: str) -> dict[str, Column]:
+    """gene_key, cdr3 of a row at a level (null gene_key: the row has no place there)."""
+    segments, column = SHARE_LEVELS[level]
+    genes = [F.try_element_at(f"{s}_gene", F.lit(1)) for s in segments]
+    return {"gene_key": F.concat(*[x for g in genes for x in (F.lit("|"), g)][1:]) if genes else F.lit(""), "cdr3": F.col(column)}
+
+
 def shares(resolved: DataFrame, levels: tuple[str, ...]) -> DataFrame:
     """level, gene_key, cdr3, repertoire_id, sequence_count, duplicate_count over productive rows.
 
     gene_key joins the first gene of each segment with ``|`` (empty at plain levels); rows whose v (or
     j) names no known gene are left out at the levels that need it; unknown levels are ignored."""
-    entries = []
-    for level in levels:
-        if level in SHARE_LEVELS:
-            segments, column = SHARE_LEVELS[level]
-            genes = [F.try_element_at(f"{s}_gene", F.lit(1)) for s in segments]
-            key = F.concat(*[x for g in genes for x in (F.lit("|"), g)][1:]) if genes else F.lit("")
-            entries.append(F.struct(F.lit(level).alias("level"), key.alias("gene_key"), F.col(column).alias("cdr3")))
+    entries = [F.struct(F.lit(level).alias("level"), *[c.alias(name) for name, c in share_key(level).items()]) for level in levels if level in SHARE_LEVELS]
     rows = resolved.where(is_productive()).select("repertoire_id", weight().alias("w"), F.explode(F.array(*entries)).alias("x"))
     return rows.where("x.cdr3 <> '' and x.gene_key is not null").groupBy("x.level", "x.gene_key", "x.cdr3", "repertoire_id").agg(F.count("*").alias("sequence_count"), F.sum("w").alias("duplicate_count"))
 

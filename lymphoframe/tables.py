@@ -23,11 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as Parquet and read back: what follows reads it as often as it likes, and neither
-    computes it again nor depends on the executors that made it."""
+def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+    """``df`` written as Parquet (in folders by ``partition_by``) and read back: what follows reads it as often as it
+    likes, and neither computes it again nor depends on the executors that made it."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._folder = path
     return out

@@ -56,6 +56,55 @@ def test_reports(spark, tmp_path):
     assert wide_matrix(pairs, "n", ["x", "y"]).first()["y"] == 3
 
 
+def test_input_order_is_the_reference_order(spark, tmp_path):
+    """Rows in the order of the listed files, whatever their sizes and headers; clone ids follow it."""
+    from lymphoframe.operators import clones
+
+    head = "sequence_id\trepertoire_id\tlocus\tproductive\tduplicate_count\tv_call\tj_call\tjunction_aa\n"
+    row = lambda k, n: f"s{k}\tr\tTRB\tT\t{n}\tV{k % 7}\tJ1\tCAS{'ACDEFGHIKL'[k % 10]}\n"
+    (tmp_path / "b small.tsv").write_text(head + row(3, 9))
+    (tmp_path / "a+large.tsv").write_text(head + "".join(row(k, k) for k in range(5000)))
+    (tmp_path / "other.tsv").write_text(head.replace("locus", "more\tlocus").replace("sequence_id", "\ufeffsequence_id") + "s9999\tr\tx\tTRB\tT\t77\tV3\tJ1\tCASE\n")
+    (tmp_path / "empty.tsv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        read = airr.read_rearrangements(spark, [str(tmp_path / f) for f in ("b small.tsv", "empty.tsv", "a+large.tsv", "other.tsv")])
+        assert read.rdd.getNumPartitions() > 4
+        ids = [r.sequence_id for r in read.orderBy("ord").collect()]
+        assert ids == ["s3", *[f"s{k}" for k in range(5000)], "s9999"]
+        found = {(r.v, r.junction_aa): r for r in clones.clones(read, "allele", "ord").collect()}
+        first = found["V3", "CASE"]  # the small file's clone comes first; its weight is the last row's, of the last file
+        assert first.clone_id == 1 and first.duplicate_count == 77 and found["V0", "CASA"].clone_id == 2
+        assert sorted(r.clone_id for r in found.values()) == list(range(1, 71))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert airr.read_rearrangements(spark, str(tmp_path / "empty.tsv")).count() == 0
+
+
+def test_a_report_of_many_parts_is_in_order(spark, tmp_path):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("n"), F.lit("x").alias("k"))
+    write_tsv(df, str(tmp_path / "t"), ["n"], parts=5)
+    parts = sorted(tmp_path.joinpath("t").glob("part-*"))
+    lines = [x.split("\t")[0] for p in parts for x in p.read_text().splitlines()]
+    assert len(parts) == 5 and lines.count("n") == 5 and [int(x) for x in lines if x != "n"] == list(range(3000))
+
+
+def test_wide_reports_come_with_a_run(spark, tmp_path):
+    from lymphoframe.plans.spec import Context, run
+
+    rows = spark.createDataFrame([(f"s{k}", f"r{k % 2}", True, 1, "CAS", "TGT") for k in range(4)], "sequence_id string, repertoire_id string, productive boolean, duplicate_count long, junction_aa string, junction string")
+    rows = rows.selectExpr("*", "'TRB' locus", "'' v_call", "'' d_call", "'' j_call", "'' c_call", "3L junction_length", "3L junction_aa_length")
+    members = spark.createDataFrame([("g", "r0"), ("g", "r1")], "repertoire_group_id string, repertoire_id string")
+    germline = spark.createDataFrame([], "label string, locus string, sequence_type string, gene_designation string, subgroup_designation string")
+    units = spark.createDataFrame([("r0",), ("r1",), ("r2",)], "repertoire_id string")
+    out = run(Context(rows, germline, members, repertoires=units), [{"type": "CDR3", "operations": ["length", "distribution", "shared", "compare"], "levels": ["aa"]}])
+    paths = {p.rsplit("/", 1)[1]: p for p in write_reports(out, str(tmp_path / "all"), form="tsv")}
+    read = lambda name: spark.read.csv(paths[name], sep="\t", header=True)
+    assert {(r.repertoire_id_a, r.r0, r.r1, r.r2) for r in read("share_matrix_shared_wide").collect()} == {("r0", "1", "1", "0"), ("r1", "1", "1", "0"), ("r2", "0", "0", "0")}
+    assert {r.C for r in read("distribution_aa_wide").where("position = 0").collect()} == {"2"} and "Y" in read("distribution_aa_groups_wide").columns
+    assert read("length_aa_group_repertoires_count").where("productive = 'true'").first()["3"] == "2.0"
+
+
 def test_usage_stream_equals_batch(spark, sf, tmp_path):
     rows, germline = views(spark, sf, "rearrangements", "germline")
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
