@@ -156,7 +156,7 @@ def read(page: str) -> tuple[_Element, list[_Block]]:
     def close(k: int) -> None:
         """Ends the open elements from place k on."""
         nonlocal open_block, links
-        for e in stack[k:]:
+        for e in reversed(stack[k:]):
             opened[e.name] -= 1
             links -= e.name == "a"
             if not e.inline:
@@ -194,7 +194,7 @@ def read(page: str) -> tuple[_Element, list[_Block]]:
         if name == "br":
             text(" ")
             continue
-        inline = name in INLINE
+        inline = name in INLINE or name in IN_LINE
         if opened["head"] > 0 and name not in IN_HEAD and name != "head":
             close(next(k for k, e in enumerate(stack) if e.name == "head"))
         if not inline:
@@ -362,7 +362,7 @@ def content(page: str | None, threshold: float = THRESHOLD) -> list[str]:
         elif e.header:
             title = e.name in HEADINGS and (e.main or of.name not in ("", "html", "body"))
         else:
-            title = b.content or not e.doubt and e.prior > LITTLE * MOST * of.prior
+            title = b.content and b.ratio >= NAVIGATION if e.doubt else b.content or e.prior > LITTLE * MOST * of.prior
             begun = begun or title
         if title:
             out.append(b.text)

@@ -130,7 +130,7 @@ def test_linked_text_of_the_article_stays():
 
 def test_doubtful_names_and_buttons_inside_an_article():
     long = ["The committee met on Tuesday, and after some hours of debate it agreed on the first part of the plan.", "In a related study, published last year, the authors found that the effect was smaller, but still there.", "What comes next, nobody knows; the second part will be debated in spring, once the figures are in."]
-    page = f'<body><article><h1>Plan</h1><p>{long[0]}</p><p class="related">{long[1]}</p><p>{long[2]} <button>Like</button> Really.</p><p class="related">More</p><p class="advert">{long[0]} Buy.</p></article><footer>End</footer></body>'
+    page = f'<body><article><h1>Plan</h1><p>{long[0]}</p><p class="related">{long[1]}</p><p>{long[2]} <button>Like</button> Really.</p><p class="share">Send it on</p><p class="advert">{long[0]} Buy.</p></article><footer>End</footer></body>'
     assert pages.content(page) == ["Plan", long[0], long[1], f"{long[2]} Really."]
     assert pages.content("<p>One <select><option>a<option>b</select> two <span hidden>no</span>three.</p>") == ["One two three."]
 
