@@ -22,7 +22,7 @@ pair.
 
 The recall is audited at every size: the links of ``AUDIT`` queries (smallest hashes) are counted among
 all vectors; below ``RECALL`` the overlap doubles and the search is run again. The last audit's figure
-comes with the result (``audited_recall``; 1 where the queries have no links).
+comes with the result (``audited_recall``; null where the queries have no links: nothing was measured).
 
 Defined results: vectors that are null, zero, hold null or non-finite components link with nothing
 and are their own component; vectors of different lengths are never linked; repeated rows are linked
@@ -303,14 +303,15 @@ def _sorted(dealt: DataFrame) -> DataFrame:
     return dealt.repartition(partitions(dealt.sparkSession), *order).sortWithinPartitions(*order)
 
 
-def audit(classes: DataFrame, found: DataFrame, least: float, total: int, queries: int = AUDIT) -> float:
-    """Share of the links of a bounded set of queries that were found (1 without links).
+def audit(classes: DataFrame, found: DataFrame, least: float, total: int, queries: int = AUDIT) -> float | None:
+    """Share of the links of a bounded set of queries that were found; None where these have no links, so that
+    nothing was measured.
 
     The links of the queries with the smallest hashes are counted by brute force among all classes;
     found ones are verified, so they are a part of these."""
     chosen = smallest_hashes(classes.select("id", "body"), "id", queries, total).collect()
     if not chosen:
-        return 1.0
+        return None
     ids = np.array([r["id"] for r in chosen])
     unit = _unit(np.frombuffer(b"".join(r["body"] for r in chosen), "<f4").reshape(len(chosen), -1))
 
@@ -325,11 +326,12 @@ def audit(classes: DataFrame, found: DataFrame, least: float, total: int, querie
     true = classes.select("id", "n", "body").mapInArrow(work, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
     mine = found.groupBy("id").agg(F.sum("others").alias("found"))
     row = true.join(mine, "id", "left").agg(F.sum("true").alias("true"), F.sum("found").alias("found")).first()
-    return (row["found"] or 0) / row["true"] if row["true"] else 1.0
+    return (row["found"] or 0) / row["true"] if row["true"] else None
 
 
-def links(classes: DataFrame, least: float) -> DataFrame:
-    """(id, others, root, recall) of the classes with links (see ``_linked``), written; ``classes`` have one length."""
+def links(classes: DataFrame, least: float) -> tuple[DataFrame, float | None]:
+    """(id, others, root) of the classes with links (see ``_linked``), written, and the audited recall; ``classes`` have
+    one length."""
     total = classes.count()
     sample = [r["body"] for r in smallest_hashes(classes.select("id", "body"), "id", SAMPLE, total).collect()]
     wanted, most = -(-total // PER_SHARD), max(1, min(MOST_SHARDS, len(sample) // 8))
@@ -343,8 +345,8 @@ def links(classes: DataFrame, least: float) -> DataFrame:
         edges = cut(_build(_sorted(dealt), least), "vector-graph")
         found = cut(_linked(dealt, edges, least), "vector-links")
         recall = audit(classes, found, least, total)
-        if recall >= RECALL or overlap == every:
-            return found.withColumn("recall", F.lit(recall))
+        if recall is None or recall >= RECALL or overlap == every:
+            return found, recall
         overlap = min(2 * overlap, every)
 
 
@@ -353,18 +355,20 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     classes = classes_of(vectors.select("vec_id", "embedding"))
     # a graph for each length of which there are two classes or more
     widths = [r["w"] for r in classes.groupBy(F.length("body").alias("w")).count().where("count > 1").orderBy("w").collect()]
-    found = classes.select("id", F.col("n").alias("others"), F.col("id").alias("root"), F.lit(1.0).alias("recall")).limit(0)
+    found = classes.select("id", F.col("n").alias("others"), F.col("id").alias("root")).limit(0)
+    audited = []
     for width in widths:
-        found = found.unionByName(links(classes.where(F.length("body") == width), least))
+        some, recall = links(classes.where(F.length("body") == width), least)
+        found = found.unionByName(some)
+        audited += [] if recall is None else [recall]
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector")
     partners = found.groupBy("id").agg(F.sum("others").alias("others"))
     known = cut(classes.join(partners, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
                 .select("embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "id").alias("component_id")), "vector-known")
     out = vectors.select("vec_id", "embedding").join(known, "embedding", "left")
     component = F.coalesce("component_id", "vec_id")
-    recall = found.agg(F.min("recall")).first()[0]
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
-                      F.lit(1.0 if recall is None else recall).alias("audited_recall"))
+                      F.lit(min(audited, default=None)).cast("double").alias("audited_recall"))
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,7 @@ def test_embedding_dedup_by_pairs_of_centroids(spark, monkeypatch):
 def test_embedding_dedup_small_and_empty(spark, sf):
     frame = spark.createDataFrame([(5, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_duplicates(frame).collect()} == {5: (1, 3, False), 3: (1, 3, True), 4: (0, 4, True)}
+    assert {r.audited_recall for r in vectors.near_duplicates(frame).collect()} == {None}  # of two distinct vectors none is linked: nothing to measure
     assert vectors.near_duplicates(frame.where("vec_id < 0")).count() == 0
     assert QUERIES["op6_embedding_dedup"](spark, sf).count() == spark.read.parquet(f"{sf}/embeddings.parquet").count()
 
