@@ -48,15 +48,37 @@ def regrouped(results: DataFrame, members: DataFrame, filters: dict[str, dict])
     return joined.where(free | F.array_contains("passed", F.col("repertoire_group_id"))).drop("passed")
 
 
+def mean_std(values: Column, n: Column | None = None) -> Column:
+    """struct<avg, std> of an array of doubles; ``n``: how many values there are, those beyond the array 0. One value
+    has deviation 0, none has no avg. Values are added in the array's order: sort it, and the result doesn't depend
+    on the order of rows and tasks."""
+    n = F.size(values) if n is None else n
+
+    def of(mean: Column) -> Column:
+        squares = F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) + (n - F.size(values)) * (mean * mean)
+        return F.struct(mean.alias("avg"), F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(0.0).alias("std"))
+
+    mean = F.when(n > 0, F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / n)
+    return F.transform(F.array(mean), of)[0]
+
+
+def by_repertoire(*measures: Column) -> Column:
+    """The aggregate that ``mean_std`` takes its arrays from: a group's values in the order of its repertoires."""
+    return F.sort_array(F.collect_list(F.struct("repertoire_id", *measures)))
+
+
 def group_mean_std(values: DataFrame, members: DataFrame, keys: list[str], measures: list[str], pooled: DataFrame | None = None) -> DataFrame:
-    """Mean and sample deviation of per-repertoire ``values`` over all members of a group; an absent
-    value counts 0, and one member has deviation 0. ``pooled`` names the keys of each group (by
-    default every key that a member has)."""
-    names = (pooled if pooled is not None else values).select("repertoire_group_id", *keys).distinct()
-    grid = names.join(members.select("repertoire_group_id", "repertoire_id").distinct(), "repertoire_group_id")
-    filled = grid.join(values, ["repertoire_group_id", "repertoire_id", *keys], "left")
-    stats = []
-    for m in measures:
-        x = F.coalesce(F.col(m), F.lit(0.0))
-        stats += [F.avg(x).alias(f"{m}_avg"), F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias(f"{m}_std")]
-    return filled.groupBy("repertoire_group_id", *keys).agg(F.count("*").alias("N"), *stats)
+    """Mean and sample deviation of per-repertoire ``values`` (one row per group, repertoire and keys) over all
+    members of a group; an absent value counts 0, and one member has deviation 0. ``pooled`` names the keys of each
+    group (by default every key that a member has). Absent values are counted, never made: a key's list is as long
+    as the members that have it."""
+    distinct = members.select("repertoire_group_id", "repertoire_id").distinct()
+    sizes = distinct.groupBy("repertoire_group_id").agg(F.count("*").alias("N"))
+    of_members = values.join(distinct, ["repertoire_group_id", "repertoire_id"], "left_semi")
+    lists = of_members.groupBy("repertoire_group_id", *keys).agg(by_repertoire(*[F.coalesce(F.col(m), F.lit(0)).cast("double").alias(m) for m in measures]).alias("_values"))
+    grid = lists
+    if pooled is not None:
+        grid = pooled.select("repertoire_group_id", *keys).distinct().join(lists, ["repertoire_group_id", *keys], "left")
+    stats = [mean_std(F.coalesce(F.col(f"_values.{m}"), F.array().cast("array<double>")), F.col("N")).alias(f"_{m}") for m in measures]
+    found = grid.join(sizes, "repertoire_group_id").select("repertoire_group_id", *keys, "N", *stats)
+    return found.select("repertoire_group_id", *keys, "N", *[F.col(f"_{m}.{x}").alias(f"{m}_{x}") for m in measures for x in ("avg", "std")])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lymphoframe.functions.calls import at_level, weight
 from lymphoframe.functions.codons import codons, translate
+from lymphoframe.operators.groups import by_repertoire, mean_std
 from lymphoframe.schema import POSITIONS, REGIONS
 
 SUMS = ("r", "s", "r_aa", "s_aa", "total", "total_aa")
@@ -188,6 +189,13 @@ def region_ratios(rolled: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return joined.select(*by, F.col("part").alias("region_class"), *out)
 
 
+def _statistics(long: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, N, avg, std of ``value`` over the repertoires; null values are left out, avg 0 where none is left."""
+    lists = long.groupBy(*keys).agg(by_repertoire(F.col("value")).alias("_values"))
+    found = lists.withColumn("_values", F.filter("_values.value", lambda x: x.isNotNull()))
+    return found.select(*keys, F.size("_values").cast("bigint").alias("N"), mean_std(F.col("_values")).alias("_m")).select(*keys, "N", F.coalesce("_m.avg", F.lit(0.0)).alias("avg"), F.coalesce("_m.std", F.lit(0.0)).alias("std"))
+
+
 def group_frequencies(rolled: DataFrame) -> DataFrame:
     """repertoire_group_id, scope, part, field, N, avg, std over the members' frequencies. ``rolled``: by
     group and repertoire, of the rows that pass the group's filter.
@@ -199,7 +207,7 @@ def group_frequencies(rolled: DataFrame) -> DataFrame:
     fields = ", ".join(f"'{f}', {f}, {t}" for f, t in (("freq", "total"), ("freq_r", "total"), ("freq_s", "total"), ("freq_aa", "total_aa"), ("freq_r_aa", "total_aa"), ("freq_s_aa", "total_aa")))
     long = freq.select(*by, "scope", "part", F.expr(f"stack(6, {fields}) AS (field, value, n)"))
     x = F.when(F.col("n") > 0, F.col("value"))
-    return long.groupBy("repertoire_group_id", "scope", "part", "field").agg(F.count(x).alias("N"), F.coalesce(F.avg(x), F.lit(0.0)).alias("avg"), F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias("std"))
+    return _statistics(long.withColumn("value", x), ["repertoire_group_id", "scope", "part", "field"])
 
 
 RATIOS = ("ratio", "ratio_r", "ratio_s", "rsratio", "ratio_aa", "ratio_r_aa", "ratio_s_aa", "rsratio_aa")
@@ -208,8 +216,8 @@ RATIOS = ("ratio", "ratio_r", "ratio_s", "rsratio", "ratio_aa", "ratio_r_aa", "r
 def group_ratios(ratios: DataFrame) -> DataFrame:
     """Group mean and deviation of the members' ratios (by group and repertoire): all members with rows;
     NaN and infinity carry over."""
-    long = ratios.select("repertoire_group_id", "region_class", F.expr("stack({}, {}) AS (field, value)".format(len(RATIOS), ", ".join(f"'{n}', {n}" for n in RATIOS))))
-    return long.groupBy("repertoire_group_id", "region_class", "field").agg(F.count("*").alias("N"), F.avg("value").alias("avg"), F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"))
+    long = ratios.select("repertoire_group_id", "repertoire_id", "region_class", F.expr("stack({}, {}) AS (field, value)".format(len(RATIOS), ", ".join(f"'{n}', {n}" for n in RATIOS))))
+    return _statistics(long, ["repertoire_group_id", "region_class", "field"])
 
 
 def wide_counts(rolled: DataFrame, by: tuple[str, ...], totals: DataFrame | None = None, unique: DataFrame | None = None) -> DataFrame:

@@ -5,8 +5,19 @@ from __future__ import annotations
 from lymphoframe.functions.codons import codon_table
 from lymphoframe.sources.fixtures import with_views
 
-#: Doubles are compared to ``D`` digits, nudged off the halves that two engines may round apart.
-D, NUDGE = 7, 3e-10
+
+def _added(values: str) -> str:
+    """A list of doubles added from its first value on: the order is part of the result."""
+    return f"list_reduce(list_prepend(cast(0 AS double), {values}), lambda a, x: a + x)"
+
+
+def _moments(values: str, n: str) -> tuple[str, str]:
+    """Mean and sample deviation of ``n`` values, those beyond the list 0."""
+    mean = f"({_added(values)} / {n})"
+    squares = f"{_added(f'list_transform({values}, lambda y: (y - {mean}) * (y - {mean}))')} + ({n} - len({values})) * ({mean} * {mean})"
+    return mean, f"CASE WHEN {n} > 1 THEN sqrt(({squares}) / ({n} - 1)) ELSE 0 END"
+
+
 _BASE = """
 gn AS (SELECT label, label AS allele, concat(locus, sequence_type, gene_designation) AS gene,
   CASE WHEN subgroup_designation IS NULL THEN concat(locus, sequence_type, gene_designation) ELSE concat(locus, sequence_type, subgroup_designation) END AS subgroup FROM germline),
@@ -71,22 +82,29 @@ ORACLES["clone_input_filter"] = sql("SELECT sequence_id, repertoire_id, junction
 
 
 def _counted(keys: str, source: str) -> str:
-    """CTE ``counts`` from a source with keys, prod, w, name, n."""
+    """CTEs ``counts`` and ``whole`` (the rows that have a name at all) from a source with keys, prod, w, name, n."""
     return f"""src AS ({source}),
 split AS (SELECT *, false AS productive FROM src UNION ALL SELECT *, true FROM src WHERE prod),
-totals AS (SELECT {keys}, productive, name, cast(sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS double) AS us, cast(sum(CASE WHEN n = 1 THEN w ELSE 0 END) AS double) AS ud,
-  cast(count(*) AS double) AS es, cast(sum(w) AS double) AS ed, sum(cast(1 AS double) / n) AS ps, sum(cast(w AS double) / n) AS pd FROM split GROUP BY {keys}, productive, name),
+parts AS (SELECT {keys}, productive, name, n, cast(count(*) AS double) AS r, cast(sum(w) AS double) AS w FROM split GROUP BY {keys}, productive, name, n),
+whole AS (SELECT {keys}, productive, sum(r / n) AS whole_sequence, sum(w / n) AS whole_duplicate FROM (SELECT {keys}, productive, n, sum(r) AS r, sum(w) AS w FROM parts GROUP BY {keys}, productive, n) GROUP BY {keys}, productive),
+totals AS (SELECT {keys}, productive, name, sum(CASE WHEN n = 1 THEN r ELSE 0 END) AS us, sum(CASE WHEN n = 1 THEN w ELSE 0 END) AS ud,
+  sum(r) AS es, sum(w) AS ed, {_added("list(r / n ORDER BY n)")} AS ps, {_added("list(w / n ORDER BY n)")} AS pd FROM parts GROUP BY {keys}, productive, name),
 counts AS (SELECT {keys}, productive, name, 'unique' AS mode, us AS sequence_count, ud AS duplicate_count FROM totals WHERE us > 0
   UNION ALL SELECT {keys}, productive, name, 'exists', es, ed FROM totals UNION ALL SELECT {keys}, productive, name, 'proportion', ps, pd FROM totals)"""
 
 
+def _frequency_columns(keys: str) -> str:
+    """Shares; a row's shares among its names make 1, so the whole of mode proportion is a number of rows."""
+    out = ""
+    for m in ("sequence", "duplicate"):
+        t = f"(CASE WHEN mode = 'proportion' THEN whole_{m} ELSE sum({m}_count) OVER (PARTITION BY {keys}, mode, productive) END)"
+        out += f", CASE WHEN {t} = 0 THEN 0 ELSE {m}_count / {t} END AS {m}_frequency"
+    return out
+
+
 def _final(keys: str, frequency: bool, where: str = "true") -> str:
-    out = f"SELECT {keys}, mode, productive, name, round(sequence_count + {NUDGE}, {D}) AS sequence_count, round(duplicate_count + {NUDGE}, {D}) AS duplicate_count"
-    if frequency:
-        for m in ("sequence", "duplicate"):
-            t = f"sum({m}_count) OVER (PARTITION BY {keys}, mode, productive)"
-            out += f", round(CASE WHEN {t} = 0 THEN 0 ELSE {m}_count / {t} END + {NUDGE}, {D}) AS {m}_frequency"
-    return f"{out} FROM counts WHERE {where}"
+    more = _frequency_columns(keys) if frequency else ""
+    return f"SELECT {keys}, mode, productive, name, sequence_count, duplicate_count{more} FROM counts JOIN whole USING ({keys}, productive) WHERE {where}"
 
 
 def _fields(segments: str) -> str:
@@ -127,21 +145,15 @@ ORACLES["combo_frequency"] = _combo("vj", True)
 
 def _stats(keys: str, values: str, measures: list[str]) -> str:
     """Mean and deviation over members, absent values 0; ``values``: CTE with group, repertoire, keys, measures."""
-    ks = keys.split(", ")
-    on = " AND ".join(f"v.{k} = g.{k}" for k in ["repertoire_group_id", "repertoire_id", *ks])
-    agg = ", ".join(f"round(avg(coalesce(v.{m}, 0)) + {NUDGE}, {D}) AS {m}_avg, round(coalesce(stddev_samp(coalesce(v.{m}, 0)), 0) + {NUDGE}, {D}) AS {m}_std" for m in measures)
-    gk = ", ".join(f"g.{k}" for k in ["repertoire_group_id", *ks])
-    return f"""names AS (SELECT DISTINCT repertoire_group_id, {keys} FROM {values}),
-grid AS (SELECT n.*, m.repertoire_id FROM names n JOIN members m ON n.repertoire_group_id = m.repertoire_group_id)
-SELECT {gk}, count(*) AS N, {agg} FROM grid g LEFT JOIN {values} v ON {on} GROUP BY {gk}"""
+    lists = ", ".join(f"list(cast({m} AS double) ORDER BY repertoire_id) AS l_{m}" for m in measures)
+    agg = ", ".join(f"{e} AS {m}_{x}" for m in measures for x, e in zip(("avg", "std"), _moments(f"l_{m}", "N"), strict=True))
+    return f"""sizes AS (SELECT repertoire_group_id, count(*) AS N FROM members GROUP BY repertoire_group_id),
+lists AS (SELECT repertoire_group_id, {keys}, {lists} FROM {values} GROUP BY repertoire_group_id, {keys})
+SELECT repertoire_group_id, {keys}, N, {agg} FROM lists JOIN sizes USING (repertoire_group_id)"""
 
 
 def _member_frequency(keys: str) -> str:
-    out = f"SELECT {keys}, mode, productive, name, sequence_count, duplicate_count"
-    for m in ("sequence", "duplicate"):
-        t = f"sum({m}_count) OVER (PARTITION BY {keys}, mode, productive)"
-        out += f", CASE WHEN {t} = 0 THEN 0 ELSE {m}_count / {t} END AS {m}_frequency"
-    return f"vals AS ({out} FROM counts)"
+    return f"vals AS (SELECT {keys}, mode, productive, name, sequence_count, duplicate_count{_frequency_columns(keys)} FROM counts JOIN whole USING ({keys}, productive))"
 
 
 _M = ["sequence_count", "sequence_frequency", "duplicate_count", "duplicate_frequency"]
@@ -169,8 +181,8 @@ ORACLES["length_nt_wo_dup"] = sql(_lengths("nt", weighted=False) + "\nSELECT * F
 ORACLES["length_dense"] = sql(_lengths("aa") + """,
 grid AS (SELECT repertoire_id, productive, unnest(range(0, max(length) + 1)) AS length FROM h GROUP BY repertoire_id, productive)
 SELECT g.repertoire_id, g.productive, g.length, coalesce(h.count, 0) AS count FROM grid g LEFT JOIN h ON g.repertoire_id = h.repertoire_id AND g.productive = h.productive AND g.length = h.length""")
-ORACLES["length_relative"] = sql(_lengths("aa") + f"\nSELECT *, round(count / sum(count) OVER (PARTITION BY repertoire_id, productive) + {NUDGE}, {D}) AS relative FROM h")
-ORACLES["length_table_stats"] = sql(_lengths("aa") + f"\nSELECT repertoire_id, productive, sum(count) AS total, round(sum(length * count) / sum(count) + {NUDGE}, {D}) AS avg FROM h GROUP BY repertoire_id, productive")
+ORACLES["length_relative"] = sql(_lengths("aa") + f"\nSELECT *, count / sum(count) OVER (PARTITION BY repertoire_id, productive) AS relative FROM h")
+ORACLES["length_table_stats"] = sql(_lengths("aa") + f"\nSELECT repertoire_id, productive, sum(count) AS total, sum(length * count) / sum(count) AS avg FROM h GROUP BY repertoire_id, productive")
 ORACLES["group_length"] = sql(_lengths("aa", "repertoire_group_id", "gl") + "\nSELECT * FROM h")
 ORACLES["group_length_stats"] = sql(_lengths("aa", _K, "gl") + ",\n" + _stats("productive, length", "h", ["count"]))
 
@@ -190,7 +202,7 @@ dist AS (SELECT g.*, coalesce(f.c, 0) AS count FROM cells g LEFT JOIN found f ON
 ORACLES["distribution_aa"] = sql(_distribution("aa") + "\nSELECT * FROM dist")
 ORACLES["distribution_nt"] = sql(_distribution("nt") + "\nSELECT * FROM dist")
 _t = "sum(count) OVER (PARTITION BY repertoire_id, productive, length, position)"
-ORACLES["distribution_relative"] = sql(_distribution("nt") + f"\nSELECT *, round(CASE WHEN {_t} = 0 THEN 0 ELSE cast(count AS double) / {_t} END + {NUDGE}, {D}) AS relative FROM dist")
+ORACLES["distribution_relative"] = sql(_distribution("nt") + f"\nSELECT *, CASE WHEN {_t} = 0 THEN 0 ELSE cast(count AS double) / {_t} END AS relative FROM dist")
 ORACLES["group_distribution_aa"] = sql(_distribution("aa", "repertoire_group_id", "gr") + "\nSELECT * FROM dist")
 ORACLES["group_distribution_stats"] = sql(_distribution("nt", _K, "gr") + ",\n" + _stats("productive, length, position, letter", "dist", ["count"]))
 
@@ -379,7 +391,7 @@ def _f(n: str, t: str) -> str:
 
 
 _freqs = {f"freq{k}{x}": (f"{_f('r' + x, 'total' + x)} + {_f('s' + x, 'total' + x)}" if not k else _f(k[1:] + x, "total" + x)) for x in ("", "_aa") for k in ("_r", "_s", "")}
-_freq_cols = ", ".join(f"round({e} + {NUDGE}, {D}) AS {c}" for c, e in _freqs.items())
+_freq_cols = ", ".join(f"{e} AS {c}" for c, e in _freqs.items())
 for _n, _w in (("global", "scope = 'global'"), ("region", "scope IN ('region', 'class')"), ("pos", "scope = 'position'")):
     ORACLES[f"mutation_freq_{_n}"] = _mutation("repertoire_id", _rows_rep, f"SELECT repertoire_id, scope, part, {_freq_cols} FROM ru WHERE {_w}")
 
@@ -392,28 +404,30 @@ def _ratio(x: str) -> dict[str, str]:
 _ratios = {**_ratio(""), **_ratio("_aa")}
 
 
-def _ratio_rows(by: str, names: list[str], rounds: bool = True) -> str:
+def _ratio_rows(by: str, names: list[str]) -> str:
     on = " AND ".join(f"c.{k} = g.{k}" for k in by.split(", "))
-    cols = ", ".join(f"round({_ratios[n]} + {NUDGE}, {D}) AS {n}" if rounds else f"{_ratios[n]} AS {n}" for n in names)
+    cols = ", ".join(f"{_ratios[n]} AS {n}" for n in names)
     return f"SELECT {', '.join('c.' + k for k in by.split(', '))}, c.part AS region_class, {cols} FROM ru c JOIN ru g ON {on} AND g.scope = 'global' WHERE c.scope = 'class'"
 
 
 ORACLES["mutation_region_ratio"] = _mutation("repertoire_id", _rows_rep, _ratio_rows("repertoire_id", [n for n in _ratios if not n.startswith("rs")]))
 ORACLES["mutation_rs_ratio"] = _mutation("repertoire_id, clone_id", _rows_clone, _ratio_rows("repertoire_id, clone_id", ["rsratio", "rsratio_aa"]))
 _group_ru = _weighted(_K, f"SELECT sequence_id, {_K}, w FROM gr").replace(f"GROUP BY {_K}, 1", f"GROUP BY {_K}")
-_long = " UNION ALL ".join(f"SELECT repertoire_group_id, scope, part, '{c}' AS field, {e} AS value, {'total_aa' if c.endswith('_aa') else 'total'} AS n FROM ru" for c, e in _freqs.items())
+_long = " UNION ALL ".join(f"SELECT {_K}, scope, part, '{c}' AS field, {e} AS value, {'total_aa' if c.endswith('_aa') else 'total'} AS n FROM ru" for c, e in _freqs.items())
+_avg, _std = _moments("l", "len(l)")
+_statistics = f"len(l) AS N, CASE WHEN len(l) = 0 THEN 0 ELSE {_avg} END AS avg, {_std} AS std"
 _group_freq = _group_ru + f""",
 lf AS ({_long}),
-gf AS (SELECT repertoire_group_id, scope, part, field, count(CASE WHEN n > 0 THEN 1 END) AS N, coalesce(avg(CASE WHEN n > 0 THEN value END), 0) AS avg, coalesce(stddev_samp(CASE WHEN n > 0 THEN value END), 0) AS std
-  FROM lf GROUP BY repertoire_group_id, scope, part, field)"""
-_long = " UNION ALL ".join(f"SELECT repertoire_group_id, region_class, '{c}' AS field, {c} AS value FROM rt" for c in _ratios)
+gl_f AS (SELECT repertoire_group_id, scope, part, field, coalesce(list(value ORDER BY repertoire_id) FILTER (WHERE n > 0), []) AS l FROM lf GROUP BY repertoire_group_id, scope, part, field),
+gf AS (SELECT repertoire_group_id, scope, part, field, {_statistics} FROM gl_f)"""
+_long = " UNION ALL ".join(f"SELECT {_K}, region_class, '{c}' AS field, {c} AS value FROM rt" for c in _ratios)
 _group_ratio = f""",
-rt AS ({_ratio_rows(_K, list(_ratios), False)}),
+rt AS ({_ratio_rows(_K, list(_ratios))}),
 lr AS ({_long}),
-gt AS (SELECT repertoire_group_id, region_class, field, count(*) AS N, avg(value) AS avg, coalesce(stddev_samp(value), 0) AS std FROM lr GROUP BY repertoire_group_id, region_class, field)"""
-_avg_std = f"N, round(avg + {NUDGE}, {D}) AS avg, round(std + {NUDGE}, {D}) AS std"
-ORACLES["mutation_group_freq_stats"] = sql(f"{_group_freq}\nSELECT repertoire_group_id, scope, part, field, {_avg_std} FROM gf", "mutation_positions")
-ORACLES["mutation_group_ratio_stats"] = sql(f"{_group_ru}{_group_ratio}\nSELECT repertoire_group_id, region_class, field, {_avg_std} FROM gt", "mutation_positions")
+gl_t AS (SELECT repertoire_group_id, region_class, field, list(value ORDER BY repertoire_id) AS l FROM lr GROUP BY repertoire_group_id, region_class, field),
+gt AS (SELECT repertoire_group_id, region_class, field, {_statistics} FROM gl_t)"""
+ORACLES["mutation_group_freq_stats"] = sql(f"{_group_freq}\nSELECT repertoire_group_id, scope, part, field, N, avg, std FROM gf", "mutation_positions")
+ORACLES["mutation_group_ratio_stats"] = sql(f"{_group_ru}{_group_ratio}\nSELECT repertoire_group_id, region_class, field, N, avg, std FROM gt", "mutation_positions")
 
 
 def _wide_group() -> str:
@@ -433,7 +447,7 @@ SELECT repertoire_group_id, (SELECT count(*) FROM ru WHERE scope = 'global' AND
 
 
 def _cell(statistic: str) -> str:
-    return "cast(N AS double)" if statistic == "N" else f"round({statistic} + {NUDGE}, {D})"
+    return "cast(N AS double)" if statistic == "N" else statistic
 
 
 ORACLES["mutation_group_wide"] = sql(_wide_group(), "mutation_positions")

@@ -28,8 +28,6 @@ FILTERS = {
 }
 #: Repertoires that the selection queries ask for.
 SELECTED = ("rep1", "rep3", "rep5")
-#: Doubles are rounded where sums may differ in their last bits, nudged off exact halves first.
-DIGITS, NUDGE = 7, 3e-10
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,10 +81,6 @@ def _group_tally(spark: SparkSession, sf_dir: str, segments: tuple[str, ...], ap
     return resolve(tally, views(spark, sf_dir, "germline")[0], segments)
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(F.col(c) + NUDGE, DIGITS).alias(c) if t == "double" else c for c, t in df.dtypes])
-
-
 # -- germline and groups -------------------------------------------------------------------------
 
 
@@ -160,10 +154,10 @@ def clone_input_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _usage(mode: str | None = None, segments=("v", "d", "j", "c"), frequency: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = segment_ops.usage(_tallied(spark, sf_dir, tuple(segments), True), segments=segments)
+        out = segment_ops.usage(_tallied(spark, sf_dir, tuple(segments), True), segments=segments, totals=frequency)
         if mode:
             out = out.where(F.col("mode") == mode)
-        return rounded(segment_ops.with_frequency(out, ["repertoire_id", "field"]) if frequency else out)
+        return segment_ops.with_frequency(out, ["repertoire_id", "field"]) if frequency else out
 
     return run
 
@@ -178,8 +172,8 @@ QUERIES["usage_frequency"] = _usage(None, frequency=True)
 
 def _combo(combo: str, frequency: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = segment_ops.combos(_tallied(spark, sf_dir, segment_ops.COMBOS[combo], False), combo)
-        return rounded(segment_ops.with_frequency(out, ["repertoire_id", "combo"]) if frequency else out)
+        out = segment_ops.combos(_tallied(spark, sf_dir, segment_ops.COMBOS[combo], False), combo, totals=frequency)
+        return segment_ops.with_frequency(out, ["repertoire_id", "combo"]) if frequency else out
 
     return run
 
@@ -191,12 +185,12 @@ QUERIES["combo_frequency"] = _combo("vj", True)
 
 @query("group_usage_pooled")
 def group_usage_pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(segment_ops.usage(_group_tally(spark, sf_dir, ("v", "j"), True), ("repertoire_group_id",), ("v", "j")))
+    return segment_ops.usage(_group_tally(spark, sf_dir, ("v", "j"), True), ("repertoire_group_id",), ("v", "j"))
 
 
 @query("group_repertoire_usage")
 def group_repertoire_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(segment_ops.usage(_group_tally(spark, sf_dir, ("v",), True), ("repertoire_group_id", "repertoire_id"), ("v",)))
+    return segment_ops.usage(_group_tally(spark, sf_dir, ("v",), True), ("repertoire_group_id", "repertoire_id"), ("v",))
 
 
 _STATS = ["sequence_count", "sequence_frequency", "duplicate_count", "duplicate_frequency"]
@@ -204,14 +198,14 @@ _STATS = ["sequence_count", "sequence_frequency", "duplicate_count", "duplicate_
 
 @query("group_usage_stats")
 def group_usage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_member = segment_ops.with_frequency(segment_ops.usage(_group_tally(spark, sf_dir, ("v",), True), ("repertoire_group_id", "repertoire_id"), ("v",)), ["repertoire_group_id", "repertoire_id", "field"])
-    return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["field", "level", "mode", "productive", "name"], _STATS))
+    by_member = segment_ops.with_frequency(segment_ops.usage(_group_tally(spark, sf_dir, ("v",), True), ("repertoire_group_id", "repertoire_id"), ("v",), totals=True), ["repertoire_group_id", "repertoire_id", "field"])
+    return group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["field", "level", "mode", "productive", "name"], _STATS)
 
 
 @query("group_combo_stats")
 def group_combo_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_member = segment_ops.with_frequency(segment_ops.combos(_group_tally(spark, sf_dir, ("v", "j"), False), "vj", ("repertoire_group_id", "repertoire_id"), ("subgroup",)), ["repertoire_group_id", "repertoire_id", "combo"])
-    return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["combo", "level", "mode", "productive", "name"], _STATS))
+    by_member = segment_ops.with_frequency(segment_ops.combos(_group_tally(spark, sf_dir, ("v", "j"), False), "vj", ("repertoire_group_id", "repertoire_id"), ("subgroup",), totals=True), ["repertoire_group_id", "repertoire_id", "combo"])
+    return group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["combo", "level", "mode", "productive", "name"], _STATS)
 
 
 # -- junction lengths and letters ----------------------------------------------------------------
@@ -234,12 +228,12 @@ def length_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("length_relative")
 def length_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(junction_ops.relative(junction_ops.lengths(views(spark, sf_dir, "rearrangements")[0], "aa"), ["repertoire_id", "productive"]))
+    return junction_ops.relative(junction_ops.lengths(views(spark, sf_dir, "rearrangements")[0], "aa"), ["repertoire_id", "productive"])
 
 
 @query("length_table_stats")
 def length_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(junction_ops.length_stats(junction_ops.lengths(views(spark, sf_dir, "rearrangements")[0], "aa"), ["repertoire_id", "productive"]))
+    return junction_ops.length_stats(junction_ops.lengths(views(spark, sf_dir, "rearrangements")[0], "aa"), ["repertoire_id", "productive"])
 
 
 def _group_lengths(spark: SparkSession, sf_dir: str, *by: str) -> DataFrame:
@@ -253,7 +247,7 @@ QUERIES["group_length"] = lambda spark, sf_dir: _group_lengths(spark, sf_dir, "r
 @query("group_length_stats")
 def group_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_member = _group_lengths(spark, sf_dir, "repertoire_group_id", "repertoire_id")
-    return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["productive", "length"], ["count"]))
+    return group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["productive", "length"], ["count"])
 
 
 def _distribution(kind: str) -> Query:
@@ -267,7 +261,7 @@ QUERIES["distribution_nt"] = _distribution("nt")
 @query("distribution_relative")
 def distribution_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = junction_ops.distribution(views(spark, sf_dir, "rearrangements")[0], "nt")
-    return rounded(junction_ops.relative_distribution(counts, ["repertoire_id", "productive"]))
+    return junction_ops.relative_distribution(counts, ["repertoire_id", "productive"])
 
 
 def _group_letters(spark: SparkSession, sf_dir: str, kind: str, *by: str) -> DataFrame:
@@ -281,7 +275,7 @@ QUERIES["group_distribution_aa"] = lambda spark, sf_dir: _group_letters(spark, s
 @query("group_distribution_stats")
 def group_distribution_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_member = _group_letters(spark, sf_dir, "nt", "repertoire_group_id", "repertoire_id").withColumn("count", F.col("count").cast("double"))
-    return rounded(group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["productive", "length", "position", "letter"], ["count"]))
+    return group_ops.group_mean_std(by_member, _members(spark, sf_dir), ["productive", "length", "position", "letter"], ["count"])
 
 
 # -- sharing -------------------------------------------------------------------------------------
@@ -451,14 +445,14 @@ QUERIES["mutation_unique_positions"] = lambda spark, sf_dir: mutation_ops.unique
 
 
 def _frequencies(scope: str) -> Query:
-    return lambda spark, sf_dir: rounded(mutation_ops.frequencies(_rolled("repertoire_id")(spark, sf_dir), _REP).where(F.col("scope") == scope))
+    return lambda spark, sf_dir: mutation_ops.frequencies(_rolled("repertoire_id")(spark, sf_dir), _REP).where(F.col("scope") == scope)
 
 
 QUERIES["mutation_freq_global"] = _frequencies("global")
-QUERIES["mutation_freq_region"] = lambda spark, sf_dir: rounded(mutation_ops.frequencies(_rolled("repertoire_id")(spark, sf_dir), _REP).where("scope in ('region', 'class')"))
+QUERIES["mutation_freq_region"] = lambda spark, sf_dir: mutation_ops.frequencies(_rolled("repertoire_id")(spark, sf_dir), _REP).where("scope in ('region', 'class')")
 QUERIES["mutation_freq_pos"] = _frequencies("position")
-QUERIES["mutation_region_ratio"] = lambda spark, sf_dir: rounded(mutation_ops.region_ratios(_rolled("repertoire_id")(spark, sf_dir), _REP).drop("rsratio", "rsratio_aa"))
-QUERIES["mutation_rs_ratio"] = lambda spark, sf_dir: rounded(mutation_ops.region_ratios(_rolled("clone_id")(spark, sf_dir), ("repertoire_id", "clone_id")).select("repertoire_id", "clone_id", "region_class", "rsratio", "rsratio_aa"))
-QUERIES["mutation_group_freq_stats"] = lambda spark, sf_dir: rounded(mutation_ops.group_frequencies(_group_rolled(spark, sf_dir)))
-QUERIES["mutation_group_ratio_stats"] = lambda spark, sf_dir: rounded(mutation_ops.group_ratios(mutation_ops.region_ratios(_group_rolled(spark, sf_dir), _MEMBER)))
-QUERIES["mutation_group_wide"] = lambda spark, sf_dir: rounded(mutation_ops.wide_group_frequencies(_group_rolled(spark, sf_dir)))
+QUERIES["mutation_region_ratio"] = lambda spark, sf_dir: mutation_ops.region_ratios(_rolled("repertoire_id")(spark, sf_dir), _REP).drop("rsratio", "rsratio_aa")
+QUERIES["mutation_rs_ratio"] = lambda spark, sf_dir: mutation_ops.region_ratios(_rolled("clone_id")(spark, sf_dir), ("repertoire_id", "clone_id")).select("repertoire_id", "clone_id", "region_class", "rsratio", "rsratio_aa")
+QUERIES["mutation_group_freq_stats"] = lambda spark, sf_dir: mutation_ops.group_frequencies(_group_rolled(spark, sf_dir))
+QUERIES["mutation_group_ratio_stats"] = lambda spark, sf_dir: mutation_ops.group_ratios(mutation_ops.region_ratios(_group_rolled(spark, sf_dir), _MEMBER))
+QUERIES["mutation_group_wide"] = lambda spark, sf_dir: mutation_ops.wide_group_frequencies(_group_rolled(spark, sf_dir))

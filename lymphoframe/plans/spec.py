@@ -116,10 +116,10 @@ def gene_segment(ctx: Context, calc: Calculation, shared: Shared) -> dict[str, D
     both = ("repertoire_group_id", "repertoire_id")
     for name in _segment_pieces(calc):
         if name == "usage":
-            kind, parts, count = "field", SEGMENTS, segments.usage
+            kind, parts, count = "field", SEGMENTS, (lambda r, by: segments.usage(r, by, totals=True))
         else:
             kind, combo = "combo", name.removesuffix("_combo")
-            parts, count = segments.COMBOS[combo], (lambda r, by, combo=combo: segments.combos(r, combo, by))
+            parts, count = segments.COMBOS[combo], (lambda r, by, combo=combo: segments.combos(r, combo, by, totals=True))
         tally = shared.table(name)
         out[name] = segments.with_frequency(count(ctx.named(tally, parts), ("repertoire_id",)), ["repertoire_id", kind])
         if ctx.members is not None:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,29 @@ def test_ratios_and_group_statistics(spark):
     assert (r.N, r.v_avg, r.v_std) == (3, 1.0, 1.0)
 
 
+def test_shares_and_statistics_do_not_depend_on_the_order_of_rows(spark):
+    """Sums of thirds, sevenths and tenths in two layouts are the same doubles; a row's shares make exactly one."""
+    names = [["A"], ["A", "B", "C"], ["C", "A", "B", "D", "E", "F", "G"], [f"N{k}" for k in range(9)] + ["A"], []]
+    rows = [("r", k % 3 > 0, 1 + k % 11, names[k % 5]) for k in range(400)]
+    schema = "repertoire_id string, productive boolean, duplicate_count long, v_allele array<string>"
+    both = []
+    for order in (rows, sorted(rows, key=lambda r: (r[2], len(r[3])), reverse=True)):
+        data = spark.createDataFrame(order, schema).repartition(5 if order is rows else 2).selectExpr("*", "v_allele AS v_gene", "v_allele AS v_subgroup")
+        counts = segments.with_frequency(segments.usage(data, segments=("v",), totals=True), ["repertoire_id", "field"])
+        both.append(sorted(counts.collect()))
+    assert both[0] == both[1] and not {"sequence_total", "duplicate_total"} & set(counts.columns)
+    a = next(r for r in both[0] if r.name == "A" and r.mode == "proportion" and r.level == "gene" and not r.productive)
+    assert a.sequence_count == 80 + 80 / 3 + 80 / 7 + 80 / 10 and a.sequence_frequency == a.sequence_count / 320
+    values = [("g", f"m{k}", "x", 0.1 * k) for k in range(50)]
+    members = spark.createDataFrame([("g", f"m{k}") for k in range(60)], "repertoire_group_id string, repertoire_id string")
+    frame = spark.createDataFrame(values, "repertoire_group_id string, repertoire_id string, name string, v double")
+    one, two = (groups.group_mean_std(f, members, ["name"], ["v"]).first() for f in (frame.repartition(7), frame.orderBy(F.desc("v"))))
+    every = [v for *_, v in values] + [0.0] * 10
+    assert one == two and one.N == 60 and abs(one.v_avg - statistics.mean(every)) < 1e-12 and abs(one.v_std - statistics.stdev(every)) < 1e-12
+    pooled = spark.createDataFrame([("g", "x"), ("g", "none has it")], "repertoire_group_id string, name string")
+    assert {r.name: (r.N, r.v_avg, r.v_std) for r in groups.group_mean_std(frame, members, ["name"], ["v"], pooled).collect()} == {"x": (60, one.v_avg, one.v_std), "none has it": (60, 0.0, 0.0)}
+
+
 @pytest.mark.parametrize(("spec", "want"), [
     ({"op": "!=", "content": {"field": "duplicate_count", "value": 3}}, ["s1"]),
     ({"op": "=", "content": {"field": "v_gene", "value": "A"}}, ["s0", "s1"]),
