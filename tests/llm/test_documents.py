@@ -179,6 +179,97 @@ def test_quality_odd_rows(odd, none):
     assert quality.score(none, quality.fit(none)).count() == 0
 
 
+def plain_numbers(text):
+    """Shares of words by the definitions of six measures, word by word."""
+    stops, signs = set(b".,;:!?'\"()-"), set(b"#$%&*+/<=>@[\\]^_`{|}~")
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
+    upper = lambda w: any(65 <= c <= 90 for c in w)
+    lower = lambda w: any(97 <= c <= 122 or c >= 128 for c in w)
+    digit = lambda w: any(48 <= c <= 57 for c in w)
+    strange = lambda c: c in signs or c < 128 and c not in stops and not bytes([c]).isalnum()
+    tests = {
+        "signs": lambda k, w: any(strange(c) for c in w),
+        "upper": lambda k, w: len(w) > 1 and upper(w) and not lower(w),
+        "shouted": lambda k, w: len(w) > 1 and w[-1] in stops and w[-2] in stops,
+        "repeat": lambda k, w: k > 0 and words[k - 1] == w,
+        "bare": lambda k, w: not (upper(w) or lower(w) or digit(w)),
+        "ends": lambda k, w: w[-1] in stops and not (len(w) > 1 and w[-2] in stops),
+        "function": lambda k, w: w.decode() in quality.FUNCTION_WORDS,
+    }
+    return len(words), {name: sum(map(bool, (f(k, w) for k, w in enumerate(words)))) / max(len(words), 1) for name, f in tests.items()}
+
+
+def plain_posteriors(rows, rounds=50):
+    """Expectation-maximisation document by document, without patterns."""
+    n = len(rows)
+    good = [0.1 if 0 in v else 0.9 for v in rows]
+    for _ in range(rounds):
+        prior = min(max(sum(good) / n, 0.01), 0.99)
+        table = {}
+        for k in range(len(rows[0])):
+            for c in (0, 1):
+                sums = [sum(g if c else 1 - g for g, v in zip(good, rows, strict=True) if v[k] == x) + 1e-3 * n / 2 + 1e-9 for x in (0, 1)]
+                table[k, c] = [x / sum(sums) for x in sums]
+        for i, v in enumerate(rows):
+            bad_odds, good_odds = 1 - prior, prior
+            for k, x in enumerate(v):
+                if x < 2:
+                    bad_odds, good_odds = bad_odds * table[k, 0][x], good_odds * table[k, 1][x]
+            good[i] = good_odds / (bad_odds + good_odds)
+    return good, prior, table
+
+
+def test_quality_equals_a_plain_version(spark, sf, texts):
+    """Votes by definition, expectation-maximisation by documents, and a dense scorer on its posteriors."""
+    import numpy as np
+
+    ids = sorted(texts)
+    m = quality.measure([texts[i] for i in ids])
+    for k, i in enumerate(ids):
+        n, numbers = plain_numbers(texts[i])
+        assert n == m.words[k] and all(abs(m.numbers[name][k] - x) < 1e-12 for name, x in numbers.items()), i
+    rows = []
+    for k in range(len(ids)):
+        mine = []
+        for name, least, good, bad in quality.LABELLERS:
+            x, sign = m.numbers[name][k], 1 if good < bad else -1
+            mine.append(2 if m.words[k] < least else 0 if sign * x >= sign * bad else 1 if sign * x <= sign * good else 2)
+        rows.append(mine)
+    weak, prior, table = plain_posteriors(rows)
+    got = {r.doc_id: r for r in QUERIES["op4_quality"](spark, sf).collect()}
+    assert got.keys() == set(ids) and all(abs(got[i].weak_label - w) < 1e-9 for i, w in zip(ids, weak, strict=True))
+    used = [k for k in range(len(ids)) if m.words[k] > 0]
+    dense = np.zeros((len(ids), quality.BUCKETS))
+    np.add.at(dense, (m.doc, m.feature), m.value)
+    x, y = dense[used], np.array(weak)[used]
+    share = min(max(y.mean(), 0.02), 0.98)
+    pull = y * 0.5 / share + (1 - y) * 0.5 / (1 - share)
+    w, b, mw, mb = np.zeros(quality.BUCKETS), 0.0, 0.0, 0.0
+    for _ in range(300):
+        g = pull * (1 / (1 + np.exp(-(x @ w + b))) - y) / len(used)
+        mw, mb = 0.9 * mw + x.T @ g + 1e-4 * w, 0.9 * mb + g.sum()
+        w, b = w - 2.0 * mw, b - 2.0 * mb
+    for k, i in enumerate(ids):
+        lean = quality.FEW / (m.words[k] + quality.FEW)
+        z = (dense[k] @ w + b) * (1 - lean) + np.log(prior / (1 - prior)) * lean
+        assert abs(got[i].quality - 1 / (1 + np.exp(-z))) < 1e-4
+    model, _ = quality.fit(spark.read.parquet(f"{sf}/documents.parquet"))
+    want = [(1 - prior) * table[k, 0][0] + prior * table[k, 1][1] for k in range(len(quality.LABELLERS))]
+    assert np.allclose(model.accuracies(), want, atol=1e-9)
+
+
+def test_quality_sample_with_ties_and_clashing_columns(spark, texts):
+    """Rows of one doc_id tie in the sample: which of them are taken doesn't depend on the layout."""
+    rows = [(k % 30, t) for k, t in enumerate(texts[i] for i in sorted(texts)[:300])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    (_, one), (_, two) = (quality.fit(f, 60) for f in (frame.repartition(5), frame.orderBy(F.desc("text")).coalesce(2)))
+    assert abs(one.weights - two.weights).max() < 1e-6 and abs(one.bias - two.bias) < 1e-6
+    clash = frame.selectExpr("*", "'mine' AS weak_label", "'mine' AS quality", "'mine' AS kept", "1 AS other")
+    out = quality.score(clash, quality.fit(clash))
+    assert out.columns == ["doc_id", "text", "other", "weak_label", "quality", "kept"] and dict(out.dtypes)["weak_label"] == "double"
+    assert out.count() == len(rows)
+
+
 # 5 ----------------------------------------------------------------------------------------------
 
 
@@ -342,6 +433,27 @@ def test_packing_odd_rows_and_special_text(spark, none):
     assert packing.pack(none, path).count() == 0
 
 
+def test_packing_repeated_rows_and_null_ids(spark):
+    """Each row is packed for itself: every piece's bytes are there as often as rows have them."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = [(5, "the same text twice"), (5, "the same text twice"), (None, "no id"), (None, "another one"), (6, "word " * 1500), (6, "other " * 40)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()
+    own = [[*library.encode(t, add_special_tokens=False).ids, 0] for _, t in rows]
+    assert sum(r.length for r in pieces) == sum(map(len, own))
+    found = collections.Counter((r.doc_id, r.doc_tokens) for r in pieces if r.start == 0)
+    assert found == collections.Counter((i, len(x)) for (i, _), x in zip(rows, own, strict=True))
+    by_sequence = collections.defaultdict(list)
+    for r in pieces:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for placed in by_sequence.values():
+        ends = 0
+        for offset, length in sorted(placed):
+            assert offset == ends
+            ends += length
+        assert ends <= 1024
+
+
 def test_packing_puts_like_with_like(spark):
     topics = [" ".join(f"topic{k}word{j}" for j in range(60)) for k in range(3)]
     frame = spark.createDataFrame([(k * 10 + j, topics[k] + f" {j}") for j in range(3) for k in range(3)], "doc_id long, text string").coalesce(1)

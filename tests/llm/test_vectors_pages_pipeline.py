@@ -105,6 +105,15 @@ def test_embedding_dedup_small_and_empty(spark, sf):
     assert QUERIES["op6_embedding_dedup"](spark, sf).count() == spark.read.parquet(f"{sf}/embeddings.parquet").count()
 
 
+def test_embedding_dedup_of_repeated_ids(spark):
+    """Rows that share a vec_id stay rows; none is lost, and what is alike lies in one component."""
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.99, 0.01]), (2, [0.0, 1.0]), (3, [0.01, 0.99]), (4, [-1.0, 0.0]), (4, None)]
+    out = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted(r.vec_id for r in out) == sorted(i for i, _ in rows)
+    assert all(r.component_id <= r.vec_id and r.kept == (r.component_id == r.vec_id) for r in out)
+    assert {r.component_id for r in out if r.vec_id == 4} == {4} and all(r.component_id == 1 for r in out if r.vec_id == 1)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{x:1}</style></head><body class="home">
 <header><div class=logo>Site name</div></header><div id="cookieNotice">We use cookies, all right?</div><ul class="main-menu"><li><a href=x>Home</a><li><a>News</a></ul>
 <div class="content"><h1>Title &amp; more</h1><p>First <b>bold</b>&nbsp;text, with <a href=q>a link</a>.<p>Second   para
