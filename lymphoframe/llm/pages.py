@@ -13,7 +13,8 @@ Content is then followed down the tree. Where it lies in one container, that con
 into; where it lies in paragraphs of a container, that container is an article and its text stays
 whole, short paragraphs, headings, lists and tables included; where it lies in several containers,
 each is looked into on its own, so that all articles of a page stay and what stands between them
-goes. Where article and main elements hold most of the content, only theirs counts. Inside an article go: what the
+goes. Where article and main elements hold most of the content, or the page's only title with text under it, only
+theirs counts. Inside an article go: what the
 markup rules out, names that speak against the text where the ratio does not outweigh them (a paragraph or heading whose own name may
 as well say what it is about is content like any other by its ratio), and navigation (two or more mostly linked blocks in a row on one path
 that are neither headings nor paragraphs and have a low ratio). Of a header, the headings stay.
@@ -64,9 +65,9 @@ ATTRIBUTE = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++
 #: Words of class and id names that speak against the text, and for it; camelCase and joined names are split before.
 AGAINST = re.compile(
     r"\b(ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|nav\w*|menus?|breadcrumbs?|sidebars?|side|aside|widgets?|foot\w*|"
-    r"masthead|topbar|toolbar|comments?|commentlist|disqus|repl(?:y|ies)|respond|discussion|share|sharing|social|related|recommend\w*|newsletter|subscri\w*|signup|login|search|form|pagination|pager|copyright|legal|tags|byline|meta)\b", re.I)
+    r"masthead|topbar|toolbar|comments?|commentlist|disqus|repl(?:y|ies)|respond|responses?|threads?|feedback|reactions?|remarks?|discussion|share|sharing|social|related|recommend\w*|newsletter|subscri\w*|signup|login|search|form|pagination|pager|copyright|legal|tags|byline|meta)\b", re.I)
 #: Of these, words that also name what a paragraph is about: the paragraph's ratio decides.
-DOUBT = re.compile(r"\b(notices?|alerts?|side|repl(?:y|ies)|respond|discussion|share|sharing|social|related|recommend\w*|search|form|legal|tags|meta|banner)\b", re.I)
+DOUBT = re.compile(r"\b(notices?|alerts?|side|repl(?:y|ies)|respond|responses?|threads?|feedback|reactions?|remarks?|discussion|share|sharing|social|related|recommend\w*|search|form|legal|tags|meta|banner)\b", re.I)
 FOR = re.compile(r"\b(article|post|entry|story|content|body|main|text)\b", re.I)
 HEADER = re.compile(r"\b(header|head)\b", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
@@ -242,6 +243,13 @@ def _mostly_links(b: _Block) -> bool:
     return b.linked > LINKED * len(b.text)
 
 
+def _titled(found: list[_Block]) -> bool:
+    """True where article and main elements hold the page's title and text under it, and no other title stands outside:
+    what else there is, be it longer (as what readers say), isn't the article."""
+    titles = [b.element.main for b in found if b.element.name == "h1" and b.element.prior >= 1 and (b.element.main or not b.element.header)]
+    return bool(titles) and all(titles) and any(b.fused and b.element.main and b.element.name not in HEADINGS for b in found)
+
+
 def mark(found: list[_Block], threshold: float) -> None:
     """Ratios of the blocks' paths, smoothed and fused, and which blocks are content."""
     length, points, number = defaultdict(int), defaultdict(int), defaultdict(int)
@@ -257,10 +265,11 @@ def mark(found: list[_Block], threshold: float) -> None:
         long, marks = ratios[b.element.path]
         b.ratio = long * (1 + marks)
         b.fused = 0.0 if _mostly_links(b) or b.element.header else x * (1 + y) * b.element.prior
+    own = [b for b in found if b.element.main] if _titled(found) else found
     # the mean over the page's letters, of blocks that nothing speaks against if there are any
-    alive = [b for b in found if b.fused and b.element.prior >= 1] or [b for b in found if b.fused]
+    alive = [b for b in own if b.fused and b.element.prior >= 1] or [b for b in own if b.fused]
     least = sum(b.fused * len(b.text) for b in alive) / max(sum(len(b.text) for b in alive), 1) * threshold
-    for b in found:
+    for b in own:
         b.content = b.fused > 0 and b.fused >= least
 
 

@@ -145,6 +145,26 @@ def test_doubtful_names_and_buttons_inside_an_article():
     assert pages.content("<p>One <select><option>a<option>b</select> two <span hidden>no</span>three.</p>") == ["One two three."]
 
 
+def test_reader_comments_longer_than_the_article():
+    text = "The bridge was closed on Monday, and it will open again in May."
+    said = "I have crossed this bridge every day, for thirty years, and never has anyone asked us what we think of it. "
+    talk = "".join(f"<div class=c{k}><p>{said * 3}</p></div>" for k in range(6))
+    for name in ("user-responses", "thread", "x9"):  # outside the article by its title, whatever the name
+        for heading in ("", "<h2>What you say</h2>"):
+            page = f'<body><h2>The Daily</h2><article><h1>Bridge</h1><p>{text}</p><p>{text}</p></article><section id="{name}">{heading}{talk}</section></body>'
+            assert pages.content(page) == ["Bridge", text, text]
+    for name in ("user-responses", "thread", "readerFeedback"):  # inside it, or without an article, by its name
+        assert pages.content(f'<article><h1>Bridge</h1><p>{text}</p><p>{text}</p><section id="{name}">{talk}</section></article>') == ["Bridge", text, text]
+        assert pages.content(f'<div><h1>Bridge</h1><p>{text}</p><p>{text}</p></div><div class="{name}">{talk}</div>') == ["Bridge", text, text]
+    # teasers in article elements don't outweigh a text outside that has the title, nor one of two titled texts the other
+    cards = "".join(f"<article><h3>Card {k}</h3><p>A short teaser, number {k}.</p></article>" for k in range(2))
+    assert pages.content(f"<div class=x1><h1>Bridge</h1><p>{said * 4}</p><p>{said * 4}</p></div><div>{cards}</div>")[:3] == ["Bridge", *[(said * 4).strip()] * 2]
+    two = pages.content(f"<article><h1>One</h1><p>{text}</p></article><div class=x2><h1>Two</h1><p>{said * 4}</p><p>{said * 4}</p></div>")
+    assert two[-3:] == ["Two", *[(said * 4).strip()] * 2]
+    assert pages.content(f'<p class="thread">{text}</p><p>{text}</p>') == [text, text]  # a forum page that is all thread, too:
+    assert pages.content(f'<div id="thread"><h1>Bridge</h1><p>{text}</p><p>{text}</p></div>') == ["Bridge", text, text]
+
+
 def test_pages_without_article_or_main():
     """Tag-path ratios alone: names say nothing, the threshold decides."""
     long = "A sentence of the body, with commas, and of some length, so that the path scores well."
