@@ -13,9 +13,10 @@ window. Where the index returns too few, the next unused ones in key order follo
 carries over from shard to shard; what is open at the end of a task is cut at powers of two, which
 need no padding.
 
-A query is the seed's rarest ids, up to ``POSTINGS`` entries of the index, as is usual for queries as
-long as a document: the ids left out are those that most documents of the shard have. Which
-neighbours a seed can get is bounded by its shard: README gives the share of true best neighbours.
+A query is every id of the seed: no entry of the index is left out, so that the order is that of BM25 over all unused
+documents of the shard. Ids that many of them have are kept as rows of weights (``ROWS`` at most), which are added
+whole; the lists of the others are short. Which neighbours a seed can get is bounded by its shard: README
+gives the share of true best neighbours.
 
 Defined results: null text counts as empty and is one 0; repeated rows are packed once each, told
 apart by nothing but their place; every id lies in exactly one piece; columns other than doc_id and
@@ -39,7 +40,11 @@ from lymphoframe.llm.common import cut, partitions, small_batches, table
 
 WINDOW = 1024
 SHARD = 4096
-POSTINGS = 4096
+#: Ids with more entries in a shard are kept as rows of weights, the ``ROWS`` most frequent of them (32 MB).
+POSTINGS = 64
+ROWS = 1024
+#: Documents that are ranked first; the others only if these don't fill the window.
+FIRST = 32
 K1, B = 1.2, 0.75
 END = 0
 
@@ -161,6 +166,13 @@ class _Shard:
         by_doc = np.argsort(self.doc, kind="stable")
         self.slots, self.bounds = slot[by_doc], np.searchsorted(self.doc[by_doc], np.arange(self.n + 1))
         self.unused, self.next = np.ones(self.n, bool), 0
+        frequent = np.argsort(-self.sizes, kind="stable")[:ROWS]
+        frequent = frequent[self.sizes[frequent] > POSTINGS]
+        self.row = np.full(len(self.sizes), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), self.n))
+        row = self.row[slot]
+        self.rows[row[row >= 0], self.doc[row >= 0]] = self.weight[row >= 0]
 
     def query(self, ids: np.ndarray) -> np.ndarray:
         """The slots of ids from elsewhere."""
@@ -171,17 +183,34 @@ class _Shard:
     def own(self, doc: int) -> np.ndarray:
         return self.slots[self.bounds[doc] : self.bounds[doc + 1]]
 
-    def ranked(self, slots: np.ndarray) -> np.ndarray:
-        """Unused documents with a score, best first (ties in their order)."""
-        slots = slots[np.argsort(-self.idf[self.vocabulary[slots]], kind="stable")]
-        slots = slots[: max(1, int(np.searchsorted(np.cumsum(self.sizes[slots]), POSTINGS, side="right")))]
+    def scores(self, slots: np.ndarray) -> np.ndarray:
+        """BM25 of every unused document, 0 for a used one."""
+        row = self.row[slots]
+        scores, slots = np.zeros(self.n), slots[row < 0]
+        for k in row[row >= 0].tolist():
+            scores += self.rows[k]
         sizes = self.sizes[slots]
         ends = np.cumsum(sizes)
         places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[slots] - ends + sizes, sizes)
-        scores = np.bincount(self.doc[places], self.weight[places], self.n)
-        left = np.flatnonzero((scores > 0) & self.unused)
+        return (scores + np.bincount(self.doc[places], self.weight[places], self.n)) * self.unused
+
+    def ranked(self, slots: np.ndarray) -> np.ndarray:
+        """Unused documents with a score, best first (ties in their order)."""
+        return self._sorted(self.scores(slots), 0)
+
+    @staticmethod
+    def _sorted(scores: np.ndarray, above: float) -> np.ndarray:
+        left = np.flatnonzero(scores > above)
         return left[np.argsort(-scores[left], kind="stable")]
 
+    def in_turn(self, slots: np.ndarray) -> Iterator[int]:
+        """As ``ranked``, one by one: most windows take a few."""
+        scores = self.scores(slots)
+        above = float(np.partition(scores, -FIRST)[-FIRST]) if self.n > FIRST else 0.0
+        yield from self._sorted(scores, above).tolist()
+        if above > 0:
+            yield from self._sorted(np.where(scores > above, 0, scores), 0).tolist()
+
     def following(self) -> Iterator[int]:
         """Unused documents in key order."""
         while True:
@@ -235,7 +264,7 @@ def packed(pass1: DataFrame, frequencies: np.ndarray, n_docs: int, mean: float)
                     put(docs[start])
                     continue
                 before = made
-                for k in chain(shard.ranked(slots).tolist(), shard.following()):
+                for k in chain(shard.in_turn(slots), shard.following()):
                     shard.unused[k] = False
                     put(docs[k])
                     if made > before:  # what is left of the last one seeds the next window

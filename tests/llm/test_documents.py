@@ -489,6 +489,29 @@ def test_packing_retrieves_by_bm25(spark, texts):
     assert found >= 0.9 * len(range(0, len(docs), 7))
 
 
+def test_packing_ranks_every_candidate_of_a_shard():
+    """Frequent ids count too: the order over all unused documents is that of BM25 over all ids of the seed."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    docs = [(i, 0, 0, np.append(rng.integers(1, 400, rng.integers(1, 160)), 0).astype(np.uint32)) for i in range(1500)]
+    docs += [(1500 + i, 0, 0, np.array([1000 + i, 0], np.uint32)) for i in range(30)]
+    tf = np.zeros((len(docs), 1100))
+    for i, d in enumerate(docs):
+        np.add.at(tf[i], d[3], 1)
+    size, n = tf.sum(axis=1, keepdims=True), (tf > 0).sum(axis=0)
+    idf = np.log1p((len(docs) - n + 0.5) / (n + 0.5))
+    weight = idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / size.mean()))
+    shard = packing._Shard(docs, idf, size.mean())
+    for used in (0, 1400):
+        shard.unused[:used] = False
+        for q in (0, 700, 1499, 1510):
+            scores = weight[:, tf[q] > 0].sum(axis=1)
+            order = list(shard.in_turn(shard.own(q)))
+            assert sorted(order) == list(range(used, len(docs))) and order == shard.ranked(shard.own(q)).tolist()
+            assert np.allclose(scores[order], np.sort(scores[used:])[::-1], rtol=1e-9)
+
+
 # 9 ----------------------------------------------------------------------------------------------
 
 PATTERNS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 8), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 16), ("hex", re.compile("[0-9a-f]+"), 0, 32)]
