@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lymphoframe.functions.predicates import predicate
+from lymphoframe.functions.calls import MOST_LABELS, germline_names
+from lymphoframe.functions.predicates import LabelSets, predicate
 
 
 def select_repertoires(rows: DataFrame, selected: DataFrame) -> DataFrame:
@@ -32,11 +35,26 @@ def group_rows(rows: DataFrame, members: DataFrame, filters: dict[str, dict]) ->
     return joined.where(group_condition(filters, rows))
 
 
-def with_passed(rows: DataFrame, filters: dict[str, dict]) -> DataFrame:
+#: Tests whose results one long holds.
+_BITS = 62
+
+
+def with_passed(rows: DataFrame, filters: dict[str, dict], germline: DataFrame | None = None) -> DataFrame:
     """Rows with ``passed``: the groups with a filter whose filter the row passes. A row stays one row: aggregates
-    take ``passed`` as a key beside the repertoire, and ``regrouped`` makes groups of their results."""
-    hits = [F.when(predicate(spec, rows), F.lit(group)) for group, spec in sorted(filters.items())]
-    return rows.withColumn("passed", F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>"))
+    take ``passed`` as a key beside the repertoire, and ``regrouped`` makes groups of their results. With a germline
+    set of at most ``MOST_LABELS`` the rows' calls need not be resolved: their labels are looked for among those of
+    the names that filters ask for."""
+    sets = LabelSets()
+    tests = [predicate(spec, rows) if germline is None else predicate(spec, rows, sets.test) for _, spec in sorted(filters.items())]
+    asked = sets.row(germline_names(germline), MOST_LABELS) if germline is not None else None
+    joined = rows if asked is None else rows.crossJoin(F.broadcast(asked))
+    # bits first: Spark compiles no code for what stands under the lambda of array_compact
+    parts = range(0, len(tests), _BITS)
+    bits = [reduce(Column.bitwiseOR, [F.when(test, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, test in enumerate(tests[k : k + _BITS])]) for k in parts]
+    tested = joined.select(*rows.columns, *[b.alias(f"_bits{k}") for k, b in zip(parts, bits, strict=True)])
+    hits = [F.when(F.col(f"_bits{i // _BITS * _BITS}").bitwiseAND(F.lit(1 << i % _BITS).cast("bigint")) != 0, F.lit(group)) for i, group in enumerate(sorted(filters))]
+    passed = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    return tested.select(*rows.columns, passed.alias("passed"))
 
 
 def regrouped(results: DataFrame, members: DataFrame, filters: dict[str, dict]) -> DataFrame:
