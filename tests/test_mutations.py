@@ -9,6 +9,7 @@ from lymphoframe.functions.codons import translate
 from lymphoframe.operators import mutations
 from lymphoframe.plans.queries import QUERIES
 from lymphoframe.schema import POSITIONS, REGIONS
+from lymphoframe.sources.fixtures import _mutated, mutation_lengths, mutation_sums, mutation_translations, mutation_vectors, views
 
 ODD = [None, "", "A", "..", "...", "-.-", "ATG", "atgGGN", "ATGA", "ATG..", "A..T.-", "ſAAuß.", "éé.ATG", "日本語", "..." * 60, "ATG" * 200 + ".", "NNNRAYTRA---", "AT\n...G A"]
 
@@ -76,3 +77,25 @@ def test_rows_are_read_by_batch_not_letter_by_letter(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     before = plan[plan.index("MapInArrow") :]  # what is computed row by row, before any aggregate
     assert "lambda" not in before and "regexp" not in before
+
+
+@pytest.mark.parametrize("name", ["mutation_region_lengths", "mutation_rep_counts", "mutation_totals", "mutation_freq_global", "mutation_v_subgroup_counts", "mutation_clone_counts"])
+def test_regions_are_made_and_vectors_summed_in_one_pass(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "translate(" not in plan and "rpad(" not in plan
+
+
+def test_regions_by_batch_are_those_of_the_view(spark, sf):
+    rows, _ = views(spark, sf, "rearrangements", "germline")
+    n = F.abs(F.hash("sequence_id"))
+    odd = rows.withColumn("jk", F.when(n % 3 == 0, -F.col("jk")).otherwise(F.col("jk"))).withColumn("sequence_id", F.when(n % 11 == 0, None).when(n % 13 == 0, "").otherwise(F.col("sequence_id")))
+    odd = odd.withColumn("w", F.when(n % 5 == 0, F.lit(2**40)).otherwise(F.col("duplicate_count")))
+    for each in (odd.where("false"), odd):
+        made = spark.sql(_mutated("{rows}"), rows=each)
+        told = mutation_vectors(spark, each, *REGIONS)
+        assert sorted(told.select("sequence_id", *REGIONS).collect(), key=str) == sorted(made.select("sequence_id", *REGIONS).collect(), key=str)
+        assert sorted(mutation_lengths(each).collect(), key=str) == sorted(mutations.region_lengths(made).collect(), key=str)
+        assert sorted(mutation_translations(each).collect(), key=str) == sorted(mutations.region_translations(made).collect(), key=str)
+        for by in ((), ("repertoire_id", "clone_id")):
+            sums, apart = mutation_sums(each, by), mutations.summed_vectors(mutation_vectors(spark, each, *by, "w"), by)
+            assert sorted(sums.collect(), key=str) == sorted(apart.collect(), key=str)
