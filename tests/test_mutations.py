@@ -85,6 +85,15 @@ def test_regions_are_made_and_vectors_summed_in_one_pass(spark, sf, name):
     assert plan.count("MapInArrow") == 1 and "translate(" not in plan and "rpad(" not in plan
 
 
+@pytest.mark.parametrize("name", ["mutation_j_gene_counts", "mutation_v_call_counts", "mutation_region_ratio", "mutation_totals", "mutation_unique_positions", "mutation_rep_counts", "mutation_pos_counts", "mutation_freq_pos"])
+def test_a_run_reads_the_rows_once_and_only_sums_leave_the_tasks(spark, sf, name):
+    found = QUERIES[name](spark, sf)
+    assert found.collect()
+    run = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert run.count("MapInArrow") == 1 and run.count("lineitem.parquet") == 1
+    assert all(c not in found._jdf.queryExecution().optimizedPlan().toString() for c in ("translate(md5", "translate(concat(md5", "rpad("))
+
+
 def test_regions_by_batch_are_those_of_the_view(spark, sf):
     rows, _ = views(spark, sf, "rearrangements", "germline")
     n = F.abs(F.hash("sequence_id"))
